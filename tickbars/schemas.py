@@ -1,0 +1,83 @@
+"""Row schemas of the pipeline (DDL strings, usable in from_json/cast)."""
+
+from __future__ import annotations
+
+from pyspark.sql import types as T
+
+# Raw exchange frame as captured from a feed connection.
+RAW_FRAME = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("seq", T.LongType()),
+    T.StructField("recv_ms", T.LongType()),
+    T.StructField("raw", T.StringType()),
+])
+
+# Normalised trade, snake_case names.  Wire keys e,E,s,t,p,q,T,m clash
+# case-insensitively, so the wire struct is renamed by position (see wire.py).
+TRADE = T.StructType([
+    T.StructField("event_type", T.StringType()),
+    T.StructField("event_time_ms", T.LongType()),
+    T.StructField("symbol", T.StringType()),
+    T.StructField("trade_id", T.LongType()),
+    T.StructField("price", T.DoubleType()),
+    T.StructField("quantity", T.DoubleType()),
+    T.StructField("trade_time_ms", T.LongType()),
+    T.StructField("is_buyer_maker", T.BooleanType()),
+    T.StructField("source", T.StringType()),
+    T.StructField("ingestion_time_ms", T.LongType()),
+    T.StructField("latency_ms", T.LongType()),
+])
+
+LEVEL = T.StructType([
+    T.StructField("price", T.DoubleType()),
+    T.StructField("quantity", T.DoubleType()),
+])
+
+BOOK = T.StructType([
+    T.StructField("source", T.StringType()),
+    T.StructField("symbol", T.StringType()),
+    T.StructField("timestamp_ms", T.LongType()),
+    T.StructField("bids", T.ArrayType(LEVEL)),
+    T.StructField("asks", T.ArrayType(LEVEL)),
+])
+
+DEAD_LETTER = T.StructType([
+    T.StructField("rawPayload", T.StringType()),
+    T.StructField("error", T.StringType()),
+    T.StructField("ingestionTimeMs", T.LongType()),
+])
+
+# Bar row; window_end_ms stays in the DataFrame but not in the table.
+BAR = T.StructType([
+    T.StructField("symbol", T.StringType(), False),
+    T.StructField("source", T.StringType(), False),
+    T.StructField("window_start_ms", T.LongType(), False),
+    T.StructField("window_end_ms", T.LongType(), False),
+    T.StructField("open", T.DoubleType(), False),
+    T.StructField("high", T.DoubleType(), False),
+    T.StructField("low", T.DoubleType(), False),
+    T.StructField("close", T.DoubleType(), False),
+    T.StructField("volume", T.DoubleType(), False),
+    T.StructField("vwap", T.DoubleType(), False),
+    T.StructField("buy_volume", T.DoubleType(), False),
+    T.StructField("sell_volume", T.DoubleType(), False),
+    T.StructField("ema10", T.DoubleType(), False),
+    T.StructField("trade_count", T.IntegerType(), False),
+    T.StructField("spread_usd", T.DoubleType(), True),
+    T.StructField("spread_bps", T.DoubleType(), True),
+])
+
+# Table column lists and primary keys.
+BAR_TABLE_COLUMNS = [
+    "symbol", "source", "window_start_ms", "open", "high", "low", "close",
+    "volume", "vwap", "buy_volume", "sell_volume", "ema10", "trade_count",
+    "spread_usd", "spread_bps",
+]
+BAR_KEY = ["symbol", "source", "window_start_ms"]
+BAR_UPDATE_ON_CONFLICT = ["spread_usd", "spread_bps"]
+
+TRADE_TABLE_COLUMNS = [
+    "trade_time_ms", "symbol", "source", "trade_id", "price", "quantity",
+    "side", "ingestion_time_ms", "latency_ms",
+]
+TRADE_KEY = ["symbol", "source", "trade_id", "trade_time_ms"]
