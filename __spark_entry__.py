@@ -26,6 +26,7 @@ from tickbars.operators.bars import ohlcv_bars, rollup_bars  # noqa: E402
 from tickbars.operators.ema import ema  # noqa: E402
 from tickbars.operators.spread import match_sources, spread_bars  # noqa: E402
 from tickbars.plans import panels as P  # noqa: E402
+from tickbars.operators import feeds as FD  # noqa: E402
 from tickbars.plans.jobs import bar_job, bars_with_ema  # noqa: E402
 from tickbars.sources import fixtures as FX  # noqa: E402
 
@@ -78,9 +79,47 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["distinct_symbols"] = lambda s, d: P.distinct_symbols(_job(s, d))
     q["latest_bars"] = lambda s, d: P.latest_bars(_job(s, d))
     q["bar_rollup"] = lambda s, d: rollup_bars(_bars(s, d), 5 * 60_000)
+    q.update(_feed_queries())
     return q
 
 
+def _frames(spark, d):
+    S.configure(spark)
+    return FX.raw_frames(spark, d)
+
+
+def _feed_queries():
+    q = {}
+    q["raw_frames_scan"] = lambda s, d: FD.demux(_frames(s, d)).join(
+        _frames(s, d).select("source", "seq", "recv_ms"), ["source", "seq"]).select(
+        "source", "seq", "recv_ms", "kind")
+    q["feed_demux"] = lambda s, d: FD.demux(_frames(s, d))
+    for i, src in ((1, "BINANCE"), (2, "COINBASE"), (3, "KRAKEN")):
+        q[f"normalize_feed{i}"] = (lambda src: lambda s, d: FD.normalize(_frames(s, d), src))(src)
+    q["union_feeds"] = lambda s, d: FD.union_feeds(_frames(s, d))
+    q["dead_letters"] = lambda s, d: FD.dead_letters(_frames(s, d))
+    q["feed_counts"] = lambda s, d: FD.feed_counts(_frames(s, d))
+    q["book_feed1"] = lambda s, d: FD.flatten_book(
+        FD.feed1_books(_frames(s, d)).filter(~F.col("_bad")), ["source", "seq", "symbol", "timestamp_ms"])
+    q["book_feed2_deltas"] = lambda s, d: FD.book_rows(_frames(s, d)).filter(F.col("source") == "COINBASE")
+    q["book_feed3_deltas"] = lambda s, d: FD.book_rows(_frames(s, d)).filter(F.col("source") == "KRAKEN")
+    q["symbol_filter"] = lambda s, d: _symbol_filter(_trades(s, d))
+    return q
+
+
+def _symbol_filter(trades):
+    """Subscriptions per feed, configured the way the fixture was captured
+    (feed 3 names the pair XBT/USD)."""
+    from tickbars.options import JobOptions
+    o = JobOptions.from_env({"KRAKEN_SYMBOLS": "XBT/USD"})
+    subs = {"BINANCE": o.binance_symbols, "COINBASE": o.coinbase_symbols, "KRAKEN": o.kraken_symbols}
+    pred = None
+    for src, syms in subs.items():
+        p = (F.col("source") == src) & F.col("raw_symbol").isin(*syms)
+        pred = p if pred is None else pred | p
+    return trades.filter(pred).select("trade_id", "source", "raw_symbol")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: (lambda fn: lambda spark, sf_dir: rounded(fn(spark, sf_dir)))(fn)
             for k, fn in _queries().items()}

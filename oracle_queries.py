@@ -17,11 +17,11 @@ trades as (
            when 0 then case when user_id % 2 = 0 then 'BTCUSDT' else 'ETHUSDT' end
            when 1 then case when user_id % 2 = 0 then 'BTC-USD' else 'ETH-USD' end
            else case when user_id % 2 = 0 then 'XBT/USD' else 'ETH/USD' end end as raw_symbol,
-         1704067200000 + (epoch_ms(ts) - 1704067200000) // 60 as trade_time_ms,
+         1704067200000 + (epoch_us(ts) // 1000 - 1704067200000) // 60 as trade_time_ms,
          value as price,
          (cast(json_extract_string(props, '$.k') as double) + 1) / 100 as quantity,
          event_type in ('view', 'signup') as is_buyer_maker,
-         1704067200000 + (epoch_ms(ts) - 1704067200000) // 60 + user_id % 97 as ingestion_time_ms,
+         1704067200000 + (epoch_us(ts) // 1000 - 1704067200000) // 60 + user_id % 97 as ingestion_time_ms,
          user_id % 97 as latency_ms,
          event_id as arrival
   from events)"""
@@ -134,4 +134,67 @@ select symbol, source, window_start_ms // 300000 * 300000 as window_start_ms,
        round((sum(buy_volume)) + 1e-9, 6) as buy_volume, round((sum(sell_volume)) + 1e-9, 6) as sell_volume,
        cast(sum(trade_count) as integer) as trade_count
 from bars group by symbol, source, window_start_ms // 300000 * 300000"""
+    q.update(feed_oracles())
+    return q
+
+
+# ------------------------------------------------------------------ feeds
+FRAMES = TRADES + """,
+frames as (
+  select t.*, t.trade_id as seq, t.ingestion_time_ms as recv_ms,
+         case when t.trade_id % 50 = 0 then 'dead' when t.trade_id % 5 = 4 then 'book' else 'trade' end as kind,
+         case when ev.event_id % 97 = 0 then 'snapshot' else 'update' end as level_kind,
+         case when ev.event_type in ('view', 'click') then 'bid' else 'ask' end as level_side,
+         cast(floor(ev.value / 5) * 5 as double) as level_price,
+         cast(json_extract_string(ev.props, '$.k') as double) % 5 as level_qty
+  from trades t join events ev on ev.event_id = t.trade_id)"""
+
+FEED_SYMBOL = ("case source when 'COINBASE' then replace(raw_symbol, '-', '') "
+               "when 'KRAKEN' then replace(replace(raw_symbol, '/', ''), 'XBT', 'BTC') else raw_symbol end")
+
+NORMALIZED_COLS = ("source, seq, cast(0 as bigint) as pos, 'trade' as event_type, {event_time} as event_time_ms, "
+                   "{symbol} as symbol, trade_id, {price} as price, {qty} as quantity, trade_time_ms, "
+                   "is_buyer_maker, recv_ms as ingestion_time_ms, recv_ms - trade_time_ms as latency_ms")
+
+
+def _norm(source: str) -> str:
+    event_time = {"BINANCE": "trade_time_ms", "COINBASE": "recv_ms", "KRAKEN": "trade_time_ms"}[source]
+    price = "price" if source == "KRAKEN" else "cast(printf('%.2f', price) as double)"
+    qty = "quantity" if source == "KRAKEN" else "cast(printf('%.2f', quantity) as double)"
+    cols = NORMALIZED_COLS.format(event_time=event_time, symbol=FEED_SYMBOL, price=price, qty=qty)
+    return f"select {cols} from frames where kind = 'trade' and source = '{source}'"
+
+
+def _round_cols(cols: str) -> str:
+    return cols
+
+
+def feed_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    pre = "with " + FRAMES + "\n"
+    q["feed_demux"] = pre + "select source, seq, kind from frames"
+    for i, s in ((1, "BINANCE"), (2, "COINBASE"), (3, "KRAKEN")):
+        q[f"normalize_feed{i}"] = pre + _norm(s)
+    q["union_feeds"] = pre + " union all ".join(_norm(s) for s in ("BINANCE", "COINBASE", "KRAKEN"))
+    q["dead_letters"] = pre + ("select 'not json ' || cast(seq as varchar) as rawPayload, 'ParseError' as error, "
+                               "recv_ms as ingestionTimeMs, source, seq from frames where kind = 'dead'")
+    q["feed_counts"] = pre + ("select source, count(*) as frames, cast(count_if(kind = 'trade') as bigint) as trade_frames, "
+                              "cast(count_if(kind = 'book') as bigint) as book_frames, cast(0 as bigint) as ignored_frames, "
+                              "cast(count_if(kind = 'dead') as bigint) as dead_frames from frames group by source")
+    q["book_feed1"] = pre + ("select source, seq, upper(raw_symbol) as symbol, recv_ms as timestamp_ms, "
+                             "level_side as side, 1 as level, cast(printf('%.2f', level_price) as double) as price, "
+                             "cast(printf('%.2f', level_qty) as double) as quantity "
+                             "from frames where kind = 'book' and source = 'BINANCE'")
+    q["book_feed2_deltas"] = pre + (f"select source, {FEED_SYMBOL} as symbol, seq, cast(0 as bigint) as sub, "
+                                    "level_kind as kind, level_side as side, "
+                                    "cast(printf('%.2f', level_price) as double) as price, "
+                                    "cast(printf('%.2f', level_qty) as double) as quantity, false as keep_zero, "
+                                    "trade_time_ms as timestamp_ms from frames where kind = 'book' and source = 'COINBASE'")
+    q["book_feed3_deltas"] = pre + (f"select source, {FEED_SYMBOL} as symbol, seq, cast(0 as bigint) as sub, "
+                                    "level_kind as kind, level_side as side, level_price as price, "
+                                    "level_qty as quantity, level_kind = 'snapshot' as keep_zero, "
+                                    "trade_time_ms as timestamp_ms from frames where kind = 'book' and source = 'KRAKEN'")
+    q["symbol_filter"] = pre + ("select trade_id, source, raw_symbol from trades "
+                                "where raw_symbol in ('BTCUSDT', 'BTC-USD', 'XBT/USD')")
+    q["raw_frames_scan"] = pre + "select source, seq, recv_ms, kind from frames"
     return q

@@ -1,33 +1,41 @@
 """EMA-N over consecutive bars per (symbol, source) (O-70).
 
-ema_0 = x_0 and ema_n = a*x_n + w*ema_{n-1} with a = 2/(N+1), w = 1-a; gaps
-in time are not filled, the recurrence runs over the bars that exist.
+ema_0 = x_0 and ema_n = a*x_n + w*ema_{n-1}, a = 2/(N+1), w = 1-a; gaps in
+time are not filled: the recurrence runs over the bars that exist.
 
-The recurrence is linear, so it is evaluated as a two-level scan with
-built-in window aggregates only, exactly (no truncated history):
+Each bar is the affine map y -> A*y + B with (A, B) = (w, a*x) and, for the
+key's first bar, (0, x) (it ignores any earlier state).  ema_n is the B of
+the composition of maps 0..n.  The composition is associative, so it is
+evaluated as a parallel prefix scan by doubling: step s composes every
+row's map with the map 2^s rows earlier (``lag`` over the key, ordered by
+time).  After S steps a row holds the composition of its last 2^S bars, whose
+A part is w^(2^S).  S is the first depth at which w^(2^S) underflows to
+exactly 0.0 in IEEE doubles, so nothing earlier can change any result: the
+scan equals the full-history fold (to floating-point rounding), for any
+number of bars, with S = 12 passes for N = 10.
 
-* bars are cut into time blocks of ``block`` bar intervals per key; a
-  block holds at most ``block`` bars whatever the trade volume, so no task
-  ever sees more than that per key and block;
-* inside a block, with j the bar's index in the block,
-  ``P_j = sum_{i<=j} w^-i x_i`` is a running window sum, and the block-local
-  EMA is ``a w^j P_j`` (w^-block stays far inside double range);
-* one summary row per block (bar count m, local EMA at the block end L)
-  is folded over the key's earlier blocks: ``C <- C*w^m + L`` starting from
-  C = x_0; this gives the state C entering each block;
-* ``ema = w^(j+1) C + a w^j P_j``.
-
-The summary table has one row per key and block (bars / block rows); it is
-joined back on (key, block) and adaptive execution picks broadcast or
-shuffle from its measured size.
+All work is built-in column arithmetic and ``lag`` windows (JVM, no Python).
+The window partition is one (symbol, source) key, whose size is bounded by
+the time span (one bar per interval), not by the trade volume.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BLOCK = 512
+# Smallest positive subnormal double is about e^-744.4.
+_UNDERFLOW_LOG = 745.2
+
+
+def doubling_depth(period: int) -> int:
+    """Number of doubling steps after which w^(2^S) == 0.0 in doubles."""
+    w = 1.0 - 2.0 / (period + 1)
+    steps = max(1, math.ceil(math.log2(_UNDERFLOW_LOG / -math.log(w))))
+    assert w ** (2 ** steps) == 0.0
+    return steps
 
 
 def ema(
@@ -36,37 +44,24 @@ def ema(
     value: str = "close",
     keys: tuple[str, ...] = ("symbol", "source"),
     order: str = "window_start_ms",
-    step_ms: int = 60_000,
-    block: int = DEFAULT_BLOCK,
     out: str | None = None,
+    **_ignored,
 ) -> DataFrame:
     out = out or f"ema{period}"
     a = 2.0 / (period + 1)
     w = 1.0 - a
-    keys = list(keys)
-    wl = F.lit(w)
-
-    blk = F.floor(F.col(order) / F.lit(step_ms * block)).cast("bigint")
-    in_block = Window.partitionBy(*keys, "_blk").orderBy(order)
-    running = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = bars.withColumn("_blk", blk).withColumn("_j", F.row_number().over(in_block) - 1)
-    x = x.withColumn("_p", F.sum(F.col(value) * F.pow(wl, -F.col("_j"))).over(running))
-    x = x.withColumn("_local", F.lit(a) * F.pow(wl, F.col("_j")) * F.col("_p"))
-
-    blocks = x.groupBy(*keys, "_blk").agg(
-        F.count(F.lit(1)).alias("_m"),
-        F.max_by("_local", "_j").alias("_L"),
-        F.min_by(value, "_j").alias("_x_first"),
-    )
-    by_block = Window.partitionBy(*keys).orderBy("_blk")
-    blocks = (
-        blocks.withColumn("_x0", F.first("_x_first").over(by_block.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_hist", F.collect_list(F.struct("_m", "_L"))
-                    .over(by_block.rowsBetween(Window.unboundedPreceding, -1)))
-        .withColumn("_carry", F.aggregate("_hist", F.col("_x0"),
-                                          lambda acc, b: acc * F.pow(wl, b["_m"]) + b["_L"]))
-        .select(*keys, "_blk", "_carry")
-    )
-    res = x.join(blocks, on=keys + ["_blk"], how="inner")
-    res = res.withColumn(out, F.pow(wl, F.col("_j") + 1) * F.col("_carry") + F.col("_local"))
-    return res.drop("_blk", "_j", "_p", "_local", "_carry")
+    by_key = Window.partitionBy(*keys).orderBy(order)
+    first = F.lag(F.col(order), 1).over(by_key).isNull()
+    df = bars.withColumn("_A", F.when(first, F.lit(0.0)).otherwise(F.lit(w))) \
+             .withColumn("_B", F.when(first, F.col(value)).otherwise(F.lit(a) * F.col(value)))
+    for s in range(doubling_depth(period)):
+        d = 2 ** s
+        pa = F.lag("_A", d).over(by_key)
+        pb = F.lag("_B", d).over(by_key)
+        # earlier map first, then this row's: y -> A*(pa*y + pb) + B
+        df = df.select(
+            *[c for c in df.columns if c not in ("_A", "_B")],
+            F.when(pa.isNull(), F.col("_A")).otherwise(F.col("_A") * pa).alias("_A"),
+            F.when(pb.isNull(), F.col("_B")).otherwise(F.col("_A") * pb + F.col("_B")).alias("_B"),
+        )
+    return df.withColumnRenamed("_B", out).drop("_A")

@@ -17,8 +17,15 @@ from tickbars.operators.spread import MATCH_SOURCES, spread_bars
 
 def bars_with_ema(trades: DataFrame, interval_ms: int = MINUTE_MS, period: int = 10,
                   arrival: str = "arrival") -> DataFrame:
-    bars = ohlcv_bars(trades, interval_ms=interval_ms, arrival=arrival)
-    return ema(bars, period=period, step_ms=interval_ms, out="ema10")
+    """Bars + EMA.  The trade aggregate shuffles on (symbol, source, minute),
+    spread evenly even when one symbol carries most trades.  Its output, the
+    bars, is then hash-partitioned once by ``symbol``: that one exchange
+    satisfies both the EMA window (symbol, source) and the spread window
+    (symbol, minute), so no further shuffle is planned.  A symbol holds at
+    most one bar per source and interval, so this partition is bounded by
+    the time span, not by the trade volume."""
+    bars = ohlcv_bars(trades, interval_ms=interval_ms, arrival=arrival).repartition("symbol")
+    return ema(bars, period=period, out="ema10")
 
 
 def bar_job(trades: DataFrame, interval_ms: int = MINUTE_MS, period: int = 10,
