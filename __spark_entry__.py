@@ -100,7 +100,7 @@ def _feed_queries():
     q["dead_letters"] = lambda s, d: FD.dead_letters(_frames(s, d))
     q["feed_counts"] = lambda s, d: FD.feed_counts(_frames(s, d))
     q["book_feed1"] = lambda s, d: FD.flatten_book(
-        FD.feed1_books(_frames(s, d)).filter(~F.col("_bad")), ["source", "seq", "symbol", "timestamp_ms"])
+        FD.feed1_books(_frames(s, d)), ["source", "seq", "symbol", "timestamp_ms"])
     q["book_feed2_deltas"] = lambda s, d: FD.book_rows(_frames(s, d)).filter(F.col("source") == "COINBASE")
     q["book_feed3_deltas"] = lambda s, d: FD.book_rows(_frames(s, d)).filter(F.col("source") == "KRAKEN")
     q["symbol_filter"] = lambda s, d: _symbol_filter(_trades(s, d))

@@ -1,26 +1,35 @@
 """Exchange-frame parsing (O-10..O-19, O-21, O-26, O-30, O-42..O-44, O-91).
 
-Input: captured frames ``(source, seq, recv_ms, raw)`` -- one row per
-WebSocket message, from files or a topic.  Frames are parsed once with
-``try_parse_json`` into a VARIANT and read with path lookups, the same
-lenient access the feed handlers use (missing path -> default).  All steps
-are projections, ``explode``s and filters: no shuffle, so they run at scan
-speed on any number of executors.
-
-Choices where the reference is lenient (see README "Quirks"):
-* a frame that is not JSON, or a field that is present but unparsable,
-  sends the raw frame to the dead letters once with error ``ParseError``;
-  the valid trades of the same frame still pass;
-* ``strict=True`` also ignores feed-1 frames without ``e = 'trade'``
+Input: captured frames ``(source, seq, recv_ms, raw)``, one row per WebSocket
+message, from files or a topic.  ``parse_frames`` reads each frame once:
+``try_parse_json`` gives a VARIANT, and one projection turns it into
+
+* ``kind``    trade | book | ignored | dead (the feed's channel dispatch),
+* ``trades``  array of normalised trades found in the frame,
+* ``levels``  array of order-book level changes (feeds 2 and 3),
+* ``book``    the stateless partial-depth snapshot (feed 1),
+* ``bad``     some element is present but unparsable.
+
+Every output (per-feed trades, their union, dead letters, book rows,
+counters) is then an ``explode`` or a filter of that one projection: a
+single scan, no shuffle, no per-feed re-read.  Paths are read the lenient
+way the feed handlers read them (missing -> default).
+
+Choices where the reference is lenient (README "Quirks"):
+* a frame that is not JSON, or has a field present but unparsable, goes to
+  the dead letters once, with error ``ParseError``; valid trades of the
+  same frame still pass;
+* ``strict=True`` ignores feed-1 frames without ``e = 'trade'``
   (acknowledgements), which the reference turns into zero-valued trades;
-* missing price / size default to 0 as in the reference (``strict`` does
-  not change that).
-Event/ingestion time is the capture time ``recv_ms`` rather than the wall
-clock, so a replay gives the same rows.
+* missing price / size default to 0, as in the reference.
+Event/ingestion time is the capture time ``recv_ms``, not the wall clock,
+so a replay gives the same rows.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,170 +42,233 @@ TRADE_COLUMNS = ["source", "seq", "pos", "event_type", "event_time_ms", "symbol"
                  "latency_ms"]
 DELTA_COLUMNS = ["source", "symbol", "seq", "sub", "kind", "side", "price", "quantity",
                  "keep_zero", "timestamp_ms"]
+VARR = "array<variant>"
+SUB_STRIDE = 1 << 20  # pos of a feed-2 trade = event index * stride + trade index
 
 
 def _get(v: Column, path: str, dtype: str) -> Column:
     return F.try_variant_get(v, path, dtype)
 
 
-def _present(v: Column, path: str) -> Column:
-    """Path exists and is not JSON null."""
-    x = F.try_variant_get(v, path, "variant")
-    return x.isNotNull() & ~F.is_variant_null(x)
+def _field(v: Column, path: str, dtype: str, default=None) -> tuple[Column, Column]:
+    """(typed value, 'present but not convertible').  Missing or JSON null
+    gives ``default``."""
+    raw = _get(v, path, "variant")
+    val = F.try_variant_get(raw, "$", dtype)
+    bad = raw.isNotNull() & ~F.is_variant_null(raw) & val.isNull()
+    if default is not None:
+        val = F.coalesce(val, F.lit(default).cast(dtype))
+    return val, F.coalesce(bad, F.lit(False))
+
 
+def _text(v: Column, path: str) -> Column:
+    return F.coalesce(_get(v, path, "string"), F.lit(""))
 
-def _num(v: Column, path: str, dtype: str, default) -> tuple[Column, Column]:
-    """(value with default when missing, flag 'present but not a number')."""
-    val = _get(v, path, dtype)
-    bad = _present(v, path) & val.isNull()
-    return F.coalesce(val, F.lit(default).cast(dtype)), bad
 
+def _iso_time(text: Column, fallback: Column) -> tuple[Column, Column]:
+    parsed = iso_to_ms(text)
+    return F.when(text == "", fallback).otherwise(parsed), (text != "") & parsed.isNull()
 
-def parse(frames: DataFrame) -> DataFrame:
-    return frames.withColumn("_v", F.try_parse_json(F.col("raw")))
+
+def _trade(pos, event_time, symbol, trade_id, price, qty, trade_time, maker, bad) -> Column:
+    return F.struct(pos.cast("bigint").alias("pos"), event_time.cast("bigint").alias("event_time_ms"),
+                    symbol.alias("symbol"), trade_id.alias("trade_id"), price.alias("price"),
+                    qty.alias("quantity"), trade_time.cast("bigint").alias("trade_time_ms"),
+                    maker.alias("is_buyer_maker"), bad.alias("bad"))
 
 
-def frame_kind(strict: bool = True) -> Column:
-    """trade | book | ignored | dead, from source and the parsed frame ``_v``."""
-    v, src = F.col("_v"), F.col("source")
-    stream = F.coalesce(_get(v, "$.stream", "string"), F.lit(""))
-    channel = F.coalesce(_get(v, "$.channel", "string"), F.lit(""))
-    data = F.coalesce(_get(v, "$.data", "variant"), v)
-    b_trade = (_get(data, "$.e", "string") == "trade") if strict else F.lit(True)
-    return (F.when(v.isNull(), "dead")
-            .when(src == "BINANCE", F.when(stream.contains("@depth"), "book")
-                  .when(F.coalesce(b_trade, F.lit(False)), "trade").otherwise("ignored"))
-            .when(src == "COINBASE", F.when(channel == "market_trades", "trade")
-                  .when(channel == "l2_data", "book").otherwise("ignored"))
-            .when(src == "KRAKEN", F.when(channel == "trade", "trade")
-                  .when(channel == "book", "book").otherwise("ignored"))
+def _feed1_trades(d: Column) -> Column:
+    e_time, b1 = _field(d, "$.E", "bigint", 0)
+    tid, b2 = _field(d, "$.t", "bigint", 0)
+    price, b3 = _field(d, "$.p", "double", 0.0)
+    qty, b4 = _field(d, "$.q", "double", 0.0)
+    t_time, b5 = _field(d, "$.T", "bigint", 0)
+    maker, b6 = _field(d, "$.m", "boolean", False)
+    return F.array(_trade(F.lit(0), e_time, _get(d, "$.s", "string"), tid, price, qty, t_time, maker,
+                          b1 | b2 | b3 | b4 | b5 | b6))
+
+
+def _feed2_trades(v: Column, recv: Column) -> Column:
+    def one(t: Column, i: Column, j: Column) -> Column:
+        price, b1 = _field(t, "$.price", "double", 0.0)
+        size, b2 = _field(t, "$.size", "double", 0.0)
+        t_time, b3 = _iso_time(_text(t, "$.time"), recv)
+        tid = F.coalesce(_get(t, "$.trade_id", "bigint"), F.lit(0).cast("bigint"))
+        return _trade(i * SUB_STRIDE + j, recv, coinbase_symbol(_text(t, "$.product_id")), tid,
+                      price, size, t_time, _text(t, "$.side") == "SELL", b1 | b2 | b3)
+
+    events = F.coalesce(_get(v, "$.events", VARR), F.array().cast(VARR))
+    return F.flatten(F.transform(events, lambda e, i: F.transform(
+        F.coalesce(_get(e, "$.trades", VARR), F.array().cast(VARR)), lambda t, j: one(t, i, j))))
+
+
+def _feed3_trades(v: Column, recv: Column) -> Column:
+    def one(t: Column, i: Column) -> Column:
+        t_time, bad = _iso_time(_text(t, "$.timestamp"), recv)
+        return _trade(i, t_time, kraken_symbol(_text(t, "$.symbol")),
+                      F.coalesce(_get(t, "$.trade_id", "bigint"), F.lit(0).cast("bigint")),
+                      F.coalesce(_get(t, "$.price", "double"), F.lit(0.0)),
+                      F.coalesce(_get(t, "$.qty", "double"), F.lit(0.0)),
+                      t_time, _text(t, "$.side") == "sell", bad)
+
+    data = F.coalesce(_get(v, "$.data", VARR), F.array().cast(VARR))
+    return F.transform(data, one)
+
+
+def _level(sub, kind, symbol, side, price, qty, keep_zero, ts, bad) -> Column:
+    return F.struct(sub.cast("bigint").alias("sub"), kind.alias("kind"), symbol.alias("symbol"),
+                    side.alias("side"), price.alias("price"), qty.alias("quantity"),
+                    keep_zero.alias("keep_zero"), ts.cast("bigint").alias("timestamp_ms"),
+                    bad.alias("bad"))
+
+
+def _feed2_levels(v: Column, recv: Column) -> Column:
+    """events[] of l2_data: one message per event; 'bid' -> bid, any other side -> ask."""
+    def event(e: Column, i: Column) -> Column:
+        kind = F.when(_text(e, "$.type") == "snapshot", "snapshot").otherwise("update")
+        sym = coinbase_symbol(_text(e, "$.product_id"))
+        ts, bad_t = _iso_time(_text(e, "$.time"), recv)
+        ups = F.coalesce(_get(e, "$.updates", VARR), F.array().cast(VARR))
+
+        def upd(u: Column) -> Column:
+            price, b1 = _field(u, "$.price_level", "double", 0.0)
+            qty, b2 = _field(u, "$.new_quantity", "double", 0.0)
+            side = F.when(_text(u, "$.side") == "bid", "bid").otherwise("ask")
+            return _level(i, kind, sym, side, price, qty, F.lit(False), ts, bad_t | b1 | b2)
+
+        empty = F.array(_level(i, kind, sym, F.lit(None).cast("string"), F.lit(None).cast("double"),
+                               F.lit(None).cast("double"), F.lit(False), ts, bad_t))
+        return F.when(F.size(ups) == 0, empty).otherwise(F.transform(ups, upd))
+
+    events = F.coalesce(_get(v, "$.events", VARR), F.array().cast(VARR))
+    return F.flatten(F.transform(events, event))
+
+
+def _feed3_levels(v: Column, recv: Column) -> Column:
+    """Frame-level type; data[].bids/asks of {price, qty}; snapshots keep zeros."""
+    kind = F.when(_text(v, "$.type") == "snapshot", "snapshot").otherwise("update")
+    keep = kind == "snapshot"
+
+    def item(d: Column, i: Column) -> Column:
+        sym = kraken_symbol(_text(d, "$.symbol"))
+        ts, bad_t = _iso_time(_text(d, "$.timestamp"), recv)
+
+        def side(name: str, label: str) -> Column:
+            arr = F.coalesce(_get(d, f"$.{name}", VARR), F.array().cast(VARR))
+            return F.transform(arr, lambda x: _level(
+                i, kind, sym, F.lit(label), F.coalesce(_get(x, "$.price", "double"), F.lit(0.0)),
+                F.coalesce(_get(x, "$.qty", "double"), F.lit(0.0)), keep, ts, bad_t))
+
+        both = F.concat(side("bids", "bid"), side("asks", "ask"))
+        empty = F.array(_level(i, kind, sym, F.lit(None).cast("string"), F.lit(None).cast("double"),
+                               F.lit(None).cast("double"), keep, ts, bad_t))
+        return F.when(F.size(both) == 0, empty).otherwise(both)
+
+    data = F.coalesce(_get(v, "$.data", VARR), F.array().cast(VARR))
+    return F.flatten(F.transform(data, item))
+
+
+def _feed1_book(d: Column) -> Column:
+    """Partial depth: ["price","qty"] pairs as sent; non-array side -> empty."""
+    def levels(name: str) -> Column:
+        arr = F.coalesce(_get(d, f"$.{name}", VARR), F.array().cast(VARR))
+        return F.transform(arr, lambda x: F.struct(
+            F.try_variant_get(x, "$[0]", "double").alias("price"),
+            F.try_variant_get(x, "$[1]", "double").alias("quantity")))
+    return F.struct(levels("bids").alias("bids"), levels("asks").alias("asks"))
+
+
+def parse_frames(frames: DataFrame, strict: bool = True) -> DataFrame:
+    """One projection per frame; see the module doc.  Staged selects keep
+    each generated expression small (shared sub-results are columns)."""
+    p = frames.select("source", "seq", "recv_ms", "raw", F.try_parse_json("raw").alias("_v"))
+    v = F.col("_v")
+    p = p.select("*",
+                 _text(v, "$.stream").alias("_stream"), _text(v, "$.channel").alias("_channel"),
+                 F.coalesce(_get(v, "$.data", "variant"), v).alias("_d"))
+    src, d, recv = F.col("source"), F.col("_d"), F.col("recv_ms")
+    b_trade = F.coalesce(_get(d, "$.e", "string") == "trade", F.lit(False)) if strict else F.lit(True)
+    kind = (F.when(v.isNull(), "dead")
+            .when(src == "BINANCE", F.when(F.col("_stream").contains("@depth"), "book")
+                  .when(b_trade, "trade").otherwise("ignored"))
+            .when(src == "COINBASE", F.when(F.col("_channel") == "market_trades", "trade")
+                  .when(F.col("_channel") == "l2_data", "book").otherwise("ignored"))
+            .when(src == "KRAKEN", F.when(F.col("_channel") == "trade", "trade")
+                  .when(F.col("_channel") == "book", "book").otherwise("ignored"))
             .otherwise("ignored"))
+    p = p.withColumn("kind", kind)
+    trades = (F.when(F.col("kind") != "trade", F.lit(None))
+              .when(src == "BINANCE", _feed1_trades(d))
+              .when(src == "COINBASE", _feed2_trades(v, recv))
+              .otherwise(_feed3_trades(v, recv)))
+    levels = (F.when(F.col("kind") != "book", F.lit(None))
+              .when(src == "COINBASE", _feed2_levels(v, recv))
+              .when(src == "KRAKEN", _feed3_levels(v, recv)))
+    book = F.when((F.col("kind") == "book") & (src == "BINANCE"), _feed1_book(d))
+    p = p.select("source", "seq", "recv_ms", "raw", "kind", "_stream",
+                 trades.alias("trades"), levels.alias("levels"), book.alias("book"))
+    book_bad = F.exists(F.concat(F.col("book.bids"), F.col("book.asks")),
+                        lambda x: x["price"].isNull() | x["quantity"].isNull())
+    bad = (F.coalesce(F.exists("trades", lambda t: t["bad"]), F.lit(False))
+           | F.coalesce(F.exists("levels", lambda x: x["bad"]), F.lit(False))
+           | F.coalesce(book_bad, F.lit(False)))
+    p = p.withColumn("bad", bad)
+    # Feed counters as observed metrics (O-91).  The CollectMetrics node is
+    # also where the optimizer stops pushing later filters down: without it,
+    # filters on kind/bad and the size() filter inferred from explode would
+    # be inlined below this projection and parse every frame twice.
+    return p.observe(f"feed_parse_{uuid.uuid4().hex[:8]}",
+                     F.count(F.lit(1)).alias("frames"),
+                     F.count_if(F.col("kind") == "dead").alias("not_json"),
+                     F.count_if(F.col("bad")).alias("bad_elements"),
+                     F.count_if(F.col("kind") == "ignored").alias("ignored"))
 
 
 def demux(frames: DataFrame, strict: bool = True) -> DataFrame:
     """Frame -> kind (O-10, O-11, O-12)."""
-    return parse(frames).select("source", "seq", frame_kind(strict).alias("kind"))
-
-
-def _with_times(df: DataFrame, recv: Column) -> DataFrame:
-    return df.withColumn("ingestion_time_ms", recv) \
-             .withColumn("latency_ms", recv - F.col("trade_time_ms"))
-
-
-def _feed1_trades(p: DataFrame, strict: bool) -> DataFrame:
-    d = F.coalesce(_get(F.col("_v"), "$.data", "variant"), F.col("_v"))
-    fields = {"E": ("bigint", 0), "t": ("bigint", 0), "p": ("double", 0.0), "q": ("double", 0.0),
-              "T": ("bigint", 0), "m": ("boolean", False)}
-    vals, bads = {}, []
-    for k, (dt, dflt) in fields.items():
-        vals[k], bad = _num(d, f"$.{k}", dt, dflt)
-        bads.append(bad)
-    bad_any = bads[0]
-    for b in bads[1:]:
-        bad_any = bad_any | b
-    out = p.filter(frame_kind(strict) == "trade").select(
-        "source", "seq", "recv_ms", "raw", F.lit(0).alias("pos"),
-        _get(d, "$.e", "string").alias("event_type"), vals["E"].alias("event_time_ms"),
-        _get(d, "$.s", "string").alias("symbol"), vals["t"].alias("trade_id"),
-        vals["p"].alias("price"), vals["q"].alias("quantity"), vals["T"].alias("trade_time_ms"),
-        vals["m"].alias("is_buyer_maker"), bad_any.alias("_bad"))
-    return out
-
-
-def _feed2_trades(p: DataFrame) -> DataFrame:
-    ev = p.filter(frame_kind() == "trade").filter(F.col("source") == "COINBASE").select(
-        "source", "seq", "recv_ms", "raw",
-        F.posexplode(_get(F.col("_v"), "$.events", "array<variant>")).alias("epos", "e"))
-    tr = ev.select("source", "seq", "recv_ms", "raw", "epos",
-                   F.posexplode(_get(F.col("e"), "$.trades", "array<variant>")).alias("tpos", "t"))
-    t = F.col("t")
-    price, bad_p = _num(t, "$.price", "double", 0.0)
-    size, bad_q = _num(t, "$.size", "double", 0.0)
-    time_txt = F.coalesce(_get(t, "$.time", "string"), F.lit(""))
-    parsed = iso_to_ms(time_txt)
-    bad_t = (time_txt != "") & parsed.isNull()
-    trade_time = F.when(time_txt == "", F.col("recv_ms")).otherwise(parsed)
-    return tr.select(
-        "source", "seq", "recv_ms", "raw",
-        (F.col("epos") * F.lit(1 << 20) + F.col("tpos")).alias("pos"),
-        F.lit("trade").alias("event_type"), F.col("recv_ms").alias("event_time_ms"),
-        coinbase_symbol(F.coalesce(_get(t, "$.product_id", "string"), F.lit(""))).alias("symbol"),
-        F.coalesce(_get(t, "$.trade_id", "bigint"), F.lit(0).cast("bigint")).alias("trade_id"),
-        price.alias("price"), size.alias("quantity"), trade_time.alias("trade_time_ms"),
-        (F.coalesce(_get(t, "$.side", "string"), F.lit("")) == "SELL").alias("is_buyer_maker"),
-        (bad_p | bad_q | bad_t).alias("_bad"))
-
-
-def _feed3_trades(p: DataFrame) -> DataFrame:
-    tr = p.filter(frame_kind() == "trade").filter(F.col("source") == "KRAKEN").select(
-        "source", "seq", "recv_ms", "raw",
-        F.posexplode(_get(F.col("_v"), "$.data", "array<variant>")).alias("pos", "t"))
-    t = F.col("t")
-    time_txt = F.coalesce(_get(t, "$.timestamp", "string"), F.lit(""))
-    parsed = iso_to_ms(time_txt)
-    bad_t = (time_txt != "") & parsed.isNull()
-    trade_time = F.when(time_txt == "", F.col("recv_ms")).otherwise(parsed)
-    return tr.select(
-        "source", "seq", "recv_ms", "raw", F.col("pos").cast("bigint").alias("pos"),
-        F.lit("trade").alias("event_type"), trade_time.alias("event_time_ms"),
-        kraken_symbol(F.coalesce(_get(t, "$.symbol", "string"), F.lit(""))).alias("symbol"),
-        F.coalesce(_get(t, "$.trade_id", "bigint"), F.lit(0).cast("bigint")).alias("trade_id"),
-        F.coalesce(_get(t, "$.price", "double"), F.lit(0.0)).alias("price"),
-        F.coalesce(_get(t, "$.qty", "double"), F.lit(0.0)).alias("quantity"),
-        trade_time.alias("trade_time_ms"),
-        (F.coalesce(_get(t, "$.side", "string"), F.lit("")) == "sell").alias("is_buyer_maker"),
-        bad_t.alias("_bad"))
-
-
-def _trade_rows(frames: DataFrame, source: str, strict: bool) -> DataFrame:
-    p = parse(frames.filter(F.col("source") == source))
-    if source == "BINANCE":
-        rows = _feed1_trades(p, strict)
-    elif source == "COINBASE":
-        rows = _feed2_trades(p)
-    else:
-        rows = _feed3_trades(p)
-    return _with_times(rows.withColumn("pos", F.col("pos").cast("bigint")), F.col("recv_ms"))
+    return parse_frames(frames, strict).select("source", "seq", "kind")
+
+
+def trades_of(parsed: DataFrame) -> DataFrame:
+    """Explode parsed frames into normalised trades (valid elements only)."""
+    # explode_outer: a plain explode makes the optimizer add size(trades) > 0
+    # below the projection, which would evaluate the whole parse twice
+    t = parsed.select("source", "seq", "recv_ms", F.explode_outer("trades").alias("t"))
+    t = t.filter(F.col("t").isNotNull() & ~F.col("t.bad"))
+    return t.select(
+        "source", "seq", F.col("t.pos").alias("pos"), F.lit("trade").alias("event_type"),
+        F.col("t.event_time_ms").alias("event_time_ms"), F.col("t.symbol").alias("symbol"),
+        F.col("t.trade_id").alias("trade_id"), F.col("t.price").alias("price"),
+        F.col("t.quantity").alias("quantity"), F.col("t.trade_time_ms").alias("trade_time_ms"),
+        F.col("t.is_buyer_maker").alias("is_buyer_maker"),
+        F.col("recv_ms").alias("ingestion_time_ms"),
+        (F.col("recv_ms") - F.col("t.trade_time_ms")).alias("latency_ms"))
 
 
 def normalize(frames: DataFrame, source: str, strict: bool = True) -> DataFrame:
     """Valid normalised trades of one feed (O-14, O-15, O-16)."""
-    rows = _trade_rows(frames, source, strict)
-    return rows.filter(~F.col("_bad")).select(*TRADE_COLUMNS)
+    return trades_of(parse_frames(frames.filter(F.col("source") == source), strict))
 
 
 def union_feeds(frames: DataFrame, strict: bool = True) -> DataFrame:
-    """All three feeds as one trade stream (O-30); arrival = (seq, pos)."""
-    out = None
-    for s in ("BINANCE", "COINBASE", "KRAKEN"):
-        n = normalize(frames, s, strict)
-        out = n if out is None else out.unionByName(n)
-    return out
+    """All feeds as one trade stream (O-30) -- one scan, arrival = (seq, pos)."""
+    return trades_of(parse_frames(frames, strict))
 
 
-def _book_bad_frames(frames: DataFrame) -> DataFrame:
-    d = book_rows(frames, with_bad=True).filter(F.col("_bad")).select("source", "seq", "recv_ms", "raw")
-    b = feed1_books(frames).filter(F.col("_bad")).select("source", "seq", "recv_ms", "raw")
-    return d.unionByName(b)
+def dead_letters_of(parsed: DataFrame) -> DataFrame:
+    bad = parsed.filter((F.col("kind") == "dead") | F.col("bad"))
+    return bad.select(F.col("raw").alias("rawPayload"), F.lit(PARSE_ERROR).alias("error"),
+                      F.col("recv_ms").alias("ingestionTimeMs"), "source", "seq")
 
 
 def dead_letters(frames: DataFrame, strict: bool = True) -> DataFrame:
     """Raw frames that failed to parse, once per frame (O-26, O-59c)."""
-    p = parse(frames)
-    not_json = p.filter(F.col("_v").isNull()).select("source", "seq", "recv_ms", "raw")
-    bad = None
-    for s in ("BINANCE", "COINBASE", "KRAKEN"):
-        b = _trade_rows(frames, s, strict).filter(F.col("_bad")).select("source", "seq", "recv_ms", "raw")
-        bad = b if bad is None else bad.unionByName(b)
-    bad = bad.unionByName(_book_bad_frames(frames)).dropDuplicates(["source", "seq"])
-    return not_json.unionByName(bad).select(
-        F.col("raw").alias("rawPayload"), F.lit(PARSE_ERROR).alias("error"),
-        F.col("recv_ms").alias("ingestionTimeMs"), "source", "seq")
+    return dead_letters_of(parse_frames(frames, strict))
 
 
 def feed_counts(frames: DataFrame, strict: bool = True) -> DataFrame:
-    """Per-source counters: frames, trades produced, books, dead letters (O-91)."""
-    k = parse(frames).select("source", frame_kind(strict).alias("kind"))
+    """Per-source counters (O-91): frames by kind, one partial aggregate."""
+    k = parse_frames(frames, strict).select("source", "kind")
     return k.groupBy("source").agg(
         F.count(F.lit(1)).alias("frames"),
         F.count_if(F.col("kind") == "trade").alias("trade_frames"),
@@ -206,94 +278,41 @@ def feed_counts(frames: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-# ---------------------------------------------------------------- order books
+def levels_of(parsed: DataFrame) -> DataFrame:
+    rows = parsed.select("source", "seq", F.explode_outer("levels").alias("l"))
+    rows = rows.filter(F.col("l").isNotNull() & ~F.col("l.bad"))
+    return rows.select("source", F.col("l.symbol").alias("symbol"), "seq", F.col("l.sub").alias("sub"),
+                       F.col("l.kind").alias("kind"), F.col("l.side").alias("side"),
+                       F.col("l.price").alias("price"), F.col("l.quantity").alias("quantity"),
+                       F.col("l.keep_zero").alias("keep_zero"), F.col("l.timestamp_ms").alias("timestamp_ms"))
 
-def book_rows(frames: DataFrame, with_bad: bool = False) -> DataFrame:
+
+def book_rows(frames: DataFrame, strict: bool = True) -> DataFrame:
     """Book frames of feeds 2 and 3 -> level-change rows (O-43, O-44).
 
-    One message per (seq, sub): sub = event index (feed 2) or data index
-    (feed 3).  A message with no levels still yields one row with a null side
-    so that a snapshot without levels clears the book.  ``keep_zero``: a
-    zero quantity is stored instead of deleting (feed-3 snapshots).
-    """
-    p = parse(frames).filter(frame_kind() == "book")
-    # feed 2: events[].updates[]
-    cb = p.filter(F.col("source") == "COINBASE").select(
-        "source", "seq", "recv_ms", "raw",
-        F.posexplode(_get(F.col("_v"), "$.events", "array<variant>")).alias("sub", "e"))
-    e = F.col("e")
-    time_txt = F.coalesce(_get(e, "$.time", "string"), F.lit(""))
-    cb = cb.select(
-        "source", "seq", "recv_ms", "raw", F.col("sub").cast("bigint").alias("sub"),
-        F.when(_get(e, "$.type", "string") == "snapshot", "snapshot").otherwise("update").alias("kind"),
-        coinbase_symbol(F.coalesce(_get(e, "$.product_id", "string"), F.lit(""))).alias("symbol"),
-        F.when(time_txt == "", F.col("recv_ms")).otherwise(iso_to_ms(time_txt)).alias("timestamp_ms"),
-        ((time_txt != "") & iso_to_ms(time_txt).isNull()).alias("_bad_t"),
-        F.explode_outer(_get(e, "$.updates", "array<variant>")).alias("u"))
-    u = F.col("u")
-    price, bad_p = _num(u, "$.price_level", "double", 0.0)
-    qty, bad_q = _num(u, "$.new_quantity", "double", 0.0)
-    cb = cb.select(
-        "source", "symbol", "seq", "sub", "kind",
-        F.when(u.isNull(), F.lit(None)).when(_get(u, "$.side", "string") == "bid", "bid")
-        .otherwise("ask").alias("side"),
-        F.when(u.isNotNull(), price).alias("price"), F.when(u.isNotNull(), qty).alias("quantity"),
-        F.lit(False).alias("keep_zero"), "timestamp_ms", "recv_ms", "raw",
-        (F.col("_bad_t") | F.coalesce(bad_p | bad_q, F.lit(False))).alias("_bad"))
-    # feed 3: frame-level type, data[].bids/asks of {price, qty}
-    kr = p.filter(F.col("source") == "KRAKEN").select(
-        "source", "seq", "recv_ms", "raw",
-        F.when(_get(F.col("_v"), "$.type", "string") == "snapshot", "snapshot").otherwise("update")
-        .alias("kind"),
-        F.posexplode(_get(F.col("_v"), "$.data", "array<variant>")).alias("sub", "d"))
-    d = F.col("d")
-    time_txt = F.coalesce(_get(d, "$.timestamp", "string"), F.lit(""))
-    lv = "array<struct<price:double,qty:double>>"
-    levels = F.concat(
-        F.transform(F.coalesce(_get(d, "$.bids", lv), F.array().cast(lv)),
-                    lambda x: F.struct(F.lit("bid").alias("side"), x["price"].alias("price"), x["qty"].alias("qty"))),
-        F.transform(F.coalesce(_get(d, "$.asks", lv), F.array().cast(lv)),
-                    lambda x: F.struct(F.lit("ask").alias("side"), x["price"].alias("price"), x["qty"].alias("qty"))))
-    kr = kr.select(
-        "source", "seq", "recv_ms", "raw", F.col("sub").cast("bigint").alias("sub"), "kind",
-        kraken_symbol(F.coalesce(_get(d, "$.symbol", "string"), F.lit(""))).alias("symbol"),
-        F.when(time_txt == "", F.col("recv_ms")).otherwise(iso_to_ms(time_txt)).alias("timestamp_ms"),
-        ((time_txt != "") & iso_to_ms(time_txt).isNull()).alias("_bad"),
-        F.explode_outer(levels).alias("l"))
-    kr = kr.select(
-        "source", "symbol", "seq", "sub", "kind", F.col("l.side").alias("side"),
-        F.coalesce(F.col("l.price"), F.when(F.col("l").isNotNull(), F.lit(0.0))).alias("price"),
-        F.coalesce(F.col("l.qty"), F.when(F.col("l").isNotNull(), F.lit(0.0))).alias("quantity"),
-        (F.col("kind") == "snapshot").alias("keep_zero"), "timestamp_ms", "recv_ms", "raw", "_bad")
-    out = cb.unionByName(kr)
-    if with_bad:
-        return out
-    return out.filter(~F.col("_bad")).select(*DELTA_COLUMNS)
-
-
-def feed1_books(frames: DataFrame) -> DataFrame:
-    """Feed-1 partial-depth frames -> stateless snapshots (O-42): levels in
-    the order and number sent; a non-array side is empty; time = receive time."""
-    p = parse(frames.filter(F.col("source") == "BINANCE")).filter(frame_kind() == "book")
-    d = F.coalesce(_get(F.col("_v"), "$.data", "variant"), F.col("_v"))
-    pairs = "array<array<string>>"
-
-    def levels(side: str) -> Column:
-        arr = F.coalesce(_get(d, f"$.{side}", pairs), F.array().cast(pairs))
-        return F.transform(arr, lambda x: F.struct(x[0].try_cast("double").alias("price"),
-                                                   x[1].try_cast("double").alias("quantity")))
-
-    books = p.select(
-        "source", "seq", "raw", "recv_ms",
-        stream_symbol(F.coalesce(_get(F.col("_v"), "$.stream", "string"), F.lit(""))).alias("symbol"),
-        F.col("recv_ms").alias("timestamp_ms"), levels("bids").alias("bids"), levels("asks").alias("asks"))
-    bad = F.exists(F.concat("bids", "asks"), lambda x: x["price"].isNull() | x["quantity"].isNull())
-    return books.withColumn("_bad", bad)
+    One message per (seq, sub); a message without levels still gives one
+    row with a null side, so an empty snapshot clears the book.
+    ``keep_zero``: store a zero quantity instead of deleting (feed-3
+    snapshots)."""
+    return levels_of(parse_frames(frames, strict))
+
+
+def feed1_books(frames: DataFrame, strict: bool = True) -> DataFrame:
+    """Feed-1 partial-depth frames -> stateless snapshots (O-42); symbol from
+    the stream name, time = receive time."""
+    p = parse_frames(frames.filter(F.col("source") == "BINANCE"), strict)
+    p = p.filter((F.col("kind") == "book") & ~F.col("bad"))
+    return p.select("source", "seq", stream_symbol("_stream").alias("symbol"),
+                    F.col("recv_ms").alias("timestamp_ms"),
+                    F.col("book.bids").alias("bids"), F.col("book.asks").alias("asks"))
 
 
 def flatten_book(books: DataFrame, keys: list[str]) -> DataFrame:
-    """Snapshot arrays -> one row per (side, level) for checks and tables."""
-    bids = books.select(*keys, F.lit("bid").alias("side"), F.posexplode("bids").alias("level", "l"))
-    asks = books.select(*keys, F.lit("ask").alias("side"), F.posexplode("asks").alias("level", "l"))
-    return bids.unionByName(asks).select(*keys, "side", (F.col("level") + 1).alias("level"),
-                                         F.col("l.price").alias("price"), F.col("l.quantity").alias("quantity"))
+    """Snapshot arrays -> one row per (side, level) for checks and tables;
+    one generator over both sides (no union, one pass)."""
+    def side(name: str, label: str) -> Column:
+        return F.transform(name, lambda x, i: F.struct(F.lit(label).alias("side"), (i + 1).alias("level"),
+                                                       x["price"].alias("price"),
+                                                       x["quantity"].alias("quantity")))
+    rows = books.select(*keys, F.explode_outer(F.concat(side("bids", "bid"), side("asks", "ask"))).alias("l"))
+    return rows.filter(F.col("l").isNotNull()).select(*keys, "l.side", "l.level", "l.price", "l.quantity")
