@@ -26,7 +26,12 @@ from tickbars.operators.bars import ohlcv_bars, rollup_bars  # noqa: E402
 from tickbars.operators.ema import ema  # noqa: E402
 from tickbars.operators.spread import match_sources, spread_bars  # noqa: E402
 from tickbars.plans import panels as P  # noqa: E402
+from tickbars.functions.symbols import composite_key, split_composite_key  # noqa: E402
+from tickbars.functions.timefns import iso_to_ms, ms_to_ts  # noqa: E402
 from tickbars.operators import feeds as FD  # noqa: E402
+from tickbars.operators import tables as TB  # noqa: E402
+from tickbars.operators import trades as TR  # noqa: E402
+from tickbars.sources import wire as W  # noqa: E402
 from tickbars.plans.jobs import bar_job, bars_with_ema  # noqa: E402
 from tickbars.sources import fixtures as FX  # noqa: E402
 
@@ -80,9 +85,87 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["latest_bars"] = lambda s, d: P.latest_bars(_job(s, d))
     q["bar_rollup"] = lambda s, d: rollup_bars(_bars(s, d), 5 * 60_000)
     q.update(_feed_queries())
+    q.update(_trade_queries())
     return q
 
 
+HOUR_MS = 3_600_000
+
+
+def _wire(spark, d):
+    S.configure(spark)
+    return FX.wire_records(spark, d)
+
+
+def _decoded(spark, d):
+    return W.decode_trades(_wire(spark, d))
+
+
+def _trade_queries():
+    q = {}
+    q["decode_wire_json"] = lambda s, d: _decoded(s, d)
+    q["encode_wire_json"] = lambda s, d: W.encode_trades(_decoded(s, d))
+    q["enrich_side"] = lambda s, d: TR.enrich_side(_decoded(s, d))
+    q["trade_latency"] = lambda s, d: TR.with_latency(
+        W.decode_trades(_wire(s, d), keep=("timestamp",)), F.unix_millis("timestamp")).select(
+        "trade_id", "ingestion_time_ms", "latency_ms")
+    q["epoch_ms_roundtrip"] = lambda s, d: _trades(s, d).select(
+        "trade_id", "trade_time_ms",
+        F.unix_millis(ms_to_ts("trade_time_ms")).alias("ts_ms"),
+        F.date_format(ms_to_ts("trade_time_ms"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("iso"),
+        iso_to_ms(F.date_format(ms_to_ts("trade_time_ms"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")).alias("iso_ms"))
+    q["composite_key_split"] = lambda s, d: _composite(_trades(s, d))
+    q["insert_ignore_trades"] = _insert_ignore
+    q["late_trades"] = lambda s, d: TR.late_flags(FX.late_trades_input(S.configure(s), d)).select(
+        "trade_id", "source", "trade_time_ms", "is_late")
+    q["retain_trades"] = lambda s, d: TR.retain(TR.enrich_side(_trades(s, d)), keep_ms=6 * HOUR_MS)
+    q["latest_trades_by_symbol"] = lambda s, d: TR.latest_trades(TR.enrich_side(_trades(s, d)), "BTCUSD", 20)
+    q["upsert_bars_merge"] = _upsert
+    q["constraint_violations"] = lambda s, d: TB.constraint_report(
+        TR.enrich_side(FD.union_feeds(_frames(s, d))), TB.TRADE_NOT_NULL)
+    q["bars_scan_filtered"] = _bars_scan
+    return q
+
+
+def _composite(trades):
+    k = composite_key(F.col("symbol"), F.col("source"))
+    sym, src = split_composite_key(k)
+    return trades.select("trade_id", k.alias("key"), sym.alias("key_symbol"), src.alias("key_source"))
+
+
+def _insert_ignore(spark, d):
+    """Table holds the first 6 hours; the batch is every trade plus a later
+    second copy of every 10th one (F3).  Result: each trade once, first copy."""
+    t = _trades(spark, d)
+    table = TR.enrich_side(t.filter(F.col("trade_time_ms") < F.lit(FX.START_MS + 6 * HOUR_MS)))
+    dup = FX.duplicate_trades(spark, d)
+    batch = dup.select("trade_time_ms", "symbol", "source", "trade_id", "price", "quantity",
+                       TR.side_label(F.col("is_buyer_maker")).alias("side"), "ingestion_time_ms",
+                       "latency_ms", "arrival")
+    return TR.insert_ignore(table, batch)
+
+
+def _upsert(spark, d):
+    """Target: bars of the first 8 hours with spread 0; updates: the bar
+    job's spread rows with close + 1 (F6)."""
+    bars = bars_with_ema(_trades(spark, d))
+    target = bars.filter(F.col("window_start_ms") < F.lit(FX.START_MS + 8 * HOUR_MS)).select(
+        *[F.lit(0.0).alias(c) if c in ("spread_usd", "spread_bps") else F.col(c)
+          for c in TB.BAR_TABLE_COLUMNS if c not in ("spread_usd", "spread_bps")],
+        F.lit(0.0).alias("spread_usd"), F.lit(0.0).alias("spread_bps"))
+    updates = bar_job(_trades(spark, d)).withColumn("close", F.col("close") + 1).select(*TB.BAR_TABLE_COLUMNS)
+    return TB.merge_upsert(target.select(*TB.BAR_TABLE_COLUMNS), updates)
+
+
+def _bars_scan(spark, d):
+    """Write the bar table day-partitioned under the shared folder, then
+    read it back with the dashboard's pushed-down filters."""
+    path = S.fresh_path(spark, "ohlcv")
+    TB.write_partitioned(bar_job(_trades(spark, d)).select(*TB.BAR_TABLE_COLUMNS), path, "window_start_ms")
+    return TB.scan_filtered(spark, path, "window_start_ms", symbol="BTCUSD", source="BINANCE",
+                            t_from=FX.START_MS + HOUR_MS, t_to=FX.START_MS + 5 * HOUR_MS)
+
+
 def _frames(spark, d):
     S.configure(spark)
     return FX.raw_frames(spark, d)
@@ -90,8 +173,7 @@ def _frames(spark, d):
 
 def _feed_queries():
     q = {}
-    q["raw_frames_scan"] = lambda s, d: FD.demux(_frames(s, d)).join(
-        _frames(s, d).select("source", "seq", "recv_ms"), ["source", "seq"]).select(
+    q["raw_frames_scan"] = lambda s, d: FD.parse_frames(_frames(s, d)).select(
         "source", "seq", "recv_ms", "kind")
     q["feed_demux"] = lambda s, d: FD.demux(_frames(s, d))
     for i, src in ((1, "BINANCE"), (2, "COINBASE"), (3, "KRAKEN")):

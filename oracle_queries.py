@@ -135,6 +135,8 @@ select symbol, source, window_start_ms // 300000 * 300000 as window_start_ms,
        cast(sum(trade_count) as integer) as trade_count
 from bars group by symbol, source, window_start_ms // 300000 * 300000"""
     q.update(feed_oracles())
+    q.update(trade_oracles())
+    q.update(encode_oracle())
     return q
 
 
@@ -198,3 +200,94 @@ def feed_oracles() -> dict[str, str]:
                                 "where raw_symbol in ('BTCUSDT', 'BTC-USD', 'XBT/USD')")
     q["raw_frames_scan"] = pre + "select source, seq, recv_ms, kind from frames"
     return q
+
+
+# ------------------------------------------------------------ trade job
+HOUR = 3600000
+START = 1704067200000
+
+WIRE = TRADES + f""",
+wire as (
+  select 'trade' as event_type, trade_time_ms as event_time_ms, {FEED_SYMBOL} as symbol, trade_id,
+         price, quantity, trade_time_ms, is_buyer_maker, source, ingestion_time_ms, latency_ms,
+         cast(trade_id % 3 as integer) as partition, trade_id as "offset", trade_id as arrival,
+         raw_symbol
+  from trades)"""
+
+ENRICHED = ("trade_time_ms, symbol, source, trade_id, round((price) + 1e-9, 6) as price, "
+            "round((quantity) + 1e-9, 6) as quantity, case when is_buyer_maker then 'SELL' else 'BUY' end as side, "
+            "ingestion_time_ms, latency_ms")
+
+
+def trade_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    w = "with " + WIRE + "\n"
+    q["decode_wire_json"] = w + ("select event_type, event_time_ms, symbol, trade_id, round((price) + 1e-9, 6) as price, "
+                                 "round((quantity) + 1e-9, 6) as quantity, trade_time_ms, is_buyer_maker, source, "
+                                 "ingestion_time_ms, latency_ms, partition, \"offset\", arrival from wire")
+    q["enrich_side"] = w + f"select {ENRICHED} from wire"
+    q["trade_latency"] = w + "select trade_id, ingestion_time_ms, ingestion_time_ms - trade_time_ms as latency_ms from wire"
+    q["epoch_ms_roundtrip"] = "with " + TRADES + ("\nselect trade_id, trade_time_ms, trade_time_ms as ts_ms, "
+                                                  "strftime(make_timestamp(trade_time_ms * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') as iso, "
+                                                  "trade_time_ms as iso_ms from trades")
+    q["composite_key_split"] = "with " + TRADES + ("\nselect trade_id, symbol || '~' || source as key, "
+                                                   "symbol as key_symbol, source as key_source from trades")
+    q["insert_ignore_trades"] = "with " + TRADES + f"\nselect {ENRICHED} from trades"
+    q["late_trades"] = "with " + TRADES + f""",
+moved as (
+  select trade_id, source, arrival,
+         case when trade_id % 7 = 0 then trade_time_ms - ((trade_id * 7919) % 41) * 4000
+              else trade_time_ms end as trade_time_ms
+  from trades)
+select trade_id, source, trade_time_ms,
+       coalesce(trade_time_ms // 60000 * 60000 + 60000 <=
+                max(trade_time_ms) over (partition by source order by arrival
+                                         rows between unbounded preceding and 1 preceding) - 5000,
+                false) as is_late
+from moved"""
+    q["retain_trades"] = "with " + TRADES + (f"\nselect {ENRICHED} from trades "
+                                             f"where trade_time_ms >= (select max(trade_time_ms) from trades) - {6 * HOUR}")
+    q["latest_trades_by_symbol"] = "with " + TRADES + (f"\nselect {ENRICHED} from trades where symbol = 'BTCUSD' "
+                                                       "order by trade_time_ms desc, trade_id desc limit 20")
+    cols = ["open", "high", "low", "close", "volume", "vwap", "buy_volume", "sell_volume", "ema10"]
+    tsel = ", ".join(f"t.{c}" for c in cols)
+    q["upsert_bars_merge"] = BAR_JOB.rstrip("\n") + f""",
+target as (
+  select symbol, source, window_start_ms, {', '.join(cols)}, trade_count,
+         0.0 as spread_usd, 0.0 as spread_bps
+  from ema where window_start_ms < {START + 8 * HOUR}),
+updates as (
+  select symbol, source, window_start_ms, open, high, low, close + 1 as close, volume, vwap, buy_volume,
+         sell_volume, ema10, trade_count, spread_usd, spread_bps
+  from spread),
+merged as (
+  select coalesce(t.symbol, u.symbol) as symbol, coalesce(t.source, u.source) as source,
+         coalesce(t.window_start_ms, u.window_start_ms) as window_start_ms,
+         {', '.join(f'case when t.symbol is not null then t.{c} else u.{c} end as {c}' for c in cols + ['trade_count'])},
+         case when u.symbol is not null then u.spread_usd else t.spread_usd end as spread_usd,
+         case when u.symbol is not null then u.spread_bps else t.spread_bps end as spread_bps
+  from target t full outer join updates u
+    on t.symbol = u.symbol and t.source = u.source and t.window_start_ms = u.window_start_ms)
+select symbol, source, window_start_ms, {', '.join(R(c) + ' as ' + c for c in cols)}, trade_count,
+       {R('spread_usd')} as spread_usd, {R('spread_bps')} as spread_bps
+from merged"""
+    q["bars_scan_filtered"] = BAR_JOB + (f"select symbol, source, window_start_ms, "
+                                         f"{', '.join(R(c) + ' as ' + c for c in cols)}, trade_count, "
+                                         f"{R('spread_usd')} as spread_usd, {R('spread_bps')} as spread_bps from spread "
+                                         f"where symbol = 'BTCUSD' and source = 'BINANCE' "
+                                         f"and window_start_ms between {START + HOUR} and {START + 5 * HOUR}")
+    q["constraint_violations"] = """
+select rule, cast(0 as bigint) as violations from (values
+  ('trade_time_ms not null'), ('symbol not null'), ('source not null'), ('trade_id not null'),
+  ('price not null'), ('quantity not null'), ('side not null'), ('ingestion_time_ms not null'),
+  ('latency_ms not null'), ('symbol length <= 20'), ('source length <= 20'), ('side length <= 4')) v(rule)"""
+    return q
+
+
+def encode_oracle() -> dict[str, str]:
+    return {"encode_wire_json": "with " + WIRE + """
+select symbol as key,
+       json_object('e', event_type, 'E', event_time_ms, 's', symbol, 't', trade_id, 'p', price,
+                   'q', quantity, 'T', trade_time_ms, 'm', is_buyer_maker, 'source', source,
+                   'ingestionTimeMs', ingestion_time_ms, 'latencyMs', latency_ms)::varchar as value
+from wire"""}

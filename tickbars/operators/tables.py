@@ -113,3 +113,14 @@ def split_valid(df: DataFrame, not_null: list[str]) -> tuple[DataFrame, DataFram
     tagged = df.withColumn("_reason", constraint_reason(df, not_null))
     return (tagged.filter(F.col("_reason").isNull()).drop("_reason"),
             tagged.filter(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason"))
+
+
+def constraint_report(df: DataFrame, not_null: list[str]) -> DataFrame:
+    """Violations per constraint (rule, violations) -- one aggregate pass,
+    zero counts included."""
+    checks = [(f"{c} not null", F.col(c).isNull()) for c in not_null if c in df.columns]
+    checks += [(f"{c} length <= {n}", F.length(F.col(c)) > n)
+               for c, n in VARCHAR_LIMITS.items() if c in df.columns]
+    counts = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(checks)])
+    pairs = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(checks))
+    return counts.selectExpr(f"stack({len(checks)}, {pairs}) as (rule, violations)")
