@@ -28,6 +28,7 @@ from tickbars.operators.spread import match_sources, spread_bars  # noqa: E402
 from tickbars.plans import panels as P  # noqa: E402
 from tickbars.functions.symbols import composite_key, split_composite_key  # noqa: E402
 from tickbars.functions.timefns import iso_to_ms, ms_to_ts  # noqa: E402
+from tickbars.operators import book as BK  # noqa: E402
 from tickbars.operators import feeds as FD  # noqa: E402
 from tickbars.operators import tables as TB  # noqa: E402
 from tickbars.operators import trades as TR  # noqa: E402
@@ -124,6 +125,8 @@ def _trade_queries():
     q["constraint_violations"] = lambda s, d: TB.constraint_report(
         TR.enrich_side(FD.union_feeds(_frames(s, d))), TB.TRADE_NOT_NULL)
     q["bars_scan_filtered"] = _bars_scan
+    q["book_levels_asof"] = lambda s, d: BK.book_levels_asof(FX.book_deltas(S.configure(s), d))
+    q["book_top20"] = lambda s, d: BK.top_levels(BK.book_levels_asof(FX.book_deltas(S.configure(s), d)), 20)
     return q
 
 

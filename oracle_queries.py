@@ -137,6 +137,7 @@ from bars group by symbol, source, window_start_ms // 300000 * 300000"""
     q.update(feed_oracles())
     q.update(trade_oracles())
     q.update(encode_oracle())
+    q.update(book_oracles())
     return q
 
 
@@ -291,3 +292,40 @@ select symbol as key,
                    'q', quantity, 'T', trade_time_ms, 'm', is_buyer_maker, 'source', source,
                    'ingestionTimeMs', ingestion_time_ms, 'latencyMs', latency_ms)::varchar as value
 from wire"""}
+
+
+# ------------------------------------------------------------ order book
+DELTAS = """
+deltas as (
+  select case event_id % 3 when 0 then 'BINANCE' when 1 then 'COINBASE' else 'KRAKEN' end as source,
+         case when user_id % 2 = 0 then 'BTCUSD' else 'ETHUSD' end as symbol,
+         event_id as seq,
+         case when event_id % 97 = 0 then 'snapshot' else 'update' end as kind,
+         case when event_type in ('view', 'click') then 'bid' else 'ask' end as side,
+         cast(floor(value / 5) * 5 as double) as price,
+         cast(json_extract_string(props, '$.k') as double) % 5 as quantity
+  from events),
+epochs as (
+  select *, sum(case when kind = 'snapshot' then 1 else 0 end)
+              over (partition by source, symbol order by seq rows between unbounded preceding and current row) as epoch
+  from deltas),
+versions as (
+  select *, lead(seq) over (partition by source, symbol, epoch, side, price order by seq) as next_seq
+  from epochs),
+live as (
+  select m.source, m.symbol, m.seq, cast(0 as bigint) as sub, v.side, v.price, v.quantity
+  from epochs m join versions v
+    on m.source = v.source and m.symbol = v.symbol and m.epoch = v.epoch
+   and v.seq <= m.seq and (v.next_seq is null or m.seq < v.next_seq)
+  where v.quantity <> 0)"""
+
+
+def book_oracles() -> dict[str, str]:
+    pre = "with " + DELTAS + "\n"
+    return {
+        "book_levels_asof": pre + "select * from live",
+        "book_top20": pre + """select * from (
+  select *, cast(row_number() over (partition by source, symbol, seq, sub, side
+                                    order by case when side = 'bid' then -price else price end) as integer) as level
+  from live) where level <= 20""",
+    }

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickbars.functions.timefns import floor_to
+from tickbars.operators.scan import chunked_running
 
 TRADE_TABLE_COLUMNS = ["trade_time_ms", "symbol", "source", "trade_id", "price", "quantity",
                        "side", "ingestion_time_ms", "latency_ms"]
@@ -78,23 +79,13 @@ def late_flags(trades: DataFrame, partition: str = "partition", arrival: str = "
                interval_ms: int = 60_000, chunk: int = 1 << 16) -> DataFrame:
     """Flag trades a bounded-out-of-orderness watermark would drop (O-83).
 
-    watermark before a row = max event time of the earlier rows of its
-    source partition (arrival order) - delay; late iff its window end is at
-    or before it.  The running max is a prefix scan, computed without
-    putting a whole partition into one task: rows are cut into arrival
-    chunks; each chunk's own running max is a window over the chunk; the
-    maxima of earlier chunks come from a small per-chunk table (rows/chunk)
-    whose exclusive running max is joined back.
+    Watermark before a row = max event time of the earlier rows of its
+    source partition (arrival order) - delay; the row is late iff its
+    window end is at or before it.  The running max is a chunked prefix
+    scan (operators/scan.py), so a busy partition is not one task.
     """
-    t = trades.withColumn("_chunk", F.floor(F.col(arrival) / F.lit(chunk)).cast("bigint"))
-    in_chunk = Window.partitionBy(partition, "_chunk").orderBy(arrival) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    t = t.withColumn("_local", F.max(time_col).over(in_chunk))
-    chunks = t.groupBy(partition, "_chunk").agg(F.max(time_col).alias("_cmax"))
-    before = Window.partitionBy(partition).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = chunks.select(partition, "_chunk", F.max("_cmax").over(before).alias("_prev"))
-    t = t.join(chunks, on=[partition, "_chunk"], how="left")
-    seen = F.greatest(F.col("_local"), F.col("_prev"))
+    t = chunked_running(trades, [partition], [arrival], F.col(time_col), "max",
+                        F.floor(F.col(arrival) / F.lit(chunk)), "_seen", exclusive=True)
     window_end = floor_to(time_col, interval_ms) + F.lit(interval_ms)
-    late = F.coalesce(window_end <= seen - F.lit(delay_ms), F.lit(False))
-    return t.withColumn("is_late", late).drop("_chunk", "_local", "_prev")
+    late = F.coalesce(window_end <= F.col("_seen") - F.lit(delay_ms), F.lit(False))
+    return t.withColumn("is_late", late).drop("_seen")

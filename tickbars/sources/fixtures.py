@@ -123,7 +123,8 @@ def book_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("user_id") % 2 == 0, "BTCUSD").otherwise("ETHUSD").alias("symbol"),
         F.col("event_id").alias("seq"),
         *_level_columns(ev),
-    ).withColumnsRenamed({"level_price": "price", "level_qty": "quantity"})
+    ).withColumnsRenamed({"level_price": "price", "level_qty": "quantity"}) \
+     .withColumn("sub", F.lit(0).cast("bigint"))
 
 
 def raw_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
