@@ -35,6 +35,7 @@ from tickbars.operators import trades as TR  # noqa: E402
 from tickbars.sources import wire as W  # noqa: E402
 from tickbars.plans.jobs import bar_job, bars_with_ema  # noqa: E402
 from tickbars.sources import fixtures as FX  # noqa: E402
+from tickbars.streaming import jobs as J  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -127,6 +128,19 @@ def _trade_queries():
     q["bars_scan_filtered"] = _bars_scan
     q["book_levels_asof"] = lambda s, d: BK.book_levels_asof(FX.book_deltas(S.configure(s), d))
     q["book_top20"] = lambda s, d: BK.top_levels(BK.book_levels_asof(FX.book_deltas(S.configure(s), d)), 20)
+    q.update(_stream_queries())
+    return q
+
+
+def _stream_queries():
+    """Real Structured Streaming runs (file source, availableNow, fresh
+    checkpoint under spark.checkpoint.dir); the sink is read back."""
+    q = {}
+    q["stream_ohlcv_bars"] = lambda s, d: J.run_bar_job(s, _trades(s, d), what="bars")
+    q["stream_ema10"] = lambda s, d: J.run_bar_job(s, _trades(s, d), what="ema").drop("bar_time")
+    q["stream_spread_bars"] = lambda s, d: J.run_bar_job(s, _trades(s, d), what="spread")
+    q["stream_restart"] = lambda s, d: J.run_bar_job(s, _trades(s, d), stages=(2,), what="spread")
+    q["stream_enrich_trades"] = lambda s, d: J.run_trade_job(s, FX.wire_records(S.configure(s), d, duplicates=True))
     return q
 
 

@@ -138,6 +138,7 @@ from bars group by symbol, source, window_start_ms // 300000 * 300000"""
     q.update(trade_oracles())
     q.update(encode_oracle())
     q.update(book_oracles())
+    q.update(stream_oracles())
     return q
 
 
@@ -329,3 +330,23 @@ def book_oracles() -> dict[str, str]:
                                     order by case when side = 'bid' then -price else price end) as integer) as level
   from live) where level <= 20""",
     }
+
+
+# ------------------------------------------------------------ streaming
+CLOSED = "window_end_ms + 5000 <= (select max(trade_time_ms) from trades)"
+
+
+def stream_oracles() -> dict[str, str]:
+    o = oracle_sql_base()
+    return {
+        "stream_ohlcv_bars": with_(TRADES, BARS) + f"select {BAR_OUT} from bars where {CLOSED}",
+        "stream_ema10": with_(TRADES, BARS, EMA) + f"select {BAR_OUT}, {R('ema10')} as ema10 from ema where {CLOSED}",
+        "stream_spread_bars": o["spread_bars"] + f" where {CLOSED}",
+        "stream_restart": o["spread_bars"] + f" where {CLOSED}",
+        "stream_enrich_trades": trade_oracles()["enrich_side"],
+    }
+
+
+def oracle_sql_base() -> dict[str, str]:
+    return {"spread_bars": BAR_JOB + (f"select {BAR_OUT}, {R('ema10')} as ema10, "
+                                      f"{R('spread_usd')} as spread_usd, {R('spread_bps')} as spread_bps from spread")}

@@ -83,3 +83,30 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tickbars`` importable in Python workers (stateful processors,
+    pandas UDFs): zip the package into the shared folder once per
+    application and add it with ``addPyFile``."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = fresh_path(spark, "pyfiles")
+    if "://" in target:  # remote shared folder: build locally, addPyFile uploads it
+        target = tempfile.mkdtemp(prefix="tickbars-pyfiles-")
+    zpath = os.path.join(target, "tickbars.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.join("tickbars", os.path.relpath(full, pkg)))
+    spark.sparkContext.addPyFile(zpath)
+    _SHIPPED.add(app)

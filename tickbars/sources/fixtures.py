@@ -192,9 +192,11 @@ def raw_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("ingestion_time_ms").alias("recv_ms"), frame.alias("raw"))
 
 
-def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """the trade topic as Kafka would return it (key, value, partition, offset, timestamp)."""
-    t = trades(spark, sf_dir)
+def wire_records(spark: SparkSession, sf_dir: str, duplicates: bool = False) -> DataFrame:
+    """the trade topic as Kafka would return it (key, value, partition,
+    offset, timestamp); with ``duplicates`` the F3 redeliveries are added
+    (offset = their later arrival)."""
+    t = duplicate_trades(spark, sf_dir) if duplicates else trades(spark, sf_dir)
     value = F.to_json(F.struct(
         F.lit("trade").alias("e"), F.col("trade_time_ms").alias("E"),
         feed_symbol(F.col("raw_symbol"), F.col("source")).alias("s"),
@@ -206,6 +208,6 @@ def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select(
         F.col("raw_symbol").alias("key"), value.alias("value"),
         (F.col("trade_id") % 3).cast("int").alias("partition"),
-        F.col("trade_id").alias("offset"),
+        F.col("arrival").alias("offset"),
         F.timestamp_millis(F.col("ingestion_time_ms")).alias("timestamp"),
     )
