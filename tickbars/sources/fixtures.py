@@ -29,6 +29,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
 
 
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A small table can come back as a single split (one task); for the
+    per-row JSON work of the frame adapter its rows are then spread
+    round-robin over the default parallelism.  A large table already has
+    at least that many splits and is left as it is."""
+    par = spark.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def _k(df: DataFrame) -> Column:
     return F.get_json_object(F.col("props"), "$.k").cast("double")
 
@@ -133,7 +142,7 @@ def raw_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     event_id % 5 = 4 gives an order-book frame, other events a trade frame;
     event_id % 50 = 0 is a broken (non-JSON) frame.
     """
-    ev = events(spark, sf_dir)
+    ev = _spread(spark, events(spark, sf_dir))
     j = ev.select(*_trade_columns(ev), *_level_columns(ev))
     src, sym = F.col("source"), F.col("raw_symbol")
     iso = _iso(F.col("trade_time_ms"))
