@@ -24,7 +24,7 @@ from tickbars import session as S  # noqa: E402
 from tickbars.functions.symbols import canonical_symbol  # noqa: E402
 from tickbars.operators.bars import ohlcv_bars, rollup_bars  # noqa: E402
 from tickbars.operators.ema import ema  # noqa: E402
-from tickbars.operators.spread import match_sources, spread_bars  # noqa: E402
+from tickbars.operators.spread import match_sources, match_sources_join, spread_bars  # noqa: E402
 from tickbars.plans import panels as P  # noqa: E402
 from tickbars.functions.symbols import composite_key, split_composite_key  # noqa: E402
 from tickbars.functions.timefns import iso_to_ms, ms_to_ts  # noqa: E402
@@ -77,6 +77,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["bar_vwap"] = lambda s, d: _bars(s, d).select("symbol", "source", "window_start_ms", "vwap")
     q["ema10"] = lambda s, d: bars_with_ema(_trades(s, d))
     q["match_sources"] = lambda s, d: match_sources(bars_with_ema(_trades(s, d)))
+    q["match_sources_join"] = lambda s, d: match_sources_join(_bars(s, d))
     q["spread_bars"] = lambda s, d: _job(s, d)
     q["canonical_symbol"] = lambda s, d: _trades(s, d).select(
         "trade_id", "raw_symbol", canonical_symbol("raw_symbol").alias("canonical"))
@@ -92,6 +93,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 HOUR_MS = 3_600_000
+LATE_BATCHES = 8
 
 
 def _wire(spark, d):
@@ -141,6 +143,9 @@ def _stream_queries():
     q["stream_spread_bars"] = lambda s, d: J.run_bar_job(s, _trades(s, d), what="spread")
     q["stream_restart"] = lambda s, d: J.run_bar_job(s, _trades(s, d), stages=(2,), what="spread")
     q["stream_enrich_trades"] = lambda s, d: J.run_trade_job(s, FX.wire_records(S.configure(s), d, duplicates=True))
+    q["stream_late_drop"] = lambda s, d: J.run_bar_job(
+        s, FX.late_trades_input(S.configure(s), d), batches=LATE_BATCHES, what="bars")
+    q["stream_trade_source"] = lambda s, d: J.run_decode_job(s, FX.wire_records(S.configure(s), d))
     return q
 
 

@@ -344,9 +344,54 @@ def stream_oracles() -> dict[str, str]:
         "stream_spread_bars": o["spread_bars"] + f" where {CLOSED}",
         "stream_restart": o["spread_bars"] + f" where {CLOSED}",
         "stream_enrich_trades": trade_oracles()["enrich_side"],
+        "stream_trade_source": trade_oracles()["decode_wire_json"],
+        "stream_late_drop": late_drop_oracle(8),
+        "match_sources_join": with_(TRADES, BARS) + """
+select b.symbol, b.window_start_ms, round((b.close) + 1e-9, 6) as close_binance,
+       round((c.close) + 1e-9, 6) as close_coinbase, round((k.close) + 1e-9, 6) as close_kraken,
+       round((greatest(b.close, c.close, k.close) - least(b.close, c.close, k.close)) + 1e-9, 6) as spread_usd,
+       round(((greatest(b.close, c.close, k.close) - least(b.close, c.close, k.close))
+              / nullif((b.close + c.close + k.close) / 3.0, 0) * 10000) + 1e-9, 6) as spread_bps
+from bars b join bars c on b.symbol = c.symbol and b.window_start_ms = c.window_start_ms
+            join bars k on b.symbol = k.symbol and b.window_start_ms = k.window_start_ms
+where b.source = 'BINANCE' and c.source = 'COINBASE' and k.source = 'KRAKEN'""",
     }
 
 
 def oracle_sql_base() -> dict[str, str]:
     return {"spread_bars": BAR_JOB + (f"select {BAR_OUT}, {R('ema10')} as ema10, "
                                       f"{R('spread_usd')} as spread_usd, {R('spread_bps')} as spread_bps from spread")}
+
+
+def late_drop_oracle(batches: int) -> str:
+    """Bars of the late-trade stream.  Files are slices of arrival; a row of
+    micro-batch N is dropped iff its window end <= (max event time of
+    batches <= N-2) - 5 s (Spark filters late rows with the previous
+    batch's watermark); windows are emitted once end + 5 s <= max time."""
+    return "with " + TRADES + f""",
+moved as (
+  select trade_id, symbol, source, price, quantity, is_buyer_maker, arrival,
+         case when trade_id % 7 = 0 then trade_time_ms - ((trade_id * 7919) % 41) * 4000
+              else trade_time_ms end as trade_time_ms
+  from trades),
+sliced as (
+  select m.*, (arrival - s.lo) // s.step as batch
+  from moved m, (select min(arrival) as lo, (max(arrival) - min(arrival)) // {batches} + 1 as step from moved) s),
+per_batch as (select batch, max(trade_time_ms) as bmax from sliced group by batch),
+late_wm as (
+  select batch, max(bmax) over (order by batch range between unbounded preceding and 2 preceding) - 5000 as wm
+  from per_batch),
+kept as (
+  select s.* from sliced s join late_wm w using (batch)
+  where w.wm is null or s.trade_time_ms // 60000 * 60000 + 60000 > w.wm),
+bars as (
+  select symbol, source, trade_time_ms // 60000 * 60000 as window_start_ms,
+         trade_time_ms // 60000 * 60000 + 60000 as window_end_ms,
+         arg_min(price, arrival) as open, max(price) as high, min(price) as low, arg_max(price, arrival) as close,
+         sum(quantity) as volume,
+         case when sum(quantity) > 0 then sum(price * quantity) / sum(quantity) else arg_max(price, arrival) end as vwap,
+         sum(case when is_buyer_maker then 0.0 else quantity end) as buy_volume,
+         sum(case when is_buyer_maker then quantity else 0.0 end) as sell_volume,
+         cast(count(*) as integer) as trade_count
+  from kept group by symbol, source, trade_time_ms // 60000 * 60000)
+select {BAR_OUT} from bars where window_end_ms + 5000 <= (select max(trade_time_ms) from moved)"""

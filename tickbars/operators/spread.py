@@ -53,3 +53,22 @@ def spread_by_minute(bars: DataFrame, sources: tuple[str, ...] = MATCH_SOURCES,
     out = out.filter(F.col("_n") == len(sources))
     return out.select("symbol", time_col, "spread_usd",
                       (F.try_divide(F.col("spread_usd"), F.col("_avg")) * F.lit(10000.0)).alias("spread_bps"))
+
+
+def match_sources_join(bars: DataFrame, sources: tuple[str, ...] = MATCH_SOURCES,
+                       time_col: str = "window_start_ms") -> DataFrame:
+    """Cross-check form of the match: inner equi-joins of the per-source
+    bars on (symbol, window).  Keys are unique per side, so every join is
+    1:1 -- no pairs are multiplied.  One row per matched minute with each
+    source's close and the spread."""
+    key = ["symbol", time_col]
+    parts = [bars.filter(F.col("source") == s).select(*key, F.col("close").alias(f"close_{s.lower()}"))
+             for s in sources]
+    j = parts[0]
+    for p in parts[1:]:
+        j = j.join(p, on=key, how="inner")
+    closes = [F.col(f"close_{s.lower()}") for s in sources]
+    avg = sum(closes[1:], closes[0]) / F.lit(float(len(sources)))
+    spread = F.greatest(*closes) - F.least(*closes)
+    return j.select(*key, *closes, spread.alias("spread_usd"),
+                    (F.try_divide(spread, avg) * F.lit(10000.0)).alias("spread_bps"))
