@@ -346,6 +346,12 @@ def stream_oracles() -> dict[str, str]:
         "stream_enrich_trades": trade_oracles()["enrich_side"],
         "stream_trade_source": trade_oracles()["decode_wire_json"],
         "stream_late_drop": late_drop_oracle(8),
+        "stream_book": book_oracles()["book_top20"],
+        "stream_upsert_replay": BAR_JOB + (
+            "select symbol, source, window_start_ms, " + ", ".join(
+                R(c) + " as " + c for c in ["open", "high", "low", "close", "volume", "vwap", "buy_volume",
+                                            "sell_volume", "ema10", "spread_usd", "spread_bps"])
+            + f", trade_count from spread where {CLOSED}"),
         "match_sources_join": with_(TRADES, BARS) + """
 select b.symbol, b.window_start_ms, round((b.close) + 1e-9, 6) as close_binance,
        round((c.close) + 1e-9, 6) as close_coinbase, round((k.close) + 1e-9, 6) as close_kraken,

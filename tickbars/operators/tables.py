@@ -124,3 +124,42 @@ def constraint_report(df: DataFrame, not_null: list[str]) -> DataFrame:
     counts = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, (_, cond) in enumerate(checks)])
     pairs = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(checks))
     return counts.selectExpr(f"stack({len(checks)}, {pairs}) as (rule, violations)")
+
+
+def upsert_days(spark: SparkSession, updates: DataFrame, table: str, time_col: str,
+                key: list[str] = BAR_KEY, update_cols: list[str] = ON_CONFLICT_UPDATE,
+                columns: list[str] = BAR_TABLE_COLUMNS) -> None:
+    """Apply ``merge_upsert`` to a day-partitioned Parquet table in place.
+
+    Only the day partitions that the updates touch are read, merged and
+    rewritten: the merge is written to a staging folder, then each touched
+    day folder is replaced by its new version.  Re-applying the same
+    updates gives the same table (the upsert is idempotent), which makes a
+    retried or replayed micro-batch harmless.
+    """
+    import uuid
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path
+    root = Path(table)
+    fs = root.getFileSystem(conf)
+    updates = updates.select(*columns)
+    days = [r[0] for r in updates.select(day_of(time_col)).distinct().collect()]  # days of one batch
+    if not days:
+        return
+    if fs.exists(root):
+        current = spark.read.parquet(table).filter(F.col("d").isin(days)).select(*columns)
+    else:
+        current = updates.limit(0)
+    merged = merge_upsert(current, updates, key, update_cols).withColumn("d", day_of(time_col))
+    staging = f"{table}/_staging/{uuid.uuid4().hex}"
+    merged.write.partitionBy("d").parquet(staging)
+    fs.mkdirs(root)
+    for d in days:
+        src, dst = Path(f"{staging}/d={d}"), Path(f"{table}/d={d}")
+        if fs.exists(dst):
+            fs.delete(dst, True)
+        if fs.exists(src):
+            fs.rename(src, dst)
+    fs.delete(Path(staging), True)

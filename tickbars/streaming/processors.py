@@ -42,3 +42,50 @@ class EmaProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class BookProcessor(StatefulProcessor):
+    """Level-2 book per (source, symbol) in two MapStates (price -> qty).
+
+    For each message, in (seq, sub) order: a snapshot clears both sides,
+    then its levels apply in order; quantity 0 deletes unless
+    ``keep_zero``.  After each message the best ``depth`` levels per side
+    are emitted (bids descending, asks ascending) -- the stream form of
+    operators/book.py.  Work is per book message, not per trade."""
+
+    def __init__(self, depth: int = 20):
+        self.depth = depth
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.sides = {"bid": handle.getMapState("bids", "price double", "quantity double"),
+                      "ask": handle.getMapState("asks", "price double", "quantity double")}
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        import heapq
+
+        source, symbol = key
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["seq", "sub", "lpos"], kind="stable")
+        book = {s: {k[0]: v[0] for k, v in st.iterator()} for s, st in self.sides.items()}
+        out = []
+        for (seq, sub), msg in pdf.groupby(["seq", "sub"], sort=True):
+            if msg["kind"].iloc[0] == "snapshot":
+                book["bid"].clear()
+                book["ask"].clear()
+            for side, price, qty, keep in zip(msg["side"], msg["price"], msg["quantity"], msg["keep_zero"]):
+                if side is None or pd.isna(price):
+                    continue
+                s = "bid" if side == "bid" else "ask"
+                if qty == 0 and not keep:
+                    book[s].pop(price, None)
+                else:
+                    book[s][price] = qty
+            best = {"bid": heapq.nlargest(self.depth, book["bid"].items()),
+                    "ask": heapq.nsmallest(self.depth, book["ask"].items())}
+            for s, levels in best.items():
+                for i, (p, q) in enumerate(levels, start=1):
+                    out.append((source, symbol, int(seq), int(sub), s, float(p), float(q), i))
+        for s, st in self.sides.items():
+            st.clear()
+            for p, q in book[s].items():
+                st.updateValue((float(p),), (float(q),))
+        yield pd.DataFrame(out, columns=["source", "symbol", "seq", "sub", "side", "price", "quantity", "level"])
