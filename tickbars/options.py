@@ -1,7 +1,7 @@
 """Job options from the environment (O-05).
 
 Same variable names and defaults as the feed and job configuration being
-reproduced.  Passwords have no default.
+reproduced.  The database URL and passwords have no default.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ DEFAULTS = {
     "BINANCE_DEPTH_STREAMS": "btcusdt@depth20@100ms",
     "COINBASE_SYMBOLS": "BTC-USD",
     "KRAKEN_SYMBOLS": "BTC/USD",
-    "TIMESCALEDB_URL": "jdbc:postgresql://timescaledb:5432/binance",
 }
 
 
@@ -39,7 +38,7 @@ class JobOptions:
     binance_depth_streams: str = DEFAULTS["BINANCE_DEPTH_STREAMS"]
     coinbase_symbols: list[str] = field(default_factory=lambda: ["BTC-USD"])
     kraken_symbols: list[str] = field(default_factory=lambda: ["BTC/USD"])
-    jdbc_url: str = DEFAULTS["TIMESCALEDB_URL"]
+    jdbc_url: str | None = None
     jdbc_user: str | None = None
     jdbc_password: str | None = None
     watermark_delay: str = "5 seconds"
@@ -63,7 +62,7 @@ class JobOptions:
             binance_depth_streams=get("BINANCE_DEPTH_STREAMS"),
             coinbase_symbols=split_symbols(get("COINBASE_SYMBOLS")),
             kraken_symbols=split_symbols(get("KRAKEN_SYMBOLS")),
-            jdbc_url=get("TIMESCALEDB_URL"),
+            jdbc_url=env.get("JDBC_URL") or env.get("TIMESCALEDB_URL"),
             jdbc_user=env.get("JDBC_USER"),
             jdbc_password=env.get("JDBC_PASSWORD"),
         )
