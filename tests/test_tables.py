@@ -47,3 +47,20 @@ def test_partitioned_write_prunes(spark, tmp_path):
     assert sorted(r.window_start_ms for r in q.collect()) == [86_400_000, 172_800_000]
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(d" in plan and "PushedFilters" in plan
+
+
+def test_day_tables_insert_ignore_and_retention(spark, tmp_path):
+    from tickbars.operators.trades import TRADE_KEY, TRADE_TABLE_COLUMNS
+
+    day = TB.DAY_MS
+    cols = "trade_time_ms long, symbol string, source string, trade_id long, price double, quantity double, " \
+           "side string, ingestion_time_ms long, latency_ms long, arrival long"
+    batch = spark.createDataFrame([(t, "A", "X", i, 1.0, 1.0, "BUY", t, 0, i)
+                                   for i, t in enumerate([10, 20, day + 5, 3 * day + 1])], cols)
+    path = str(tmp_path / "trades")
+    for _ in range(2):  # the second run is a replay: nothing is added
+        TB.insert_ignore_days(spark, batch, path, "trade_time_ms", TRADE_KEY, TRADE_TABLE_COLUMNS)
+    assert spark.read.parquet(path).count() == 4
+    dropped = TB.drop_expired_days(spark, path, keep_ms=day, as_of_ms=3 * day + 10)
+    assert dropped == [0, 1]
+    assert sorted(r.trade_time_ms for r in spark.read.parquet(path).collect()) == [3 * day + 1]

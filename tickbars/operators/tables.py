@@ -163,3 +163,49 @@ def upsert_days(spark: SparkSession, updates: DataFrame, table: str, time_col: s
         if fs.exists(src):
             fs.rename(src, dst)
     fs.delete(Path(staging), True)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+
+
+def insert_ignore_days(spark: SparkSession, batch: DataFrame, table: str, time_col: str,
+                       key: list[str], columns: list[str], arrival: str = "arrival") -> None:
+    """INSERT ... ON CONFLICT DO NOTHING into a day-partitioned Parquet table.
+
+    Only the day partitions the batch touches are read for the anti-join
+    (the key contains the time column, so a conflict is always in the same
+    day); new rows are appended.  Running the same batch again appends
+    nothing, so a retried or replayed micro-batch is harmless.
+    """
+    from tickbars.operators.trades import first_arrivals
+
+    fresh = first_arrivals(batch, key, arrival).select(*columns)
+    fs, root, _ = _fs(spark, table)
+    if fs.exists(root):
+        days = [r[0] for r in batch.select(day_of(time_col)).distinct().collect()]  # days of one batch
+        old = spark.read.parquet(table).filter(F.col("d").isin(days)).select(*key)
+        fresh = fresh.join(old, on=key, how="left_anti")
+    fresh.withColumn("d", day_of(time_col)).write.mode("append").partitionBy("d").parquet(table)
+
+
+def drop_expired_days(spark: SparkSession, table: str, keep_ms: int, as_of_ms: int) -> list[int]:
+    """Retention on a day-partitioned table: delete the day folders whose
+    whole day ends before ``as_of - keep``, a metadata operation that reads
+    no data.  Like chunk-wise retention it keeps the partly expired day;
+    ``operators.trades.retain`` gives the exact row filter for reads."""
+    fs, root, jvm = _fs(spark, table)
+    cutoff = as_of_ms - keep_ms
+    dropped = []
+    if not fs.exists(root):
+        return dropped
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("d="):
+            day = int(name[2:])
+            if (day + 1) * DAY_MS <= cutoff:
+                fs.delete(st.getPath(), True)
+                dropped.append(day)
+    return sorted(dropped)

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tickbars import session as S
 from tickbars.operators.bars import BAR_COLUMNS, stream_ohlcv_bars
 from tickbars.operators.spread import MATCH_SOURCES
-from tickbars.operators.trades import TRADE_KEY, first_arrivals, side_label
+from tickbars.operators.trades import TRADE_KEY, side_label
 from tickbars.sources.wire import decode_trades
 from tickbars.streaming.processors import EmaProcessor
 
@@ -170,18 +170,14 @@ def run_bar_job(spark: SparkSession, trades: DataFrame, batches: int = 4, stages
 # ------------------------------------------------------------ trade stream
 
 def insert_ignore_writer(table: str):
-    """foreachBatch: first arrival per key within the batch, minus keys
-    already in earlier batches' output (INSERT ... ON CONFLICT DO NOTHING).
-    Batch ``n`` only compares with batches < n, so a replay of n is
-    idempotent."""
+    """foreachBatch: INSERT ... ON CONFLICT DO NOTHING into the day-partitioned
+    trades table; reads only the days the batch touches; a replayed batch
+    inserts nothing."""
+    from tickbars.operators.tables import insert_ignore_days
+    from tickbars.operators.trades import TRADE_TABLE_COLUMNS
+
     def write(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        fresh = first_arrivals(df, TRADE_KEY, "arrival")
-        fs, p, _ = _fs(spark, table)
-        if fs.exists(p):
-            old = spark.read.parquet(table).filter(F.col("batch") < batch_id).select(*TRADE_KEY)
-            fresh = fresh.join(old, on=TRADE_KEY, how="left_anti")
-        fresh.drop("arrival").write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+        insert_ignore_days(df.sparkSession, df, table, "trade_time_ms", TRADE_KEY, TRADE_TABLE_COLUMNS)
     return write
 
 
@@ -197,7 +193,7 @@ def run_trade_job(spark: SparkSession, records: DataFrame, batches: int = 4) ->
                           side_label(F.col("is_buyer_maker")).alias("side"),
                           "ingestion_time_ms", "latency_ms", "arrival")
     run_available(rows, table, ckpt, insert_ignore_writer(table))
-    return read_sink(spark, table)
+    return read_sink(spark, table).drop("d")
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
