@@ -147,10 +147,17 @@ def _stream_queries():
         s, FX.late_trades_input(S.configure(s), d), batches=LATE_BATCHES, what="bars")
     q["stream_book"] = lambda s, d: J.run_book_job(s, FX.book_deltas(S.configure(s), d))
     q["stream_upsert_replay"] = lambda s, d: J.run_upsert_replay(s, _trades(s, d))
+    q["stream_union_feeds"] = lambda s, d: _stream_feeds(s, d, "trades")
+    q["stream_dead_letters"] = lambda s, d: _stream_feeds(s, d, "dlq")
     q["stream_trade_source"] = lambda s, d: J.run_decode_job(s, FX.wire_records(S.configure(s), d))
     return q
 
 
+def _stream_feeds(spark, d, output):
+    out, _ = J.run_feed_job(spark, _frames(spark, d))
+    return spark.read.parquet(f"{out}/{output}").drop("batch")
+
+
 def _composite(trades):
     k = composite_key(F.col("symbol"), F.col("source"))
     sym, src = split_composite_key(k)

@@ -347,6 +347,8 @@ def stream_oracles() -> dict[str, str]:
         "stream_trade_source": trade_oracles()["decode_wire_json"],
         "stream_late_drop": late_drop_oracle(8),
         "stream_book": book_oracles()["book_top20"],
+        "stream_union_feeds": feed_oracles()["union_feeds"],
+        "stream_dead_letters": feed_oracles()["dead_letters"],
         "stream_upsert_replay": BAR_JOB + (
             "select symbol, source, window_start_ms, " + ", ".join(
                 R(c) + " as " + c for c in ["open", "high", "low", "close", "volume", "vwap", "buy_volume",

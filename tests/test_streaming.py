@@ -19,3 +19,32 @@ def test_trade_stream_dedupes(spark):
     got = E.queries()["stream_enrich_trades"](spark, SF)
     assert got.count() == 1000
     assert got.select("trade_id").distinct().count() == 1000
+
+
+def test_feed_stream_counters(spark):
+    from tickbars.sources import fixtures as FX
+    from tickbars.streaming import jobs as J
+
+    out, counters = J.run_feed_job(spark, FX.raw_frames(spark, SF))
+    assert counters["frames"] == 1000 and counters["not_json"] == 20
+    assert spark.read.parquet(f"{out}/dlq").count() == 20
+    assert spark.read.parquet(f"{out}/trades").count() == 780
+
+
+def test_production_starters_on_files(spark):
+    from pyspark.sql import functions as F
+
+    from tickbars import session as S
+    from tickbars.sources import fixtures as FX
+    from tickbars.streaming import jobs as J
+
+    base = S.fresh_path(spark, "starter")
+    J.land_batches(spark, FX.wire_records(spark, SF), "offset", 2, base)
+    q1 = J.start_trade_job(J.read_records(spark, base), f"{base}/trades", f"{base}/ck-trades")
+    q2 = J.start_bar_job(J.read_records(spark, base), f"{base}/ohlcv", f"{base}/ck-bars")
+    for q in (q1, q2):
+        q.processAllAvailable()
+        q.stop()
+    assert spark.read.parquet(f"{base}/trades").count() == 1000
+    bars = spark.read.parquet(f"{base}/ohlcv")
+    assert bars.count() > 0 and bars.filter(F.col("spread_usd").isNull()).count() == 0

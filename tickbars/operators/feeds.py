@@ -178,7 +178,7 @@ def _feed1_book(d: Column) -> Column:
     return F.struct(levels("bids").alias("bids"), levels("asks").alias("asks"))
 
 
-def parse_frames(frames: DataFrame, strict: bool = True) -> DataFrame:
+def parse_frames(frames: DataFrame, strict: bool = True, metrics: str | None = None) -> DataFrame:
     """One projection per frame; see the module doc.  Staged selects keep
     each generated expression small (shared sub-results are columns)."""
     p = frames.select("source", "seq", "recv_ms", "raw", F.try_parse_json("raw").alias("_v"))
@@ -217,7 +217,7 @@ def parse_frames(frames: DataFrame, strict: bool = True) -> DataFrame:
     # also where the optimizer stops pushing later filters down: without it,
     # filters on kind/bad and the size() filter inferred from explode would
     # be inlined below this projection and parse every frame twice.
-    return p.observe(f"feed_parse_{uuid.uuid4().hex[:8]}",
+    return p.observe(metrics or f"feed_parse_{uuid.uuid4().hex[:8]}",
                      F.count(F.lit(1)).alias("frames"),
                      F.count_if(F.col("kind") == "dead").alias("not_json"),
                      F.count_if(F.col("bad")).alias("bad_elements"),

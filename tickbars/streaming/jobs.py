@@ -269,3 +269,77 @@ def run_upsert_replay(spark: SparkSession, trades: DataFrame, batches: int = 4)
         out = spread_stream(bar_stream(read_trade_files(spark, base)))
         run_available(out, table, f"{base}/checkpoint-{attempt}", upsert_writer(table))
     return spark.read.parquet(table).drop("d")
+
+
+# -------------------------------------------------------------- feed stream
+
+FRAME_FILE_SCHEMA = T.StructType([
+    T.StructField("source", T.StringType()), T.StructField("seq", T.LongType()),
+    T.StructField("recv_ms", T.LongType()), T.StructField("raw", T.StringType()),
+])
+FEED_METRICS = "feed_counters"
+
+
+def feed_writer(base: str):
+    """foreachBatch for parsed frames: one parse, four outputs (trades, dead
+    letters, book level changes, feed-1 snapshots).  The parsed batch is
+    persisted for the duration of the batch so it is not parsed four times;
+    each output is written to a batch-id folder (idempotent on retry)."""
+    from tickbars.operators.feeds import dead_letters_of, levels_of, trades_of
+
+    def write(parsed: DataFrame, batch_id: int) -> None:
+        parsed.persist()
+        try:
+            trades_of(parsed).write.mode("overwrite").parquet(f"{base}/trades/batch={batch_id}")
+            dead_letters_of(parsed).write.mode("overwrite").parquet(f"{base}/dlq/batch={batch_id}")
+            levels_of(parsed).write.mode("overwrite").parquet(f"{base}/levels/batch={batch_id}")
+        finally:
+            parsed.unpersist()
+    return write
+
+
+def run_feed_job(spark: SparkSession, frames: DataFrame, batches: int = 4) -> tuple[str, dict]:
+    """Land captured frames in seq order and run the producer side as a
+    stream.  Returns the output folder and the summed feed counters from
+    the query's observed metrics (O-91)."""
+    from tickbars.operators.feeds import parse_frames
+
+    S.configure(spark)
+    base = S.fresh_path(spark, "stream-feeds")
+    land_batches(spark, frames, "seq", batches, base)
+    src = spark.readStream.schema(FRAME_FILE_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{base}/in")
+    parsed = parse_frames(src, metrics=FEED_METRICS)
+    q = (parsed.writeStream.foreachBatch(feed_writer(f"{base}/out"))
+         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    totals: dict[str, int] = {}
+    for prog in q.recentProgress:
+        for k, v in (prog.observedMetrics.get(FEED_METRICS) or {}).asDict().items():
+            totals[k] = totals.get(k, 0) + int(v)
+    return f"{base}/out", totals
+
+
+# ------------------------------------------------------ production starters
+
+def start_bar_job(records: DataFrame, table: str, checkpoint: str,
+                  trigger: str = "500 milliseconds", delay: str = "5 seconds", period: int = 10):
+    """Bar job on a stream of topic records (``sources.wire.read_kafka`` or
+    landed files): decode -> bars -> EMA -> spread -> upsert into the
+    day-partitioned ``ohlcv`` table.  Returns the running StreamingQuery;
+    state and progress live under ``checkpoint`` (use a folder under
+    ``spark.checkpoint.dir``)."""
+    S.ship_package(records.sparkSession)
+    out = spread_stream(bar_stream(decode_trades(records), delay=delay, period=period))
+    return (out.writeStream.foreachBatch(upsert_writer(table)).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=trigger).start())
+
+
+def start_trade_job(records: DataFrame, table: str, checkpoint: str, trigger: str = "200 milliseconds"):
+    """Trade job: decode -> side label -> insert-ignore into ``trades``.  Its
+    own checkpoint makes it an independent consumer of the same topic."""
+    decoded = decode_trades(records)
+    rows = decoded.select("trade_time_ms", "symbol", "source", "trade_id", "price", "quantity",
+                          side_label(F.col("is_buyer_maker")).alias("side"),
+                          "ingestion_time_ms", "latency_ms", "arrival")
+    return (rows.writeStream.foreachBatch(insert_ignore_writer(table)).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=trigger).start())
