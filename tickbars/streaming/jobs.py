@@ -84,11 +84,28 @@ def batch_writer(sink: str):
     return write
 
 
-def run_available(query_df: DataFrame, sink: str, checkpoint: str, writer=None) -> None:
+def start_with_state_partitions(spark: SparkSession, writer, state_partitions: int | None):
+    """Start a streaming query with a chosen number of state partitions.
+
+    A stateful query fixes its partition count (``spark.sql.shuffle.
+    partitions``) at its first start and keeps it in the checkpoint; by
+    default it is sized to the cluster's cores rather than the session's
+    batch setting.  The session value is restored once the query started."""
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def run_available(query_df: DataFrame, sink: str, checkpoint: str, writer=None,
+                  state_partitions: int | None = None) -> None:
     """Process everything available now, then stop (Trigger.AvailableNow)."""
-    q = (query_df.writeStream.foreachBatch(writer or batch_writer(sink))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+    w = (query_df.writeStream.foreachBatch(writer or batch_writer(sink))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    start_with_state_partitions(query_df.sparkSession, w, state_partitions).awaitTermination()
 
 
 def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
@@ -309,8 +326,9 @@ def run_feed_job(spark: SparkSession, frames: DataFrame, batches: int = 4) -> tu
     land_batches(spark, frames, "seq", batches, base)
     src = spark.readStream.schema(FRAME_FILE_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{base}/in")
     parsed = parse_frames(src, metrics=FEED_METRICS)
-    q = (parsed.writeStream.foreachBatch(feed_writer(f"{base}/out"))
-         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    q = start_with_state_partitions(
+        spark, parsed.writeStream.foreachBatch(feed_writer(f"{base}/out"))
+        .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True), None)
     q.awaitTermination()
     totals: dict[str, int] = {}
     for prog in q.recentProgress:
@@ -322,7 +340,8 @@ def run_feed_job(spark: SparkSession, frames: DataFrame, batches: int = 4) -> tu
 # ------------------------------------------------------ production starters
 
 def start_bar_job(records: DataFrame, table: str, checkpoint: str,
-                  trigger: str = "500 milliseconds", delay: str = "5 seconds", period: int = 10):
+                  trigger: str = "500 milliseconds", delay: str = "5 seconds", period: int = 10,
+                  state_partitions: int | None = None):
     """Bar job on a stream of topic records (``sources.wire.read_kafka`` or
     landed files): decode -> bars -> EMA -> spread -> upsert into the
     day-partitioned ``ohlcv`` table.  Returns the running StreamingQuery;
@@ -330,8 +349,9 @@ def start_bar_job(records: DataFrame, table: str, checkpoint: str,
     ``spark.checkpoint.dir``)."""
     S.ship_package(records.sparkSession)
     out = spread_stream(bar_stream(decode_trades(records), delay=delay, period=period))
-    return (out.writeStream.foreachBatch(upsert_writer(table)).option("checkpointLocation", checkpoint)
-            .trigger(processingTime=trigger).start())
+    return start_with_state_partitions(
+        records.sparkSession, out.writeStream.foreachBatch(upsert_writer(table)).option("checkpointLocation", checkpoint)
+        .trigger(processingTime=trigger), state_partitions)
 
 
 def start_trade_job(records: DataFrame, table: str, checkpoint: str, trigger: str = "200 milliseconds"):

@@ -8,11 +8,18 @@ small helper on a bar-sized stream.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+# Python workers (including the driver-side runner of transformWithState)
+# need not have this package installed: the processors are pickled by
+# value; they depend only on pandas and pyspark.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class EmaProcessor(StatefulProcessor):
     """ema = a*close + (1-a)*previous, seeded with the key's first close.
