@@ -189,12 +189,12 @@ def feed_oracles() -> dict[str, str]:
                              "level_side as side, 1 as level, cast(printf('%.2f', level_price) as double) as price, "
                              "cast(printf('%.2f', level_qty) as double) as quantity "
                              "from frames where kind = 'book' and source = 'BINANCE'")
-    q["book_feed2_deltas"] = pre + (f"select source, {FEED_SYMBOL} as symbol, seq, cast(0 as bigint) as sub, "
+    q["book_feed2_deltas"] = pre + (f"select source, {FEED_SYMBOL} as symbol, seq, cast(0 as bigint) as sub, cast(0 as bigint) as lpos, "
                                     "level_kind as kind, level_side as side, "
                                     "cast(printf('%.2f', level_price) as double) as price, "
                                     "cast(printf('%.2f', level_qty) as double) as quantity, false as keep_zero, "
                                     "trade_time_ms as timestamp_ms from frames where kind = 'book' and source = 'COINBASE'")
-    q["book_feed3_deltas"] = pre + (f"select source, {FEED_SYMBOL} as symbol, seq, cast(0 as bigint) as sub, "
+    q["book_feed3_deltas"] = pre + (f"select source, {FEED_SYMBOL} as symbol, seq, cast(0 as bigint) as sub, cast(0 as bigint) as lpos, "
                                     "level_kind as kind, level_side as side, level_price as price, "
                                     "level_qty as quantity, level_kind = 'snapshot' as keep_zero, "
                                     "trade_time_ms as timestamp_ms from frames where kind = 'book' and source = 'KRAKEN'")

@@ -65,3 +65,33 @@ def test_top_levels_order(spark):
     assert bids == [(1, 29.0), (2, 27.0), (3, 25.0)] and asks == [(1, 0.0), (2, 2.0), (3, 4.0)]
     snap = B.snapshots(B.top_levels(B.book_levels_asof(df), depth=3)).collect()[0]
     assert [x.price for x in snap.bids] == [29.0, 27.0, 25.0]
+
+
+def test_books_from_parsed_frames_multi_level(spark):
+    """Feed-2/3 messages with several levels: a snapshot counts once and its
+    levels apply in order (lpos), zero quantities keep/delete per feed."""
+    from tickbars.operators import feeds as FD
+
+    frames = [
+        ("COINBASE", 1, 10, '{"channel":"l2_data","events":[{"type":"snapshot","product_id":"BTC-USD","time":"",'
+                            '"updates":[{"side":"bid","price_level":"10","new_quantity":"1"},'
+                            '{"side":"bid","price_level":"9","new_quantity":"2"},'
+                            '{"side":"offer","price_level":"11","new_quantity":"3"}]}]}'),
+        ("COINBASE", 2, 20, '{"channel":"l2_data","events":[{"type":"update","product_id":"BTC-USD","time":"",'
+                            '"updates":[{"side":"bid","price_level":"10","new_quantity":"0"},'
+                            '{"side":"bid","price_level":"8","new_quantity":"5"}]},'
+                            '{"type":"snapshot","product_id":"BTC-USD","time":"",'
+                            '"updates":[{"side":"offer","price_level":"12","new_quantity":"1"}]}]}'),
+        ("KRAKEN", 3, 30, '{"channel":"book","type":"snapshot","data":[{"symbol":"XBT/USD","timestamp":"",'
+                          '"bids":[{"price":5.0,"qty":0.0},{"price":4.0,"qty":1.0}],"asks":[{"price":6.0,"qty":2.0}]}]}'),
+    ]
+    fr = spark.createDataFrame(frames, "source string, seq long, recv_ms long, raw string")
+    deltas = FD.book_rows(fr)
+    rows = [tuple(r) for r in deltas.select("source", "symbol", "seq", "sub", "lpos", "kind", "side",
+                                           "price", "quantity", "keep_zero").collect()]
+    got = {tuple(r) for r in B.book_levels_asof(deltas).collect()}
+    assert got == _simulate(rows)
+    assert ("COINBASE", "BTCUSD", 1, 0, "bid", 9.0, 2.0) in got
+    assert ("COINBASE", "BTCUSD", 2, 0, "bid", 8.0, 5.0) in got
+    assert not any(r[2] == 2 and r[3] == 1 and r[4] == "bid" for r in got)  # second event is a snapshot
+    assert ("KRAKEN", "BTCUSD", 3, 0, "bid", 5.0, 0.0) in got  # feed-3 snapshot keeps zero

@@ -40,7 +40,7 @@ PARSE_ERROR = "ParseError"
 TRADE_COLUMNS = ["source", "seq", "pos", "event_type", "event_time_ms", "symbol", "trade_id",
                  "price", "quantity", "trade_time_ms", "is_buyer_maker", "ingestion_time_ms",
                  "latency_ms"]
-DELTA_COLUMNS = ["source", "symbol", "seq", "sub", "kind", "side", "price", "quantity",
+DELTA_COLUMNS = ["source", "symbol", "seq", "sub", "lpos", "kind", "side", "price", "quantity",
                  "keep_zero", "timestamp_ms"]
 VARR = "array<variant>"
 SUB_STRIDE = 1 << 20  # pos of a feed-2 trade = event index * stride + trade index
@@ -115,8 +115,10 @@ def _feed3_trades(v: Column, recv: Column) -> Column:
     return F.transform(data, one)
 
 
-def _level(sub, kind, symbol, side, price, qty, keep_zero, ts, bad) -> Column:
-    return F.struct(sub.cast("bigint").alias("sub"), kind.alias("kind"), symbol.alias("symbol"),
+def _level(sub, kind, symbol, side, price, qty, keep_zero, ts, bad, lpos=None) -> Column:
+    lpos = F.lit(0) if lpos is None else lpos
+    return F.struct(sub.cast("bigint").alias("sub"), lpos.cast("bigint").alias("lpos"),
+                    kind.alias("kind"), symbol.alias("symbol"),
                     side.alias("side"), price.alias("price"), qty.alias("quantity"),
                     keep_zero.alias("keep_zero"), ts.cast("bigint").alias("timestamp_ms"),
                     bad.alias("bad"))
@@ -130,11 +132,11 @@ def _feed2_levels(v: Column, recv: Column) -> Column:
         ts, bad_t = _iso_time(_text(e, "$.time"), recv)
         ups = F.coalesce(_get(e, "$.updates", VARR), F.array().cast(VARR))
 
-        def upd(u: Column) -> Column:
+        def upd(u: Column, j: Column) -> Column:
             price, b1 = _field(u, "$.price_level", "double", 0.0)
             qty, b2 = _field(u, "$.new_quantity", "double", 0.0)
             side = F.when(_text(u, "$.side") == "bid", "bid").otherwise("ask")
-            return _level(i, kind, sym, side, price, qty, F.lit(False), ts, bad_t | b1 | b2)
+            return _level(i, kind, sym, side, price, qty, F.lit(False), ts, bad_t | b1 | b2, j)
 
         empty = F.array(_level(i, kind, sym, F.lit(None).cast("string"), F.lit(None).cast("double"),
                                F.lit(None).cast("double"), F.lit(False), ts, bad_t))
@@ -159,7 +161,8 @@ def _feed3_levels(v: Column, recv: Column) -> Column:
                 i, kind, sym, F.lit(label), F.coalesce(_get(x, "$.price", "double"), F.lit(0.0)),
                 F.coalesce(_get(x, "$.qty", "double"), F.lit(0.0)), keep, ts, bad_t))
 
-        both = F.concat(side("bids", "bid"), side("asks", "ask"))
+        both = F.transform(F.concat(side("bids", "bid"), side("asks", "ask")),
+                           lambda x, j: x.withField("lpos", j.cast("bigint")))
         empty = F.array(_level(i, kind, sym, F.lit(None).cast("string"), F.lit(None).cast("double"),
                                F.lit(None).cast("double"), keep, ts, bad_t))
         return F.when(F.size(both) == 0, empty).otherwise(both)
@@ -282,7 +285,7 @@ def levels_of(parsed: DataFrame) -> DataFrame:
     rows = parsed.select("source", "seq", F.explode_outer("levels").alias("l"))
     rows = rows.filter(F.col("l").isNotNull() & ~F.col("l.bad"))
     return rows.select("source", F.col("l.symbol").alias("symbol"), "seq", F.col("l.sub").alias("sub"),
-                       F.col("l.kind").alias("kind"), F.col("l.side").alias("side"),
+                       F.col("l.lpos").alias("lpos"), F.col("l.kind").alias("kind"), F.col("l.side").alias("side"),
                        F.col("l.price").alias("price"), F.col("l.quantity").alias("quantity"),
                        F.col("l.keep_zero").alias("keep_zero"), F.col("l.timestamp_ms").alias("timestamp_ms"))
 
