@@ -130,6 +130,8 @@ def _trade_queries():
     q["bars_scan_filtered"] = _bars_scan
     q["book_levels_asof"] = lambda s, d: BK.book_levels_asof(FX.book_deltas(S.configure(s), d))
     q["book_top20"] = lambda s, d: BK.top_levels(BK.book_levels_asof(FX.book_deltas(S.configure(s), d)), 20)
+    q["book_from_frames"] = lambda s, d: BK.top_levels(
+        BK.book_levels_asof(S.materialize(FD.book_rows(_frames(s, d)), "book-levels")), 20)
     q.update(_stream_queries())
     return q
 

@@ -139,6 +139,7 @@ from bars group by symbol, source, window_start_ms // 300000 * 300000"""
     q.update(encode_oracle())
     q.update(book_oracles())
     q.update(stream_oracles())
+    q["book_from_frames"] = book_frames_oracle()
     return q
 
 
@@ -403,3 +404,30 @@ bars as (
          cast(count(*) as integer) as trade_count
   from kept group by symbol, source, trade_time_ms // 60000 * 60000)
 select {BAR_OUT} from bars where window_end_ms + 5000 <= (select max(trade_time_ms) from moved)"""
+
+
+def book_frames_oracle() -> str:
+    """Books rebuilt from the captured book frames of feeds 2 and 3."""
+    return "with " + FRAMES + f""",
+deltas as (
+  select source, {FEED_SYMBOL} as symbol, seq, level_kind as kind, level_side as side,
+         level_price as price, level_qty as quantity,
+         source = 'KRAKEN' and level_kind = 'snapshot' as keep_zero
+  from frames where kind = 'book' and source in ('COINBASE', 'KRAKEN')),
+epochs as (
+  select *, sum(case when kind = 'snapshot' then 1 else 0 end)
+              over (partition by source, symbol order by seq rows between unbounded preceding and current row) as epoch
+  from deltas),
+versions as (
+  select *, lead(seq) over (partition by source, symbol, epoch, side, price order by seq) as next_seq
+  from epochs),
+live as (
+  select m.source, m.symbol, m.seq, cast(0 as bigint) as sub, v.side, v.price, v.quantity
+  from epochs m join versions v
+    on m.source = v.source and m.symbol = v.symbol and m.epoch = v.epoch
+   and v.seq <= m.seq and (v.next_seq is null or m.seq < v.next_seq)
+  where v.quantity <> 0 or v.keep_zero)
+select * from (
+  select *, cast(row_number() over (partition by source, symbol, seq, sub, side
+                                    order by case when side = 'bid' then -price else price end) as integer) as level
+  from live) where level <= 20"""

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -110,3 +110,14 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.join("tickbars", os.path.relpath(full, pkg)))
     spark.sparkContext.addPyFile(zpath)
     _SHIPPED.add(app)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared folder and read it
+    back: cuts the lineage (an executor loss later does not recompute the
+    upstream) and lets a consumer that reads its input several times read
+    the table instead of re-running the upstream."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
