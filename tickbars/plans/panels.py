@@ -24,8 +24,11 @@ def _where(bars: DataFrame, symbol: str, t_from: int | None, t_to: int | None) -
 
 
 def _by_time(bars: DataFrame, symbol: str, t_from, t_to, *aggs: Column) -> DataFrame:
-    return (_where(bars, symbol, t_from, t_to).groupBy(F.col(TIME).alias("time_ms"))
-            .agg(*aggs).orderBy("time_ms"))
+    """GROUP BY time for one symbol.  Grouping by (symbol, time) is the same
+    grouping (the symbol is fixed by the filter) and is already satisfied by
+    bars hash-partitioned on symbol, so no extra shuffle is planned."""
+    return (_where(bars, symbol, t_from, t_to).groupBy("symbol", F.col(TIME).alias("time_ms"))
+            .agg(*aggs).drop("symbol").orderBy("time_ms"))
 
 
 def panel_candles(bars, symbol, t_from=None, t_to=None) -> DataFrame:
