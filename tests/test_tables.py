@@ -64,3 +64,15 @@ def test_day_tables_insert_ignore_and_retention(spark, tmp_path):
     dropped = TB.drop_expired_days(spark, path, keep_ms=day, as_of_ms=3 * day + 10)
     assert dropped == [0, 1]
     assert sorted(r.trade_time_ms for r in spark.read.parquet(path).collect()) == [3 * day + 1]
+
+
+def test_jdbc_statements():
+    from tickbars.sources import jdbc
+
+    up = jdbc.upsert_statement("ohlcv", "s1", TB.BAR_KEY, TB.BAR_TABLE_COLUMNS, TB.ON_CONFLICT_UPDATE)
+    assert up.endswith("ON CONFLICT (symbol, source, window_start_ms) DO UPDATE SET "
+                       "spread_usd = EXCLUDED.spread_usd, spread_bps = EXCLUDED.spread_bps")
+    ig = jdbc.insert_ignore_statement("trades", "s2", ["symbol", "source", "trade_id", "trade_time_ms"],
+                                      ["trade_time_ms", "symbol"])
+    assert ig == ("INSERT INTO trades (trade_time_ms, symbol) SELECT trade_time_ms, symbol FROM s2 "
+                  "ON CONFLICT (symbol, source, trade_id, trade_time_ms) DO NOTHING")
