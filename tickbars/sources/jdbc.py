@@ -64,3 +64,26 @@ def jdbc_writer(url: str, target: str, key: list[str], columns: list[str],
         write_table(df, url, target, key, columns, update_cols, props,
                     f"{target}_stage_{batch_id}", batchsize)
     return write
+
+
+def bar_table_rows(bars: DataFrame) -> DataFrame:
+    """Bar rows in the SQL table's shape: window_start as a timestamp,
+    window_end dropped."""
+    from pyspark.sql import functions as F
+
+    cols = [c for c in bars.columns if c not in ("window_start_ms", "window_end_ms")]
+    return bars.select(F.timestamp_millis("window_start_ms").alias("window_start"), *cols)
+
+
+def trade_table_rows(trades: DataFrame) -> DataFrame:
+    """Trade rows in the SQL table's shape (timestamps for the two times)."""
+    from pyspark.sql import functions as F
+
+    return trades.select(F.timestamp_millis("trade_time_ms").alias("trade_time"), "symbol", "source",
+                         "trade_id", "price", "quantity", "side",
+                         F.timestamp_millis("ingestion_time_ms").alias("ingestion_time"), "latency_ms")
+
+
+# Key and column lists of the SQL tables.
+SQL_BAR_KEY = ["symbol", "source", "window_start"]
+SQL_TRADE_KEY = ["symbol", "source", "trade_id", "trade_time"]
