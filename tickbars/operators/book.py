@@ -17,12 +17,15 @@ Plan (no step puts a whole symbol into one task):
 2. a change's validity ends at the next change of the same (key, epoch,
    side, price) or at the key's next snapshot, whichever comes first --
    two chunked suffix scans (min of the later message positions);
-3. live intervals are joined to the key's messages by a bucketed interval
-   join: the message position is cut into buckets of ``bucket`` seq
-   values, each interval is listed once per bucket it overlaps, and the
-   equi-join on (key, bucket) is followed by the exact range test.  A
-   (key, bucket) group holds at most ``bucket`` messages and the levels
-   alive in that range, whatever the symbol's total volume.
+3. each message gets its dense rank within the key (a chunked running
+   count), and live intervals are joined to the key's messages by a
+   bucketed interval join in rank space: buckets of ``bucket`` consecutive
+   messages of the key, each interval listed once per bucket it overlaps,
+   an equi-join on (key, bucket), then the exact range test.  Every bucket
+   holds exactly ``bucket`` messages of its key, so a long-lived level of a
+   sparse symbol is not listed in empty buckets, and a (key, bucket) group
+   holds ``bucket`` messages and the levels alive there, whatever the
+   symbol's total volume.
 Top-k per side is then a window over (message, side): book-depth rows.
 """
 
@@ -36,8 +39,12 @@ from tickbars.operators.scan import chunked_running
 KEYS = ["source", "symbol"]
 
 
-def _pos(seq: str = "seq", sub: str = "sub") -> Column:
-    return F.struct(F.col(seq).alias("seq"), F.col(sub).alias("sub"))
+def _pos(seq: str = "seq", sub: str = "sub", rank: str | None = "rank") -> Column:
+    """Message position; struct order is (seq, sub), rank rides along."""
+    fields = [F.col(seq).alias("seq"), F.col(sub).alias("sub")]
+    if rank:
+        fields.append(F.col(rank).alias("rank"))
+    return F.struct(*fields)
 
 
 def prepare(deltas: DataFrame) -> DataFrame:
@@ -53,14 +60,25 @@ def prepare(deltas: DataFrame) -> DataFrame:
     return d.withColumn("side", side)
 
 
-def live_intervals(deltas: DataFrame, keys: list[str] = KEYS, chunk: int = 1 << 16) -> DataFrame:
-    """Each level change with its validity [start, end) in message order."""
+def _ranked(deltas: DataFrame, keys: list[str], chunk: int) -> DataFrame:
+    """Prepared rows with ``rank`` (1-based message number within the key)
+    and ``epoch`` (snapshots so far), both chunked running counts."""
     d = prepare(deltas)
     order = ["seq", "sub", "lpos"]
     ch = F.floor(F.col("seq") / F.lit(chunk))
-    first_of_snap = (F.col("kind") == "snapshot") & (F.col("lpos") == 0)
-    d = chunked_running(d, keys, order, F.when(first_of_snap, 1).otherwise(0), "sum", ch, "epoch")
-    d = chunked_running(d, keys, order, F.when(first_of_snap, _pos()), "min", ch, "_next_snap",
+    first_row = F.col("lpos") == 0
+    d = chunked_running(d, keys, order, F.when(first_row, 1).otherwise(0), "sum", ch, "rank")
+    return chunked_running(d, keys, order, F.when(first_row & (F.col("kind") == "snapshot"), 1).otherwise(0),
+                           "sum", ch, "epoch")
+
+
+def live_intervals(ranked: DataFrame, keys: list[str] = KEYS, chunk: int = 1 << 16) -> DataFrame:
+    """Each level change with its validity [start, end) in message order;
+    ``end`` null means open to the end of the stream."""
+    order = ["seq", "sub", "lpos"]
+    ch = F.floor(F.col("seq") / F.lit(chunk))
+    snap_first = (F.col("kind") == "snapshot") & (F.col("lpos") == 0)
+    d = chunked_running(ranked, keys, order, F.when(snap_first, _pos()), "min", ch, "_next_snap",
                         exclusive=True, reverse=True)
     v = d.filter(F.col("side").isNotNull())
     v = chunked_running(v, keys + ["epoch", "side", "price"], order, _pos(), "min", ch, "_next_change",
@@ -74,20 +92,21 @@ def live_intervals(deltas: DataFrame, keys: list[str] = KEYS, chunk: int = 1 <<
 def book_levels_asof(deltas: DataFrame, keys: list[str] = KEYS, chunk: int = 1 << 16,
                      bucket: int = 1024) -> DataFrame:
     """(key, seq, sub, side, price, quantity): every level alive after each message."""
-    d = prepare(deltas)
-    live = live_intervals(d, keys, chunk).filter(~F.col("deleted") & (F.col("end").isNull()
-                                                                      | (F.col("start") < F.col("end"))))
-    msgs = d.filter(F.col("lpos") == 0).select(*keys, "seq", "sub").distinct()
-    last = msgs.groupBy(*keys).agg(F.max("seq").alias("_last_seq"))  # one row per key
+    ranked = _ranked(deltas, keys, chunk)
+    live = live_intervals(ranked, keys, chunk).filter(
+        ~F.col("deleted") & (F.col("end").isNull() | (F.col("start") < F.col("end"))))
+    msgs = ranked.filter(F.col("lpos") == 0).select(*keys, "seq", "sub", "rank")
+    last = msgs.groupBy(*keys).agg(F.max("rank").alias("_last_rank"))  # one row per key
     live = live.join(last, on=keys, how="inner")
     b = F.lit(bucket)
-    first_b = F.floor(F.col("start.seq") / b)
-    last_b = F.floor(F.coalesce(F.col("end.seq"), F.col("_last_seq")) / b)
-    spans = live.withColumn("_b", F.explode(F.sequence(first_b, last_b))).drop("_last_seq")
-    m = msgs.withColumn("_b", F.floor(F.col("seq") / b))
+    first_b = F.floor((F.col("start.rank") - 1) / b)
+    # last message covered: the one before `end`, or the key's last message
+    last_b = F.floor((F.coalesce(F.col("end.rank") - 1, F.col("_last_rank")) - 1) / b)
+    spans = live.withColumn("_b", F.explode(F.sequence(first_b, last_b))).drop("_last_rank")
+    m = msgs.withColumn("_b", F.floor((F.col("rank") - 1) / b))
     j = spans.join(m, on=keys + ["_b"], how="inner")
-    mpos = _pos()
-    j = j.filter((mpos >= F.col("start")) & (F.col("end").isNull() | (mpos < F.col("end"))))
+    r = F.col("rank")
+    j = j.filter((r >= F.col("start.rank")) & (F.col("end").isNull() | (r < F.col("end.rank"))))
     return j.select(*keys, "seq", "sub", "side", "price", "quantity")
 
 
