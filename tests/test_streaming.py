@@ -48,3 +48,18 @@ def test_production_starters_on_files(spark):
     assert spark.read.parquet(f"{base}/trades").count() == 1000
     bars = spark.read.parquet(f"{base}/ohlcv")
     assert bars.count() > 0 and bars.filter(F.col("spread_usd").isNull()).count() == 0
+
+
+def test_trade_job_dead_letters(spark):
+    from pyspark.sql import functions as F
+
+    from tickbars.sources import fixtures as FX
+    from tickbars.streaming import jobs as J
+
+    rec = FX.wire_records(spark, SF)
+    broken = rec.filter(F.col("offset") % 100 == 0).withColumn("value", F.lit("{broken"))
+    mixed = rec.filter(F.col("offset") % 100 != 0).unionByName(broken)
+    table = J.run_trade_job(spark, mixed)
+    assert table.count() == 990
+    base = table.inputFiles()[0].split("/table/")[0]
+    assert spark.read.parquet(f"{base}/dlq").count() == 10

@@ -22,9 +22,15 @@ TRADE_FIELDS = ["event_type", "event_time_ms", "symbol", "trade_id", "price", "q
                 "trade_time_ms", "is_buyer_maker", "source", "ingestion_time_ms", "latency_ms"]
 
 
+def is_decodable(value: Column) -> Column:
+    """The value is a JSON object.  (``from_json`` alone cannot tell: for
+    some malformed text it returns a struct of nulls rather than null.)"""
+    return F.try_parse_json(value).isNotNull() & F.startswith(F.ltrim(value), F.lit("{"))
+
+
 def parse_wire(value: Column) -> Column:
-    """JSON text -> trade struct with snake_case fields (null if unparsable)."""
-    return F.from_json(value, WIRE_DDL, {"mode": "PERMISSIVE"}).cast(TRADE_DDL)
+    """JSON text -> trade struct with snake_case fields (null if not decodable)."""
+    return F.when(is_decodable(value), F.from_json(value, WIRE_DDL, {"mode": "PERMISSIVE"}).cast(TRADE_DDL))
 
 
 def decode_trades(records: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -53,7 +59,7 @@ def decode_trades(records: DataFrame, value: str = "value", keep: tuple[str, ...
 
 def undecodable(records: DataFrame, value: str = "value") -> DataFrame:
     """Records whose value is not a JSON object (the consumer's parse failure)."""
-    return records.filter(parse_wire(F.col(value)).isNull())
+    return records.filter(~F.coalesce(is_decodable(F.col(value)), F.lit(False)))
 
 
 def trade_value(df: DataFrame) -> Column:

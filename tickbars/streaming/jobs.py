@@ -198,18 +198,41 @@ def insert_ignore_writer(table: str):
     return write
 
 
+def trade_rows(decoded: DataFrame) -> DataFrame:
+    return decoded.select("trade_time_ms", "symbol", "source", "trade_id", "price", "quantity",
+                          side_label(F.col("is_buyer_maker")).alias("side"),
+                          "ingestion_time_ms", "latency_ms", "arrival")
+
+
+def trade_job_writer(table: str, dlq: str):
+    """foreachBatch on raw topic records: decodable records go through the
+    side label into the trades table (insert-ignore); records that do not
+    decode go to the dead letters with error ``ParseError`` instead of
+    stopping the job.  The batch is decoded once (persisted for the batch)."""
+    from tickbars.sources.wire import undecodable
+    insert = insert_ignore_writer(table)
+
+    def write(records: DataFrame, batch_id: int) -> None:
+        records.persist()
+        try:
+            insert(trade_rows(decode_trades(records)), batch_id)
+            bad = undecodable(records).select(
+                F.col("value").alias("rawPayload"), F.lit("ParseError").alias("error"),
+                F.unix_millis("timestamp").alias("ingestionTimeMs"), "partition", "offset")
+            bad.write.mode("overwrite").parquet(f"{dlq}/batch={batch_id}")
+        finally:
+            records.unpersist()
+    return write
+
+
 def run_trade_job(spark: SparkSession, records: DataFrame, batches: int = 4) -> DataFrame:
     """Land topic records (key, value, partition, offset, timestamp) and run
-    decode -> enrich -> insert-ignore."""
+    decode -> enrich -> insert-ignore (+ dead letters)."""
     S.configure(spark)
     base = S.fresh_path(spark, "stream-trades")
     table, ckpt = f"{base}/table", f"{base}/checkpoint"
     land_batches(spark, records, "offset", batches, base)
-    decoded = decode_trades(read_records(spark, base))
-    rows = decoded.select("trade_time_ms", "symbol", "source", "trade_id", "price", "quantity",
-                          side_label(F.col("is_buyer_maker")).alias("side"),
-                          "ingestion_time_ms", "latency_ms", "arrival")
-    run_available(rows, table, ckpt, insert_ignore_writer(table))
+    run_available(read_records(spark, base), table, ckpt, trade_job_writer(table, f"{base}/dlq"))
     return read_sink(spark, table).drop("d")
 
 
@@ -354,12 +377,10 @@ def start_bar_job(records: DataFrame, table: str, checkpoint: str,
         .trigger(processingTime=trigger), state_partitions)
 
 
-def start_trade_job(records: DataFrame, table: str, checkpoint: str, trigger: str = "200 milliseconds"):
-    """Trade job: decode -> side label -> insert-ignore into ``trades``.  Its
-    own checkpoint makes it an independent consumer of the same topic."""
-    decoded = decode_trades(records)
-    rows = decoded.select("trade_time_ms", "symbol", "source", "trade_id", "price", "quantity",
-                          side_label(F.col("is_buyer_maker")).alias("side"),
-                          "ingestion_time_ms", "latency_ms", "arrival")
-    return (rows.writeStream.foreachBatch(insert_ignore_writer(table)).option("checkpointLocation", checkpoint)
-            .trigger(processingTime=trigger).start())
+def start_trade_job(records: DataFrame, table: str, checkpoint: str, dlq: str | None = None,
+                    trigger: str = "200 milliseconds"):
+    """Trade job: decode -> side label -> insert-ignore into ``trades``,
+    undecodable records to ``dlq``.  Its own checkpoint makes it an
+    independent consumer of the same topic."""
+    return (records.writeStream.foreachBatch(trade_job_writer(table, dlq or f"{table}_dlq"))
+            .option("checkpointLocation", checkpoint).trigger(processingTime=trigger).start())
