@@ -68,3 +68,17 @@ def test_plan_pushes_partial_aggregation(spark):
     plan = ohlcv_bars(df)._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan and "partial_sum" in plan
     assert F is not None
+
+
+def test_imbalance_in_range(spark):
+    from pyspark.sql import functions as F
+
+    from tickbars.plans import panels as P
+    from tickbars.plans.jobs import bar_job
+    from tickbars.sources import fixtures as FX
+
+    job = bar_job(FX.trades(spark, "/root/testdata/sf0.001"))
+    for sym in ("BTCUSD", "ETHUSD"):
+        imb = P.panel_imbalance(job, sym)
+        assert imb.count() > 0
+        assert imb.filter((F.col("imbalance") < -1) | (F.col("imbalance") > 1)).count() == 0

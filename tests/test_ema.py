@@ -45,3 +45,17 @@ def test_other_periods(spark):
         got = sorted((r.window_start_ms, r[f"ema{p}"]) for r in ema(df, period=p).collect())
         for (_, g), e in zip(got, _fold(xs, p)):
             assert abs(g - e) < 1e-9
+
+
+def test_ema_bounded_by_closes_on_fixture(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from tickbars.plans.jobs import bars_with_ema
+    from tickbars.sources import fixtures as FX
+
+    bars = bars_with_ema(FX.trades(spark, "/root/testdata/sf0.001"))
+    w = Window.partitionBy("symbol", "source").orderBy("window_start_ms") \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    out = bars.select("ema10", F.min("close").over(w).alias("lo"), F.max("close").over(w).alias("hi"))
+    assert out.filter((F.col("ema10") < F.col("lo") - 1e-9) | (F.col("ema10") > F.col("hi") + 1e-9)).count() == 0
