@@ -53,27 +53,38 @@ def _fs(spark: SparkSession, path: str):
 
 def land_batches(spark: SparkSession, df: DataFrame, order: str, batches: int, folder: str,
                  first: int = 0, last: int | None = None) -> list[str]:
-    """Land ``df`` as JSON files in ``folder``, one file per slice of
-    ``order``, written one after another so that file modification times
-    follow ``order`` (the file source reads files in that order).  A test
-    harness: in production the topic or the landing system does this."""
+    """Land ``df`` as JSON files in ``folder/in``, one file per slice of
+    ``order``, with file modification times increasing with the slice, so
+    the file source reads them in that order.  All slices are written by one
+    job (each slice by one task), then renamed into place and stamped.  A
+    test harness: in production the topic or the landing system does this."""
+    import time
+
     bounds = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
     lo, hi = int(bounds["lo"]), int(bounds["hi"])
     step = (hi - lo) // batches + 1
     last = batches if last is None else last
+    sliced = df.withColumn("_batch", F.floor((F.col(order) - F.lit(lo)) / F.lit(step)).cast("int")) \
+        .filter((F.col("_batch") >= first) & (F.col("_batch") < last))
+    staging = f"{folder}/_staging/{first:05d}-{last:05d}"
+    (sliced.repartition(max(1, last - first), "_batch").sortWithinPartitions("_batch", order)
+     .write.mode("overwrite").partitionBy("_batch").json(staging))
+    fs, sp, jvm = _fs(spark, staging)
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(Path(f"{folder}/in"))
+    stamp = int(time.time() * 1000)
     landed = []
     for i in range(first, last):
-        part = df.filter((F.col(order) >= lo + i * step) & (F.col(order) < lo + (i + 1) * step))
-        staging = f"{folder}/_staging/{i:05d}"
-        part.orderBy(order).coalesce(1).write.mode("overwrite").json(staging)
-        fs, sp, jvm = _fs(spark, staging)
-        for st in fs.listStatus(sp):
-            name = st.getPath().getName()
-            if name.startswith("part-"):
-                dst = jvm.org.apache.hadoop.fs.Path(f"{folder}/in/batch-{i:05d}.json")
-                fs.mkdirs(dst.getParent())
-                fs.rename(st.getPath(), dst)
-                landed.append(str(dst))
+        src_dir = Path(f"{staging}/_batch={i}")
+        if not fs.exists(src_dir):
+            continue
+        parts = sorted((st.getPath() for st in fs.listStatus(src_dir) if st.getPath().getName().startswith("part-")),
+                       key=lambda p: p.getName())
+        for k, src in enumerate(parts):
+            dst = Path(f"{folder}/in/batch-{i:05d}-{k:03d}.json")
+            fs.rename(src, dst)
+            fs.setTimes(dst, stamp + 1000 * (i - first) + k, -1)
+            landed.append(str(dst))
     return landed
 
 
