@@ -199,6 +199,21 @@ def feed_oracles() -> dict[str, str]:
                                     "level_kind as kind, level_side as side, level_price as price, "
                                     "level_qty as quantity, level_kind = 'snapshot' as keep_zero, "
                                     "trade_time_ms as timestamp_ms from frames where kind = 'book' and source = 'KRAKEN'")
+    q["encode_book_json"] = pre + """
+select upper(raw_symbol) as key,
+       json_object('source', source, 'symbol', upper(raw_symbol), 'timestampMs', recv_ms,
+                   'bids', case when level_side = 'bid'
+                                then [{'price': cast(printf('%.2f', level_price) as double),
+                                       'quantity': cast(printf('%.2f', level_qty) as double)}] else [] end,
+                   'asks', case when level_side = 'ask'
+                                then [{'price': cast(printf('%.2f', level_price) as double),
+                                       'quantity': cast(printf('%.2f', level_qty) as double)}] else [] end)::varchar as value
+from frames where kind = 'book' and source = 'BINANCE'"""
+    q["encode_dead_letters"] = pre + """
+select cast(null as varchar) as key,
+       json_object('rawPayload', 'not json ' || cast(seq as varchar), 'error', 'ParseError',
+                   'ingestionTimeMs', recv_ms)::varchar as value
+from frames where kind = 'dead'"""
     q["symbol_filter"] = pre + ("select trade_id, source, raw_symbol from trades "
                                 "where raw_symbol in ('BTCUSDT', 'BTC-USD', 'XBT/USD')")
     q["raw_frames_scan"] = pre + "select source, seq, recv_ms, kind from frames"
