@@ -21,20 +21,18 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from oracle_queries import PANEL_SYMBOL  # noqa: E402
 from oracle_queries import oracle_sql as _oracle_sql  # noqa: E402
 from tickbars import session as S  # noqa: E402
-from tickbars.functions.symbols import canonical_symbol  # noqa: E402
-from tickbars.operators.bars import ohlcv_bars, rollup_bars  # noqa: E402
-from tickbars.operators.ema import ema  # noqa: E402
-from tickbars.operators.spread import match_sources, match_sources_join, spread_bars  # noqa: E402
-from tickbars.plans import panels as P  # noqa: E402
-from tickbars.functions.symbols import composite_key, split_composite_key  # noqa: E402
+from tickbars.functions.symbols import canonical_symbol, composite_key, split_composite_key  # noqa: E402
 from tickbars.functions.timefns import iso_to_ms, ms_to_ts  # noqa: E402
 from tickbars.operators import book as BK  # noqa: E402
 from tickbars.operators import feeds as FD  # noqa: E402
 from tickbars.operators import tables as TB  # noqa: E402
 from tickbars.operators import trades as TR  # noqa: E402
-from tickbars.sources import wire as W  # noqa: E402
+from tickbars.operators.bars import ohlcv_bars, rollup_bars  # noqa: E402
+from tickbars.operators.spread import match_sources, match_sources_join, spread_bars  # noqa: E402
+from tickbars.plans import panels as P  # noqa: E402
 from tickbars.plans.jobs import bar_job, bars_with_ema  # noqa: E402
 from tickbars.sources import fixtures as FX  # noqa: E402
+from tickbars.sources import wire as W  # noqa: E402
 from tickbars.streaming import jobs as J  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -182,12 +180,10 @@ def _upsert(spark, d):
     """Target: bars of the first 8 hours with spread 0; updates: the bar
     job's spread rows with close + 1 (F6)."""
     bars = bars_with_ema(_trades(spark, d))
-    target = bars.filter(F.col("window_start_ms") < F.lit(FX.START_MS + 8 * HOUR_MS)).select(
-        *[F.lit(0.0).alias(c) if c in ("spread_usd", "spread_bps") else F.col(c)
-          for c in TB.BAR_TABLE_COLUMNS if c not in ("spread_usd", "spread_bps")],
-        F.lit(0.0).alias("spread_usd"), F.lit(0.0).alias("spread_bps"))
-    updates = bar_job(_trades(spark, d)).withColumn("close", F.col("close") + 1).select(*TB.BAR_TABLE_COLUMNS)
-    return TB.merge_upsert(target.select(*TB.BAR_TABLE_COLUMNS), updates)
+    target = bars.filter(F.col("window_start_ms") < F.lit(FX.START_MS + 8 * HOUR_MS)) \
+        .withColumns({"spread_usd": F.lit(0.0), "spread_bps": F.lit(0.0)}).select(*TB.BAR_TABLE_COLUMNS)
+    updates = spread_bars(bars).withColumn("close", F.col("close") + 1).select(*TB.BAR_TABLE_COLUMNS)
+    return TB.merge_upsert(target, updates)
 
 
 def _bars_scan(spark, d):
