@@ -170,10 +170,6 @@ def _norm(source: str) -> str:
     return f"select {cols} from frames where kind = 'trade' and source = '{source}'"
 
 
-def _round_cols(cols: str) -> str:
-    return cols
-
-
 def feed_oracles() -> dict[str, str]:
     q: dict[str, str] = {}
     pre = "with " + FRAMES + "\n"
