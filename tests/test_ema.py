@@ -59,3 +59,25 @@ def test_ema_bounded_by_closes_on_fixture(spark):
         .rowsBetween(Window.unboundedPreceding, 0)
     out = bars.select("ema10", F.min("close").over(w).alias("lo"), F.max("close").over(w).alias("hi"))
     assert out.filter((F.col("ema10") < F.col("lo") - 1e-9) | (F.col("ema10") > F.col("hi") + 1e-9)).count() == 0
+
+
+def test_chunked_matches_fold(spark):
+    from tickbars.operators.ema import ema_chunked
+
+    rnd = random.Random(13)
+    rows, ref = [], {}
+    for key, n in (("A", 900), ("B", 5), ("C", 1)):
+        t, xs = 0, []
+        for _ in range(n):
+            t += 60_000 * rnd.choice([1, 1, 3])
+            x = round(rnd.uniform(10, 1000), 2)
+            rows.append((key, "S", t, x))
+            xs.append((t, x))
+        ref[key] = dict(zip([t for t, _ in xs], _fold([x for _, x in xs], 10)))
+    df = spark.createDataFrame(rows, "symbol string, source string, window_start_ms long, close double")
+    for chunk in (7, 64, 4096):
+        got = ema_chunked(df, period=10, chunk=chunk).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            exp = ref[r.symbol][r.window_start_ms]
+            assert abs(r.ema10 - exp) <= 1e-9 * abs(exp), (chunk, r, exp)

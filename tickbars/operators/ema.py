@@ -15,8 +15,17 @@ scan equals the full-history fold (to floating-point rounding), for any
 number of bars, with S = 12 passes for N = 10.
 
 All work is built-in column arithmetic and ``lag`` windows (JVM, no Python).
-The window partition is one (symbol, source) key, whose size is bounded by
-the time span (one bar per interval), not by the trade volume.
+
+Two layouts:
+* ``ema``: the window partition is one (symbol, source) key -- bounded by
+  the time span (one bar per interval), not by the trade volume;
+* ``ema_chunked``: the key's bars are cut into time chunks of at most
+  ``chunk`` bars; the doubling scan runs inside each chunk (exact, the chunk
+  is shorter than 2^S); each chunk's total map is folded directly from its
+  values (a bounded ``collect_list``); the totals of earlier chunks are
+  folded per key on that small table, and the carry is joined back.  No task holds more than one chunk of a key.  It
+  reads its input twice, so give it a written table (session.materialize),
+  not a lineage that would re-run upstream work.
 """
 
 from __future__ import annotations
@@ -65,3 +74,87 @@ def ema(
             F.when(pb.isNull(), F.col("_B")).otherwise(F.col("_A") * pb + F.col("_B")).alias("_B"),
         )
     return df.withColumnRenamed("_B", out).drop("_A")
+
+
+def _doubling(df, by, steps: int, a: float, w: float, value: str, seed_first: bool):
+    """Prefix composition of the per-row affine maps over window ``by``."""
+    first = F.lag(F.lit(1), 1).over(by).isNull()
+    if seed_first:
+        A0 = F.when(first, F.lit(0.0)).otherwise(F.lit(w))
+        B0 = F.when(first, F.col(value)).otherwise(F.lit(a) * F.col(value))
+    else:
+        A0, B0 = F.lit(w), F.lit(a) * F.col(value)
+    df = df.withColumn("_A", A0).withColumn("_B", B0)
+    for s in range(steps):
+        d = 2 ** s
+        pa, pb = F.lag("_A", d).over(by), F.lag("_B", d).over(by)
+        df = df.select(
+            *[c for c in df.columns if c not in ("_A", "_B")],
+            F.when(pa.isNull(), F.col("_A")).otherwise(F.col("_A") * pa).alias("_A"),
+            F.when(pb.isNull(), F.col("_B")).otherwise(F.col("_A") * pb + F.col("_B")).alias("_B"),
+        )
+    return df
+
+
+def chunk_of(order: str, step_ms: int, chunk: int):
+    """Time chunk of a bar: ``chunk`` intervals, so at most ``chunk`` bars per key."""
+    return F.floor(F.col(order) / F.lit(step_ms * chunk)).cast("bigint")
+
+
+def ema_chunked(
+    bars: DataFrame,
+    period: int = 10,
+    value: str = "close",
+    keys: tuple[str, ...] = ("symbol", "source"),
+    order: str = "window_start_ms",
+    step_ms: int = 60_000,
+    chunk: int = 4096,
+    chunk_col: str = "_chunk",
+    out: str | None = None,
+    partition_keys: tuple[str, ...] | None = None,
+) -> DataFrame:
+    """The same EMA as ``ema``, evaluated per (key, time chunk); keeps
+    ``chunk_col`` so a caller can partition later steps on it too.
+
+    ``partition_keys`` (a prefix of ``keys``, e.g. ("symbol",)): the input is
+    hash-partitioned on partition_keys + chunk.  The carries are then packed
+    per (partition_keys, chunk) into a map keyed by the other key columns,
+    so the join back uses exactly the input's partitioning and only the
+    small carry table is shuffled."""
+    out = out or f"ema{period}"
+    a = 2.0 / (period + 1)
+    w = 1.0 - a
+    keys = list(keys)
+    base = bars if chunk_col in bars.columns else bars.withColumn(chunk_col, chunk_of(order, step_ms, chunk))
+    in_chunk = Window.partitionBy(*keys, chunk_col).orderBy(order)
+    steps = max(1, math.ceil(math.log2(chunk)))
+    x = _doubling(base, in_chunk, steps, a, w, value, seed_first=False)
+    # One row per chunk: its total map, folded directly from the chunk's
+    # values (at most ``chunk`` of them, in time order) -- this branch reads
+    # only (key, time, value) and runs no windows.
+    ident = F.struct(F.lit(1.0).alias("_A"), F.lit(0.0).alias("_B"))
+    tot = base.groupBy(*keys, chunk_col).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(order).alias("t"), F.col(value).alias("v")))).alias("_xs"))
+    tot = tot.select(
+        *keys, chunk_col,
+        F.aggregate("_xs", ident, lambda acc, e: F.struct((acc["_A"] * F.lit(w)).alias("_A"),
+                                                          (acc["_B"] * F.lit(w) + F.lit(a) * e["v"]).alias("_B"))
+                    ).alias("_t"),
+        F.element_at("_xs", 1)["v"].alias("_x_first"))
+    by_chunk = Window.partitionBy(*keys).orderBy(chunk_col)
+    carry = (tot
+             .withColumn("_x0", F.first("_x_first").over(by_chunk.rowsBetween(Window.unboundedPreceding, 0)))
+             .withColumn("_prev", F.collect_list("_t").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)))
+             # state entering the chunk: x0 (the seed, so the first bar's EMA is its
+             # close) pushed through every earlier chunk's total map, in order
+             .select(*keys, chunk_col, F.aggregate("_prev", F.col("_x0"),
+                                                   lambda acc, t: t["_A"] * acc + t["_B"]).alias("_carry")))
+    if partition_keys:
+        rest = [k for k in keys if k not in partition_keys]
+        packed = carry.groupBy(*partition_keys, chunk_col).agg(
+            F.map_from_entries(F.collect_list(F.struct(F.struct(*rest), F.col("_carry")))).alias("_carries"))
+        res = x.join(packed, on=list(partition_keys) + [chunk_col], how="inner") \
+            .withColumn("_carry", F.element_at("_carries", F.struct(*rest))).drop("_carries")
+    else:
+        res = x.join(carry, on=keys + [chunk_col], how="inner")
+    return res.withColumn(out, F.col("_A") * F.col("_carry") + F.col("_B")).drop("_A", "_B", "_carry")

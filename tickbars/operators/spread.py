@@ -16,19 +16,22 @@ MATCH_SOURCES = ("BINANCE", "COINBASE", "KRAKEN")
 
 
 def match_sources(bars: DataFrame, sources: tuple[str, ...] = MATCH_SOURCES,
-                  time_col: str = "window_start_ms") -> DataFrame:
-    """Bars of the (symbol, window) groups in which every source has a bar."""
-    g = Window.partitionBy("symbol", time_col)
+                  time_col: str = "window_start_ms", group_extra: tuple[str, ...] = ()) -> DataFrame:
+    """Bars of the (symbol, window) groups in which every source has a bar.
+    ``group_extra``: columns that are functions of the window (e.g. its time
+    chunk), added to the window partition so an existing partitioning on
+    (symbol, chunk) is reused."""
+    g = Window.partitionBy("symbol", *group_extra, time_col)
     b = bars.filter(F.col("source").isin(*sources))
     b = b.withColumn("_n", F.size(F.collect_set("source").over(g)))
     return b.filter(F.col("_n") == len(sources)).drop("_n")
 
 
 def spread_bars(bars: DataFrame, sources: tuple[str, ...] = MATCH_SOURCES,
-                time_col: str = "window_start_ms") -> DataFrame:
+                time_col: str = "window_start_ms", group_extra: tuple[str, ...] = ()) -> DataFrame:
     """Matched bars with spread_usd = max(close) - min(close) and
     spread_bps = spread_usd / avg(close) * 10000 (null when avg is 0)."""
-    g = Window.partitionBy("symbol", time_col)
+    g = Window.partitionBy("symbol", *group_extra, time_col)
     b = bars.filter(F.col("source").isin(*sources))
     b = b.select(
         "*",

@@ -1,9 +1,17 @@
-"""The batch form of the two streaming jobs.
-
-Bar job: trades -> OHLCV per (canonical symbol, source, minute) -> EMA per
-(symbol, source) -> three-source match with spread.  Shuffles: one partial
-aggregate of the trades (the only step whose input is trade-sized), then
-bar-sized steps only.
+"""The batch form of the bar job.
+
+trades -> OHLCV per (canonical symbol, source, minute) -> EMA per (symbol,
+source) -> three-source match with spread.
+
+Shuffles: one partial aggregate of the trades (the only trade-sized step,
+combined map-side, so a hot symbol is not a hot partition).  Its output,
+the bars, is written once to the shared folder (``session.materialize``):
+the lineage is cut after the expensive stage, and the chunked EMA may read
+the bar table twice.  The bars are then hash-partitioned once on (symbol,
+time chunk); that partitioning serves the EMA windows (symbol, source,
+chunk), the carry join (packed per symbol and chunk) and the spread window
+(symbol, chunk, minute).  No task holds more than one time chunk
+(``chunk`` bar intervals) of one symbol.
 """
 
 from __future__ import annotations
@@ -11,24 +19,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tickbars.operators.bars import MINUTE_MS, ohlcv_bars
-from tickbars.operators.ema import ema
+from tickbars.operators.ema import chunk_of, ema_chunked
 from tickbars.operators.spread import MATCH_SOURCES, spread_bars
+from tickbars.session import materialize
+
+CHUNK_BARS = 4096  # time chunk of the EMA/spread stage, in bar intervals
+
+
+def _bars_ema(trades: DataFrame, interval_ms: int, period: int, arrival: str, chunk: int) -> DataFrame:
+    bars = materialize(ohlcv_bars(trades, interval_ms=interval_ms, arrival=arrival), "bars")
+    bars = bars.withColumn("_chunk", chunk_of("window_start_ms", interval_ms, chunk)) \
+        .repartition("symbol", "_chunk")
+    return ema_chunked(bars, period=period, step_ms=interval_ms, chunk=chunk, chunk_col="_chunk",
+                       out="ema10", partition_keys=("symbol",))
 
 
 def bars_with_ema(trades: DataFrame, interval_ms: int = MINUTE_MS, period: int = 10,
-                  arrival: str = "arrival") -> DataFrame:
-    """Bars + EMA.  The trade aggregate shuffles on (symbol, source, minute),
-    spread evenly even when one symbol carries most trades.  Its output, the
-    bars, is then hash-partitioned once by ``symbol``: that one exchange
-    satisfies both the EMA window (symbol, source) and the spread window
-    (symbol, minute), so no further shuffle is planned.  A symbol holds at
-    most one bar per source and interval, so this partition is bounded by
-    the time span, not by the trade volume."""
-    bars = ohlcv_bars(trades, interval_ms=interval_ms, arrival=arrival).repartition("symbol")
-    return ema(bars, period=period, out="ema10")
+                  arrival: str = "arrival", chunk: int = CHUNK_BARS) -> DataFrame:
+    """All bars with their EMA."""
+    return _bars_ema(trades, interval_ms, period, arrival, chunk).drop("_chunk")
 
 
 def bar_job(trades: DataFrame, interval_ms: int = MINUTE_MS, period: int = 10,
-            sources: tuple[str, ...] = MATCH_SOURCES, arrival: str = "arrival") -> DataFrame:
+            sources: tuple[str, ...] = MATCH_SOURCES, arrival: str = "arrival",
+            chunk: int = CHUNK_BARS) -> DataFrame:
     """Rows the bar job writes to the ``ohlcv`` table (matched bars + spread)."""
-    return spread_bars(bars_with_ema(trades, interval_ms, period, arrival), sources)
+    b = _bars_ema(trades, interval_ms, period, arrival, chunk)
+    return spread_bars(b, sources, group_extra=("_chunk",)).drop("_chunk")
