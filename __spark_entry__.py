@@ -75,7 +75,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["bar_vwap"] = lambda s, d: _bars(s, d).select("symbol", "source", "window_start_ms", "vwap")
     q["ema10"] = lambda s, d: bars_with_ema(_trades(s, d))
     q["match_sources"] = lambda s, d: match_sources(bars_with_ema(_trades(s, d)))
-    q["match_sources_join"] = lambda s, d: match_sources_join(_bars(s, d))
+    q["match_sources_join"] = lambda s, d: match_sources_join(S.materialize(_bars(s, d), "bars"))
     q["spread_bars"] = lambda s, d: _job(s, d)
     q["canonical_symbol"] = lambda s, d: _trades(s, d).select(
         "trade_id", "raw_symbol", canonical_symbol("raw_symbol").alias("canonical"))
