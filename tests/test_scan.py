@@ -26,3 +26,22 @@ def test_chunked_running_matches_sequential(spark):
                 if not excl:
                     exp = acc
                 assert got[(k, o)] == exp, (how, k, o)
+
+
+def test_chunked_scans_multi(spark):
+    from tickbars.operators.scan import chunked_scans
+
+    rnd = random.Random(9)
+    rows = [(rnd.choice("ab"), i, rnd.randrange(100)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, o long, v long")
+    got = {(r.k, r.o): r for r in chunked_scans(df, ["k"], ["o"], F.floor(F.col("o") / 13), [
+        ("s", F.col("v"), "sum", False, False),
+        ("mx", F.col("v"), "max", True, False),
+        ("nx", F.col("v"), "min", True, True)]).collect()}
+    for k in "ab":
+        seq = [(o, v) for kk, o, v in rows if kk == k]
+        for i, (o, v) in enumerate(seq):
+            r = got[(k, o)]
+            assert r.s == sum(x for _, x in seq[:i + 1])
+            assert r.mx == (max(x for _, x in seq[:i]) if i else None)
+            assert r.nx == (min(x for _, x in seq[i + 1:]) if i + 1 < len(seq) else None)

@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickbars.operators.scan import chunked_running
+from tickbars.operators.scan import chunked_running, chunked_scans
 
 KEYS = ["source", "symbol"]
 
@@ -60,39 +60,48 @@ def prepare(deltas: DataFrame) -> DataFrame:
     return d.withColumn("side", side)
 
 
-def _ranked(deltas: DataFrame, keys: list[str], chunk: int) -> DataFrame:
-    """Prepared rows with ``rank`` (1-based message number within the key)
-    and ``epoch`` (snapshots so far), both chunked running counts."""
+def _scanned(deltas: DataFrame, keys: list[str], chunk: int) -> DataFrame:
+    """Prepared rows with ``rank`` (1-based message number within the key) and
+    ``epoch`` (snapshots so far), both from one chunked pass over the key."""
     d = prepare(deltas)
-    order = ["seq", "sub", "lpos"]
-    ch = F.floor(F.col("seq") / F.lit(chunk))
     first_row = F.col("lpos") == 0
-    d = chunked_running(d, keys, order, F.when(first_row, 1).otherwise(0), "sum", ch, "rank")
-    return chunked_running(d, keys, order, F.when(first_row & (F.col("kind") == "snapshot"), 1).otherwise(0),
-                           "sum", ch, "epoch")
+    return chunked_scans(d, keys, ["seq", "sub", "lpos"], F.floor(F.col("seq") / F.lit(chunk)), [
+        ("rank", F.when(first_row, 1).otherwise(0), "sum", False, False),
+        ("epoch", F.when(first_row & (F.col("kind") == "snapshot"), 1).otherwise(0), "sum", False, False),
+    ])
 
 
-def live_intervals(ranked: DataFrame, keys: list[str] = KEYS, chunk: int = 1 << 16) -> DataFrame:
+def live_intervals(scanned: DataFrame, keys: list[str] = KEYS, chunk: int = 1 << 16) -> DataFrame:
     """Each level change with its validity [start, end) in message order;
-    ``end`` null means open to the end of the stream."""
+    ``end`` null means open to the end of the stream.  The end is the next
+    change of the same level in the epoch (a chunked suffix scan) or the
+    start of the next epoch (a small table: one row per snapshot message)."""
     order = ["seq", "sub", "lpos"]
     ch = F.floor(F.col("seq") / F.lit(chunk))
-    snap_first = (F.col("kind") == "snapshot") & (F.col("lpos") == 0)
-    d = chunked_running(ranked, keys, order, F.when(snap_first, _pos()), "min", ch, "_next_snap",
-                        exclusive=True, reverse=True)
-    v = d.filter(F.col("side").isNotNull())
+    starts = scanned.filter((F.col("lpos") == 0) & (F.col("kind") == "snapshot")) \
+        .select(*keys, (F.col("epoch") - 1).alias("epoch"), _pos().alias("_next_epoch"))
+    v = scanned.filter(F.col("side").isNotNull())
     v = chunked_running(v, keys + ["epoch", "side", "price"], order, _pos(), "min", ch, "_next_change",
                         exclusive=True, reverse=True)
-    end = F.least(F.col("_next_change"), F.col("_next_snap"))
+    v = v.join(starts, on=keys + ["epoch"], how="left")
+    end = F.least(F.col("_next_change"), F.col("_next_epoch"))
     deleted = (F.col("quantity") == 0) & ~F.col("keep_zero")
     return v.select(*keys, "epoch", "side", "price", "quantity", _pos().alias("start"), end.alias("end"),
                     deleted.alias("deleted"))
 
 
 def book_levels_asof(deltas: DataFrame, keys: list[str] = KEYS, chunk: int = 1 << 16,
-                     bucket: int = 1024) -> DataFrame:
-    """(key, seq, sub, side, price, quantity): every level alive after each message."""
-    ranked = _ranked(deltas, keys, chunk)
+                     bucket: int = 1024, write_ranked: bool = True) -> DataFrame:
+    """(key, seq, sub, side, price, quantity): every level alive after each message.
+
+    ``write_ranked``: the ranked level changes are used three times (epoch
+    starts, validity intervals, message list); writing them once to the
+    shared folder lets each use read that table instead of re-running the
+    scan."""
+    ranked = _scanned(deltas, keys, chunk)
+    if write_ranked:
+        from tickbars.session import materialize
+        ranked = materialize(ranked, "book-ranked")
     live = live_intervals(ranked, keys, chunk).filter(
         ~F.col("deleted") & (F.col("end").isNull() | (F.col("start") < F.col("end"))))
     msgs = ranked.filter(F.col("lpos") == 0).select(*keys, "seq", "sub", "rank")

@@ -59,3 +59,41 @@ def chunked_running(
     x = x.join(chunks, on=[*part, "_chunk"], how="left")
     return x.withColumn(out, _combine(how, F.col("_carry"), F.col("_local"))) \
             .drop("_chunk", "_val", "_local", "_carry")
+
+
+def chunked_scans(df: DataFrame, part: list[str], order: list[str], chunk: Column,
+                  specs: list[tuple[str, Column, str, bool, bool]]) -> DataFrame:
+    """Several running aggregates over the same key and order in one pass.
+
+    ``specs``: (out, value, how, exclusive, reverse).  A forward aggregate
+    uses the frame up to the row, a reverse one the frame from the row to the
+    end, in the same order -- so all share one window partition
+    (part, chunk), one per-chunk total table and one join, instead of one
+    round trip (and one re-read of the input) each."""
+    x = df.withColumn("_chunk", chunk)
+    vals = {out: f"_v{i}" for i, (out, *_r) in enumerate(specs)}
+    for out, value, *_r in specs:
+        x = x.withColumn(vals[out], value)
+    w = Window.partitionBy(*part, "_chunk").orderBy(*[F.col(c) for c in order])
+    locals_ = []
+    for out, _v, how, exclusive, reverse in specs:
+        if reverse:
+            frame = w.rowsBetween(1 if exclusive else 0, Window.unboundedFollowing)
+        else:
+            frame = w.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+        locals_.append(_AGG[how](vals[out]).over(frame).alias(f"_l{vals[out]}"))
+    x = x.select("*", *locals_)
+    chunks = x.groupBy(*part, "_chunk").agg(*[_AGG[how](vals[out]).alias(f"_t{vals[out]}")
+                                             for out, _v, how, _e, _r in specs])
+    by_chunk = Window.partitionBy(*part).orderBy("_chunk")
+    before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+    after = by_chunk.rowsBetween(1, Window.unboundedFollowing)
+    chunks = chunks.select(*part, "_chunk", *[
+        _AGG[how](f"_t{vals[out]}").over(after if reverse else before).alias(f"_c{vals[out]}")
+        for out, _v, how, _e, reverse in specs])
+    x = x.join(chunks, on=[*part, "_chunk"], how="left")
+    for out, _v, how, _e, _r in specs:
+        v = vals[out]
+        x = x.withColumn(out, _combine(how, F.col(f"_c{v}"), F.col(f"_l{v}")))
+        x = x.drop(v, f"_l{v}", f"_c{v}")
+    return x.drop("_chunk")
