@@ -82,3 +82,12 @@ def test_counts(spark):
     c = {r.source: r for r in FD.feed_counts(_frames(spark)).collect()}
     assert (c["BINANCE"].frames, c["BINANCE"].dead_frames, c["BINANCE"].ignored_frames) == (5, 1, 1)
     assert c["COINBASE"].ignored_frames == 1 and c["KRAKEN"].book_frames == 1
+
+
+def test_feed2_positions_across_events(spark):
+    t = '{"product_id":"BTC-USD","price":"%s","size":"1","trade_id":"%d","time":"","side":"BUY"}'
+    raw = ('{"channel":"market_trades","events":[{"trades":[%s,%s]},{"trades":[%s,%s]}]}'
+           % (t % ("1", 1), t % ("2", 2), t % ("3", 3), t % ("4", 4)))
+    fr = spark.createDataFrame([("COINBASE", 9, 100, raw)], SCHEMA)
+    got = sorted((r.pos, r.trade_id, r.price) for r in FD.union_feeds(fr).collect())
+    assert got == [(0, 1, 1.0), (1, 2, 2.0), (2, 3, 3.0), (3, 4, 4.0)]

@@ -43,7 +43,6 @@ TRADE_COLUMNS = ["source", "seq", "pos", "event_type", "event_time_ms", "symbol"
 DELTA_COLUMNS = ["source", "symbol", "seq", "sub", "lpos", "kind", "side", "price", "quantity",
                  "keep_zero", "timestamp_ms"]
 VARR = "array<variant>"
-SUB_STRIDE = 1 << 20  # pos of a feed-2 trade = event index * stride + trade index
 
 
 def _get(v: Column, path: str, dtype: str) -> Column:
@@ -89,17 +88,19 @@ def _feed1_trades(d: Column) -> Column:
 
 
 def _feed2_trades(v: Column, recv: Column) -> Column:
-    def one(t: Column, i: Column, j: Column) -> Column:
+    def one(t: Column) -> Column:
         price, b1 = _field(t, "$.price", "double", 0.0)
         size, b2 = _field(t, "$.size", "double", 0.0)
         t_time, b3 = _iso_time(_text(t, "$.time"), recv)
         tid = F.coalesce(_get(t, "$.trade_id", "bigint"), F.lit(0).cast("bigint"))
-        return _trade(i * SUB_STRIDE + j, recv, coinbase_symbol(_text(t, "$.product_id")), tid,
+        return _trade(F.lit(0), recv, coinbase_symbol(_text(t, "$.product_id")), tid,
                       price, size, t_time, _text(t, "$.side") == "SELL", b1 | b2 | b3)
 
     events = F.coalesce(_get(v, "$.events", VARR), F.array().cast(VARR))
-    return F.flatten(F.transform(events, lambda e, i: F.transform(
-        F.coalesce(_get(e, "$.trades", VARR), F.array().cast(VARR)), lambda t, j: one(t, i, j))))
+    flat = F.flatten(F.transform(events, lambda e: F.transform(
+        F.coalesce(_get(e, "$.trades", VARR), F.array().cast(VARR)), one)))
+    # pos: the trade's place in the frame (events in order, trades in order)
+    return F.transform(flat, lambda x, k: x.withField("pos", k.cast("bigint")))
 
 
 def _feed3_trades(v: Column, recv: Column) -> Column:
