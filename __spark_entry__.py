@@ -215,6 +215,8 @@ def _feed_queries():
     q["book_feed2_deltas"] = lambda s, d: FD.book_rows(_frames(s, d)).filter(F.col("source") == "COINBASE")
     q["book_feed3_deltas"] = lambda s, d: FD.book_rows(_frames(s, d)).filter(F.col("source") == "KRAKEN")
     q["symbol_filter"] = lambda s, d: _symbol_filter(_trades(s, d))
+    q["bars_from_frames"] = lambda s, d: ohlcv_bars(
+        FD.union_feeds(_frames(s, d)).withColumn("arrival", F.struct("seq", "pos")))
     q["encode_book_json"] = lambda s, d: W.encode_books(FD.feed1_books(_frames(s, d)))
     q["encode_dead_letters"] = lambda s, d: W.encode_dead_letters(FD.dead_letters(_frames(s, d)))
     return q
