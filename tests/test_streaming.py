@@ -63,3 +63,20 @@ def test_trade_job_dead_letters(spark):
     assert table.count() == 990
     base = table.inputFiles()[0].split("/table/")[0]
     assert spark.read.parquet(f"{base}/dlq").count() == 10
+
+
+def test_late_drop_rule_on_handmade_batches(spark):
+    """A row of micro-batch N is dropped iff its window end <= (max event time
+    of batches <= N-2) - 5 s.  Batch 2 holds a trade at 50 s (window end 60 s
+    <= 100 s - 5 s: dropped) and one at 150 s (window [120, 180) s is still
+    open: counted)."""
+    from tickbars.streaming import jobs as J
+
+    cols = J.TRADE_FILE_SCHEMA.simpleString()[len("struct<"):-1]
+    times = [100_000, 101_000, 200_000, 201_000, 50_000, 150_000]
+    rows = [(i, "BTCUSDT", "BINANCE", t, 10.0 + i, 1.0, False, t, 0, i) for i, t in enumerate(times)]
+    m = {}
+    bars = J.run_bar_job(spark, spark.createDataFrame(rows, cols), batches=3, what="bars", metrics=m)
+    assert m["dropped_late"] == 1
+    got = sorted((r.window_start_ms, r.trade_count) for r in bars.collect())
+    assert got == [(60_000, 2), (120_000, 1)]

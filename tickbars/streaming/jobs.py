@@ -116,7 +116,15 @@ def run_available(query_df: DataFrame, sink: str, checkpoint: str, writer=None,
     """Process everything available now, then stop (Trigger.AvailableNow)."""
     w = (query_df.writeStream.foreachBatch(writer or batch_writer(sink))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
-    start_with_state_partitions(query_df.sparkSession, w, state_partitions).awaitTermination()
+    q = start_with_state_partitions(query_df.sparkSession, w, state_partitions)
+    q.awaitTermination()
+    return q
+
+
+def rows_dropped_by_watermark(q) -> int:
+    """Late rows the stateful operators dropped, summed over the query's
+    progress reports (the reference drops them silently)."""
+    return sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
 
 
 def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
@@ -170,12 +178,14 @@ def read_trade_files(spark: SparkSession, folder: str, files_per_batch: int = 1)
 
 
 def run_bar_job(spark: SparkSession, trades: DataFrame, batches: int = 4, stages: tuple[int, ...] = (),
-                what: str = "spread") -> DataFrame:
+                what: str = "spread", metrics: dict | None = None) -> DataFrame:
     """Land ``trades`` in time order and run the bar stream over them.
 
     ``stages``: stop-and-restart points (batch numbers) -- the query is
     stopped after landing each stage and restarted from its checkpoint.
     ``what``: 'bars' (window aggregate only), 'ema' or 'spread' (full job).
+    ``metrics``: if given, receives ``dropped_late`` (rows dropped by the
+    watermark).
     """
     S.configure(spark)
     S.ship_package(spark)
@@ -191,7 +201,9 @@ def run_bar_job(spark: SparkSession, trades: DataFrame, batches: int = 4, stages
             out = bar_stream(src)
         else:
             out = spread_stream(bar_stream(src))
-        run_available(out, sink, ckpt)
+        q = run_available(out, sink, ckpt)
+        if metrics is not None:
+            metrics["dropped_late"] = metrics.get("dropped_late", 0) + rows_dropped_by_watermark(q)
     return read_sink(spark, sink)
 
 
