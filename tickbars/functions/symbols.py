@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tickbars.constants import FEED3_BASE_ALIAS, QUOTE_WITH_T
+
 KEY_SEP = "~"
 
 
@@ -15,7 +17,7 @@ def _c(c: Column | str) -> Column:
 def canonical_symbol(c: Column | str) -> Column:
     """BTCUSDT / BTC-USD / BTC-USDT -> BTCUSD: drop a trailing T of USDT, then '-'."""
     s = _c(c)
-    trimmed = F.when(s.endswith("USDT"), s.substr(F.lit(1), F.length(s) - 1)).otherwise(s)
+    trimmed = F.when(s.endswith(QUOTE_WITH_T), s.substr(F.lit(1), F.length(s) - 1)).otherwise(s)
     return F.replace(trimmed, F.lit("-"), F.lit(""))
 
 
@@ -26,7 +28,7 @@ def coinbase_symbol(c: Column | str) -> Column:
 
 def kraken_symbol(c: Column | str) -> Column:
     """Feed 3 pair -> symbol: remove '/', then XBT -> BTC."""
-    return F.replace(F.replace(_c(c), F.lit("/"), F.lit("")), F.lit("XBT"), F.lit("BTC"))
+    return F.replace(F.replace(_c(c), F.lit("/"), F.lit("")), F.lit(FEED3_BASE_ALIAS[0]), F.lit(FEED3_BASE_ALIAS[1]))
 
 
 def stream_symbol(c: Column | str) -> Column:

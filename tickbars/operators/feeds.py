@@ -33,10 +33,13 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickbars.constants import (BID, FEED1_DEPTH_MARKER, FEED1_TRADE_EVENT, FEED2_BOOK_CHANNEL,
+                                FEED2_SELL, FEED2_TRADE_CHANNEL, FEED3_BOOK_CHANNEL, FEED3_SELL,
+                                FEED3_TRADE_CHANNEL, PARSE_ERROR, SNAPSHOT, SOURCE_FEED1,
+                                SOURCE_FEED2, SOURCE_FEED3)
 from tickbars.functions.symbols import coinbase_symbol, kraken_symbol, stream_symbol
 from tickbars.functions.timefns import iso_to_ms
 
-PARSE_ERROR = "ParseError"
 TRADE_COLUMNS = ["source", "seq", "pos", "event_type", "event_time_ms", "symbol", "trade_id",
                  "price", "quantity", "trade_time_ms", "is_buyer_maker", "ingestion_time_ms",
                  "latency_ms"]
@@ -94,7 +97,7 @@ def _feed2_trades(v: Column, recv: Column) -> Column:
         t_time, b3 = _iso_time(_text(t, "$.time"), recv)
         tid = F.coalesce(_get(t, "$.trade_id", "bigint"), F.lit(0).cast("bigint"))
         return _trade(F.lit(0), recv, coinbase_symbol(_text(t, "$.product_id")), tid,
-                      price, size, t_time, _text(t, "$.side") == "SELL", b1 | b2 | b3)
+                      price, size, t_time, _text(t, "$.side") == FEED2_SELL, b1 | b2 | b3)
 
     events = F.coalesce(_get(v, "$.events", VARR), F.array().cast(VARR))
     flat = F.flatten(F.transform(events, lambda e: F.transform(
@@ -110,7 +113,7 @@ def _feed3_trades(v: Column, recv: Column) -> Column:
                       F.coalesce(_get(t, "$.trade_id", "bigint"), F.lit(0).cast("bigint")),
                       F.coalesce(_get(t, "$.price", "double"), F.lit(0.0)),
                       F.coalesce(_get(t, "$.qty", "double"), F.lit(0.0)),
-                      t_time, _text(t, "$.side") == "sell", bad)
+                      t_time, _text(t, "$.side") == FEED3_SELL, bad)
 
     data = F.coalesce(_get(v, "$.data", VARR), F.array().cast(VARR))
     return F.transform(data, one)
@@ -128,7 +131,7 @@ def _level(sub, kind, symbol, side, price, qty, keep_zero, ts, bad, lpos=None) -
 def _feed2_levels(v: Column, recv: Column) -> Column:
     """events[] of l2_data: one message per event; 'bid' -> bid, any other side -> ask."""
     def event(e: Column, i: Column) -> Column:
-        kind = F.when(_text(e, "$.type") == "snapshot", "snapshot").otherwise("update")
+        kind = F.when(_text(e, "$.type") == SNAPSHOT, SNAPSHOT).otherwise("update")
         sym = coinbase_symbol(_text(e, "$.product_id"))
         ts, bad_t = _iso_time(_text(e, "$.time"), recv)
         ups = F.coalesce(_get(e, "$.updates", VARR), F.array().cast(VARR))
@@ -136,7 +139,7 @@ def _feed2_levels(v: Column, recv: Column) -> Column:
         def upd(u: Column, j: Column) -> Column:
             price, b1 = _field(u, "$.price_level", "double", 0.0)
             qty, b2 = _field(u, "$.new_quantity", "double", 0.0)
-            side = F.when(_text(u, "$.side") == "bid", "bid").otherwise("ask")
+            side = F.when(_text(u, "$.side") == BID, "bid").otherwise("ask")
             return _level(i, kind, sym, side, price, qty, F.lit(False), ts, bad_t | b1 | b2, j)
 
         empty = F.array(_level(i, kind, sym, F.lit(None).cast("string"), F.lit(None).cast("double"),
@@ -149,8 +152,8 @@ def _feed2_levels(v: Column, recv: Column) -> Column:
 
 def _feed3_levels(v: Column, recv: Column) -> Column:
     """Frame-level type; data[].bids/asks of {price, qty}; snapshots keep zeros."""
-    kind = F.when(_text(v, "$.type") == "snapshot", "snapshot").otherwise("update")
-    keep = kind == "snapshot"
+    kind = F.when(_text(v, "$.type") == SNAPSHOT, SNAPSHOT).otherwise("update")
+    keep = kind == SNAPSHOT
 
     def item(d: Column, i: Column) -> Column:
         sym = kraken_symbol(_text(d, "$.symbol"))
@@ -191,24 +194,25 @@ def parse_frames(frames: DataFrame, strict: bool = True, metrics: str | None = N
                  _text(v, "$.stream").alias("_stream"), _text(v, "$.channel").alias("_channel"),
                  F.coalesce(_get(v, "$.data", "variant"), v).alias("_d"))
     src, d, recv = F.col("source"), F.col("_d"), F.col("recv_ms")
-    b_trade = F.coalesce(_get(d, "$.e", "string") == "trade", F.lit(False)) if strict else F.lit(True)
+    b_trade = F.coalesce(_get(d, "$.e", "string") == FEED1_TRADE_EVENT, F.lit(False)) if strict else F.lit(True)
+    ch = F.col("_channel")
     kind = (F.when(v.isNull(), "dead")
-            .when(src == "BINANCE", F.when(F.col("_stream").contains("@depth"), "book")
+            .when(src == SOURCE_FEED1, F.when(F.col("_stream").contains(FEED1_DEPTH_MARKER), "book")
                   .when(b_trade, "trade").otherwise("ignored"))
-            .when(src == "COINBASE", F.when(F.col("_channel") == "market_trades", "trade")
-                  .when(F.col("_channel") == "l2_data", "book").otherwise("ignored"))
-            .when(src == "KRAKEN", F.when(F.col("_channel") == "trade", "trade")
-                  .when(F.col("_channel") == "book", "book").otherwise("ignored"))
+            .when(src == SOURCE_FEED2, F.when(ch == FEED2_TRADE_CHANNEL, "trade")
+                  .when(ch == FEED2_BOOK_CHANNEL, "book").otherwise("ignored"))
+            .when(src == SOURCE_FEED3, F.when(ch == FEED3_TRADE_CHANNEL, "trade")
+                  .when(ch == FEED3_BOOK_CHANNEL, "book").otherwise("ignored"))
             .otherwise("ignored"))
     p = p.withColumn("kind", kind)
     trades = (F.when(F.col("kind") != "trade", F.lit(None))
-              .when(src == "BINANCE", _feed1_trades(d))
-              .when(src == "COINBASE", _feed2_trades(v, recv))
+              .when(src == SOURCE_FEED1, _feed1_trades(d))
+              .when(src == SOURCE_FEED2, _feed2_trades(v, recv))
               .otherwise(_feed3_trades(v, recv)))
     levels = (F.when(F.col("kind") != "book", F.lit(None))
-              .when(src == "COINBASE", _feed2_levels(v, recv))
-              .when(src == "KRAKEN", _feed3_levels(v, recv)))
-    book = F.when((F.col("kind") == "book") & (src == "BINANCE"), _feed1_book(d))
+              .when(src == SOURCE_FEED2, _feed2_levels(v, recv))
+              .when(src == SOURCE_FEED3, _feed3_levels(v, recv)))
+    book = F.when((F.col("kind") == "book") & (src == SOURCE_FEED1), _feed1_book(d))
     p = p.select("source", "seq", "recv_ms", "raw", "kind", "_stream",
                  trades.alias("trades"), levels.alias("levels"), book.alias("book"))
     book_bad = F.exists(F.concat(F.col("book.bids"), F.col("book.asks")),
@@ -304,7 +308,7 @@ def book_rows(frames: DataFrame, strict: bool = True) -> DataFrame:
 def feed1_books(frames: DataFrame, strict: bool = True) -> DataFrame:
     """Feed-1 partial-depth frames -> stateless snapshots (O-42); symbol from
     the stream name, time = receive time."""
-    p = parse_frames(frames.filter(F.col("source") == "BINANCE"), strict)
+    p = parse_frames(frames.filter(F.col("source") == SOURCE_FEED1), strict)
     p = p.filter((F.col("kind") == "book") & ~F.col("bad"))
     return p.select("source", "seq", stream_symbol("_stream").alias("symbol"),
                     F.col("recv_ms").alias("timestamp_ms"),

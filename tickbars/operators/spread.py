@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# The sources whose bars are matched.
-MATCH_SOURCES = ("BINANCE", "COINBASE", "KRAKEN")
+from tickbars.constants import MATCH_SOURCES  # noqa: E402  (re-exported)
 
 
 def match_sources(bars: DataFrame, sources: tuple[str, ...] = MATCH_SOURCES,

@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickbars.constants import SIDE_BUY, SIDE_SELL, TRADE_RETENTION_MS
 from tickbars.functions.timefns import floor_to
 from tickbars.operators.scan import chunked_running
 
 TRADE_TABLE_COLUMNS = ["trade_time_ms", "symbol", "source", "trade_id", "price", "quantity",
                        "side", "ingestion_time_ms", "latency_ms"]
 TRADE_KEY = ["symbol", "source", "trade_id", "trade_time_ms"]
-DAY_MS = 86_400_000
 
 
 def side_label(is_buyer_maker: Column) -> Column:
     """Buyer is the maker -> the aggressor sold."""
-    return F.when(F.coalesce(is_buyer_maker, F.lit(False)), F.lit("SELL")).otherwise(F.lit("BUY"))
+    return F.when(F.coalesce(is_buyer_maker, F.lit(False)), F.lit(SIDE_SELL)).otherwise(F.lit(SIDE_BUY))
 
 
 def enrich_side(trades: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def insert_ignore(table: DataFrame, batch: DataFrame, key: list[str] = TRADE_KEY
     return table.unionByName(new_rows)
 
 
-def retain(table: DataFrame, time_col: str = "trade_time_ms", keep_ms: int = DAY_MS,
+def retain(table: DataFrame, time_col: str = "trade_time_ms", keep_ms: int = TRADE_RETENTION_MS,
            as_of: Column | int | None = None) -> DataFrame:
     """Retention: drop rows older than ``keep_ms`` before ``as_of`` (default:
     the newest row, a scalar aggregate)."""

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickbars.constants import SOURCE_FEED1
+
 TIME = "window_start_ms"
 
 
@@ -59,7 +61,7 @@ def panel_imbalance(bars, symbol, t_from=None, t_to=None) -> DataFrame:
                     ((b - s) / F.nullif(b + s, F.lit(0.0))).alias("imbalance"))
 
 
-def _spread_series(bars, symbol, column, t_from, t_to, source="BINANCE") -> DataFrame:
+def _spread_series(bars, symbol, column, t_from, t_to, source=SOURCE_FEED1) -> DataFrame:
     rows = _where(bars, symbol, t_from, t_to).filter(
         (F.col("source") == F.lit(source)) & F.col(column).isNotNull())
     return rows.select(F.col(TIME).alias("time_ms"), F.col(column)).orderBy("time_ms")

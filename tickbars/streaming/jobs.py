@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickbars import session as S
+from tickbars.constants import PARSE_ERROR
 from tickbars.operators.bars import BAR_COLUMNS, stream_ohlcv_bars
 from tickbars.operators.spread import MATCH_SOURCES
 from tickbars.operators.trades import TRADE_KEY, side_label
@@ -240,7 +241,7 @@ def trade_job_writer(table: str, dlq: str):
         try:
             insert(trade_rows(decode_trades(records)), batch_id)
             bad = undecodable(records).select(
-                F.col("value").alias("rawPayload"), F.lit("ParseError").alias("error"),
+                F.col("value").alias("rawPayload"), F.lit(PARSE_ERROR).alias("error"),
                 F.unix_millis("timestamp").alias("ingestionTimeMs"), "partition", "offset")
             bad.write.mode("overwrite").parquet(f"{dlq}/batch={batch_id}")
         finally:
