@@ -305,16 +305,20 @@ def book_rows(frames: DataFrame, strict: bool = True) -> DataFrame:
     return levels_of(parse_frames(frames, strict))
 
 
-def feed1_books(frames: DataFrame, strict: bool = True) -> DataFrame:
-    """Feed-1 partial-depth frames -> stateless snapshots (O-42); symbol from
+def feed1_snapshots(parsed: DataFrame) -> DataFrame:
+    """Parsed feed-1 book frames -> stateless snapshots (O-42); symbol from
     the stream name, time = receive time."""
-    p = parse_frames(frames.filter(F.col("source") == SOURCE_FEED1), strict)
-    p = p.filter((F.col("kind") == "book") & ~F.col("bad"))
+    p = parsed.filter((F.col("source") == SOURCE_FEED1) & (F.col("kind") == "book") & ~F.col("bad"))
     return p.select("source", "seq", stream_symbol("_stream").alias("symbol"),
                     F.col("recv_ms").alias("timestamp_ms"),
                     F.col("book.bids").alias("bids"), F.col("book.asks").alias("asks"))
 
 
+def feed1_books(frames: DataFrame, strict: bool = True) -> DataFrame:
+    """Feed-1 partial-depth frames -> stateless snapshots (O-42)."""
+    return feed1_snapshots(parse_frames(frames.filter(F.col("source") == SOURCE_FEED1), strict))
+
+
 def flatten_book(books: DataFrame, keys: list[str]) -> DataFrame:
     """Snapshot arrays -> one row per (side, level) for checks and tables;
     one generator over both sides (no union, one pass)."""

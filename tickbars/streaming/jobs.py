@@ -113,7 +113,7 @@ def start_with_state_partitions(spark: SparkSession, writer, state_partitions: i
 
 
 def run_available(query_df: DataFrame, sink: str, checkpoint: str, writer=None,
-                  state_partitions: int | None = None) -> None:
+                  state_partitions: int | None = None):
     """Process everything available now, then stop (Trigger.AvailableNow)."""
     w = (query_df.writeStream.foreachBatch(writer or batch_writer(sink))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
@@ -349,7 +349,7 @@ def feed_writer(base: str):
     letters, book level changes, feed-1 snapshots).  The parsed batch is
     persisted for the duration of the batch so it is not parsed four times;
     each output is written to a batch-id folder (idempotent on retry)."""
-    from tickbars.operators.feeds import dead_letters_of, levels_of, trades_of
+    from tickbars.operators.feeds import dead_letters_of, feed1_snapshots, levels_of, trades_of
 
     def write(parsed: DataFrame, batch_id: int) -> None:
         parsed.persist()
@@ -357,6 +357,7 @@ def feed_writer(base: str):
             trades_of(parsed).write.mode("overwrite").parquet(f"{base}/trades/batch={batch_id}")
             dead_letters_of(parsed).write.mode("overwrite").parquet(f"{base}/dlq/batch={batch_id}")
             levels_of(parsed).write.mode("overwrite").parquet(f"{base}/levels/batch={batch_id}")
+            feed1_snapshots(parsed).write.mode("overwrite").parquet(f"{base}/books/batch={batch_id}")
         finally:
             parsed.unpersist()
     return write
