@@ -90,25 +90,35 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``tickbars`` importable in Python workers (stateful processors,
-    pandas UDFs): zip the package into the shared folder once per
-    application and add it with ``addPyFile``."""
+    pandas UDFs): the package is zipped in memory, written into the shared
+    folder once per application and added with ``addPyFile``."""
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
+    import io
     import zipfile
 
     pkg = os.path.dirname(os.path.abspath(__file__))
-    target = fresh_path(spark, "pyfiles")
-    if "://" in target:  # remote shared folder: build locally, addPyFile uploads it
-        target = tempfile.mkdtemp(prefix="tickbars-pyfiles-")
-    zpath = os.path.join(target, "tickbars.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _dirs, files in os.walk(pkg):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.join("tickbars", os.path.relpath(full, pkg)))
-    spark.sparkContext.addPyFile(zpath)
+    target = f"{fresh_path(spark, 'pyfiles')}/tickbars.zip"
+    if "://" in target and not target.startswith("file:"):
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(target)
+        out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+        try:
+            out.write(bytearray(buf.getvalue()))
+        finally:
+            out.close()
+    else:
+        with open(target.removeprefix("file:"), "wb") as f:
+            f.write(buf.getvalue())
+    spark.sparkContext.addPyFile(target)
     _SHIPPED.add(app)
 
 
