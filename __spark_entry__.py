@@ -149,6 +149,7 @@ def _stream_queries():
     q["stream_upsert_replay"] = lambda s, d: J.run_upsert_replay(s, _trades(s, d))
     q["stream_union_feeds"] = lambda s, d: _stream_feeds(s, d, "trades")
     q["stream_dead_letters"] = lambda s, d: _stream_feeds(s, d, "dlq")
+    q["stream_bars_from_frames"] = lambda s, d: J.run_frames_to_bars(s, _frames(s, d))
     q["stream_trade_source"] = lambda s, d: J.run_decode_job(s, FX.wire_records(S.configure(s), d))
     return q
 

@@ -140,6 +140,10 @@ from bars group by symbol, source, window_start_ms // 300000 * 300000"""
     q.update(book_oracles())
     q.update(stream_oracles())
     q["book_from_frames"] = book_frames_oracle()
+    q["stream_bars_from_frames"] = "with " + TRADES + """,
+trade_frames as (select * from trades where trade_id % 50 <> 0 and trade_id % 5 <> 4)""" + \
+        "," + BARS.replace("from trades", "from trade_frames") + \
+        f"\nselect {BAR_OUT} from bars where window_end_ms + 5000 <= (select max(trade_time_ms) from trade_frames)"
     q["bars_from_frames"] = "with " + TRADES + """,
 trade_frames as (select * from trades where trade_id % 50 <> 0 and trade_id % 5 <> 4)""" + \
         "," + BARS.replace("from trades", "from trade_frames") + f"\nselect {BAR_OUT} from bars"

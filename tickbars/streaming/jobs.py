@@ -409,3 +409,19 @@ def start_trade_job(records: DataFrame, table: str, checkpoint: str, dlq: str |
     independent consumer of the same topic."""
     return (records.writeStream.foreachBatch(trade_job_writer(table, dlq or f"{table}_dlq"))
             .option("checkpointLocation", checkpoint).trigger(processingTime=trigger).start())
+
+
+def run_frames_to_bars(spark: SparkSession, frames: DataFrame, batches: int = 4) -> DataFrame:
+    """Producer and bar job chained in one streaming query: captured frames
+    -> one parse -> normalised trades (arrival = frame seq, position) ->
+    watermark + 1-minute window aggregate."""
+    from tickbars.operators.feeds import parse_frames, trades_of
+
+    S.configure(spark)
+    base = S.fresh_path(spark, "stream-frames-bars")
+    sink, ckpt = f"{base}/sink", f"{base}/checkpoint"
+    land_batches(spark, frames, "seq", batches, base)
+    src = spark.readStream.schema(FRAME_FILE_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{base}/in")
+    trades = trades_of(parse_frames(src, metrics="frames_to_bars")).withColumn("arrival", F.struct("seq", "pos"))
+    run_available(stream_ohlcv_bars(trades).drop("w"), sink, ckpt)
+    return read_sink(spark, sink)
