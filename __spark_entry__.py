@@ -121,7 +121,7 @@ def _trade_queries():
     q["late_trades"] = lambda s, d: TR.late_flags(FX.late_trades_input(S.configure(s), d)).select(
         "trade_id", "source", "trade_time_ms", "is_late")
     q["retain_trades"] = lambda s, d: TR.retain(TR.enrich_side(_trades(s, d)), keep_ms=6 * HOUR_MS)
-    q["latest_trades_by_symbol"] = lambda s, d: TR.latest_trades(TR.enrich_side(_trades(s, d)), "BTCUSD", 20)
+    q["latest_trades_by_symbol"] = _latest_trades
     q["upsert_bars_merge"] = _upsert
     q["constraint_violations"] = lambda s, d: TB.constraint_report(
         TR.enrich_side(FD.union_feeds(_frames(s, d))), TB.TRADE_NOT_NULL)
@@ -177,6 +177,18 @@ def _insert_ignore(spark, d):
     return TR.insert_ignore(table, batch)
 
 
+def _latest_trades(spark, d):
+    """The (symbol, trade_time DESC) access path: the trades table is written
+    day-partitioned with files sorted by symbol and time descending, then
+    read with the symbol filter pushed into the scan (row groups of other
+    symbols are skipped by their min/max statistics) and a top-20."""
+    path = S.fresh_path(spark, "trades")
+    TB.write_partitioned(TR.enrich_side(_trades(spark, d)), path, "trade_time_ms",
+                         sort_cols=["symbol", F.col("trade_time_ms").desc()])
+    table = spark.read.parquet(path).drop("d")
+    return TR.latest_trades(table, "BTCUSD", 20)
+
+
 def _upsert(spark, d):
     """Target: bars of the first 8 hours with spread 0; updates: the bar
     job's spread rows with close + 1 (F6)."""

@@ -59,7 +59,7 @@ def touched_days(target: DataFrame, updates: DataFrame, time_col: str) -> DataFr
     return target.join(days, day_of(time_col) == F.col("_d"), "left_semi")
 
 
-def write_partitioned(df: DataFrame, path: str, time_col: str, sort_cols: list[str] | None = None,
+def write_partitioned(df: DataFrame, path: str, time_col: str, sort_cols: list | None = None,
                       mode: str = "overwrite") -> None:
     """Write a day-partitioned table.  With ``sort_cols`` each file is sorted
     (e.g. symbol, time desc) so Parquet min/max statistics skip row groups,
