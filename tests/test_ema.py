@@ -81,3 +81,17 @@ def test_chunked_matches_fold(spark):
         for r in got:
             exp = ref[r.symbol][r.window_start_ms]
             assert abs(r.ema10 - exp) <= 1e-9 * abs(exp), (chunk, r, exp)
+
+
+def test_chunked_with_null_key_value(spark):
+    from tickbars.operators.ema import ema_chunked
+
+    rows = [("K", None, i * 60_000, float(i + 1)) for i in range(20)] + \
+           [("K", "S", i * 60_000, float(2 * i + 1)) for i in range(20)]
+    df = spark.createDataFrame(rows, "symbol string, source string, window_start_ms long, close double") \
+        .repartition("symbol")
+    got = {(r.source, r.window_start_ms): r.ema10
+           for r in ema_chunked(df, chunk=7, partition_keys=("symbol",)).collect()}
+    for src, xs in ((None, [float(i + 1) for i in range(20)]), ("S", [float(2 * i + 1) for i in range(20)])):
+        for i, e in enumerate(_fold(xs, 10)):
+            assert abs(got[(src, i * 60_000)] - e) < 1e-9

@@ -151,10 +151,14 @@ def ema_chunked(
                                                    lambda acc, t: t["_A"] * acc + t["_B"]).alias("_carry")))
     if partition_keys:
         rest = [k for k in keys if k not in partition_keys]
+        # one small array per (partition keys, chunk): [(other keys, carry)],
+        # looked up with null-safe equality (a null key value is a key too)
         packed = carry.groupBy(*partition_keys, chunk_col).agg(
-            F.map_from_entries(F.collect_list(F.struct(F.struct(*rest), F.col("_carry")))).alias("_carries"))
+            F.collect_list(F.struct(F.struct(*rest).alias("k"), F.col("_carry").alias("c"))).alias("_carries"))
+        me = F.struct(*[F.col(r) for r in rest])
         res = x.join(packed, on=list(partition_keys) + [chunk_col], how="inner") \
-            .withColumn("_carry", F.element_at("_carries", F.struct(*rest))).drop("_carries")
+            .withColumn("_carry", F.filter("_carries", lambda e: e["k"].eqNullSafe(me))[0]["c"]) \
+            .drop("_carries")
     else:
         res = x.join(carry, on=keys + [chunk_col], how="inner")
     return res.withColumn(out, F.col("_A") * F.col("_carry") + F.col("_B")).drop("_A", "_B", "_carry")
