@@ -95,3 +95,13 @@ def test_chunked_with_null_key_value(spark):
     for src, xs in ((None, [float(i + 1) for i in range(20)]), ("S", [float(2 * i + 1) for i in range(20)])):
         for i, e in enumerate(_fold(xs, 10)):
             assert abs(got[(src, i * 60_000)] - e) < 1e-9
+
+
+def test_bar_job_keeps_null_symbol(spark):
+    from tickbars.plans.jobs import bars_with_ema
+
+    cols = "trade_id long, symbol string, source string, trade_time_ms long, price double, " \
+           "quantity double, is_buyer_maker boolean, arrival long"
+    rows = [(i, None if i % 2 else "BTCUSDT", "BINANCE", i * 60_000, float(i), 1.0, False, i) for i in range(10)]
+    out = bars_with_ema(spark.createDataFrame(rows, cols)).collect()
+    assert len(out) == 10 and sum(r.symbol is None for r in out) == 5

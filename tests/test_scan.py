@@ -45,3 +45,17 @@ def test_chunked_scans_multi(spark):
             assert r.s == sum(x for _, x in seq[:i + 1])
             assert r.mx == (max(x for _, x in seq[:i]) if i else None)
             assert r.nx == (min(x for _, x in seq[i + 1:]) if i + 1 < len(seq) else None)
+
+
+def test_null_key_is_a_key(spark):
+    from tickbars.operators.scan import chunked_scans
+
+    rows = [(None, i, 1) for i in range(30)] + [("a", i, 2) for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, o long, v long")
+    got = {(r.k, r.o): r.s for r in chunked_scans(df, ["k"], ["o"], F.floor(F.col("o") / 7),
+                                                  [("s", F.col("v"), "sum", False, False)]).collect()}
+    assert len(got) == 60
+    assert got[(None, 29)] == 30 and got[("a", 29)] == 60
+    r = {(x.k, x.o): x.m for x in chunked_running(df, ["k"], ["o"], F.col("o"), "max",
+                                                  F.floor(F.col("o") / 7), "m", exclusive=True).collect()}
+    assert r[(None, 29)] == 28 and len(r) == 60

@@ -35,3 +35,7 @@ WATERMARK_DELAY = "5 seconds"          # bounded out-of-orderness
 EMA_PERIOD = 10
 BOOK_DEPTH = 20
 TRADE_RETENTION_MS = 24 * 3_600_000
+
+# Not a fixed value of the reference: stands for a null string key inside
+# keyed steps (joins treat null as no match); no symbol or source contains it.
+NULL_KEY = "\u0000"

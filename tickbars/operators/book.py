@@ -34,6 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickbars.constants import NULL_KEY
 from tickbars.operators.scan import chunked_running, chunked_scans
 
 KEYS = ["source", "symbol"]
@@ -57,9 +58,15 @@ def prepare(deltas: DataFrame) -> DataFrame:
     if "keep_zero" not in d.columns:
         d = d.withColumn("keep_zero", F.lit(False))
     side = F.when(F.col("side").isNull(), F.lit(None)).when(F.col("side") == "bid", "bid").otherwise("ask")
+    # a null key value is a key too: carried as NULL_KEY through the joins
+    d = d.withColumns({k: F.coalesce(F.col(k), F.lit(NULL_KEY)) for k in KEYS if k in d.columns})
     return d.withColumn("side", side)
 
 
+def _restore_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.withColumns({k: F.when(F.col(k) != NULL_KEY, F.col(k)) for k in keys})
+
+
 def _scanned(deltas: DataFrame, keys: list[str], chunk: int) -> DataFrame:
     """Prepared rows with ``rank`` (1-based message number within the key) and
     ``epoch`` (snapshots so far), both from one chunked pass over the key."""
@@ -116,7 +123,7 @@ def book_levels_asof(deltas: DataFrame, keys: list[str] = KEYS, chunk: int = 1 <
     j = spans.join(m, on=keys + ["_b"], how="inner")
     r = F.col("rank")
     j = j.filter((r >= F.col("start.rank")) & (F.col("end").isNull() | (r < F.col("end.rank"))))
-    return j.select(*keys, "seq", "sub", "side", "price", "quantity")
+    return _restore_keys(j.select(*keys, "seq", "sub", "side", "price", "quantity"), keys)
 
 
 def top_levels(levels: DataFrame, depth: int = 20, keys: list[str] = KEYS) -> DataFrame:

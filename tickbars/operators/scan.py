@@ -23,6 +23,20 @@ from pyspark.sql import functions as F
 _AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
+def _safe_keys(df: DataFrame, part: list[str]) -> tuple[DataFrame, list[str]]:
+    """Key columns on which a null value is a key value too: each key k
+    becomes (coalesce(k, default), isnull(k)), so the equi-joins below keep
+    rows whose key is null and still reuse the window's partitioning."""
+    cols = []
+    for k in part:
+        dtype = df.schema[k].dataType.simpleString()
+        default = F.lit("").cast(dtype) if dtype == "string" else F.lit(0).cast(dtype)
+        df = df.withColumn(f"_nk_{k}", F.coalesce(F.col(k), default)) \
+               .withColumn(f"_ni_{k}", F.col(k).isNull())
+        cols += [f"_nk_{k}", f"_ni_{k}"]
+    return df, cols
+
+
 def _combine(how: str, a: Column, b: Column) -> Column:
     if how == "sum":
         return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
@@ -49,6 +63,8 @@ def chunked_running(
     key = [F.col(c) for c in order]
     key = [k.desc() for k in key] if reverse else key
     x = df.withColumn("_chunk", chunk).withColumn("_val", value)
+    x, part_cols = _safe_keys(x, part)
+    part = part_cols
     upto = -1 if exclusive else 0
     local_w = Window.partitionBy(*part, "_chunk").orderBy(*key).rowsBetween(Window.unboundedPreceding, upto)
     x = x.withColumn("_local", agg("_val").over(local_w))
@@ -58,7 +74,7 @@ def chunked_running(
     chunks = chunks.select(*part, "_chunk", agg("_tot").over(before).alias("_carry"))
     x = x.join(chunks, on=[*part, "_chunk"], how="left")
     return x.withColumn(out, _combine(how, F.col("_carry"), F.col("_local"))) \
-            .drop("_chunk", "_val", "_local", "_carry")
+            .drop("_chunk", "_val", "_local", "_carry", *part)
 
 
 def chunked_scans(df: DataFrame, part: list[str], order: list[str], chunk: Column,
@@ -71,6 +87,7 @@ def chunked_scans(df: DataFrame, part: list[str], order: list[str], chunk: Colum
     (part, chunk), one per-chunk total table and one join, instead of one
     round trip (and one re-read of the input) each."""
     x = df.withColumn("_chunk", chunk)
+    x, part = _safe_keys(x, part)
     vals = {out: f"_v{i}" for i, (out, *_r) in enumerate(specs)}
     for out, value, *_r in specs:
         x = x.withColumn(vals[out], value)
@@ -96,4 +113,4 @@ def chunked_scans(df: DataFrame, part: list[str], order: list[str], chunk: Colum
         v = vals[out]
         x = x.withColumn(out, _combine(how, F.col(f"_c{v}"), F.col(f"_l{v}")))
         x = x.drop(v, f"_l{v}", f"_c{v}")
-    return x.drop("_chunk")
+    return x.drop("_chunk", *part)

@@ -18,6 +18,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from pyspark.sql import functions as F
+
+from tickbars.constants import NULL_KEY
 from tickbars.operators.bars import MINUTE_MS, ohlcv_bars
 from tickbars.operators.ema import chunk_of, ema_chunked
 from tickbars.operators.spread import MATCH_SOURCES, spread_bars
@@ -28,16 +31,22 @@ CHUNK_BARS = 4096  # time chunk of the EMA/spread stage, in bar intervals
 
 def _bars_ema(trades: DataFrame, interval_ms: int, period: int, arrival: str, chunk: int) -> DataFrame:
     bars = materialize(ohlcv_bars(trades, interval_ms=interval_ms, arrival=arrival), "bars")
+    # a null symbol (malformed record) is a key too: NULL_KEY through the joins
+    bars = bars.withColumn("symbol", F.coalesce("symbol", F.lit(NULL_KEY)))
     bars = bars.withColumn("_chunk", chunk_of("window_start_ms", interval_ms, chunk)) \
         .repartition("symbol", "_chunk")
     return ema_chunked(bars, period=period, step_ms=interval_ms, chunk=chunk, chunk_col="_chunk",
                        out="ema10", partition_keys=("symbol",))
 
 
+def _restore(df: DataFrame) -> DataFrame:
+    return df.withColumn("symbol", F.when(F.col("symbol") != NULL_KEY, F.col("symbol")))
+
+
 def bars_with_ema(trades: DataFrame, interval_ms: int = MINUTE_MS, period: int = 10,
                   arrival: str = "arrival", chunk: int = CHUNK_BARS) -> DataFrame:
     """All bars with their EMA."""
-    return _bars_ema(trades, interval_ms, period, arrival, chunk).drop("_chunk")
+    return _restore(_bars_ema(trades, interval_ms, period, arrival, chunk).drop("_chunk"))
 
 
 def bar_job(trades: DataFrame, interval_ms: int = MINUTE_MS, period: int = 10,
@@ -45,4 +54,4 @@ def bar_job(trades: DataFrame, interval_ms: int = MINUTE_MS, period: int = 10,
             chunk: int = CHUNK_BARS) -> DataFrame:
     """Rows the bar job writes to the ``ohlcv`` table (matched bars + spread)."""
     b = _bars_ema(trades, interval_ms, period, arrival, chunk)
-    return spread_bars(b, sources, group_extra=("_chunk",)).drop("_chunk")
+    return _restore(spread_bars(b, sources, group_extra=("_chunk",)).drop("_chunk"))

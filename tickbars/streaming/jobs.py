@@ -290,9 +290,11 @@ TOP_SCHEMA = ("source string, symbol string, seq long, sub long, side string, pr
 
 
 def book_stream(deltas: DataFrame, depth: int = 20) -> DataFrame:
+    from tickbars.constants import NULL_KEY
     from tickbars.streaming.processors import BookProcessor
-    return deltas.groupBy("source", "symbol").transformWithStateInPandas(
+    out = deltas.groupBy("source", "symbol").transformWithStateInPandas(
         BookProcessor(depth), TOP_SCHEMA, "Append", "None")
+    return out.withColumns({k: F.when(F.col(k) != NULL_KEY, F.col(k)) for k in ("source", "symbol")})
 
 
 def run_book_job(spark: SparkSession, deltas: DataFrame, batches: int = 4, depth: int = 20) -> DataFrame:
