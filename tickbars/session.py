@@ -60,20 +60,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_FALLBACK_ROOT: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     Falls back to a fresh local temporary folder only when the setting is
-    unset, which is the unit-test case.
+    unset, which is the unit-test / laptop case (a core setting cannot be set
+    at runtime, so the fallback is remembered per application).
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tickbars-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        root = _FALLBACK_ROOT.get(sc.applicationId)
+        if not root:
+            root = tempfile.mkdtemp(prefix="tickbars-")
+            _FALLBACK_ROOT[sc.applicationId] = root
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
