@@ -75,7 +75,7 @@ def test_chunked_matches_fold(spark):
             xs.append((t, x))
         ref[key] = dict(zip([t for t, _ in xs], _fold([x for _, x in xs], 10)))
     df = spark.createDataFrame(rows, "symbol string, source string, window_start_ms long, close double")
-    for chunk in (7, 64, 4096):
+    for chunk in (7, 64, 2048, 4096):
         got = ema_chunked(df, period=10, chunk=chunk).collect()
         assert len(got) == len(rows)
         for r in got:

@@ -20,8 +20,10 @@ Two layouts:
 * ``ema``: the window partition is one (symbol, source) key -- bounded by
   the time span (one bar per interval), not by the trade volume;
 * ``ema_chunked``: the key's bars are cut into time chunks of at most
-  ``chunk`` bars; the doubling scan runs inside each chunk (exact, the chunk
-  is shorter than 2^S); each chunk's total map is folded directly from its
+  ``chunk`` bars; inside a chunk the prefix maps are one scaled running sum
+  (``a w^j sum w^-i x_i``; used when w^-chunk stays far inside double range,
+  2,048 bars for N = 10) or else the doubling scan (exact, the chunk is
+  shorter than 2^S); each chunk's total map is folded directly from its
   values (a bounded ``collect_list``); the totals of earlier chunks are
   folded per key on that small table, and the carry is joined back.  No task holds more than one chunk of a key.  It
   reads its input twice, so give it a written table (session.materialize),
@@ -96,6 +98,29 @@ def _doubling(df, by, steps: int, a: float, w: float, value: str, seed_first: bo
     return df
 
 
+# Largest exponent for which w^-j times a price stays far inside double
+# range (e^600 ~ 1e260).
+_SCALED_LOG = 600.0
+
+
+def scaled_chunk_limit(period: int) -> int:
+    """Longest chunk (a power of two) whose in-chunk EMA may use the scaled
+    running sum: w^-(chunk-1) <= e^600."""
+    w = 1.0 - 2.0 / (period + 1)
+    return 2 ** math.floor(math.log2(_SCALED_LOG / -math.log(w)))
+
+
+def _scaled(df, by, a: float, w: float, value: str):
+    """In-chunk prefix maps in one pass: for the j-th row (from 0) the
+    composition of the chunk's maps is (w^(j+1), a w^j sum_{i<=j} w^-i x_i)."""
+    running = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    df = df.withColumn("_j", F.row_number().over(by) - 1)
+    df = df.withColumn("_S", F.sum(F.col(value) * F.pow(F.lit(w), -F.col("_j"))).over(running))
+    return (df.withColumn("_A", F.pow(F.lit(w), F.col("_j") + 1))
+              .withColumn("_B", F.lit(a) * F.pow(F.lit(w), F.col("_j")) * F.col("_S"))
+              .drop("_j", "_S"))
+
+
 def chunk_of(order: str, step_ms: int, chunk: int):
     """Time chunk of a bar: ``chunk`` intervals, so at most ``chunk`` bars per key."""
     return F.floor(F.col(order) / F.lit(step_ms * chunk)).cast("bigint")
@@ -127,8 +152,10 @@ def ema_chunked(
     keys = list(keys)
     base = bars if chunk_col in bars.columns else bars.withColumn(chunk_col, chunk_of(order, step_ms, chunk))
     in_chunk = Window.partitionBy(*keys, chunk_col).orderBy(order)
-    steps = max(1, math.ceil(math.log2(chunk)))
-    x = _doubling(base, in_chunk, steps, a, w, value, seed_first=False)
+    if chunk <= scaled_chunk_limit(period):
+        x = _scaled(base, in_chunk, a, w, value)          # one running sum
+    else:
+        x = _doubling(base, in_chunk, max(1, math.ceil(math.log2(chunk))), a, w, value, seed_first=False)
     # One row per chunk: its total map, folded directly from the chunk's
     # values (at most ``chunk`` of them, in time order) -- this branch reads
     # only (key, time, value) and runs no windows.

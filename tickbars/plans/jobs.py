@@ -26,7 +26,7 @@ from tickbars.operators.ema import chunk_of, ema_chunked
 from tickbars.operators.spread import MATCH_SOURCES, spread_bars
 from tickbars.session import materialize
 
-CHUNK_BARS = 4096  # time chunk of the EMA/spread stage, in bar intervals
+CHUNK_BARS = 2048  # time chunk of the EMA/spread stage, in bar intervals (one running sum per chunk for N = 10)
 
 
 def _bars_ema(trades: DataFrame, interval_ms: int, period: int, arrival: str, chunk: int) -> DataFrame:
