@@ -2,14 +2,16 @@
 
 Wire keys are e,E,s,t,p,q,T,m (+ source, ingestionTimeMs, latencyMs); Spark
 resolves field names case-insensitively, so ``e``/``E`` and ``t``/``T``
-cannot be selected by name.  ``from_json`` fills them correctly and a cast to
-a struct with our snake_case names renames them by position.  Unknown keys
-are ignored; a value that is not a JSON object decodes to null and is routed
-to the dead letters by the caller.
+cannot be selected by name.  The record is parsed once to a VARIANT, whose
+paths are case-sensitive; the struct read from it is renamed by position to
+our snake_case names.  Unknown keys are ignored; a value that is not a JSON
+object is routed to the dead letters by the caller.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,32 +24,35 @@ TRADE_FIELDS = ["event_type", "event_time_ms", "symbol", "trade_id", "price", "q
                 "trade_time_ms", "is_buyer_maker", "source", "ingestion_time_ms", "latency_ms"]
 
 
-def is_decodable(value: Column) -> Column:
-    """The value is a JSON object.  (``from_json`` alone cannot tell: for
-    some malformed text it returns a struct of nulls rather than null.)"""
-    return F.try_parse_json(value).isNotNull() & F.startswith(F.ltrim(value), F.lit("{"))
+def _decodable(v: Column, value: Column) -> Column:
+    """The value is a JSON object (fields then bind leniently: quoted numbers
+    and booleans convert, a field that does not convert keeps its default)."""
+    return F.coalesce(v.isNotNull() & F.startswith(F.ltrim(value), F.lit("{")), F.lit(False))
 
 
-def parse_wire(value: Column) -> Column:
-    """JSON text -> trade struct with snake_case fields (null if not decodable)."""
-    return F.when(is_decodable(value), F.from_json(value, WIRE_DDL, {"mode": "PERMISSIVE"}).cast(TRADE_DDL))
+def _parsed(records: DataFrame, value: str) -> DataFrame:
+    """One VARIANT parse per record.  The observed record count sits above
+    it, so later filters are not pushed below and do not parse again."""
+    return records.withColumn("_v", F.try_parse_json(F.col(value))) \
+        .observe(f"wire_{uuid.uuid4().hex[:8]}", F.count(F.lit(1)).alias("records"))
 
 
 def decode_trades(records: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Topic records -> trades.  ``arrival`` = (partition, offset) when present.
+    """Topic records -> trades.  ``arrival`` = offset when present.
 
     Primitive fields missing in the JSON keep their Java defaults (0/false),
-    as the consumer's field defaults do; strings stay null.
+    as the consumer's field defaults do; strings stay null.  The wire struct
+    is read from the VARIANT (paths are case-sensitive, so e/E and t/T are
+    distinct) and renamed by position.
     """
-    t = parse_wire(F.col(value))
+    p = _parsed(records, value)
+    v = F.col("_v")
+    t = F.when(_decodable(v, F.col(value)), F.try_variant_get(v, "$", WIRE_DDL).cast(TRADE_DDL))
     cols = [F.col(c) for c in keep]
-    decoded = records.select(*cols, t.alias("_t"), *[F.col(c) for c in ("partition", "offset")
-                                                     if c in records.columns])
+    extra = [F.col(c) for c in ("partition", "offset") if c in records.columns]
+    decoded = p.select(*cols, t.alias("_t"), *extra)
     out = decoded.filter(F.col("_t").isNotNull()).select(
-        *cols,
-        *[F.col(f"_t.{f}").alias(f) for f in TRADE_FIELDS],
-        *[F.col(c) for c in ("partition", "offset") if c in records.columns],
-    )
+        *cols, *[F.col(f"_t.{f}").alias(f) for f in TRADE_FIELDS], *extra)
     defaults = {"event_time_ms": 0, "trade_id": 0, "price": 0.0, "quantity": 0.0,
                 "trade_time_ms": 0, "is_buyer_maker": False, "ingestion_time_ms": 0, "latency_ms": 0}
     out = out.select(*[F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c)
@@ -58,8 +63,9 @@ def decode_trades(records: DataFrame, value: str = "value", keep: tuple[str, ...
 
 
 def undecodable(records: DataFrame, value: str = "value") -> DataFrame:
-    """Records whose value is not a JSON object (the consumer's parse failure)."""
-    return records.filter(~F.coalesce(is_decodable(F.col(value)), F.lit(False)))
+    """Records the consumer could not decode (not a JSON object)."""
+    p = _parsed(records, value)
+    return p.filter(~_decodable(F.col("_v"), F.col(value))).drop("_v")
 
 
 def trade_value(df: DataFrame) -> Column:
