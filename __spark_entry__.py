@@ -35,6 +35,15 @@ from tickbars.sources import fixtures as FX  # noqa: E402
 from tickbars.sources import wire as W  # noqa: E402
 from tickbars.streaming import jobs as J  # noqa: E402
 
+try:  # the corpus operators are an optional subpackage
+    from tickbars.llm import queries as LLM
+except ImportError:
+    LLM = None
+try:
+    import corpus_pipeline as PIPELINE
+except ImportError:
+    PIPELINE = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -249,9 +258,19 @@ def _symbol_filter(trades):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: (lambda fn: lambda spark, sf_dir: rounded(fn(spark, sf_dir)))(fn)
-            for k, fn in _queries().items()}
+    out = {k: (lambda fn: lambda spark, sf_dir: rounded(fn(spark, sf_dir)))(fn)
+           for k, fn in _queries().items()}
+    if LLM:
+        out.update(LLM.queries())
+    if PIPELINE:
+        out["pipeline"] = PIPELINE.run
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle_sql()
+    out = _oracle_sql()
+    if LLM:
+        out.update(LLM.oracle_sql())
+    if PIPELINE and PIPELINE.ORACLE_SQL:
+        out["pipeline"] = PIPELINE.ORACLE_SQL
+    return out

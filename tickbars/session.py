@@ -52,13 +52,12 @@ def build_session(
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session created elsewhere."""
+    """Apply the runtime settings to a session created elsewhere.  A setting the
+    session refuses is reported by its own error: running on without the state
+    store or the time zone asked for would give other results."""
     for k, v in RUNTIME_CONF.items():
-        try:
-            if spark.conf.get(k, None) != v:
-                spark.conf.set(k, v)
-        except Exception:  # static or locked setting: keep the session's value
-            pass
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
     return spark
 
 
@@ -69,12 +68,16 @@ def shared_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     Falls back to a fresh local temporary folder only when the setting is
-    unset, which is the unit-test / laptop case (a core setting cannot be set
-    at runtime, so the fallback is remembered per application).
+    unset and the master is local, which is the unit-test / laptop case (a core
+    setting cannot be set at runtime, so the fallback is remembered per
+    application).  On any other master a machine-local folder would not be
+    seen by the executors, so the missing setting is an error.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {sc.master}")
         root = _FALLBACK_ROOT.get(sc.applicationId)
         if not root:
             root = tempfile.mkdtemp(prefix="tickbars-")
@@ -87,11 +90,17 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared root for one run."""
     path = f"{shared_root(spark)}/tickbars/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    fs, p = _hadoop_path(spark, path)
+    fs.mkdirs(p)
     return path
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of any URI or plain path, by Hadoop's own rules."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -114,17 +123,12 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.join("tickbars", os.path.relpath(full, pkg)))
     target = f"{fresh_path(spark, 'pyfiles')}/tickbars.zip"
-    if "://" in target and not target.startswith("file:"):
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(target)
-        out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
-        try:
-            out.write(bytearray(buf.getvalue()))
-        finally:
-            out.close()
-    else:
-        with open(target.removeprefix("file:"), "wb") as f:
-            f.write(buf.getvalue())
+    fs, path = _hadoop_path(spark, target)
+    out = fs.create(path, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
     spark.sparkContext.addPyFile(target)
     _SHIPPED.add(app)
 
