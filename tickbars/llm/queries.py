@@ -7,16 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickbars.llm.common import prepare, table
+from tickbars.llm.decontaminate import decontaminate
+from tickbars.llm.jaccard_join import jaccard_components
 from tickbars.llm.oracles import ORACLE_SQL
 from tickbars.llm.quality_rules import quality_rules
+from tickbars.llm.secret_scan import secret_scan
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(prepare(spark), sf_dir, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(prepare(spark), sf_dir, "documents"))
+
+
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(prepare(spark), sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules,)}
+    ops = (op2_quality_rules, op7_decontaminate, op8_secret_scan, op10_jaccard_join)
+    return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
