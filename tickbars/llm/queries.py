@@ -10,6 +10,7 @@ from tickbars.llm.common import prepare, table
 from tickbars.llm.decontaminate import decontaminate
 from tickbars.llm.jaccard_join import jaccard_components
 from tickbars.llm.oracles import ORACLE_SQL
+from tickbars.llm.packing import pack
 from tickbars.llm.quality_rules import quality_rules
 from tickbars.llm.secret_scan import secret_scan
 
@@ -18,6 +19,16 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(prepare(spark), sf_dir, "documents"))
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(prepare(spark), sf_dir, "documents"), tokenizer_path())
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -32,7 +43,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op2_quality_rules, op7_decontaminate, op8_secret_scan, op10_jaccard_join)
+    ops = (op2_quality_rules, op3_best_fit_packing, op7_decontaminate, op8_secret_scan, op10_jaccard_join)
     return {f.__name__: f for f in ops}
 
 

@@ -33,7 +33,7 @@ def spans(text: Column, pattern: Column | str, kind: str, rank: int, value_group
             F.struct(b.alias("at"), F.concat(acc["out"], F.array(one)).alias("out")))
 
     walked = F.aggregate(zipped, start, step, lambda acc: acc["out"])
-    return F.when(text.rlike(p), walked).otherwise(F.array().cast(SPAN))
+    return F.when(F.rlike(text, p), walked).otherwise(F.array().cast(SPAN))
 
 
 def joined(found: Column) -> Column:
