@@ -1,5 +1,7 @@
 """DuckDB SQL for the corpus queries that SQL can express."""
 
+from tickbars.llm import license_scan as L
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 ORACLE_SQL: dict[str, str] = {}
@@ -44,3 +46,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND bad.source IS NULL AS kept, bad.source IS NOT NULL AS host_rejected
 FROM g LEFT JOIN bad ON g.source = bad.source
 """
+
+
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _license_canonical(column: str) -> str:
+    x = f"regexp_replace(lower({column}), {_quoted('(?m)' + L.COPYRIGHT_LINE)}, ' ', 'g')"
+    x = f"replace({x}, 'https://', 'http://')"
+    x = f"'  ' || regexp_replace({x}, {_quoted(L.NOT_WORD)}, '  ', 'g') || '  '"
+    for old, new in L.replacements():
+        x = f"replace({x}, {_quoted(old)}, {_quoted(new)})"
+    return f"trim(regexp_replace({x}, ' +', ' ', 'g'))"
+
+
+_KNOWN = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, texts in L.NOTICES.items() for text in texts)
+
+ORACLE_SQL["op1_license_scan"] = f"""
+WITH known AS (
+  SELECT DISTINCT license, {_license_canonical('text')} AS form FROM (VALUES {_KNOWN}) AS k(license, text)),
+d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents WHERE text IS NOT NULL),
+units AS (
+  SELECT rid, doc_id, true AS whole, text AS unit FROM d
+  UNION ALL SELECT rid, doc_id, false, unnest(string_split(text, chr(10))) FROM d),
+forms AS (SELECT rid, doc_id, whole, {_license_canonical('unit')} AS form FROM units)
+SELECT doc_id, license, bool_or(whole) AS whole_text, CAST(sum(CAST(NOT whole AS INT)) AS BIGINT) AS n_lines
+FROM forms JOIN known USING (form) WHERE form <> '' GROUP BY rid, doc_id, license
+"""

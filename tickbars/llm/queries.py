@@ -8,13 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tickbars.llm.common import prepare, table
 from tickbars.llm.decontaminate import decontaminate
+from tickbars.llm.html_text import extract
 from tickbars.llm.jaccard_join import jaccard_components
+from tickbars.llm.language_id import identify
+from tickbars.llm.license_scan import known_digests, license_scan
 from tickbars.llm.oracles import ORACLE_SQL
 from tickbars.llm.packing import pack
+from tickbars.llm.pii import find_pii
 from tickbars.llm.quality_rules import quality_rules
 from tickbars.llm.secret_scan import secret_scan
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(prepare(spark), sf_dir, "documents"), known_digests(spark))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(prepare(spark), sf_dir, "documents"))
 
@@ -29,6 +37,18 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(prepare(spark), sf_dir, "documents"), tokenizer_path())
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(prepare(spark), sf_dir, "documents"))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(prepare(spark), sf_dir, "pages"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(prepare(spark), sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -43,7 +63,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op2_quality_rules, op3_best_fit_packing, op7_decontaminate, op8_secret_scan, op10_jaccard_join)
+    ops = (op1_license_scan, op2_quality_rules, op3_best_fit_packing, op4_language_id, op5_html_text,
+           op6_pii, op7_decontaminate, op8_secret_scan, op10_jaccard_join)
     return {f.__name__: f for f in ops}
 
 
