@@ -173,7 +173,7 @@ def _candidates(pct: int):
             sel = np.flatnonzero(np.repeat(small, length) & (np.fromiter(map(len, bits), np.int64, n) == width))
             if not len(sel):
                 continue
-            level = T.leaves(cols["n"][sel], cols["comp"][sel],
+            level = T.leaves(cols["n"][sel], cols["comp"][sel], cols["rest"][sel],
                              np.frombuffer(b"".join(bits[k] for k in sel), np.uint64).reshape(len(sel), -1))
             run, sid = run_of[sel], cols["sid"][sel]
             for d in range(1, T.FAN):
@@ -192,7 +192,7 @@ def _candidates(pct: int):
             for x in sides:
                 x = x[np.lexsort((cols["sid"][x], cols["n"][x]))]
                 ids.append(cols["sid"][x])
-                trees.append(T.leaves(cols["n"][x], cols["comp"][x],
+                trees.append(T.leaves(cols["n"][x], cols["comp"][x], cols["rest"][x],
                                       np.frombuffer(b"".join(bits[k] for k in x), np.uint64).reshape(len(x), -1)))
             height = max(len(T.grow(t)) for t in trees) if len(trees) > 1 else 0
             grown = [T.grow(t, height) for t in trees]
@@ -201,7 +201,7 @@ def _candidates(pct: int):
 
     def run(batches):
         held, held_bits = None, []
-        names = [*keys, "side", "sid", "n", "comp"]
+        names = [*keys, "side", "sid", "n", "comp", "rest"]
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -271,15 +271,15 @@ def _tree_pairs(docs: DataFrame, often, comps: DataFrame, shingle: int, pct: int
         "comp", F.coalesce("comp", "sid")), "prefixes")
     tiers = F.filter(F.array(F.when(F.col("bits").isNotNull(), F.lit(0)), F.when(F.col("bits_wide").isNotNull(), F.lit(1))),
                      lambda x: x.isNotNull())
-    posts = sets.select("sid", "n", "comp", F.explode("prefix").alias("token"), tiers.alias("tiers")) \
-        .select("sid", "n", "comp", "token", F.explode("tiers").alias("tier"))
+    posts = sets.select("sid", "n", "comp", tiers.alias("tiers"), F.posexplode("prefix").alias("at", "token")) \
+        .select("sid", "n", "comp", (F.col("n") - F.col("at")).alias("rest"), "token", F.explode("tiers").alias("tier"))
     whole = Window.partitionBy("tier", "token")
     posts = posts.withColumns({"low": F.min("comp").over(whole), "high": F.max("comp").over(whole)}).filter("low < high") \
         .withColumn("block", F.floor((F.row_number().over(whole.orderBy("n", "sid")) - 1) / BLOCK).cast("int")) \
         .withColumn("blocks", F.max("block").over(whole) + 1).drop("low", "high")
     posts = S.materialize(posts, "posts")
     one = posts.filter("blocks = 1").select(
-        "tier", "token", F.lit(0).alias("bi"), F.lit(0).alias("bj"), F.lit(0).alias("side"), "sid", "n", "comp")
+        "tier", "token", F.lit(0).alias("bi"), F.lit(0).alias("bj"), F.lit(0).alias("side"), "sid", "n", "comp", "rest")
     many = posts.filter("blocks > 1")
     blocks = many.groupBy("tier", "token", "block").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.min("comp").alias("cl"), F.max("comp").alias("ch"))

@@ -1,6 +1,7 @@
 """DuckDB SQL for the corpus queries that SQL can express."""
 
 from tickbars.llm import license_scan as L
+from tickbars.llm import pii as P
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -74,3 +75,105 @@ forms AS (SELECT rid, doc_id, whole, {_license_canonical('unit')} AS form FROM u
 SELECT doc_id, license, bool_or(whole) AS whole_text, CAST(sum(CAST(NOT whole AS INT)) AS BIGINT) AS n_lines
 FROM forms JOIN known USING (form) WHERE form <> '' GROUP BY rid, doc_id, license
 """
+
+
+def _matches(kind: str, rank: int, pattern: str, group: int = 0, source: str = "d") -> str:
+    """(rid, kind, rank, start, end, value) of every match: a match starts after
+    all gaps up to it and all matches before it."""
+    p = _quoted(pattern)
+    return f"""
+  SELECT rid, '{kind}' AS kind, {rank} AS rank, p0 AS "start", p0 + length(m[i]) AS "end", v[i] AS value
+  FROM (SELECT *, CAST(coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)
+                       + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS p0
+        FROM (SELECT rid, m, v, gaps, unnest(range(1, len(m) + 1)) AS i
+              FROM (SELECT rid, regexp_extract_all(t, {p}) AS m, regexp_extract_all(t, {p}, {group}) AS v,
+                           string_split_regex(t, {p}) AS gaps FROM {source})))"""
+
+
+_KEYWORD = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in (
+    "password", "passwd", "secret", "token")) + "|[Aa][Pp][Ii]_?[Kk][Ee][Yy]"
+
+ORACLE_SQL["op8_secret_scan"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(source, chr(1)) AS owner, coalesce(text, '') AS t FROM documents),
+base AS (
+  SELECT * FROM ({_matches('assign', 0, f'''({_KEYWORD})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)''', 2)})
+  WHERE length(value) >= 6
+  UNION ALL {_matches('access', 1, 'AKIA[A-Z0-9]{16,}')}
+  UNION ALL {_matches('hex', 2, '[0-9a-f]{24,}')}),
+opaque AS (
+  SELECT * FROM ({_matches('opaque', 3, '[A-Za-z0-9+/_=-]{20,}')}) o
+  WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = o.rid AND b."start" < o."end" AND o."start" < b."end")),
+found AS (SELECT * FROM base UNION ALL SELECT * FROM opaque),
+live AS (
+  SELECT value FROM found JOIN d USING (rid) GROUP BY value HAVING count(DISTINCT owner) <= 2),
+shown AS (
+  SELECT * FROM base UNION ALL SELECT * FROM opaque WHERE value IN (SELECT value FROM live)),
+b AS (
+  SELECT rid, count_if(kind = 'assign') AS n_assign, count_if(kind = 'access') AS n_access, count_if(kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || "start" || ':' || "end", ',' ORDER BY "start", rank) AS spans FROM base GROUP BY rid),
+s AS (
+  SELECT rid, string_agg(kind || ':' || "start" || ':' || "end", ',' ORDER BY "start", rank) AS spans FROM shown GROUP BY rid),
+l AS (
+  SELECT rid, count(*) AS n_live FROM found WHERE value IN (SELECT value FROM live) GROUP BY rid)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+       CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(b.spans, '')) AS base_sha256,
+       coalesce(s.spans, '') AS spans, CAST(coalesce(n_live, 0) AS BIGINT) AS n_live
+FROM d LEFT JOIN b USING (rid) LEFT JOIN s USING (rid) LEFT JOIN l USING (rid)
+"""
+
+
+_DIGITS = "regexp_replace(value, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda k:
+  CASE WHEN k % 2 = 1 THEN CAST(reverse({_DIGITS})[k] AS INT)
+       ELSE 2 * CAST(reverse({_DIGITS})[k] AS INT) - 9 * CAST(CAST(reverse({_DIGITS})[k] AS INT) > 4 AS INT) END)) % 10 = 0"""
+_WORDS_OF = r"list_filter(regexp_extract_all({}, '[\p{{L}}\p{{N}}]+'), lambda w: regexp_full_match(w, '\p{{L}}{{4,}}'))"
+
+ORACLE_SQL["op6_pii"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+base AS MATERIALIZED (
+  {_matches('email', 0, r'[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+')}
+  UNION ALL SELECT * FROM ({_matches('ip', 1, r'[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)')})
+  WHERE regexp_matches(value, {_quoted(P.IP_PARTS)})
+  UNION ALL SELECT * FROM ({_matches('card', 2, r'[0-9]([\x20-]?[0-9])+')})
+  WHERE length({_DIGITS}) BETWEEN 16 AND 19 AND {_LUHN}
+  UNION ALL SELECT * FROM ({_matches('phone', 3, r'\+[0-9][\x20().0-9-]+[0-9]')})
+  WHERE length({_DIGITS}) BETWEEN 8 AND 15),
+beside AS (
+  SELECT t, kind || ':' || value AS entity,
+         regexp_replace(substr(t, greatest("start" - {P.CONTEXT}, 0) + 1, least("start", {P.CONTEXT})), '^[\p{{L}}\p{{N}}]+', ' ')
+         || ' | ' || regexp_replace(substr(t, "end" + 1, {P.CONTEXT}), '[\p{{L}}\p{{N}}]+$', ' ') AS context
+  FROM base JOIN d USING (rid)),
+entities AS (SELECT entity, count(DISTINCT t) AS n_e FROM beside GROUP BY entity HAVING count(DISTINCT t) >= {P.SUPPORT}),
+pairs AS (
+  SELECT entity, term, count(DISTINCT t) AS n_et
+  FROM (SELECT t, entity, unnest({_WORDS_OF.format('context')}) AS term FROM beside)
+  GROUP BY entity, term HAVING count(DISTINCT t) >= {P.SUPPORT}),
+words AS (
+  SELECT DISTINCT t, term FROM (SELECT DISTINCT t, unnest({_WORDS_OF.format('t')}) AS term FROM d)
+  WHERE term IN (SELECT term FROM pairs)),
+counts AS (SELECT term, count(*) AS n_t FROM words GROUP BY term),
+strong AS (
+  SELECT DISTINCT term FROM pairs JOIN entities USING (entity) JOIN counts USING (term)
+  WHERE n_et / n_t >= {P.DISCLOSURE}
+    AND log2(n_et / n_t * (SELECT count(DISTINCT t) FROM d) / n_e) >= {P.BITS}),
+held AS (SELECT rid, t FROM d WHERE t IN (SELECT t FROM words WHERE term IN (SELECT term FROM strong))),
+terms AS (
+  SELECT * FROM ({_matches('term', 4, r'[\p{L}\p{N}]+', 0, 'held')}) w
+  WHERE value IN (SELECT term FROM strong)
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = w.rid AND b."start" < w."end" AND w."start" < b."end")),
+b AS (
+  SELECT rid, count_if(kind = 'email') AS n_email, count_if(kind = 'ip') AS n_ip, count_if(kind = 'card') AS n_card,
+         count_if(kind = 'phone') AS n_phone,
+         string_agg(kind || ':' || "start" || ':' || "end", ',' ORDER BY rank, "start") AS spans FROM base GROUP BY rid),
+s AS (
+  SELECT rid, count_if(kind = 'term') AS n_term,
+         string_agg(kind || ':' || "start" || ':' || "end", ',' ORDER BY rank, "start") AS spans
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM terms) GROUP BY rid)
+SELECT doc_id, CAST(coalesce(n_email, 0) AS BIGINT) AS n_email, CAST(coalesce(n_ip, 0) AS BIGINT) AS n_ip,
+       CAST(coalesce(n_card, 0) AS BIGINT) AS n_card, CAST(coalesce(n_phone, 0) AS BIGINT) AS n_phone,
+       sha256(coalesce(b.spans, '')) AS base_sha256, coalesce(s.spans, '') AS spans,
+       CAST(coalesce(n_term, 0) AS BIGINT) AS n_term
+FROM d LEFT JOIN b USING (rid) LEFT JOIN s USING (rid)
+"""

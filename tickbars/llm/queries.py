@@ -12,6 +12,7 @@ from tickbars.llm.html_text import extract
 from tickbars.llm.jaccard_join import jaccard_components
 from tickbars.llm.language_id import identify
 from tickbars.llm.license_scan import known_digests, license_scan
+from tickbars.llm.maxent_lm import score_texts
 from tickbars.llm.oracles import ORACLE_SQL
 from tickbars.llm.packing import pack
 from tickbars.llm.pii import find_pii
@@ -58,13 +59,17 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(prepare(spark), sf_dir, "documents"))
 
 
+def op9_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(prepare(spark), sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(prepare(spark), sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_license_scan, op2_quality_rules, op3_best_fit_packing, op4_language_id, op5_html_text,
-           op6_pii, op7_decontaminate, op8_secret_scan, op10_jaccard_join)
+           op6_pii, op7_decontaminate, op8_secret_scan, op9_maxent_lm, op10_jaccard_join)
     return {f.__name__: f for f in ops}
 
 

@@ -10,6 +10,12 @@ tokens a leaf lost to shared bits (its slack).  For leaves x, y below nodes A, B
 so a node pair whose bound is under the overlap that its smallest sizes need is
 dropped with everything below it.  So is a pair whose sizes are too far apart,
 and one whose leaves all lie in one component already.
+
+Two more bounds tighten it.  Every bit set in one of x, y alone is a token that
+only one of them has (leaves).  And a tree hangs on a token of the common order:
+if that is the first token x and y share, all they share lies from its place on,
+so |x n y| <= min(rest x, rest y); if it is not, the tree of the first one finds
+the pair (all nodes, ``rest`` being the largest below).
 """
 
 from __future__ import annotations
@@ -22,17 +28,18 @@ STEP = 32_768
 
 
 class Level:
-    def __init__(self, low, high, comp_low, comp_high, slack, bits):
+    def __init__(self, low, high, comp_low, comp_high, rest, slack, bits, leaf=False):
         self.low, self.high, self.comp_low, self.comp_high = low, high, comp_low, comp_high
-        self.slack, self.bits = slack, bits
+        self.rest, self.slack, self.bits, self.leaf = rest, slack, bits, leaf
 
     def __len__(self):
         return len(self.low)
 
 
-def leaves(size: np.ndarray, comp: np.ndarray, bits: np.ndarray) -> Level:
+def leaves(size: np.ndarray, comp: np.ndarray, rest: np.ndarray, bits: np.ndarray) -> Level:
+    """``rest``: tokens of the set from the tree's token on, in the common order."""
     slack = size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-    return Level(size, size, comp, comp, slack, bits)
+    return Level(size, size, comp, comp, rest, slack, bits, True)
 
 
 def grow(level: Level, height: int = 0) -> list[Level]:
@@ -44,7 +51,7 @@ def grow(level: Level, height: int = 0) -> list[Level]:
         at = np.arange(0, len(x), FAN)
         out.append(Level(np.minimum.reduceat(x.low, at), np.maximum.reduceat(x.high, at),
                          np.minimum.reduceat(x.comp_low, at), np.maximum.reduceat(x.comp_high, at),
-                         np.maximum.reduceat(x.slack, at), np.bitwise_or.reduceat(x.bits, at, axis=0)))
+                         np.maximum.reduceat(x.rest, at), np.maximum.reduceat(x.slack, at), np.bitwise_or.reduceat(x.bits, at, axis=0)))
     return out
 
 
@@ -52,11 +59,17 @@ def possible(a: Level, b: Level, i: np.ndarray, j: np.ndarray, pct: int) -> np.n
     """Which pairs (i of a, j of b) may hold a link of at least ``pct`` percent."""
     ok = (100 * a.high[i] >= pct * b.low[j]) & (100 * b.high[j] >= pct * a.low[i])
     ok &= (a.comp_low[i] != a.comp_high[i]) | (b.comp_low[j] != b.comp_high[j]) | (a.comp_low[i] != b.comp_low[j])
+    need = pct * (a.low[i] + b.low[j])
+    ok &= (100 + pct) * np.minimum(a.rest[i], b.rest[j]) >= need
     at = np.flatnonzero(ok)
-    i, j = i[at], j[at]
-    shared = np.bitwise_count(a.bits[i] & b.bits[j]).sum(axis=1, dtype=np.int64)
-    most = np.minimum(shared + np.minimum(a.slack[i], b.slack[j]), np.minimum(a.high[i], b.high[j]))
-    ok[at] = (100 + pct) * most >= pct * (a.low[i] + b.low[j])
+    i, j, need = i[at], j[at], need[at]
+    x, y = a.bits[i], b.bits[j]
+    shared = np.bitwise_count(x & y).sum(axis=1, dtype=np.int64)
+    most = shared + np.minimum(a.slack[i], b.slack[j])
+    if a.leaf:
+        apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+        most = np.minimum(most, (a.low[i] + b.low[j] - apart) // 2)
+    ok[at] = (100 + pct) * most >= need
     return ok
 
 
