@@ -55,17 +55,17 @@ def run(spark, rows, **kw):
     return sorted((r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(df, **kw).collect())
 
 
-def test_components_match_brute_force(llm, monkeypatch):
+def test_components_match_brute_force(llm):
     rows = corpus() + [(900, None), (901, ""), (902, " \n"), (903, "one two"), (904, "ONE two")]
     assert run(llm, rows) == sorted(brute(rows, 4, 85))
     assert run(llm, rows, shingle=5, pct=80) == sorted(brute(rows, 5, 80))
 
 
 def test_trees_alone_find_every_link(llm, monkeypatch):
-    """Without seeds and with tiny blocks, the trees must find all links."""
+    """Without neighbours and with tiny blocks, the trees must find all links."""
     monkeypatch.setattr(J, "BLOCK", 3)
-    seeds = J._seed_pairs
-    monkeypatch.setattr(J, "_seed_pairs", lambda m, pct: seeds(m, pct).filter("a is null"))
+    near = J._near_pairs
+    monkeypatch.setattr(J, "_near_pairs", lambda sets, posts, pct: near(sets, posts, pct).filter("a is null"))
     rows = corpus(5)
     assert run(llm, rows) == sorted(brute(rows, 4, 85))
 

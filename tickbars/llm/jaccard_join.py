@@ -3,17 +3,18 @@
 Sets of distinct word shingles are compared by 64-bit hashes.  Equal sets share
 a set id, so copies collapse before anything is compared.  Then
 
-1. seeds: sets that agree on two minimum hashes (four such pairs, within a size
-   class) are compared with the smallest member of their group.  Verified links
-   are merged to components, which lets the trees skip pairs already decided.
-2. signature trees: two sets with a similarity of at least ``pct`` share a token
-   among the first n - ceil(pct n) + 1 tokens of any common order (tokens seen
-   often come last).  Every such token roots a forest of signature trees over the
-   sets that carry it; the forest is cut into blocks of ``BLOCK`` leaves, block
-   pairs are pruned by size range and component, and each surviving pair of
-   blocks is one traversal (see ``signature_tree``).  A token whose sets all lie
-   in one component is finished and dropped.
-3. every surviving pair is compared exactly, links are merged again.
+1. prefixes: two sets with a similarity of at least ``pct`` share a token among
+   the first n - ceil(pct n) + 1 tokens of any common order (tokens seen often
+   come last).  A token of two or more sets is the root of a forest of signature
+   trees over them.
+2. neighbours: in a share of the forests each leaf is compared with the next few
+   by size; verified links are merged to components.  This only lets the trees
+   skip pairs already decided: a token whose sets all lie in one component is
+   finished and dropped.
+3. signature trees: every other forest is cut into blocks of ``BLOCK`` leaves,
+   block pairs are pruned by size range and component, and each surviving pair of
+   blocks is one traversal (see ``signature_tree``).
+4. every surviving pair is compared exactly, links are merged again.
 
 Nothing is capped: hot tokens only get more blocks.  The list of often-seen
 tokens is bounded and only chooses the common order, never the result.
@@ -47,7 +48,8 @@ BLOCK = 4096
 WANTED_BUCKETS = 1 << 22
 #: Bits of a leaf bitmap, and the set size up to which the narrow one is used.
 NARROW, WIDE, NARROW_SIZE = 1024, 8192, 1200
-SEEDS = 4
+#: One forest in ``NEAR_SHARE`` is searched for neighbours, ``NEAR`` of them a leaf.
+NEAR_SHARE, NEAR = 4, 16
 
 
 def shingle_set(text: bytes, width: int = SHINGLE) -> np.ndarray:
@@ -71,11 +73,6 @@ def links(x: np.ndarray, y: np.ndarray, pct: int = LINK_PCT) -> bool:
     return bool(both) and 100 * both >= pct * (len(x) + len(y) - both)
 
 
-def _seed_keys(tokens: np.ndarray) -> list[int]:
-    least = [int((tokens * m ^ (tokens >> np.uint64(29))).min()) for m in _MULT[:2 * SEEDS]]
-    return [signed(xxhash.xxh3_64_intdigest(b"%d,%d" % (least[2 * k], least[2 * k + 1]))) for k in range(SEEDS)]
-
-
 def _bitmap(tokens: np.ndarray, bits: int) -> bytes:
     out = np.zeros(bits, bool)
     out[tokens % np.uint64(bits)] = True
@@ -83,8 +80,8 @@ def _bitmap(tokens: np.ndarray, bits: int) -> bytes:
 
 
 def _sketches(shingle: int):
-    """doc_id, n, sid, seeds; the first row of a batch also lists the batch's
-    most repeated tokens (over its distinct sets) with their counts."""
+    """doc_id, n, sid; the first row of a batch also lists the batch's most
+    repeated tokens (over its distinct sets) with their counts."""
     def run(batches):
         for batch in batches:
             sets = [shingle_set(t, shingle) for t in batch.column(1).to_pylist()]
@@ -99,10 +96,9 @@ def _sketches(shingle: int):
             first_n = [[int(x) for x in count]] + [None] * (len(sets) - 1)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sids, pa.int64()),
-                pa.array([_seed_keys(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 pa.array(first[:len(sets)], pa.list_(pa.int64())),
                 pa.array(first_n[:len(sets)], pa.list_(pa.int64()))],
-                ["doc_id", "n", "sid", "seeds", "often", "often_n"])
+                ["doc_id", "n", "sid", "often", "often_n"])
     return run
 
 
@@ -150,39 +146,67 @@ def _prefixes(often, shingle: int, pct: int):
     return run
 
 
+def _pairs(a, b):
+    lo, hi = np.minimum(a, b), np.maximum(a, b)
+    return pa.RecordBatch.from_arrays([pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], ["a", "b"])
+
+
+def _near_leaves(cols, bits, run, sel, reach: int, pct: int):
+    """Pairs of the selected leaves up to ``reach`` rows apart in one run (of the
+    rows' tree) that may link."""
+    width = np.fromiter((len(bits[k]) for k in sel), np.int64, len(sel))
+    for w in np.unique(width):
+        at = sel[width == w]
+        level = T.leaves(cols["n"][at], cols["comp"][at], cols["rest"][at],
+                         np.frombuffer(b"".join(bits[k] for k in at), np.uint64).reshape(len(at), -1))
+        r, sid = run[at], cols["sid"][at]
+        for d in range(1, min(reach, len(at) - 1) + 1):
+            i = np.flatnonzero(r[d:] == r[:-d])
+            if not len(i):
+                break
+            i = i[T.possible(level, level, i, i + d, pct)]
+            if len(i):
+                yield _pairs(sid[i], sid[i + d])
+
+
+def _runs(cols, keys) -> np.ndarray:
+    """Starts of the runs of equal keys."""
+    change = np.zeros(len(cols[keys[0]]), bool)
+    for k in keys:
+        change[1:] |= cols[k][1:] != cols[k][:-1]
+    change[:1] = True
+    return np.flatnonzero(change)
+
+
+def _neighbours(pct: int):
+    """Near pairs of rows sorted by tree and size; each batch on its own (a
+    missed neighbour costs the trees work, never a link)."""
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                cols = {k: np.asarray(batch.column(batch.schema.get_field_index(k)))
+                        for k in ("tier", "token", "sid", "n", "rest")}
+                cols["comp"] = cols["sid"]
+                bits = batch.column(batch.schema.get_field_index("bits")).to_pylist()
+                start = _runs(cols, ["tier", "token"])
+                group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(bits))))
+                yield from _near_leaves(cols, bits, group, np.arange(len(bits)), NEAR, pct)
+    return run
+
+
 def _candidates(pct: int):
     """Leaf pairs of every cell (token, tier, block i, block j) of sorted rows.
     Cells of up to ``FAN`` leaves are one node: their leaves are compared by
     shifts over the whole batch."""
     keys = ["tier", "token", "bi", "bj"]
 
-    def out(a, b):
-        lo, hi = np.minimum(a, b), np.maximum(a, b)
-        return pa.RecordBatch.from_arrays([pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], ["a", "b"])
-
     def cells(cols, bits):
         n = len(cols["sid"])
-        change = np.zeros(n, bool)
-        for k in keys:
-            change[1:] |= cols[k][1:] != cols[k][:-1]
-        start = np.flatnonzero(change | (np.arange(n) == 0))
+        start = _runs(cols, keys)
         length = np.diff(np.append(start, n))
         small = (length <= T.FAN) & (cols["bi"][start] == cols["bj"][start])
-        run_of = np.repeat(np.arange(len(start)), length)
-        for width in {len(x) for x in bits}:
-            sel = np.flatnonzero(np.repeat(small, length) & (np.fromiter(map(len, bits), np.int64, n) == width))
-            if not len(sel):
-                continue
-            level = T.leaves(cols["n"][sel], cols["comp"][sel], cols["rest"][sel],
-                             np.frombuffer(b"".join(bits[k] for k in sel), np.uint64).reshape(len(sel), -1))
-            run, sid = run_of[sel], cols["sid"][sel]
-            for d in range(1, T.FAN):
-                i = np.flatnonzero(run[d:] == run[:-d]) if len(run) > d else np.empty(0, np.int64)
-                if not len(i):
-                    break
-                i = i[T.possible(level, level, i, i + d, pct)]
-                if len(i):
-                    yield out(sid[i], sid[i + d])
+        group = np.repeat(np.arange(len(start)), length)
+        yield from _near_leaves(cols, bits, group, np.flatnonzero(np.repeat(small, length)), T.FAN - 1, pct)
         for s, m in zip(start[~small], length[~small]):
             at = np.arange(s, s + m)
             sides = [at] if cols["bi"][s] == cols["bj"][s] else [at[cols["side"][at] == k] for k in (0, 1)]
@@ -197,7 +221,7 @@ def _candidates(pct: int):
             height = max(len(T.grow(t)) for t in trees) if len(trees) > 1 else 0
             grown = [T.grow(t, height) for t in trees]
             for i, j in T.traverse(grown[0], grown[-1], pct):
-                yield out(ids[0][i], ids[-1][j])
+                yield _pairs(ids[0][i], ids[-1][j])
 
     def run(batches):
         held, held_bits = None, []
@@ -250,34 +274,44 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, pct: int, name: s
     return S.materialize(joined.filter(linked("x", "y")).select("a", "b"), f"{name}-links")
 
 
-def _seed_pairs(members: DataFrame, pct: int) -> DataFrame:
-    """Each seed group's members beside its smallest one."""
-    size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / pct))))
-    keyed = members.filter("n > 0").dropDuplicates(["sid"]).select(
-        "sid", "n", F.posexplode("seeds").alias("k", "seed"), size_class.alias("c"))
-    pivots = keyed.groupBy("k", "seed", "c").agg(
-        F.min("sid").alias("a"), F.min_by("n", "sid").alias("na"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    return keyed.join(pivots, ["k", "seed", "c"]).filter(
-        (F.col("sid") != F.col("a")) & (100 * F.least("n", "na") >= pct * F.greatest("n", "na"))) \
-        .select("a", F.col("sid").alias("b")).distinct()
+def _with_bits(posts: DataFrame, sets: DataFrame) -> DataFrame:
+    return posts.join(sets.select("sid", "bits", "bits_wide"), "sid").withColumn(
+        "bits", F.when(F.col("tier") == 0, F.col("bits")).otherwise(F.col("bits_wide"))).drop("bits_wide")
 
 
-def _tree_pairs(docs: DataFrame, often, comps: DataFrame, shingle: int, pct: int) -> DataFrame:
-    """Candidate pairs of different components, from the signature trees."""
+def _posts(docs: DataFrame, often, shingle: int, pct: int) -> tuple[DataFrame, DataFrame]:
+    """The distinct sets with prefix and bitmaps, and a row per set and prefix
+    token that at least two sets carry: (sid, n, rest, token, tier)."""
     schema = "sid long, n long, prefix array<long>, bits binary, bits_wide binary"
     sets = docs.select(text_bytes("text").alias("t")).mapInArrow(_prefixes(often, shingle, pct), schema)
-    sets = sets.groupBy("sid").agg(*[F.first(c).alias(c) for c in ("n", "prefix", "bits", "bits_wide")])
-    sets = S.materialize(sets.join(comps.select(F.col("node").alias("sid"), "comp"), "sid", "left").withColumn(
-        "comp", F.coalesce("comp", "sid")), "prefixes")
+    sets = S.materialize(sets.groupBy("sid").agg(*[F.first(c).alias(c) for c in ("n", "prefix", "bits", "bits_wide")]),
+                         "prefixes")
     tiers = F.filter(F.array(F.when(F.col("bits").isNotNull(), F.lit(0)), F.when(F.col("bits_wide").isNotNull(), F.lit(1))),
                      lambda x: x.isNotNull())
-    posts = sets.select("sid", "n", "comp", tiers.alias("tiers"), F.posexplode("prefix").alias("at", "token")) \
-        .select("sid", "n", "comp", (F.col("n") - F.col("at")).alias("rest"), "token", F.explode("tiers").alias("tier"))
+    posts = sets.select("sid", "n", tiers.alias("tiers"), F.posexplode("prefix").alias("at", "token")) \
+        .select("sid", "n", (F.col("n") - F.col("at")).alias("rest"), "token", F.explode("tiers").alias("tier"))
     whole = Window.partitionBy("tier", "token")
+    posts = posts.withColumns({"low": F.min("sid").over(whole), "high": F.max("sid").over(whole)}) \
+        .filter("low < high").drop("low", "high")
+    return sets, S.materialize(posts, "posts")
+
+
+def _near_pairs(sets: DataFrame, posts: DataFrame, pct: int) -> DataFrame:
+    """Candidate pairs of neighbouring leaves in a share of the forests."""
+    some = _with_bits(posts.filter(F.pmod(F.xxhash64("token"), F.lit(NEAR_SHARE)) == 0), sets)
+    return some.repartition("tier", "token").sortWithinPartitions("tier", "token", "n", "sid").mapInArrow(
+        _neighbours(pct), "a long, b long").distinct()
+
+
+def _tree_pairs(sets: DataFrame, posts: DataFrame, comps: DataFrame, pct: int) -> DataFrame:
+    """Candidate pairs of different components, from the signature trees."""
+    whole = Window.partitionBy("tier", "token")
+    posts = posts.join(comps.select(F.col("node").alias("sid"), "comp"), "sid", "left").withColumn(
+        "comp", F.coalesce("comp", "sid"))
     posts = posts.withColumns({"low": F.min("comp").over(whole), "high": F.max("comp").over(whole)}).filter("low < high") \
         .withColumn("block", F.floor((F.row_number().over(whole.orderBy("n", "sid")) - 1) / BLOCK).cast("int")) \
         .withColumn("blocks", F.max("block").over(whole) + 1).drop("low", "high")
-    posts = S.materialize(posts, "posts")
+    posts = S.materialize(posts, "open-posts")
     one = posts.filter("blocks = 1").select(
         "tier", "token", F.lit(0).alias("bi"), F.lit(0).alias("bj"), F.lit(0).alias("side"), "sid", "n", "comp", "rest")
     many = posts.filter("blocks > 1")
@@ -293,8 +327,7 @@ def _tree_pairs(docs: DataFrame, often, comps: DataFrame, shingle: int, pct: int
         F.array(F.lit(0), F.lit(1)))).alias("side")).withColumn(
         "block", F.when(F.col("side") == 0, F.col("bi")).otherwise(F.col("bj")))
     leaves = one.unionByName(many.join(cells, ["tier", "token", "block"]).select(one.columns))
-    leaves = leaves.join(sets.select("sid", "bits", "bits_wide"), "sid").withColumn(
-        "bits", F.when(F.col("tier") == 0, F.col("bits")).otherwise(F.col("bits_wide"))).drop("bits_wide")
+    leaves = _with_bits(leaves, sets)
     keys = ["tier", "token", "bi", "bj"]
     return leaves.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
         _candidates(pct), "a long, b long").distinct()
@@ -306,7 +339,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     link when 100 * intersection >= pct * union of their shingle sets."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "doc_id long, n long, sid long, seeds array<long>, often array<long>, often_n array<long>"
+    schema = "doc_id long, n long, sid long, often array<long>, often_n array<long>"
     sketches = S.materialize(docs.select("doc_id", text_bytes("text").alias("t")).mapInArrow(
         _sketches(shingle), schema), "sketches")
     members = sketches.select("doc_id", "n", "sid")
@@ -316,9 +349,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     last = np.sort(np.array([r.token for r in top.collect()], np.int64).view(np.uint64))
     often = spark.sparkContext.broadcast(last.tobytes())
 
-    found = _verified(_seed_pairs(sketches.select("sid", "n", "seeds"), pct), docs, shingle, pct, "seed")
-    comps = S.materialize(components(found), "seed-components")
-    rest = _verified(_tree_pairs(docs, often, comps, shingle, pct), docs, shingle, pct, "tree")
+    sets, posts = _posts(docs, often, shingle, pct)
+    near = _verified(_near_pairs(sets, posts, pct), docs, shingle, pct, "near")
+    comps = S.materialize(components(near), "near-components")
+    rest = _verified(_tree_pairs(sets, posts, comps, pct), docs, shingle, pct, "tree")
     stars = comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))
     comps = components(rest.select("a", "b").union(stars))
 
