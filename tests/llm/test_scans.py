@@ -114,16 +114,16 @@ def test_pii_base_spans(llm):
 
 
 def test_revealing_terms(llm):
-    filler = [f"common words here number {k} and common things" for k in range(60)]
+    filler = [f"common words here number {k} and common things" for k in range(200)]
     told = [f"note {k}: Zorblatt with z@example.com on common things" for k in range(9)]
     docs = frame(llm, filler + told + ["Zorblatt was here", "the common man"])
     got = {r.doc_id: r for r in P.find_pii(docs).collect()}
-    assert "term:8:16" in got[60].spans.split(",")
+    assert "term:8:16" in got[200].spans.split(",")
     # nine of the ten texts that hold the name hold the address: the tenth gives it away too
-    assert got[69].spans == "term:0:8" and got[69].n_term == 1
-    assert got[0].n_term == 0 and got[70].n_term == 0
-    less = {r.doc_id: r for r in P.find_pii(docs.filter("doc_id < 64 or doc_id > 68")).collect()}
-    assert less[69].n_term == 0  # four of five: under the threshold
+    assert got[209].spans == "term:0:8" and got[209].n_term == 1
+    assert got[0].n_term == 0 and got[210].n_term == 0
+    less = {r.doc_id: r for r in P.find_pii(docs.filter("doc_id < 204 or doc_id > 208")).collect()}
+    assert less[209].n_term == 0  # four of five: under the threshold
 
 
 def test_sanitise(llm):
