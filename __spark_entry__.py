@@ -109,7 +109,7 @@ def _wire(spark, d):
 
 
 def _decoded(spark, d):
-    return W.decode_trades(_wire(spark, d))
+    return W.decode_trades(_wire(spark, d)).drop("arrival_order")
 
 
 def _trade_queries():
@@ -133,7 +133,9 @@ def _trade_queries():
     q["latest_trades_by_symbol"] = _latest_trades
     q["upsert_bars_merge"] = _upsert
     q["constraint_violations"] = lambda s, d: TB.constraint_report(
-        TR.enrich_side(FD.union_feeds(_frames(s, d))), TB.TRADE_NOT_NULL)
+        FX.broken_trades(S.configure(s), d), TB.TRADE_NOT_NULL)
+    q["constraint_dead_letters"] = lambda s, d: TB.split_valid(
+        FX.broken_trades(S.configure(s), d), TB.TRADE_NOT_NULL)[1].select("trade_id", "reason")
     q["bars_scan_filtered"] = _bars_scan
     q["book_levels_asof"] = lambda s, d: BK.book_levels_asof(FX.book_deltas(S.configure(s), d))
     q["book_top20"] = lambda s, d: BK.top_levels(BK.book_levels_asof(FX.book_deltas(S.configure(s), d)), 20)
@@ -222,6 +224,20 @@ def _frames(spark, d):
     return FX.raw_frames(spark, d)
 
 
+def _deltas(spark, d, source):
+    """Level changes of one feed: the other feeds' frames are not parsed."""
+    return FD.book_rows(_frames(spark, d).filter(F.col("source") == source)).filter("not header").drop("header")
+
+
+def _published_books(spark, d):
+    """The book topic's content: every feed's snapshots after every message."""
+    frames = S.materialize(_frames(spark, d), "frames")
+    feed1 = FD.feed1_books(frames).withColumn("sub", F.lit(0).cast("long"))
+    rebuilt = BK.book_snapshots(S.materialize(FD.book_rows(frames), "book-levels"))
+    cols = ["source", "symbol", "seq", "sub", "timestamp_ms", "bids", "asks"]
+    return feed1.select(*cols).unionByName(rebuilt.select(*cols))
+
+
 def _feed_queries():
     q = {}
     q["raw_frames_scan"] = lambda s, d: FD.parse_frames(_frames(s, d)).select(
@@ -234,12 +250,16 @@ def _feed_queries():
     q["feed_counts"] = lambda s, d: FD.feed_counts(_frames(s, d))
     q["book_feed1"] = lambda s, d: FD.flatten_book(
         FD.feed1_books(_frames(s, d)), ["source", "seq", "symbol", "timestamp_ms"])
-    q["book_feed2_deltas"] = lambda s, d: FD.book_rows(_frames(s, d)).filter(F.col("source") == "COINBASE")
-    q["book_feed3_deltas"] = lambda s, d: FD.book_rows(_frames(s, d)).filter(F.col("source") == "KRAKEN")
+    q["book_feed2_deltas"] = lambda s, d: _deltas(s, d, "COINBASE")
+    q["book_feed3_deltas"] = lambda s, d: _deltas(s, d, "KRAKEN")
     q["symbol_filter"] = lambda s, d: _symbol_filter(_trades(s, d))
     q["bars_from_frames"] = lambda s, d: ohlcv_bars(
-        FD.union_feeds(_frames(s, d)).withColumn("arrival", F.struct("seq", "pos")))
+        FD.union_feeds(_frames(s, d)).withColumn("arrival", FD.frame_order()))
     q["encode_book_json"] = lambda s, d: W.encode_books(FD.feed1_books(_frames(s, d)))
+    q["book_snapshots"] = lambda s, d: FD.flatten_book(
+        _published_books(s, d), ["source", "symbol", "seq", "sub", "timestamp_ms"])
+    q["book_messages"] = lambda s, d: _published_books(s, d).select(
+        "source", "symbol", "seq", "sub", "timestamp_ms", F.size("bids").alias("n_bids"), F.size("asks").alias("n_asks"))
     q["encode_dead_letters"] = lambda s, d: W.encode_dead_letters(FD.dead_letters(_frames(s, d)))
     return q
 

@@ -140,6 +140,7 @@ from bars group by symbol, source, window_start_ms // 300000 * 300000"""
     q.update(book_oracles())
     q.update(stream_oracles())
     q["book_from_frames"] = book_frames_oracle()
+    q.update(published_oracles())
     q["stream_bars_from_frames"] = "with " + TRADES + """,
 trade_frames as (select * from trades where trade_id % 50 <> 0 and trade_id % 5 <> 4)""" + \
         "," + BARS.replace("from trades", "from trade_frames") + \
@@ -188,7 +189,9 @@ def feed_oracles() -> dict[str, str]:
                                "recv_ms as ingestionTimeMs, source, seq from frames where kind = 'dead'")
     q["feed_counts"] = pre + ("select source, count(*) as frames, cast(count_if(kind = 'trade') as bigint) as trade_frames, "
                               "cast(count_if(kind = 'book') as bigint) as book_frames, cast(0 as bigint) as ignored_frames, "
-                              "cast(count_if(kind = 'dead') as bigint) as dead_frames from frames group by source")
+                              "cast(count_if(kind = 'dead') as bigint) as dead_frames, "
+                              "cast(count_if(kind = 'trade') as bigint) as produced_trades, "
+                              "cast(count_if(kind = 'dead') as bigint) as dead_letters from frames group by source")
     q["book_feed1"] = pre + ("select source, seq, upper(raw_symbol) as symbol, recv_ms as timestamp_ms, "
                              "level_side as side, 1 as level, cast(printf('%.2f', level_price) as double) as price, "
                              "cast(printf('%.2f', level_qty) as double) as quantity "
@@ -297,11 +300,27 @@ from merged"""
                                          f"{R('spread_usd')} as spread_usd, {R('spread_bps')} as spread_bps from spread "
                                          f"where symbol = 'BTCUSD' and source = 'BINANCE' "
                                          f"and window_start_ms between {START + HOUR} and {START + 5 * HOUR}")
-    q["constraint_violations"] = """
-select rule, cast(0 as bigint) as violations from (values
-  ('trade_time_ms not null'), ('symbol not null'), ('source not null'), ('trade_id not null'),
-  ('price not null'), ('quantity not null'), ('side not null'), ('ingestion_time_ms not null'),
-  ('latency_ms not null'), ('symbol length <= 20'), ('source length <= 20'), ('side length <= 4')) v(rule)"""
+    rules = [(f"{c} not null", f"{c} is null") for c in
+             ("trade_time_ms", "symbol", "source", "trade_id", "price", "quantity", "side", "ingestion_time_ms", "latency_ms")]
+    rules += [(f"{c} length <= {n}", f"length({c}) > {n}") for c, n in (("symbol", 20), ("source", 20), ("side", 4))]
+    broken = "with " + TRADES + """,
+broken as (
+  select nullif(trade_time_ms, case when trade_id % 59 = 0 then trade_time_ms end) as trade_time_ms,
+         case when trade_id % 37 = 0 then null when trade_id % 41 = 0 then repeat('S', 21) else symbol end as symbol,
+         case when trade_id % 43 = 0 then repeat(source, 4) else source end as source, trade_id,
+         case when trade_id % 47 = 0 then null else price end as price,
+         case when trade_id % 53 = 0 then null else quantity end as quantity,
+         case when trade_id % 61 = 0 then 'LONGER' when is_buyer_maker then 'SELL' else 'BUY' end as side,
+         ingestion_time_ms, latency_ms
+  from trades)
+"""
+    q["constraint_violations"] = broken + " union all ".join(
+        f"select '{name}' as rule, cast(count_if(coalesce({cond}, false)) as bigint) as violations from broken"
+        for name, cond in rules)
+    case = " ".join(f"when {cond} then '{name.replace('not null', 'is null').replace('length <=', 'longer than')}'"
+                    for name, cond in rules)
+    q["constraint_dead_letters"] = broken + f"select trade_id, reason from (select trade_id, case {case} end as reason " \
+        "from broken) where reason is not null"
     return q
 
 
@@ -449,3 +468,36 @@ select * from (
   select *, cast(row_number() over (partition by source, symbol, seq, sub, side
                                     order by case when side = 'bid' then -price else price end) as integer) as level
   from live) where level <= 20"""
+
+
+def published_oracles() -> dict[str, str]:
+    """The book topic of all three feeds: rows of the snapshots, and the sizes
+    of both sides for every message (empty books included)."""
+    top = book_frames_oracle()
+    head, last = top[:top.rindex("select * from (")], top[top.rindex("select * from ("):]
+    pre = head.rstrip() + f""",
+top as ({last}),
+msgs as (
+  select source, {FEED_SYMBOL} as symbol, seq, trade_time_ms as timestamp_ms
+  from frames where kind = 'book' and source in ('COINBASE', 'KRAKEN')),
+feed1 as (
+  select source, upper(raw_symbol) as symbol, seq, recv_ms as timestamp_ms, level_side as side,
+         cast(printf('%.2f', level_price) as double) as price, cast(printf('%.2f', level_qty) as double) as quantity
+  from frames where kind = 'book' and source = 'BINANCE')
+"""
+    return {
+        "book_snapshots": pre + """
+select t.source, t.symbol, t.seq, t.sub, m.timestamp_ms, t.side, t.level, t.price, t.quantity
+from top t join msgs m on t.source = m.source and t.symbol = m.symbol and t.seq = m.seq
+union all
+select source, symbol, seq, cast(0 as bigint), timestamp_ms, side, 1, price, quantity from feed1""",
+        "book_messages": pre + """
+select m.source, m.symbol, m.seq, cast(0 as bigint) as sub, m.timestamp_ms,
+       cast(count(case when t.side = 'bid' then 1 end) as integer) as n_bids,
+       cast(count(case when t.side = 'ask' then 1 end) as integer) as n_asks
+from msgs m left join top t on t.source = m.source and t.symbol = m.symbol and t.seq = m.seq
+group by all
+union all
+select source, symbol, seq, cast(0 as bigint), timestamp_ms,
+       cast(side = 'bid' as integer), cast(side = 'ask' as integer) from feed1""",
+    }

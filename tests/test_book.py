@@ -87,7 +87,7 @@ def test_books_from_parsed_frames_multi_level(spark):
     ]
     fr = spark.createDataFrame(frames, "source string, seq long, recv_ms long, raw string")
     deltas = FD.book_rows(fr)
-    rows = [tuple(r) for r in deltas.select("source", "symbol", "seq", "sub", "lpos", "kind", "side",
+    rows = [tuple(r) for r in deltas.filter("not header").select("source", "symbol", "seq", "sub", "lpos", "kind", "side",
                                            "price", "quantity", "keep_zero").collect()]
     got = {tuple(r) for r in B.book_levels_asof(deltas).collect()}
     assert got == _simulate(rows)
@@ -95,3 +95,20 @@ def test_books_from_parsed_frames_multi_level(spark):
     assert ("COINBASE", "BTCUSD", 2, 0, "bid", 8.0, 5.0) in got
     assert not any(r[2] == 2 and r[3] == 1 and r[4] == "bid" for r in got)  # second event is a snapshot
     assert ("KRAKEN", "BTCUSD", 3, 0, "bid", 5.0, 0.0) in got  # feed-3 snapshot keeps zero
+
+
+def test_bad_first_level_and_emptied_book(spark):
+    """A snapshot whose first level is bad still clears the book, and a message
+    that leaves the book empty is published as an empty book."""
+    from tickbars.operators import feeds as FD
+
+    def frame(seq, kind, *levels):
+        ups = ",".join('{"side":"bid","price_level":"%s","new_quantity":"%s"}' % x for x in levels)
+        return ("COINBASE", seq, 10 * seq, '{"channel":"l2_data","events":[{"type":"%s","product_id":"BTC-USD",'
+                                           '"time":"","updates":[%s]}]}' % (kind, ups))
+
+    frames = [frame(1, "snapshot", ("5", "1")), frame(2, "snapshot", ("oops", "1"), ("7", "2")),
+              frame(3, "update", ("7", "0")), frame(4, "update", ("8", "1"))]
+    deltas = FD.book_rows(spark.createDataFrame(frames, "source string, seq long, recv_ms long, raw string"))
+    got = {r.seq: (r.timestamp_ms, [x.price for x in r.bids], r.asks) for r in B.book_snapshots(deltas).collect()}
+    assert got == {1: (10, [5.0], []), 2: (20, [7.0], []), 3: (30, [], []), 4: (40, [8.0], [])}

@@ -44,3 +44,10 @@ def test_epoch_ms_roundtrip(spark, values):
     iso = F.date_format(ms_to_ts("ms"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     for r in df.select("ms", F.unix_millis(ms_to_ts("ms")).alias("a"), iso_to_ms(iso).alias("b")).collect():
         assert r.ms == r.a == r.b
+
+
+def test_iso_instants_only(spark):
+    texts = ["2024-01-01T00:00:01.5Z", "2024-01-01t00:00:01z", "2024-01-01T00:00:01+01:00", "2024", "2024-01-01", "",
+             "2024-01-01T00:00:01", "2024-01-01 00:00:01Z", "2024-01-01T00:00Z", "2024-13-01T00:00:00Z", None]
+    got = [r.ms for r in spark.createDataFrame([(t,) for t in texts], "s string").select(iso_to_ms("s").alias("ms")).collect()]
+    assert got == [1704067201500, 1704067201000, 1704063601000, None, None, None, None, None, None, None, None]

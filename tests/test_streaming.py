@@ -27,6 +27,7 @@ def test_feed_stream_counters(spark):
 
     out, counters = J.run_feed_job(spark, FX.raw_frames(spark, SF))
     assert counters["frames"] == 1000 and counters["not_json"] == 20
+    assert counters["produced"] == 780 and counters["dead_letters"] == 20
     assert spark.read.parquet(f"{out}/dlq").count() == 20
     assert spark.read.parquet(f"{out}/trades").count() == 780
 
@@ -80,3 +81,23 @@ def test_late_drop_rule_on_handmade_batches(spark):
     assert m["dropped_late"] == 1
     got = sorted((r.window_start_ms, r.trade_count) for r in bars.collect())
     assert got == [(60_000, 2), (120_000, 1)]
+
+
+def test_counters_outlive_the_progress_reports(spark):
+    """More batches than a query keeps reports of: totals stay whole."""
+    from tickbars.sources import fixtures as FX
+    from tickbars.streaming import jobs as J
+
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "3")
+    try:
+        _, counters = J.run_feed_job(spark, FX.raw_frames(spark, SF), batches=5)
+        assert counters["frames"] == 1000 and counters["dead_letters"] == 20
+        cols = J.TRADE_FILE_SCHEMA.simpleString()[len("struct<"):-1]
+        times = [100_000, 101_000, 200_000, 201_000, 50_000, 150_000, 300_000, 301_000, 400_000, 50_001, 500_000, 500_001]
+        rows = [(i, "BTCUSDT", "BINANCE", t, 10.0 + i, 1.0, False, t, 0, i) for i, t in enumerate(times)]
+        m = {}
+        J.run_bar_job(spark, spark.createDataFrame(rows, cols), batches=6, what="bars", metrics=m)
+        assert m["dropped_late"] == 2
+    finally:
+        spark.conf.unset(key)

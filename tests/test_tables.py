@@ -76,3 +76,41 @@ def test_jdbc_statements():
                                       ["trade_time_ms", "symbol"])
     assert ig == ("INSERT INTO trades (trade_time_ms, symbol) SELECT trade_time_ms, symbol FROM s2 "
                   "ON CONFLICT (symbol, source, trade_id, trade_time_ms) DO NOTHING")
+
+
+def test_upsert_survives_a_stop_at_any_step(spark, monkeypatch):
+    """Stop the sink at each file-system step, replay, and find the same table."""
+    from tickbars import session as S
+    from tickbars.operators import tables as TB
+
+    def bars(rows):
+        cols = ["symbol", "source", "window_start_ms"]
+        df = spark.createDataFrame(rows, "symbol string, source string, window_start_ms long, spread_usd double")
+        return df.select(*cols, *[F.lit(1.0).alias(c) for c in TB.BAR_TABLE_COLUMNS[3:12]], F.lit(1).alias("trade_count"),
+                         "spread_usd", F.lit(0.5).alias("spread_bps"))
+
+    day = TB.DAY_MS
+    first = bars([("A", "X", 0, 1.0), ("B", "X", 0, 1.0), ("A", "X", day, 1.0)])
+    second = bars([("A", "X", 0, 2.0), ("C", "X", day, 2.0)])
+    want = {("A", 0, 2.0), ("B", 0, 1.0), ("A", day, 1.0), ("C", day, 2.0)}
+    renamed = TB._renamed
+    for stop in range(5):
+        table = S.fresh_path(spark, "crash")
+        TB.upsert_days(spark, first, table, "window_start_ms")
+        left = [stop]
+
+        def breaking(fs, src, dst):
+            if left[0] == 0:
+                raise OSError("stopped")
+            left[0] -= 1
+            renamed(fs, src, dst)
+
+        monkeypatch.setattr(TB, "_renamed", breaking)
+        try:
+            TB.upsert_days(spark, second, table, "window_start_ms")
+        except OSError:
+            pass
+        monkeypatch.setattr(TB, "_renamed", renamed)
+        TB.upsert_days(spark, second, table, "window_start_ms")
+        got = {(r.symbol, r.window_start_ms, r.spread_usd) for r in spark.read.parquet(table).collect()}
+        assert got == want, stop

@@ -16,3 +16,25 @@ def test_decode_and_undecodable(spark):
     assert (b.symbol, b.price, b.trade_id, b.is_buyer_maker, b.event_type) == ("ETHUSDT", 0.0, 0, False, None)
     assert set(got) == {0, 1}
     assert sorted(r.offset for r in W.undecodable(recs).collect()) == [2, 3, 4]
+
+
+def test_present_but_bad_is_a_dead_letter(spark):
+    vals = ['{"s":"A","p":"abc"}', '{"s":"A","p":"NaN"}', '{"s":"A","q":"x"}', '{"s":"A","T":"soon"}', '{"s":"A","m":"perhaps"}',
+            '{"s":"A","p":null}', '{"s":"A","t":"7"}']
+    recs = spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "value string, offset long")
+    assert sorted(r.offset for r in W.undecodable(recs).collect()) == [0, 1, 2, 3, 4]
+    assert sorted((r.offset, r.price, r.trade_id) for r in W.decode_trades(recs).collect()) == [(5, 0.0, 0), (6, 0.0, 7)]
+
+
+def test_arrival_order_compares_partitions(spark):
+    """Two partitions: the lower offset can be the later record."""
+    from pyspark.sql import functions as F
+
+    from tickbars.operators.bars import ohlcv_bars
+
+    rows = [('{"s":"BTCUSDT","source":"X","p":100,"q":1,"T":60000}', 0, 5000, 60_000),
+            ('{"s":"BTCUSD","source":"X","p":200,"q":1,"T":61000}', 1, 7, 61_000)]
+    recs = spark.createDataFrame(rows, "value string, partition int, offset long, ms long") \
+        .withColumn("timestamp", F.timestamp_millis("ms"))
+    bar = ohlcv_bars(W.decode_trades(recs), arrival="arrival_order").first()
+    assert (bar.open, bar.close) == (100.0, 200.0)

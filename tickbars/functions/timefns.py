@@ -20,10 +20,16 @@ def ms_to_ts(c: Column | str) -> Column:
     return F.timestamp_millis(F.col(c) if isinstance(c, str) else c)
 
 
+#: Instant text: date, T, time to the second, optional fraction, zone.
+INSTANT = r"(?i)^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{0,9})?(Z|[+-]\d{2}:\d{2})$"
+
+
 def iso_to_ms(c: Column | str) -> Column:
-    """ISO-8601 instant text -> epoch ms; null when empty or unparsable."""
+    """ISO-8601 instant text -> epoch ms; null when empty or not an instant.
+    A bare date, a year or a time without a zone is no instant: Spark's own
+    parser would fill in what is missing."""
     s = F.col(c) if isinstance(c, str) else c
-    return F.unix_millis(F.try_to_timestamp(F.nullif(s, F.lit(""))))
+    return F.when(s.rlike(INSTANT), F.unix_millis(F.try_to_timestamp(F.upper(s))))
 
 
 def floor_to(c: Column | str, step_ms: int) -> Column:

@@ -3,8 +3,11 @@
 Input rows: (source, symbol, seq, sub, lpos, kind, side, price, quantity,
 keep_zero) -- one row per level change; a message is (seq, sub); its rows
 are applied in ``lpos`` order; a ``snapshot`` message first clears both
-sides; a zero quantity deletes the level unless ``keep_zero``; a message
-with no levels has one row with a null side.
+sides; a zero quantity deletes the level unless ``keep_zero``.  A message has
+one ``header`` row with a null side besides its levels: messages and snapshots
+are counted on header rows, so a level that was left out as bad cannot hide its
+message.  Input without a ``header`` column gets header rows here, from the
+first row (lpos 0) of each message.
 
 Output: the book after every message, as rows (message, side, price, qty),
 the batch equivalent of the feed handlers' TreeMaps.  Per key (source,
@@ -60,7 +63,13 @@ def prepare(deltas: DataFrame) -> DataFrame:
     side = F.when(F.col("side").isNull(), F.lit(None)).when(F.col("side") == "bid", "bid").otherwise("ask")
     # a null key value is a key too: carried as NULL_KEY through the joins
     d = d.withColumns({k: F.coalesce(F.col(k), F.lit(NULL_KEY)) for k in KEYS if k in d.columns})
-    return d.withColumn("side", side)
+    d = d.withColumn("side", side)
+    if "header" not in d.columns:
+        row = F.struct(*[F.col(c) for c in d.columns], F.lit(False).alias("header"))
+        head = row.withField("header", F.lit(True)).withField("lpos", F.lit(-1).cast("bigint")) \
+            .withField("side", F.lit(None).cast("string"))
+        d = d.select(F.explode(F.when(F.col("lpos") == 0, F.array(head, row)).otherwise(F.array(row))).alias("r")).select("r.*")
+    return d.filter(F.col("header") | F.col("side").isNotNull())
 
 
 def _restore_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -71,7 +80,7 @@ def _scanned(deltas: DataFrame, keys: list[str], chunk: int) -> DataFrame:
     """Prepared rows with ``rank`` (1-based message number within the key) and
     ``epoch`` (snapshots so far), both from one chunked pass over the key."""
     d = prepare(deltas)
-    first_row = F.col("lpos") == 0
+    first_row = F.col("header")
     return chunked_scans(d, keys, ["seq", "sub", "lpos"], F.floor(F.col("seq") / F.lit(chunk)), [
         ("rank", F.when(first_row, 1).otherwise(0), "sum", False, False),
         ("epoch", F.when(first_row & (F.col("kind") == "snapshot"), 1).otherwise(0), "sum", False, False),
@@ -85,7 +94,7 @@ def live_intervals(scanned: DataFrame, keys: list[str] = KEYS, chunk: int = 1 <<
     start of the next epoch (a small table: one row per snapshot message)."""
     order = ["seq", "sub", "lpos"]
     ch = F.floor(F.col("seq") / F.lit(chunk))
-    starts = scanned.filter((F.col("lpos") == 0) & (F.col("kind") == "snapshot")) \
+    starts = scanned.filter(F.col("header") & (F.col("kind") == "snapshot")) \
         .select(*keys, (F.col("epoch") - 1).alias("epoch"), _pos().alias("_next_epoch"))
     v = scanned.filter(F.col("side").isNotNull())
     v = chunked_running(v, keys + ["epoch", "side", "price"], order, _pos(), "min", ch, "_next_change",
@@ -111,7 +120,7 @@ def book_levels_asof(deltas: DataFrame, keys: list[str] = KEYS, chunk: int = 1 <
         ranked = materialize(ranked, "book-ranked")
     live = live_intervals(ranked, keys, chunk).filter(
         ~F.col("deleted") & (F.col("end").isNull() | (F.col("start") < F.col("end"))))
-    msgs = ranked.filter(F.col("lpos") == 0).select(*keys, "seq", "sub", "rank")
+    msgs = ranked.filter("header").select(*keys, "seq", "sub", "rank")
     last = msgs.groupBy(*keys).agg(F.max("rank").alias("_last_rank"))  # one row per key
     live = live.join(last, on=keys, how="inner")
     b = F.lit(bucket)
@@ -134,13 +143,38 @@ def top_levels(levels: DataFrame, depth: int = 20, keys: list[str] = KEYS) -> Da
     return levels.withColumn("level", F.row_number().over(w).cast("int")).filter(F.col("level") <= depth)
 
 
-def snapshots(top: DataFrame, keys: list[str] = KEYS, time: DataFrame | None = None) -> DataFrame:
+def messages(deltas: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """One row per book message, with its time where the input carries one."""
+    d = prepare(deltas).filter("header")
+    time = [c for c in ("timestamp_ms",) if c in d.columns]
+    return _restore_keys(d.select(*keys, "seq", "sub", *time), keys)
+
+
+def snapshots(top: DataFrame, keys: list[str] = KEYS, msgs: DataFrame | None = None) -> DataFrame:
     """Top levels -> one book row per message with bids/asks arrays (the
-    published snapshot shape).  Groups hold at most 2 x depth rows."""
+    published snapshot shape).  Groups hold at most 2 x depth rows.  With
+    ``msgs`` every message has its row: one that leaves the book empty gives
+    empty arrays."""
     lv = F.struct(F.col("level"), F.col("price"), F.col("quantity"))
     g = top.groupBy(*keys, "seq", "sub").agg(
         F.array_sort(F.collect_list(F.when(F.col("side") == "bid", lv))).alias("_b"),
         F.array_sort(F.collect_list(F.when(F.col("side") == "ask", lv))).alias("_a"))
     strip = lambda c: F.transform(c, lambda x: F.struct(x["price"].alias("price"),
                                                         x["quantity"].alias("quantity")))
-    return g.select(*keys, "seq", "sub", strip("_b").alias("bids"), strip("_a").alias("asks"))
+    g = g.select(*keys, "seq", "sub", strip("_b").alias("bids"), strip("_a").alias("asks"))
+    if msgs is None:
+        return g
+    on = [*keys, "seq", "sub"]
+    m, b = msgs.alias("m"), g.alias("b")
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(f"m.{c}").eqNullSafe(F.col(f"b.{c}"))
+    none = F.array().cast("array<struct<price:double,quantity:double>>")
+    return m.join(b, same, "left").select(
+        "m.*", F.coalesce("b.bids", none).alias("bids"), F.coalesce("b.asks", none).alias("asks"))
+
+
+def book_snapshots(deltas: DataFrame, depth: int = 20, keys: list[str] = KEYS) -> DataFrame:
+    """The published book after every message: (keys, seq, sub, timestamp_ms,
+    bids, asks), best ``depth`` levels a side, empty books included."""
+    return snapshots(top_levels(book_levels_asof(deltas, keys), depth, keys), keys, messages(deltas, keys))

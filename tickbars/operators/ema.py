@@ -56,8 +56,9 @@ def ema(
     keys: tuple[str, ...] = ("symbol", "source"),
     order: str = "window_start_ms",
     out: str | None = None,
-    **_ignored,
 ) -> DataFrame:
+    """One window per key, by doubling: the plain form that tests compare the
+    chunked one with.  A key is one task here; jobs use the chunked form."""
     out = out or f"ema{period}"
     a = 2.0 / (period + 1)
     w = 1.0 - a

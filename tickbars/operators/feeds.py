@@ -121,13 +121,20 @@ def _feed3_trades(v: Column, recv: Column) -> Column:
 
 def _level(sub, kind, symbol, side, price, qty, keep_zero, ts, bad, lpos=None) -> Column:
     lpos = F.lit(0) if lpos is None else lpos
-    return F.struct(sub.cast("bigint").alias("sub"), lpos.cast("bigint").alias("lpos"),
+    return F.struct((lpos < 0).alias("header"), sub.cast("bigint").alias("sub"), lpos.cast("bigint").alias("lpos"),
                     kind.alias("kind"), symbol.alias("symbol"),
                     side.alias("side"), price.alias("price"), qty.alias("quantity"),
                     keep_zero.alias("keep_zero"), ts.cast("bigint").alias("timestamp_ms"),
                     bad.alias("bad"))
 
 
+def _header(sub, kind, symbol, keep_zero, ts) -> Column:
+    """The message itself, apart from its levels: it clears and counts even if
+    it has no level or only bad ones."""
+    return _level(sub, kind, symbol, F.lit(None).cast("string"), F.lit(None).cast("double"),
+                  F.lit(None).cast("double"), keep_zero, ts, F.lit(False), F.lit(-1))
+
+
 def _feed2_levels(v: Column, recv: Column) -> Column:
     """events[] of l2_data: one message per event; 'bid' -> bid, any other side -> ask."""
     def event(e: Column, i: Column) -> Column:
@@ -140,11 +147,9 @@ def _feed2_levels(v: Column, recv: Column) -> Column:
             price, b1 = _field(u, "$.price_level", "double", 0.0)
             qty, b2 = _field(u, "$.new_quantity", "double", 0.0)
             side = F.when(_text(u, "$.side") == BID, "bid").otherwise("ask")
-            return _level(i, kind, sym, side, price, qty, F.lit(False), ts, bad_t | b1 | b2, j)
+            return _level(i, kind, sym, side, price, qty, F.lit(False), ts, b1 | b2, j)
 
-        empty = F.array(_level(i, kind, sym, F.lit(None).cast("string"), F.lit(None).cast("double"),
-                               F.lit(None).cast("double"), F.lit(False), ts, bad_t))
-        return F.when(F.size(ups) == 0, empty).otherwise(F.transform(ups, upd))
+        return F.concat(F.array(_header(i, kind, sym, F.lit(False), ts)), F.transform(ups, upd))
 
     events = F.coalesce(_get(v, "$.events", VARR), F.array().cast(VARR))
     return F.flatten(F.transform(events, event))
@@ -163,13 +168,11 @@ def _feed3_levels(v: Column, recv: Column) -> Column:
             arr = F.coalesce(_get(d, f"$.{name}", VARR), F.array().cast(VARR))
             return F.transform(arr, lambda x: _level(
                 i, kind, sym, F.lit(label), F.coalesce(_get(x, "$.price", "double"), F.lit(0.0)),
-                F.coalesce(_get(x, "$.qty", "double"), F.lit(0.0)), keep, ts, bad_t))
+                F.coalesce(_get(x, "$.qty", "double"), F.lit(0.0)), keep, ts, F.lit(False)))
 
         both = F.transform(F.concat(side("bids", "bid"), side("asks", "ask")),
                            lambda x, j: x.withField("lpos", j.cast("bigint")))
-        empty = F.array(_level(i, kind, sym, F.lit(None).cast("string"), F.lit(None).cast("double"),
-                               F.lit(None).cast("double"), keep, ts, bad_t))
-        return F.when(F.size(both) == 0, empty).otherwise(both)
+        return F.concat(F.array(_header(i, kind, sym, keep, ts)), both)
 
     data = F.coalesce(_get(v, "$.data", VARR), F.array().cast(VARR))
     return F.flatten(F.transform(data, item))
@@ -185,6 +188,13 @@ def _feed1_book(d: Column) -> Column:
     return F.struct(levels("bids").alias("bids"), levels("asks").alias("asks"))
 
 
+def frame_order() -> Column:
+    """Arrival order of trades from frames, (seq, pos), as one number: a bar's
+    first and last trade then stay a hash aggregate (a struct would sort)."""
+    return (F.col("seq").cast("decimal(20,0)") * F.lit(10_000_000_000).cast("decimal(11,0)")
+            + F.col("pos").cast("decimal(20,0)"))
+
+
 def parse_frames(frames: DataFrame, strict: bool = True, metrics: str | None = None) -> DataFrame:
     """One projection per frame; see the module doc.  Staged selects keep
     each generated expression small (shared sub-results are columns)."""
@@ -218,7 +228,7 @@ def parse_frames(frames: DataFrame, strict: bool = True, metrics: str | None = N
     book_bad = F.exists(F.concat(F.col("book.bids"), F.col("book.asks")),
                         lambda x: x["price"].isNull() | x["quantity"].isNull())
     bad = (F.coalesce(F.exists("trades", lambda t: t["bad"]), F.lit(False))
-           | F.coalesce(F.exists("levels", lambda x: x["bad"]), F.lit(False))
+           | F.coalesce(F.exists("levels", lambda x: x["bad"] | x["timestamp_ms"].isNull()), F.lit(False))
            | F.coalesce(book_bad, F.lit(False)))
     p = p.withColumn("bad", bad)
     # Feed counters as observed metrics (O-91).  The CollectMetrics node is
@@ -274,23 +284,42 @@ def dead_letters(frames: DataFrame, strict: bool = True) -> DataFrame:
     return dead_letters_of(parse_frames(frames, strict))
 
 
+def _counters() -> dict[str, Column]:
+    good = F.size(F.filter("trades", lambda t: ~t["bad"]))
+    kind = F.col("kind")
+    return {"frames": F.count(F.lit(1)), "not_json": F.count_if(kind == "dead"), "ignored": F.count_if(kind == "ignored"),
+            "produced": F.sum(F.when(F.col("trades").isNotNull(), good).otherwise(0).cast("long")),
+            "dead_letters": F.count_if((kind == "dead") | F.col("bad"))}
+
+
+def counters_of(parsed: DataFrame) -> DataFrame:
+    """One row of counters of parsed frames; ``produced`` and ``dead_letters``
+    are the row counts of the trade and the dead-letter output."""
+    return parsed.agg(*[c.alias(name) for name, c in _counters().items()])
+
+
 def feed_counts(frames: DataFrame, strict: bool = True) -> DataFrame:
-    """Per-source counters (O-91): frames by kind, one partial aggregate."""
-    k = parse_frames(frames, strict).select("source", "kind")
-    return k.groupBy("source").agg(
-        F.count(F.lit(1)).alias("frames"),
+    """Per-source counters (O-91): frames by kind, trades produced and dead
+    letters written, one partial aggregate."""
+    n = _counters()
+    return parse_frames(frames, strict).groupBy("source").agg(
+        n["frames"].alias("frames"),
         F.count_if(F.col("kind") == "trade").alias("trade_frames"),
         F.count_if(F.col("kind") == "book").alias("book_frames"),
-        F.count_if(F.col("kind") == "ignored").alias("ignored_frames"),
-        F.count_if(F.col("kind") == "dead").alias("dead_frames"),
+        n["ignored"].alias("ignored_frames"),
+        n["not_json"].alias("dead_frames"),
+        n["produced"].alias("produced_trades"),
+        n["dead_letters"].alias("dead_letters"),
     )
 
 
 def levels_of(parsed: DataFrame) -> DataFrame:
+    """Level changes, and one header row (lpos -1, no side) per message.  Bad
+    levels are left out; a bad time leaves the time null, not the levels out."""
     rows = parsed.select("source", "seq", F.explode_outer("levels").alias("l"))
     rows = rows.filter(F.col("l").isNotNull() & ~F.col("l.bad"))
     return rows.select("source", F.col("l.symbol").alias("symbol"), "seq", F.col("l.sub").alias("sub"),
-                       F.col("l.lpos").alias("lpos"), F.col("l.kind").alias("kind"), F.col("l.side").alias("side"),
+                       F.col("l.lpos").alias("lpos"), F.col("l.header").alias("header"), F.col("l.kind").alias("kind"), F.col("l.side").alias("side"),
                        F.col("l.price").alias("price"), F.col("l.quantity").alias("quantity"),
                        F.col("l.keep_zero").alias("keep_zero"), F.col("l.timestamp_ms").alias("timestamp_ms"))
 
@@ -298,8 +327,8 @@ def levels_of(parsed: DataFrame) -> DataFrame:
 def book_rows(frames: DataFrame, strict: bool = True) -> DataFrame:
     """Book frames of feeds 2 and 3 -> level-change rows (O-43, O-44).
 
-    One message per (seq, sub); a message without levels still gives one
-    row with a null side, so an empty snapshot clears the book.
+    One message per (seq, sub), with a header row (null side) of its own, so
+    that a message counts, and a snapshot clears, whatever its levels hold.
     ``keep_zero``: store a zero quantity instead of deleting (feed-3
     snapshots)."""
     return levels_of(parse_frames(frames, strict))

@@ -43,20 +43,6 @@ def spread_bars(bars: DataFrame, sources: tuple[str, ...] = MATCH_SOURCES,
     return b.drop("_n", "_avg")
 
 
-def spread_by_minute(bars: DataFrame, sources: tuple[str, ...] = MATCH_SOURCES,
-                     time_col: str = "window_start_ms") -> DataFrame:
-    """One row per matched (symbol, window): the spread itself."""
-    b = bars.filter(F.col("source").isin(*sources))
-    out = b.groupBy("symbol", time_col).agg(
-        F.count_distinct("source").alias("_n"),
-        (F.max("close") - F.min("close")).alias("spread_usd"),
-        F.avg("close").alias("_avg"),
-    )
-    out = out.filter(F.col("_n") == len(sources))
-    return out.select("symbol", time_col, "spread_usd",
-                      (F.try_divide(F.col("spread_usd"), F.col("_avg")) * F.lit(10000.0)).alias("spread_bps"))
-
-
 def match_sources_join(bars: DataFrame, sources: tuple[str, ...] = MATCH_SOURCES,
                        time_col: str = "window_start_ms") -> DataFrame:
     """Cross-check form of the match: inner equi-joins of the per-source

@@ -52,21 +52,18 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: list[str] = BAR_KEY
     return j.select(*out)
 
 
-def touched_days(target: DataFrame, updates: DataFrame, time_col: str) -> DataFrame:
-    """Target rows in the day partitions that the updates touch (a left-semi
-    join on the partition column: dynamic partition pruning applies)."""
-    days = updates.select(day_of(time_col).alias("_d")).distinct()
-    return target.join(days, day_of(time_col) == F.col("_d"), "left_semi")
-
-
 def write_partitioned(df: DataFrame, path: str, time_col: str, sort_cols: list | None = None,
-                      mode: str = "overwrite") -> None:
-    """Write a day-partitioned table.  With ``sort_cols`` each file is sorted
-    (e.g. symbol, time desc) so Parquet min/max statistics skip row groups,
-    the file-table form of the (symbol, trade_time DESC) index (O-57)."""
+                      mode: str = "overwrite", files: int | None = None) -> None:
+    """Write a day-partitioned table.  With ``sort_cols`` rows are dealt out by
+    range of (day, sort columns), so a day is as many files as its rows ask for
+    and each file covers a narrow range: Parquet min/max statistics then skip
+    files and row groups, the file-table form of the (symbol, trade_time DESC)
+    index (O-57).  ``files``: ranges over the whole write (default: the shuffle
+    partitions, which adaptive execution leaves alone for a given number)."""
     out = df.withColumn("d", day_of(time_col))
     if sort_cols:
-        out = out.repartition("d").sortWithinPartitions("d", *sort_cols)
+        n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartitionByRange(n, "d", *sort_cols).sortWithinPartitions("d", *sort_cols)
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         .partitionBy("d").parquet(path))
 
@@ -132,37 +129,72 @@ def upsert_days(spark: SparkSession, updates: DataFrame, table: str, time_col: s
     """Apply ``merge_upsert`` to a day-partitioned Parquet table in place.
 
     Only the day partitions that the updates touch are read, merged and
-    rewritten: the merge is written to a staging folder, then each touched
-    day folder is replaced by its new version.  Re-applying the same
-    updates gives the same table (the upsert is idempotent), which makes a
-    retried or replayed micro-batch harmless.
+    rewritten, in four steps: the merged days are written to a staging folder;
+    a journal file naming that folder is renamed into place (the commit); each
+    day folder is replaced; journal and staging folder are removed.  A run that
+    stops before the commit has changed nothing; one that stops after it is
+    rolled forward by the next call, whose own updates then meet the whole
+    table.  Re-applying the same updates gives the same table, so a retried or
+    replayed micro-batch is harmless.
     """
     import uuid
 
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    root = Path(table)
-    fs = root.getFileSystem(conf)
+    fs, root, jvm = _fs(spark, table)
+    recover_days(spark, table)
     updates = updates.select(*columns)
     days = [r[0] for r in updates.select(day_of(time_col)).distinct().collect()]  # days of one batch
     if not days:
         return
-    if fs.exists(root):
-        current = spark.read.parquet(table).filter(F.col("d").isin(days)).select(*columns)
-    else:
-        current = updates.limit(0)
+    current = read_days(spark, table, updates.schema).filter(F.col("d").isin(days)).select(*columns)
     merged = merge_upsert(current, updates, key, update_cols).withColumn("d", day_of(time_col))
-    staging = f"{table}/_staging/{uuid.uuid4().hex}"
-    merged.write.partitionBy("d").parquet(staging)
-    fs.mkdirs(root)
-    for d in days:
-        src, dst = Path(f"{staging}/d={d}"), Path(f"{table}/d={d}")
-        if fs.exists(dst):
-            fs.delete(dst, True)
-        if fs.exists(src):
-            fs.rename(src, dst)
-    fs.delete(Path(staging), True)
+    name = uuid.uuid4().hex
+    merged.write.partitionBy("d").parquet(f"{table}/_staging/{name}")
+    Path = jvm.org.apache.hadoop.fs.Path
+    draft = Path(f"{table}/_staging/{name}/_journal")
+    fs.create(draft, True).close()
+    _renamed(fs, draft, Path(f"{table}/_journal-{name}"))
+    recover_days(spark, table)
+
+
+def recover_days(spark: SparkSession, table: str) -> None:
+    """Finish the replacement of days that a committed upsert has staged, and
+    remove what an uncommitted one left behind.  One writer per table."""
+    fs, root, jvm = _fs(spark, table)
+    if not fs.exists(root):
+        return
+    Path = jvm.org.apache.hadoop.fs.Path
+    journals = [st.getPath() for st in fs.listStatus(root) if st.getPath().getName().startswith("_journal-")]
+    for journal in journals:
+        staged = Path(f"{table}/_staging/{journal.getName()[len('_journal-'):]}")
+        for st in fs.listStatus(staged) if fs.exists(staged) else []:
+            src = st.getPath()
+            if src.getName().startswith("d="):
+                dst = Path(f"{table}/{src.getName()}")
+                if fs.exists(dst):
+                    fs.delete(dst, True)
+                _renamed(fs, src, dst)
+        fs.delete(staged, True)
+        fs.delete(journal, False)
+    staging = Path(f"{table}/_staging")
+    if fs.exists(staging):
+        fs.delete(staging, True)
+
+
+def _renamed(fs, src, dst) -> None:
+    if not fs.rename(src, dst):
+        raise OSError(f"rename of {src} to {dst} failed")
+
+
+def read_days(spark: SparkSession, table: str, schema) -> DataFrame:
+    """A day-partitioned table with its schema given, so that a table without
+    any file yet reads as empty."""
+    from pyspark.sql import types as T
+
+    full = T.StructType([f for f in schema.fields if f.name != "d"] + [T.StructField("d", T.IntegerType())])
+    fs, root, _ = _fs(spark, table)
+    if not fs.exists(root):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(table)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -183,11 +215,9 @@ def insert_ignore_days(spark: SparkSession, batch: DataFrame, table: str, time_c
     from tickbars.operators.trades import first_arrivals
 
     fresh = first_arrivals(batch, key, arrival).select(*columns)
-    fs, root, _ = _fs(spark, table)
-    if fs.exists(root):
-        days = [r[0] for r in batch.select(day_of(time_col)).distinct().collect()]  # days of one batch
-        old = spark.read.parquet(table).filter(F.col("d").isin(days)).select(*key)
-        fresh = fresh.join(old, on=key, how="left_anti")
+    days = [r[0] for r in batch.select(day_of(time_col)).distinct().collect()]  # days of one batch
+    old = read_days(spark, table, fresh.schema).filter(F.col("d").isin(days)).select(*key)
+    fresh = fresh.join(old, on=key, how="left_anti")
     fresh.withColumn("d", day_of(time_col)).write.mode("append").partitionBy("d").parquet(table)
 
 

@@ -3,7 +3,7 @@ of a market-data pipeline (trades, frames, book deltas, wire records).
 
 Everything here is a column projection of ``events`` (no shuffle), so the
 fixtures scale with the table and partition like it.  The DuckDB oracle in
-``tickbars/oracle.py`` computes the same adapters in SQL.
+``oracle_queries.py`` computes the same adapters in SQL.
 """
 
 from __future__ import annotations
@@ -30,12 +30,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """A small table can come back as a single split (one task); for the
-    per-row JSON work of the frame adapter its rows are then spread
-    round-robin over the default parallelism.  A large table already has
-    at least that many splits and is left as it is."""
-    par = spark.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    """Rows dealt out round-robin over the default parallelism, for the per-row
+    JSON work of the frame adapter: a table of any size can come back as few,
+    uneven splits."""
+    return df.repartition(spark.sparkContext.defaultParallelism)
 
 
 def _k(df: DataFrame) -> Column:
@@ -220,3 +218,20 @@ def wire_records(spark: SparkSession, sf_dir: str, duplicates: bool = False) ->
         F.col("arrival").alias("offset"),
         F.timestamp_millis(F.col("ingestion_time_ms")).alias("timestamp"),
     )
+
+
+def broken_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8: rows of the trades table, some of which break a constraint (nulls and
+    over-long texts at fixed ids)."""
+    from tickbars.operators.trades import enrich_side
+
+    t = enrich_side(trades(spark, sf_dir))
+    at = lambda n: F.col("trade_id") % n == 0
+    return t.withColumns({
+        "trade_time_ms": F.when(~at(59), F.col("trade_time_ms")),
+        "symbol": F.when(at(37), F.lit(None)).when(at(41), F.repeat(F.lit("S"), 21)).otherwise(F.col("symbol")),
+        "source": F.when(at(43), F.repeat("source", 4)).otherwise(F.col("source")),
+        "price": F.when(~at(47), F.col("price")),
+        "quantity": F.when(~at(53), F.col("quantity")),
+        "side": F.when(at(61), "LONGER").otherwise(F.col("side")),
+    })

@@ -24,10 +24,23 @@ TRADE_FIELDS = ["event_type", "event_time_ms", "symbol", "trade_id", "price", "q
                 "trade_time_ms", "is_buyer_maker", "source", "ingestion_time_ms", "latency_ms"]
 
 
+# Wire key and our name of the fields that are numbers or booleans.
+TYPED_FIELDS = [("E", "event_time_ms"), ("t", "trade_id"), ("p", "price"), ("q", "quantity"), ("T", "trade_time_ms"),
+                ("m", "is_buyer_maker"), ("ingestionTimeMs", "ingestion_time_ms"), ("latencyMs", "latency_ms")]
+
+
 def _decodable(v: Column, value: Column) -> Column:
-    """The value is a JSON object (fields then bind leniently: quoted numbers
-    and booleans convert, a field that does not convert keeps its default)."""
-    return F.coalesce(v.isNotNull() & F.startswith(F.ltrim(value), F.lit("{")), F.lit(False))
+    """The value is a JSON object, every typed field that is present converts
+    (quoted numbers and booleans do) and no price or quantity is NaN.  A field
+    that is missing or JSON null is not bad: it keeps its default."""
+    t = F.try_variant_get(v, "$", WIRE_DDL).cast(TRADE_DDL)
+    bad = F.lit(False)
+    for wire, name in TYPED_FIELDS:
+        raw = F.try_variant_get(v, f"$.{wire}", "variant")
+        bad = bad | (t[name].isNull() & raw.isNotNull() & ~F.is_variant_null(raw))
+    bad = bad | F.isnan(F.coalesce(t["price"], F.lit(0.0))) | F.isnan(F.coalesce(t["quantity"], F.lit(0.0)))
+    is_object = v.isNotNull() & F.startswith(F.ltrim(value), F.lit("{"))
+    return F.coalesce(is_object & ~bad, F.lit(False))
 
 
 def _parsed(records: DataFrame, value: str) -> DataFrame:
@@ -38,7 +51,9 @@ def _parsed(records: DataFrame, value: str) -> DataFrame:
 
 
 def decode_trades(records: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Topic records -> trades.  ``arrival`` = offset when present.
+    """Topic records -> trades.  ``arrival`` = offset when present; with
+    partition and timestamp also ``arrival_order``, which compares records of
+    different partitions: (timestamp, partition, offset) in one number.
 
     Primitive fields missing in the JSON keep their Java defaults (0/false),
     as the consumer's field defaults do; strings stay null.  The wire struct
@@ -50,9 +65,12 @@ def decode_trades(records: DataFrame, value: str = "value", keep: tuple[str, ...
     t = F.when(_decodable(v, F.col(value)), F.try_variant_get(v, "$", WIRE_DDL).cast(TRADE_DDL))
     cols = [F.col(c) for c in keep]
     extra = [F.col(c) for c in ("partition", "offset") if c in records.columns]
+    if {"partition", "offset", "timestamp"} <= set(records.columns):
+        extra.append(arrival_order().alias("arrival_order"))
     decoded = p.select(*cols, t.alias("_t"), *extra)
     out = decoded.filter(F.col("_t").isNotNull()).select(
-        *cols, *[F.col(f"_t.{f}").alias(f) for f in TRADE_FIELDS], *extra)
+        *cols, *[F.col(f"_t.{f}").alias(f) for f in TRADE_FIELDS],
+        *[c for c in decoded.columns if c not in keep and c != "_t"])
     defaults = {"event_time_ms": 0, "trade_id": 0, "price": 0.0, "quantity": 0.0,
                 "trade_time_ms": 0, "is_buyer_maker": False, "ingestion_time_ms": 0, "latency_ms": 0}
     out = out.select(*[F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c)
@@ -62,8 +80,19 @@ def decode_trades(records: DataFrame, value: str = "value", keep: tuple[str, ...
     return out
 
 
+def arrival_order() -> Column:
+    """(timestamp, partition, offset) of a topic record as one decimal, so that a
+    bar's first and last trade stay a hash aggregate.  Offsets of different
+    partitions are not comparable; broker time is, ties go by partition."""
+    digits = F.concat(F.lpad(F.unix_millis("timestamp").cast("string"), 13, "0"),
+                      F.lpad(F.col("partition").cast("string"), 6, "0"),
+                      F.lpad(F.col("offset").cast("string"), 19, "0"))
+    return digits.cast("decimal(38,0)")
+
+
 def undecodable(records: DataFrame, value: str = "value") -> DataFrame:
-    """Records the consumer could not decode (not a JSON object)."""
+    """Records the consumer could not decode: not a JSON object, or a typed
+    field is present and does not convert, or a price or quantity is NaN."""
     p = _parsed(records, value)
     return p.filter(~_decodable(F.col("_v"), F.col(value))).drop("_v")
 
@@ -108,11 +137,15 @@ def write_kafka(records: DataFrame, servers: str, topic: str, checkpoint: str |
     return None
 
 
-def read_kafka(spark, servers: str, topic: str, starting: str = "latest", stream: bool = True) -> DataFrame:
-    """Trade-topic source (O-01/O-02): value as text plus partition/offset."""
+def read_kafka(spark, servers: str, topic: str, starting: str = "latest", stream: bool = True,
+               max_offsets: int | None = 1_000_000) -> DataFrame:
+    """Trade-topic source (O-01/O-02): value as text plus partition/offset.
+    ``max_offsets`` bounds a micro-batch, so a backlog is read in steps."""
     r = (spark.readStream if stream else spark.read).format("kafka") \
         .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
     if stream:
         r = r.option("startingOffsets", starting)
+        if max_offsets:
+            r = r.option("maxOffsetsPerTrigger", max_offsets)
     return r.load().select(F.col("key").cast("string"), F.col("value").cast("string"),
                            "partition", "offset", "timestamp")

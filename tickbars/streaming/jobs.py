@@ -17,14 +17,18 @@ idempotent.  Sources are a file folder (tests) or Kafka (production).
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tickbars import session as S
 from tickbars.constants import PARSE_ERROR
 from tickbars.operators.bars import BAR_COLUMNS, stream_ohlcv_bars
 from tickbars.operators.spread import MATCH_SOURCES
+from tickbars.operators.tables import BAR_TABLE_COLUMNS
 from tickbars.operators.trades import TRADE_KEY, side_label
 from tickbars.sources.wire import decode_trades
 from tickbars.streaming.processors import EmaProcessor
@@ -52,13 +56,18 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+#: Files a landed slice consists of; readers take that many per micro-batch.
+SLICE_FILES = 4
+
+
 def land_batches(spark: SparkSession, df: DataFrame, order: str, batches: int, folder: str,
-                 first: int = 0, last: int | None = None) -> list[str]:
-    """Land ``df`` as JSON files in ``folder/in``, one file per slice of
-    ``order``, with file modification times increasing with the slice, so
-    the file source reads them in that order.  All slices are written by one
-    job (each slice by one task), then renamed into place and stamped.  A
-    test harness: in production the topic or the landing system does this."""
+                 first: int = 0, last: int | None = None, files: int = SLICE_FILES) -> list[str]:
+    """Land ``df`` as JSON files in ``folder/in``, ``files`` of them per slice
+    of ``order`` and with one modification time, later slices later, so a file
+    source that takes ``files`` files a micro-batch reads slice by slice.  The
+    rows of a slice are dealt out over its files (and so over as many tasks, on
+    both sides); slices with fewer files are filled up with empty ones.  In
+    production the topic or the landing system does this."""
     import time
 
     bounds = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
@@ -66,25 +75,30 @@ def land_batches(spark: SparkSession, df: DataFrame, order: str, batches: int, f
     step = (hi - lo) // batches + 1
     last = batches if last is None else last
     sliced = df.withColumn("_batch", F.floor((F.col(order) - F.lit(lo)) / F.lit(step)).cast("int")) \
-        .filter((F.col("_batch") >= first) & (F.col("_batch") < last))
+        .filter((F.col("_batch") >= first) & (F.col("_batch") < last)) \
+        .withColumn("_file", F.pmod(F.xxhash64(order), F.lit(files)).cast("int"))
     staging = f"{folder}/_staging/{first:05d}-{last:05d}"
-    (sliced.repartition(max(1, last - first), "_batch").sortWithinPartitions("_batch", order)
-     .write.mode("overwrite").partitionBy("_batch").json(staging))
-    fs, sp, jvm = _fs(spark, staging)
+    (sliced.repartition(max(1, last - first) * files, "_batch", "_file")
+     .write.mode("overwrite").partitionBy("_batch", "_file").json(staging))
+    fs, _, jvm = _fs(spark, staging)
     Path = jvm.org.apache.hadoop.fs.Path
     fs.mkdirs(Path(f"{folder}/in"))
     stamp = int(time.time() * 1000)
     landed = []
     for i in range(first, last):
-        src_dir = Path(f"{staging}/_batch={i}")
-        if not fs.exists(src_dir):
+        if not fs.exists(Path(f"{staging}/_batch={i}")):
             continue
-        parts = sorted((st.getPath() for st in fs.listStatus(src_dir) if st.getPath().getName().startswith("part-")),
-                       key=lambda p: p.getName())
-        for k, src in enumerate(parts):
-            dst = Path(f"{folder}/in/batch-{i:05d}-{k:03d}.json")
-            fs.rename(src, dst)
-            fs.setTimes(dst, stamp + 1000 * (i - first) + k, -1)
+        for k in range(files):
+            src_dir, dst = Path(f"{staging}/_batch={i}/_file={k}"), Path(f"{folder}/in/batch-{i:05d}-{k:03d}.json")
+            parts = [st.getPath() for st in fs.listStatus(src_dir) if st.getPath().getName().startswith("part-")] \
+                if fs.exists(src_dir) else []
+            if len(parts) > 1:
+                raise ValueError(f"{src_dir}: a file of a slice was written by {len(parts)} tasks")
+            if parts:
+                fs.rename(parts[0], dst)
+            else:
+                fs.create(dst, True).close()
+            fs.setTimes(dst, stamp + 1000 * (i - first), -1)
             landed.append(str(dst))
     return landed
 
@@ -100,10 +114,12 @@ def start_with_state_partitions(spark: SparkSession, writer, state_partitions: i
     """Start a streaming query with a chosen number of state partitions.
 
     A stateful query fixes its partition count (``spark.sql.shuffle.
-    partitions``) at its first start and keeps it in the checkpoint; by
-    default it is sized to the cluster's cores rather than the session's
-    batch setting.  The session value is restored once the query started."""
-    n = state_partitions or spark.sparkContext.defaultParallelism
+    partitions``) at its first start and keeps it in the checkpoint, so it is
+    stated, not guessed from the executors that happen to be there; None keeps
+    the session's value.  The session value is restored once the query started."""
+    if state_partitions is None:
+        return writer.start()
+    n = state_partitions
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     try:
@@ -114,24 +130,53 @@ def start_with_state_partitions(spark: SparkSession, writer, state_partitions: i
 
 def run_available(query_df: DataFrame, sink: str, checkpoint: str, writer=None,
                   state_partitions: int | None = None):
-    """Process everything available now, then stop (Trigger.AvailableNow)."""
+    """Process everything available now, then stop (Trigger.AvailableNow).  For
+    runs over landed files, on executors that are there: the state partitions
+    default to the session's cores."""
     w = (query_df.writeStream.foreachBatch(writer or batch_writer(sink))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
-    q = start_with_state_partitions(query_df.sparkSession, w, state_partitions)
+    spark = query_df.sparkSession
+    q = start_with_state_partitions(spark, w, state_partitions or spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return q
 
 
-def rows_dropped_by_watermark(q) -> int:
-    """Late rows the stateful operators dropped, summed over the query's
-    progress reports (the reference drops them silently)."""
-    return sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
+class ProgressTotals(StreamingQueryListener):
+    """Late rows dropped, per query run and batch, from every progress report
+    (a query itself keeps only the last ``numRecentProgressUpdates``)."""
+
+    def __init__(self):
+        self.dropped: dict[tuple[str, int], int] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def of_run(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self.of_run(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.dropped[str(p.runId), p.batchId] = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.of_run(str(event.runId)).set()
+
+    def total(self, run: str, wait_s: float = 60) -> int:
+        """Rows dropped in a finished run (reports arrive in order, the end last)."""
+        self.of_run(run).wait(wait_s)
+        return sum(n for (r, _), n in self.dropped.items() if r == run)
 
 
 def read_sink(spark: SparkSession, sink: str, schema: T.StructType | None = None) -> DataFrame:
     fs, p, _ = _fs(spark, sink)
     if not fs.exists(p):
-        return spark.createDataFrame([], schema) if schema is not None else spark.createDataFrame([], "x int")
+        if schema is None:
+            raise FileNotFoundError(f"{sink}: no batch was written; pass the schema to read it as empty")
+        return spark.createDataFrame([], schema)
     return spark.read.parquet(sink).drop("batch")
 
 
@@ -173,7 +218,7 @@ def spread_stream(bars: DataFrame, interval: str = "1 minute",
               .drop("_avg")
 
 
-def read_trade_files(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
+def read_trade_files(spark: SparkSession, folder: str, files_per_batch: int = SLICE_FILES) -> DataFrame:
     return (spark.readStream.schema(TRADE_FILE_SCHEMA).option("maxFilesPerTrigger", files_per_batch)
             .json(f"{folder}/in"))
 
@@ -202,10 +247,16 @@ def run_bar_job(spark: SparkSession, trades: DataFrame, batches: int = 4, stages
             out = bar_stream(src)
         else:
             out = spread_stream(bar_stream(src))
-        q = run_available(out, sink, ckpt)
-        if metrics is not None:
-            metrics["dropped_late"] = metrics.get("dropped_late", 0) + rows_dropped_by_watermark(q)
-    return read_sink(spark, sink)
+        schema = out.schema
+        totals = ProgressTotals()
+        spark.streams.addListener(totals)
+        try:
+            q = run_available(out, sink, ckpt)
+            if metrics is not None:
+                metrics["dropped_late"] = metrics.get("dropped_late", 0) + totals.total(str(q.runId))
+        finally:
+            spark.streams.removeListener(totals)
+    return read_sink(spark, sink, schema)
 
 
 # ------------------------------------------------------------ trade stream
@@ -223,7 +274,8 @@ def insert_ignore_writer(table: str):
 
 
 def trade_rows(decoded: DataFrame) -> DataFrame:
-    return decoded.select("trade_time_ms", "symbol", "source", "trade_id", "price", "quantity",
+    kept = [c for c in ("value", "timestamp", "partition", "offset") if c in decoded.columns]
+    return decoded.select(*kept, "trade_time_ms", "symbol", "source", "trade_id", "price", "quantity",
                           side_label(F.col("is_buyer_maker")).alias("side"),
                           "ingestion_time_ms", "latency_ms", "arrival")
 
@@ -231,18 +283,23 @@ def trade_rows(decoded: DataFrame) -> DataFrame:
 def trade_job_writer(table: str, dlq: str):
     """foreachBatch on raw topic records: decodable records go through the
     side label into the trades table (insert-ignore); records that do not
-    decode go to the dead letters with error ``ParseError`` instead of
-    stopping the job.  The batch is decoded once (persisted for the batch)."""
+    decode go to the dead letters with error ``ParseError``, rows that break a
+    constraint of the table with the constraint, instead of stopping the job.
+    The raw records are persisted for the batch and decoded by each output."""
+    from tickbars.operators.tables import TRADE_NOT_NULL, split_valid
     from tickbars.sources.wire import undecodable
     insert = insert_ignore_writer(table)
 
     def write(records: DataFrame, batch_id: int) -> None:
         records.persist()
         try:
-            insert(trade_rows(decode_trades(records)), batch_id)
-            bad = undecodable(records).select(
-                F.col("value").alias("rawPayload"), F.lit(PARSE_ERROR).alias("error"),
-                F.unix_millis("timestamp").alias("ingestionTimeMs"), "partition", "offset")
+            rows = trade_rows(decode_trades(records, keep=("value", "timestamp")))
+            good, broken = split_valid(rows, TRADE_NOT_NULL)
+            insert(good, batch_id)
+            letter = ["rawPayload", "error", "ingestionTimeMs", "partition", "offset"]
+            bad = undecodable(records).withColumn("error", F.lit(PARSE_ERROR)).unionByName(
+                broken.withColumn("error", F.concat(F.lit("ConstraintViolation: "), "reason")), allowMissingColumns=True) \
+                .withColumns({"rawPayload": F.col("value"), "ingestionTimeMs": F.unix_millis("timestamp")}).select(*letter)
             bad.write.mode("overwrite").parquet(f"{dlq}/batch={batch_id}")
         finally:
             records.unpersist()
@@ -263,7 +320,7 @@ def run_trade_job(spark: SparkSession, records: DataFrame, batches: int = 4) ->
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """Topic records landed as files (stands in for the Kafka source, which
     ``sources.wire.read_kafka`` opens in production)."""
-    return spark.readStream.schema(RECORD_FILE_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{folder}/in")
+    return spark.readStream.schema(RECORD_FILE_SCHEMA).option("maxFilesPerTrigger", SLICE_FILES).json(f"{folder}/in")
 
 
 def run_decode_job(spark: SparkSession, records: DataFrame, batches: int = 4) -> DataFrame:
@@ -284,6 +341,7 @@ DELTA_FILE_SCHEMA = T.StructType([
     T.StructField("lpos", T.LongType()), T.StructField("kind", T.StringType()),
     T.StructField("side", T.StringType()), T.StructField("price", T.DoubleType()),
     T.StructField("quantity", T.DoubleType()), T.StructField("keep_zero", T.BooleanType()),
+    T.StructField("header", T.BooleanType()),
 ])
 TOP_SCHEMA = ("source string, symbol string, seq long, sub long, side string, price double, "
               "quantity double, level int")
@@ -307,13 +365,16 @@ def run_book_job(spark: SparkSession, deltas: DataFrame, batches: int = 4, depth
     sink, ckpt = f"{base}/sink", f"{base}/checkpoint"
     d = prepare(deltas).select(*DELTA_FILE_SCHEMA.fieldNames())
     land_batches(spark, d, "seq", batches, base)
-    src = spark.readStream.schema(DELTA_FILE_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{base}/in")
+    src = spark.readStream.schema(DELTA_FILE_SCHEMA).option("maxFilesPerTrigger", SLICE_FILES).json(f"{base}/in")
     run_available(book_stream(src, depth), sink, ckpt)
     return read_sink(spark, sink)
 
 
 # ------------------------------------------------------- upsert replay sink
 
+BAR_SINK_COLUMNS = BAR_TABLE_COLUMNS
+
+
 def upsert_writer(table: str):
     """foreachBatch: ON CONFLICT upsert of the batch's bars into the table."""
     from tickbars.operators.tables import upsert_days
@@ -343,15 +404,13 @@ FRAME_FILE_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()), T.StructField("seq", T.LongType()),
     T.StructField("recv_ms", T.LongType()), T.StructField("raw", T.StringType()),
 ])
-FEED_METRICS = "feed_counters"
-
-
 def feed_writer(base: str):
     """foreachBatch for parsed frames: one parse, four outputs (trades, dead
-    letters, book level changes, feed-1 snapshots).  The parsed batch is
-    persisted for the duration of the batch so it is not parsed four times;
-    each output is written to a batch-id folder (idempotent on retry)."""
-    from tickbars.operators.feeds import dead_letters_of, feed1_snapshots, levels_of, trades_of
+    letters, book level changes, feed-1 snapshots) and the batch's counters.
+    The parsed batch is persisted for the duration of the batch so it is not
+    parsed for each; every output is written to a batch-id folder (idempotent
+    on retry), the counters too, so their sum is exact however long the run."""
+    from tickbars.operators.feeds import counters_of, dead_letters_of, feed1_snapshots, levels_of, trades_of
 
     def write(parsed: DataFrame, batch_id: int) -> None:
         parsed.persist()
@@ -360,6 +419,24 @@ def feed_writer(base: str):
             dead_letters_of(parsed).write.mode("overwrite").parquet(f"{base}/dlq/batch={batch_id}")
             levels_of(parsed).write.mode("overwrite").parquet(f"{base}/levels/batch={batch_id}")
             feed1_snapshots(parsed).write.mode("overwrite").parquet(f"{base}/books/batch={batch_id}")
+            counters_of(parsed).write.mode("overwrite").parquet(f"{base}/counters/batch={batch_id}")
+        finally:
+            parsed.unpersist()
+    return write
+
+
+def feed_topics(o):
+    """foreachBatch for parsed frames: trades, books of feed 1 and dead letters
+    to the topics that the options name (needs the Kafka connector)."""
+    from tickbars.operators.feeds import dead_letters_of, feed1_snapshots, trades_of
+    from tickbars.sources import wire as W
+
+    def write(parsed: DataFrame, batch_id: int) -> None:
+        parsed.persist()
+        try:
+            W.write_kafka(W.encode_trades(trades_of(parsed)), o.bootstrap_servers, o.trade_topic)
+            W.write_kafka(W.encode_books(feed1_snapshots(parsed)), o.bootstrap_servers, o.book_topic)
+            W.write_kafka(W.encode_dead_letters(dead_letters_of(parsed)), o.bootstrap_servers, o.dlq_topic)
         finally:
             parsed.unpersist()
     return write
@@ -367,40 +444,61 @@ def feed_writer(base: str):
 
 def run_feed_job(spark: SparkSession, frames: DataFrame, batches: int = 4) -> tuple[str, dict]:
     """Land captured frames in seq order and run the producer side as a
-    stream.  Returns the output folder and the summed feed counters from
-    the query's observed metrics (O-91)."""
+    stream.  Returns the output folder and the feed counters (O-91), summed
+    over the counter rows that every batch wrote."""
     from tickbars.operators.feeds import parse_frames
 
     S.configure(spark)
     base = S.fresh_path(spark, "stream-feeds")
     land_batches(spark, frames, "seq", batches, base)
-    src = spark.readStream.schema(FRAME_FILE_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{base}/in")
-    parsed = parse_frames(src, metrics=FEED_METRICS)
+    src = spark.readStream.schema(FRAME_FILE_SCHEMA).option("maxFilesPerTrigger", SLICE_FILES).json(f"{base}/in")
     q = start_with_state_partitions(
-        spark, parsed.writeStream.foreachBatch(feed_writer(f"{base}/out"))
+        spark, parse_frames(src).writeStream.foreachBatch(feed_writer(f"{base}/out"))
         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True), None)
     q.awaitTermination()
-    totals: dict[str, int] = {}
-    for prog in q.recentProgress:
-        for k, v in (prog.observedMetrics.get(FEED_METRICS) or {}).asDict().items():
-            totals[k] = totals.get(k, 0) + int(v)
-    return f"{base}/out", totals
+    return f"{base}/out", feed_totals(spark, f"{base}/out")
+
+
+def feed_totals(spark: SparkSession, base: str) -> dict[str, int]:
+    """Counters of a producer run so far, over all its batches."""
+    rows = spark.read.parquet(f"{base}/counters").drop("batch")
+    return {k: int(v or 0) for k, v in rows.agg(*[F.sum(c).alias(c) for c in rows.columns]).first().asDict().items()}
 
 
 # ------------------------------------------------------ production starters
 
+def dead_letter_writer(dlq: str):
+    """foreachBatch on raw topic records: those that do not decode, as dead
+    letters in the batch's own folder."""
+    from tickbars.sources.wire import undecodable
+
+    def write(records: DataFrame, batch_id: int) -> None:
+        undecodable(records).select(
+            F.col("value").alias("rawPayload"), F.lit(PARSE_ERROR).alias("error"),
+            F.unix_millis("timestamp").alias("ingestionTimeMs"), "partition", "offset") \
+            .write.mode("overwrite").parquet(f"{dlq}/batch={batch_id}")
+    return write
+
+
 def start_bar_job(records: DataFrame, table: str, checkpoint: str,
                   trigger: str = "500 milliseconds", delay: str = "5 seconds", period: int = 10,
-                  state_partitions: int | None = None):
+                  state_partitions: int | None = None, dlq: str | None = None,
+                  interval: str = "1 minute", writer=None):
     """Bar job on a stream of topic records (``sources.wire.read_kafka`` or
     landed files): decode -> bars -> EMA -> spread -> upsert into the
     day-partitioned ``ohlcv`` table.  Returns the running StreamingQuery;
     state and progress live under ``checkpoint`` (use a folder under
     ``spark.checkpoint.dir``)."""
     S.ship_package(records.sparkSession)
-    out = spread_stream(bar_stream(decode_trades(records), delay=delay, period=period))
+    if dlq:  # its own query and checkpoint: a stateful query has one output
+        records.writeStream.foreachBatch(dead_letter_writer(dlq)).option("checkpointLocation", f"{checkpoint}-dlq") \
+            .trigger(processingTime=trigger).start()
+    trades = decode_trades(records)
+    if "arrival_order" in trades.columns:
+        trades = trades.withColumn("arrival", F.col("arrival_order"))
+    out = spread_stream(bar_stream(trades, delay=delay, interval=interval, period=period), interval=interval)
     return start_with_state_partitions(
-        records.sparkSession, out.writeStream.foreachBatch(upsert_writer(table)).option("checkpointLocation", checkpoint)
+        records.sparkSession, out.writeStream.foreachBatch(writer or upsert_writer(table)).option("checkpointLocation", checkpoint)
         .trigger(processingTime=trigger), state_partitions)
 
 
@@ -417,13 +515,13 @@ def run_frames_to_bars(spark: SparkSession, frames: DataFrame, batches: int = 4)
     """Producer and bar job chained in one streaming query: captured frames
     -> one parse -> normalised trades (arrival = frame seq, position) ->
     watermark + 1-minute window aggregate."""
-    from tickbars.operators.feeds import parse_frames, trades_of
+    from tickbars.operators.feeds import frame_order, parse_frames, trades_of
 
     S.configure(spark)
     base = S.fresh_path(spark, "stream-frames-bars")
     sink, ckpt = f"{base}/sink", f"{base}/checkpoint"
     land_batches(spark, frames, "seq", batches, base)
-    src = spark.readStream.schema(FRAME_FILE_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{base}/in")
-    trades = trades_of(parse_frames(src, metrics="frames_to_bars")).withColumn("arrival", F.struct("seq", "pos"))
+    src = spark.readStream.schema(FRAME_FILE_SCHEMA).option("maxFilesPerTrigger", SLICE_FILES).json(f"{base}/in")
+    trades = trades_of(parse_frames(src)).withColumn("arrival", frame_order())
     run_available(stream_ohlcv_bars(trades).drop("w"), sink, ckpt)
     return read_sink(spark, sink)
