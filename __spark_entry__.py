@@ -240,7 +240,7 @@ def _published_books(spark, d):
 
 def _feed_queries():
     q = {}
-    q["raw_frames_scan"] = lambda s, d: FD.parse_frames(_frames(s, d)).select(
+    q["raw_frames_scan"] = lambda s, d: FD.parse_frames(_frames(s, d), want=()).select(
         "source", "seq", "recv_ms", "kind")
     q["feed_demux"] = lambda s, d: FD.demux(_frames(s, d))
     for i, src in ((1, "BINANCE"), (2, "COINBASE"), (3, "KRAKEN")):

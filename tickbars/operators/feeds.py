@@ -195,10 +195,24 @@ def frame_order() -> Column:
             + F.col("pos").cast("decimal(20,0)"))
 
 
-def parse_frames(frames: DataFrame, strict: bool = True, metrics: str | None = None) -> DataFrame:
+ALL_OUTPUTS = ("trades", "levels", "book")
+
+
+def _barrier(df: DataFrame, **counters: Column) -> DataFrame:
+    """A CollectMetrics node: later filters are not pushed below it, so what
+    stands under it is evaluated once per frame."""
+    return df.observe(f"feed_{uuid.uuid4().hex[:8]}", F.count(F.lit(1)).alias("rows"),
+                      *[c.alias(k) for k, c in counters.items()])
+
+
+def parse_frames(frames: DataFrame, strict: bool = True, want: tuple[str, ...] = ALL_OUTPUTS) -> DataFrame:
     """One projection per frame; see the module doc.  Staged selects keep
-    each generated expression small (shared sub-results are columns)."""
-    p = frames.select("source", "seq", "recv_ms", "raw", F.try_parse_json("raw").alias("_v"))
+    each generated expression small (shared sub-results are columns).
+
+    ``want``: which outputs to build.  A reader of one output gets only the
+    frames of its kind, and nothing else is looked up in them; with none, only
+    the kind of every frame is told."""
+    p = _barrier(frames.select("source", "seq", "recv_ms", "raw", F.try_parse_json("raw").alias("_v")))
     v = F.col("_v")
     p = p.select("*",
                  _text(v, "$.stream").alias("_stream"), _text(v, "$.channel").alias("_channel"),
@@ -215,6 +229,10 @@ def parse_frames(frames: DataFrame, strict: bool = True, metrics: str | None = N
                   .when(ch == FEED3_BOOK_CHANNEL, "book").otherwise("ignored"))
             .otherwise("ignored"))
     p = p.withColumn("kind", kind)
+    if not want:
+        return p.select("source", "seq", "recv_ms", "raw", "kind")
+    if set(want) < set(ALL_OUTPUTS):
+        p = p.filter(F.col("kind").isin(*{"trade" if w == "trades" else "book" for w in want}))
     trades = (F.when(F.col("kind") != "trade", F.lit(None))
               .when(src == SOURCE_FEED1, _feed1_trades(d))
               .when(src == SOURCE_FEED2, _feed2_trades(v, recv))
@@ -223,28 +241,22 @@ def parse_frames(frames: DataFrame, strict: bool = True, metrics: str | None = N
               .when(src == SOURCE_FEED2, _feed2_levels(v, recv))
               .when(src == SOURCE_FEED3, _feed3_levels(v, recv)))
     book = F.when((F.col("kind") == "book") & (src == SOURCE_FEED1), _feed1_book(d))
-    p = p.select("source", "seq", "recv_ms", "raw", "kind", "_stream",
-                 trades.alias("trades"), levels.alias("levels"), book.alias("book"))
+    outputs = {"trades": trades, "levels": levels, "book": book}
+    p = p.select("source", "seq", "recv_ms", "raw", "kind", "_stream", *[outputs[w].alias(w) for w in want])
     book_bad = F.exists(F.concat(F.col("book.bids"), F.col("book.asks")),
-                        lambda x: x["price"].isNull() | x["quantity"].isNull())
-    bad = (F.coalesce(F.exists("trades", lambda t: t["bad"]), F.lit(False))
-           | F.coalesce(F.exists("levels", lambda x: x["bad"] | x["timestamp_ms"].isNull()), F.lit(False))
-           | F.coalesce(book_bad, F.lit(False)))
-    p = p.withColumn("bad", bad)
-    # Feed counters as observed metrics (O-91).  The CollectMetrics node is
-    # also where the optimizer stops pushing later filters down: without it,
-    # filters on kind/bad and the size() filter inferred from explode would
-    # be inlined below this projection and parse every frame twice.
-    return p.observe(metrics or f"feed_parse_{uuid.uuid4().hex[:8]}",
-                     F.count(F.lit(1)).alias("frames"),
-                     F.count_if(F.col("kind") == "dead").alias("not_json"),
-                     F.count_if(F.col("bad")).alias("bad_elements"),
-                     F.count_if(F.col("kind") == "ignored").alias("ignored"))
+                        lambda x: x["price"].isNull() | x["quantity"].isNull()) if "book" in want else None
+    checks = {"trades": lambda: F.exists("trades", lambda t: t["bad"]),
+              "levels": lambda: F.exists("levels", lambda x: x["bad"] | x["timestamp_ms"].isNull()),
+              "book": lambda: book_bad}
+    bad = F.lit(False)
+    for w in want:
+        bad = bad | F.coalesce(checks[w](), F.lit(False))
+    return _barrier(p.withColumn("bad", bad))
 
 
 def demux(frames: DataFrame, strict: bool = True) -> DataFrame:
     """Frame -> kind (O-10, O-11, O-12)."""
-    return parse_frames(frames, strict).select("source", "seq", "kind")
+    return parse_frames(frames, strict, want=()).select("source", "seq", "kind")
 
 
 def trades_of(parsed: DataFrame) -> DataFrame:
@@ -265,12 +277,12 @@ def trades_of(parsed: DataFrame) -> DataFrame:
 
 def normalize(frames: DataFrame, source: str, strict: bool = True) -> DataFrame:
     """Valid normalised trades of one feed (O-14, O-15, O-16)."""
-    return trades_of(parse_frames(frames.filter(F.col("source") == source), strict))
+    return trades_of(parse_frames(frames.filter(F.col("source") == source), strict, want=("trades",)))
 
 
 def union_feeds(frames: DataFrame, strict: bool = True) -> DataFrame:
     """All feeds as one trade stream (O-30) -- one scan, arrival = (seq, pos)."""
-    return trades_of(parse_frames(frames, strict))
+    return trades_of(parse_frames(frames, strict, want=("trades",)))
 
 
 def dead_letters_of(parsed: DataFrame) -> DataFrame:
@@ -331,7 +343,7 @@ def book_rows(frames: DataFrame, strict: bool = True) -> DataFrame:
     that a message counts, and a snapshot clears, whatever its levels hold.
     ``keep_zero``: store a zero quantity instead of deleting (feed-3
     snapshots)."""
-    return levels_of(parse_frames(frames, strict))
+    return levels_of(parse_frames(frames, strict, want=("levels",)))
 
 
 def feed1_snapshots(parsed: DataFrame) -> DataFrame:
@@ -345,7 +357,7 @@ def feed1_snapshots(parsed: DataFrame) -> DataFrame:
 
 def feed1_books(frames: DataFrame, strict: bool = True) -> DataFrame:
     """Feed-1 partial-depth frames -> stateless snapshots (O-42)."""
-    return feed1_snapshots(parse_frames(frames.filter(F.col("source") == SOURCE_FEED1), strict))
+    return feed1_snapshots(parse_frames(frames.filter(F.col("source") == SOURCE_FEED1), strict, want=("book",)))
 
 
 def flatten_book(books: DataFrame, keys: list[str]) -> DataFrame:

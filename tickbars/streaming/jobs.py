@@ -522,6 +522,6 @@ def run_frames_to_bars(spark: SparkSession, frames: DataFrame, batches: int = 4)
     sink, ckpt = f"{base}/sink", f"{base}/checkpoint"
     land_batches(spark, frames, "seq", batches, base)
     src = spark.readStream.schema(FRAME_FILE_SCHEMA).option("maxFilesPerTrigger", SLICE_FILES).json(f"{base}/in")
-    trades = trades_of(parse_frames(src)).withColumn("arrival", frame_order())
+    trades = trades_of(parse_frames(src, want=("trades",))).withColumn("arrival", frame_order())
     run_available(stream_ohlcv_bars(trades).drop("w"), sink, ckpt)
     return read_sink(spark, sink)
