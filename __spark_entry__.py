@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from oracle_queries import PANEL_SYMBOL  # noqa: E402
+from oracle_queries import PANEL_FROM, PANEL_SYMBOL, PANEL_TO  # noqa: E402
 from oracle_queries import oracle_sql as _oracle_sql  # noqa: E402
 from tickbars import session as S  # noqa: E402
 from tickbars.functions.symbols import canonical_symbol, composite_key, split_composite_key  # noqa: E402
@@ -73,6 +73,27 @@ def _job(spark, d):
     return bar_job(_trades(spark, d))
 
 
+_BAR_TABLES: dict[tuple[str, str], str] = {}
+
+
+def _bar_table(spark, d):
+    """The stored bar table the dashboard reads, day-partitioned: the bar job
+    writes it once per application and input."""
+    key = spark.sparkContext.applicationId, d
+    if key not in _BAR_TABLES:
+        path = S.fresh_path(S.configure(spark), "bar-table")
+        TB.write_partitioned(_job(spark, d), path, "window_start_ms")
+        _BAR_TABLES[key] = path
+    return _BAR_TABLES[key]
+
+
+def _panel_rows(spark, d):
+    """One symbol and time range of the bar table: days are pruned, symbol and
+    time are pushed into the scan."""
+    return TB.scan_filtered(spark, _bar_table(spark, d), "window_start_ms", symbol=PANEL_SYMBOL,
+                            t_from=PANEL_FROM, t_to=PANEL_TO)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the bar job's table rows (OHLCV + EMA-10 + spread) at sf0.001."""
     return rounded(_job(spark, SMOKE_DIR))
@@ -90,9 +111,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "trade_id", "raw_symbol", canonical_symbol("raw_symbol").alias("canonical"))
     for name in ["panel_candles", "panel_vwap", "panel_buy_sell", "panel_close_ema",
                  "panel_imbalance", "spread_usd_series", "spread_bps_series"]:
-        q[name] = (lambda fn: lambda s, d: fn(_job(s, d), PANEL_SYMBOL))(getattr(P, name))
-    q["distinct_symbols"] = lambda s, d: P.distinct_symbols(_job(s, d))
-    q["latest_bars"] = lambda s, d: P.latest_bars(_job(s, d))
+        q[name] = (lambda fn: lambda s, d: fn(_panel_rows(s, d), PANEL_SYMBOL, PANEL_FROM, PANEL_TO))(getattr(P, name))
+    q["distinct_symbols"] = lambda s, d: P.distinct_symbols(s.read.parquet(_bar_table(s, d)))
+    q["latest_bars"] = lambda s, d: P.latest_bars(s.read.parquet(_bar_table(s, d)).drop("d"))
     q["bar_rollup"] = lambda s, d: rollup_bars(_bars(s, d), 5 * 60_000)
     q.update(_feed_queries())
     q.update(_trade_queries())

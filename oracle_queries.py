@@ -86,12 +86,15 @@ BAR_OUT = ("symbol, source, window_start_ms, window_end_ms, " + ", ".join(
 
 BAR_JOB = with_(TRADES, BARS, EMA, SPREAD)
 
-# Dashboard settings used by the registered panel queries: the whole span.
+# Dashboard settings used by the registered panel queries: one symbol, and eight
+# hours of the first day.
 PANEL_SYMBOL = "BTCUSD"
+PANEL_FROM, PANEL_TO = 1704067200000 + 3600000, 1704067200000 + 9 * 3600000
 
 
 def _panel(select: str, where: str = "", group: bool = True) -> str:
-    q = BAR_JOB + f"select window_start_ms as time_ms, {select} from spread where symbol = '{PANEL_SYMBOL}' {where}"
+    q = BAR_JOB + f"select window_start_ms as time_ms, {select} from spread where symbol = '{PANEL_SYMBOL}' " \
+        f"and window_start_ms between {PANEL_FROM} and {PANEL_TO} {where}"
     if group:
         q += " group by window_start_ms"
     return q + " order by time_ms"

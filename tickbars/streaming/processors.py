@@ -58,7 +58,9 @@ class BookProcessor(StatefulProcessor):
     then its levels apply in order; quantity 0 deletes unless
     ``keep_zero``.  After each message the best ``depth`` levels per side
     are emitted (bids descending, asks ascending) -- the stream form of
-    operators/book.py.  Work is per book message, not per trade."""
+    operators/book.py.  Work is per book message, not per trade; the state
+    is written back only where a level changed (or cleared as a whole by a
+    snapshot), so the changelog of a micro-batch is as long as its changes."""
 
     def __init__(self, depth: int = 20):
         self.depth = depth
@@ -73,15 +75,19 @@ class BookProcessor(StatefulProcessor):
         source, symbol = key
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["seq", "sub", "lpos"], kind="stable")
         book = {s: {k[0]: v[0] for k, v in st.iterator()} for s, st in self.sides.items()}
-        out = []
+        out, cleared = [], False
+        changed: dict[str, set] = {"bid": set(), "ask": set()}
         for (seq, sub), msg in pdf.groupby(["seq", "sub"], sort=True):
             if msg["kind"].iloc[0] == "snapshot":
-                book["bid"].clear()
-                book["ask"].clear()
+                cleared = True
+                for s in book:
+                    book[s].clear()
+                    changed[s].clear()
             for side, price, qty, keep in zip(msg["side"], msg["price"], msg["quantity"], msg["keep_zero"]):
                 if side is None or pd.isna(price):
                     continue
                 s = "bid" if side == "bid" else "ask"
+                changed[s].add(price)
                 if qty == 0 and not keep:
                     book[s].pop(price, None)
                 else:
@@ -92,7 +98,11 @@ class BookProcessor(StatefulProcessor):
                 for i, (p, q) in enumerate(levels, start=1):
                     out.append((source, symbol, int(seq), int(sub), s, float(p), float(q), i))
         for s, st in self.sides.items():
-            st.clear()
-            for p, q in book[s].items():
-                st.updateValue((float(p),), (float(q),))
+            if cleared:
+                st.clear()
+            for p in changed[s]:
+                if p in book[s]:
+                    st.updateValue((float(p),), (float(book[s][p]),))
+                elif not cleared and st.containsKey((float(p),)):
+                    st.removeKey((float(p),))
         yield pd.DataFrame(out, columns=["source", "symbol", "seq", "sub", "side", "price", "quantity", "level"])
