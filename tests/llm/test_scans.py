@@ -18,12 +18,13 @@ def frame(spark, texts, source=lambda k: f"s{k}"):
 def test_license_units(llm):
     texts = ["Some text.\nLICENSED under the  Apache Licence, version 2.0", "Released under the MIT License.", None, "",
              "released under the MIT licence\nReleased under the MIT License.", "Copyright (c) 2020 Somebody",
-             "(c) 2021 X\n\nReleased under the MIT License!\nCopyright 2022 Y", "not released under the MIT License."]
-    got = sorted(tuple(r) for r in L.license_scan(frame(llm, texts), L.known_digests(llm)).collect())
-    assert got == [(0, "Apache-2.0", False, 1), (1, "MIT", True, 1), (4, "MIT", False, 2), (6, "MIT", True, 1)]
+             "(c) 2021 X\n\nReleased under the MIT License!\nCopyright 2022 Y", "not released under the MIT License.",
+             "All rights reserved. Licenced under the MIT license"]
+    got = sorted(tuple(r) for r in L.license_scan(frame(llm, texts)).collect())
+    assert got == [(0, "Apache-2.0", False, 1), (1, "MIT", True, 1), (4, "MIT", False, 2), (6, "MIT", True, 1), (8, "MIT", True, 1)]
     twice = frame(llm, texts[:1]).union(frame(llm, texts[:1]))
-    assert L.license_scan(twice, L.known_digests(llm)).count() == 2
-    assert L.license_scan(frame(llm, []).filter("false"), L.known_digests(llm)).count() == 0
+    assert L.license_scan(twice).count() == 2
+    assert L.license_scan(frame(llm, []).filter("false")).count() == 0
 
 
 ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|"""

@@ -123,45 +123,71 @@ def _wide(words: str) -> str:
 
 def replacements() -> list[tuple[str, str]]:
     """(from, to) in canonical spacing, in the order they are applied."""
-    return [(_wide(w), " ") for w in DROPPED] + [(_wide(a), _wide(b)) for a, b in SPELLINGS.items()]
+    return [(_wide(w), "") for w in DROPPED] + [(_wide(a), _wide(b)) for a, b in SPELLINGS.items()]
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form of a text column (a string column; null stays null).  The
-    costly steps run only on texts that hold something for them to change."""
-    x = F.lower(text)
-    marked = x.contains("copyright") | x.contains("©") | x.contains("(c)")
-    x = F.when(marked, F.regexp_replace(x, "(?md)" + COPYRIGHT_LINE, " ")).otherwise(x)
-    x = F.concat(F.lit("  "), F.regexp_replace(F.replace(x, F.lit("https://"), F.lit("http://")), NOT_WORD, "  "), F.lit("  "))
-    y = x
+def without_copyright_lines(text: Column) -> Column:
+    """A text without its copyright lines; most texts are only looked through."""
+    marked = text.rlike(r"(?i)copyright|©|\(c\)")
+    return F.when(marked, F.regexp_replace(text, "(?imd)" + COPYRIGHT_LINE, " ")).otherwise(text)
+
+
+def first_word(text: Column) -> Column:
+    return F.lower(F.regexp_extract(text, r"[\p{L}\p{N}]+", 0))
+
+
+def with_digest(df: DataFrame, unit: str) -> DataFrame:
+    """``df`` with ``digest`` of the canonical form of a string column without
+    copyright lines (empty for a null text and when nothing is left, which no
+    licence text is).  Each step is a column of its own, so no step is evaluated
+    twice."""
+    x = F.col("__x")
+    y = F.concat(F.lit("  "), F.regexp_replace(F.replace(F.lower(unit), F.lit("https://"), F.lit("http://")), NOT_WORD, "  "),
+                 F.lit("  "))
     for old, new in replacements():
         y = F.replace(y, F.lit(old), F.lit(new))
-    some = "|".join(old.strip() for old, _ in replacements())
-    return F.trim(F.regexp_replace(F.when(x.rlike(f" (?:{some}) "), y).otherwise(x), " +", " "))
+    df = df.withColumn("__x", F.trim(y))
+    # never null: a join would push "is not null" down and evaluate every step again
+    return df.withColumn("digest", F.coalesce(F.when(x != "", F.sha2(x, 256)), F.lit(""))).drop("__x")
+
 
+def opening_words(notices: dict[str, list[str]]) -> list[str]:
+    """Words that a text may open with to be canonically one of the notices: the
+    notices' own, and those that a spelling or a dropped phrase puts before them."""
+    import re
 
-def digest(text: Column) -> Column:
-    """Digest of the canonical form; null if nothing is left."""
-    c = canonical(text)
-    return F.when(c != "", F.sha2(c, 256))
+    first = lambda t: re.findall(r"[^\W_]+", t.lower())[0]
+    same: dict[str, set[str]] = {}
+    for a, b in SPELLINGS.items():
+        same.setdefault(first(b), set()).add(first(a))
+        same.setdefault(first(a), set()).add(first(b))
+    words = {first(t) for texts in notices.values() for t in texts}
+    return sorted(words | {x for w in words for x in same.get(w, ())} | {first(w) for w in DROPPED})
 
 
 def known_digests(spark: SparkSession, notices: dict[str, list[str]] = NOTICES) -> DataFrame:
-    """(digest, license) of the known texts, made by the same expression."""
+    """(digest, license) of the known texts, made by the same steps."""
     rows = [(name, text) for name, texts in notices.items() for text in texts]
-    return spark.createDataFrame(rows, "license string, text string").select(
-        digest(F.col("text")).alias("digest"), "license").distinct()
+    return with_digest(spark.createDataFrame(rows, "license string, text string").withColumn(
+        "text", without_copyright_lines(F.col("text"))), "text").select("digest", "license").distinct()
 
 
-def license_scan(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def license_scan(docs: DataFrame, notices: dict[str, list[str]] = NOTICES, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
     """(doc_id, license, whole_text, n_lines) of the rows whose entire text, or a
     line of it, is a known licence text: one row per licence found, with the
-    number of lines that state it."""
+    number of lines that state it.
+
+    Equal canonical forms open with the same word, so only units that open with
+    a notice's word are put into canonical form and digested."""
     units = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"),
                         F.col(text_col).alias("text"))
     whole = F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("unit")))
     lines = F.transform(F.split("text", "\n", -1), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit")))
     units = units.filter(F.col("text").isNotNull()).select("rid", "doc_id", F.explode(F.concat(whole, lines)).alias("u"))
-    found = units.select("rid", "doc_id", "u.whole", digest(F.col("u.unit")).alias("digest")).join(known, "digest")
+    units = units.select("rid", "doc_id", "u.whole", without_copyright_lines(F.col("u.unit")).alias("unit")) \
+        .filter(first_word(F.col("unit")).isin(*opening_words(notices)))
+    known = known_digests(docs.sparkSession, notices)  # as many rows as notices
+    found = with_digest(units, "unit").drop("unit").join(F.broadcast(known), "digest")
     return found.groupBy("rid", "doc_id", "license").agg(
         F.bool_or("whole").alias("whole_text"), F.sum((~F.col("whole")).cast("long")).alias("n_lines")).drop("rid")

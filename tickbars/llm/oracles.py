@@ -59,7 +59,7 @@ def _license_canonical(column: str) -> str:
     x = f"'  ' || regexp_replace({x}, {_quoted(L.NOT_WORD)}, '  ', 'g') || '  '"
     for old, new in L.replacements():
         x = f"replace({x}, {_quoted(old)}, {_quoted(new)})"
-    return f"trim(regexp_replace({x}, ' +', ' ', 'g'))"
+    return f"trim({x})"
 
 
 _KNOWN = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, texts in L.NOTICES.items() for text in texts)

@@ -11,7 +11,7 @@ from tickbars.llm.decontaminate import decontaminate
 from tickbars.llm.html_text import extract
 from tickbars.llm.jaccard_join import jaccard_components
 from tickbars.llm.language_id import identify
-from tickbars.llm.license_scan import known_digests, license_scan
+from tickbars.llm.license_scan import license_scan
 from tickbars.llm.maxent_lm import score_texts
 from tickbars.llm.oracles import ORACLE_SQL
 from tickbars.llm.packing import pack
@@ -21,7 +21,7 @@ from tickbars.llm.secret_scan import secret_scan
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan(table(prepare(spark), sf_dir, "documents"), known_digests(spark))
+    return license_scan(table(prepare(spark), sf_dir, "documents"))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
