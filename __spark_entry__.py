@@ -176,7 +176,7 @@ def _stream_queries():
     q["stream_restart"] = lambda s, d: J.run_bar_job(s, _trades(s, d), stages=(2,), what="spread")
     q["stream_enrich_trades"] = lambda s, d: J.run_trade_job(s, FX.wire_records(S.configure(s), d, duplicates=True))
     q["stream_late_drop"] = lambda s, d: J.run_bar_job(
-        s, FX.late_trades_input(S.configure(s), d), batches=LATE_BATCHES, what="bars")
+        s, FX.late_stream_input(S.configure(s), d), batches=LATE_BATCHES, what="bars")
     q["stream_book"] = lambda s, d: J.run_book_job(s, FX.book_deltas(S.configure(s), d))
     q["stream_upsert_replay"] = lambda s, d: J.run_upsert_replay(s, _trades(s, d))
     q["stream_union_feeds"] = lambda s, d: _stream_feeds(s, d, "trades")

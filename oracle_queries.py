@@ -421,7 +421,7 @@ def late_drop_oracle(batches: int) -> str:
 moved as (
   select trade_id, symbol, source, price, quantity, is_buyer_maker, arrival,
          case when trade_id % 7 = 0 then trade_time_ms - ((trade_id * 7919) % 41) * 4000
-              else trade_time_ms end as trade_time_ms
+              else trade_time_ms end - case when trade_id % 211 = 0 then 14400000 else 0 end as trade_time_ms
   from trades),
 sliced as (
   select m.*, (arrival - s.lo) // s.step as batch

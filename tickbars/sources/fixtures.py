@@ -22,6 +22,8 @@ BROKEN_EVERY = 50                 # raw frame is not JSON when event_id % 50 = 0
 BOOK_FRAME_EVERY = 5              # event_id % 5 = 4 -> book frame, else trade frame
 SNAPSHOT_EVERY = 97               # book delta is a snapshot when event_id % 97 = 0
 LATE_EVERY = 7                    # late-trade fixture moves every 7th trade back
+VERY_LATE_EVERY = 211             # late-stream fixture moves every 211th trade
+VERY_LATE_MS = 14_400_000         # ... four hours back
 DUPLICATE_EVERY = 10              # duplicate-trade fixture repeats every 10th trade
 
 
@@ -104,6 +106,13 @@ def late_trades_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("partition", F.col("source"))
 
 
+def late_stream_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F2b: F2 with every 211th trade four hours late, so that a stream run in
+    slices of an hour and a half drops some."""
+    return late_trades_input(spark, sf_dir).withColumn("trade_time_ms", F.when(
+        F.col("trade_id") % VERY_LATE_EVERY == 0, F.col("trade_time_ms") - VERY_LATE_MS).otherwise(F.col("trade_time_ms")))
+
+
 def duplicate_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 plus a later second copy of every 10th trade."""
     t = trades(spark, sf_dir)
