@@ -37,6 +37,8 @@ SUPPORT = 3
 DISCLOSURE = 0.9
 BITS = 4.0
 BROADCAST_TERMS = 200_000
+#: One text in ``SHARE`` is read to rule common words out early.
+SHARE = 32
 
 # A match of these kinds starts where its leading run starts, or right behind
 # the match before it; all later starts in the run fail or succeed with it.
@@ -80,11 +82,18 @@ def _context_terms(text: Column, x: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.concat_ws(" | ", before, after), F.lit(pattern), F.lit(0)))
 
 
+def _holding(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """(key, term): the distinct texts that hold each of the terms as a word."""
+    if terms.count() <= BROADCAST_TERMS:
+        terms = F.broadcast(terms)
+    words = texts.select("key", F.explode(F.split("text", rf"(?:(?!{WORD_END})[\s\S])+")).alias("term"))
+    return words.join(terms, "term").distinct()
+
+
 def revealing_terms(texts: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE,
                     bits: float = BITS) -> DataFrame:
     """(key, terms): per distinct text, the terms in it that give an entity away.
     ``texts`` has columns (key, text), key telling texts apart."""
-    spark = texts.sparkSession
     beside = texts.withColumn("base", base_spans(F.col("text"))).filter(F.size("base") > 0) \
         .select("key", "text", F.explode("base").alias("x")) \
         .select("key", F.concat_ws(":", "x.kind", "x.value").alias("entity"),
@@ -95,11 +104,14 @@ def revealing_terms(texts: DataFrame, support: int = SUPPORT, disclosure: float
     pairs = beside.select("key", "entity", F.explode("terms").alias("term")).distinct() \
         .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= support)
     pairs = S.materialize(pairs.join(entities, "entity"), "entity-terms")
-    terms = pairs.select("term").distinct()
-    if terms.count() <= BROADCAST_TERMS:
-        terms = F.broadcast(terms)
-    words = texts.select("key", F.explode(F.split("text", rf"(?:(?!{WORD_END})[\s\S])+")).alias("term"))
-    held = S.materialize(words.join(terms, "term").distinct(), "held-terms")
+    # A term in more texts of a share of the corpus than its entity allows in all
+    # of it cannot reach the threshold: common words go before all texts are read.
+    most = pairs.groupBy("term").agg(F.max("n_et").alias("most"))
+    seen = _holding(texts.filter(F.pmod("key", F.lit(SHARE)) == 0), most.select("term")) \
+        .groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
+    terms = S.materialize(most.join(seen, "term", "left").filter(
+        F.coalesce("seen", F.lit(0)) * disclosure <= F.col("most") + 1e-6).select("term"), "candidate-terms")
+    held = S.materialize(_holding(texts, terms), "held-terms")
     n_texts = texts.select("key").distinct().count()
     counts = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     p = F.col("n_et") / F.col("n_t")
