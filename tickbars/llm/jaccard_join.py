@@ -44,7 +44,7 @@ LINK_PCT = 85
 OFTEN = 50_000
 #: Leaves of one block of a token's forest.
 BLOCK = 4096
-#: Buckets of the bitmap that tells which sets a scan must return.
+#: Buckets (of document ids) of the bitmap that tells which texts a scan must read.
 WANTED_BUCKETS = 1 << 22
 #: Bits of a leaf bitmap, and the set size up to which the narrow one is used.
 NARROW, WIDE, NARROW_SIZE = 1024, 8192, 1200
@@ -103,15 +103,16 @@ def _sketches(shingle: int):
 
 
 def _sets(wanted, shingle: int):
-    """(sid, tokens) of the sets whose bucket is wanted, once per task."""
+    """(sid, tokens) of the rows whose bucket is wanted, once per task; texts of
+    other rows are not read."""
     def run(batches):
-        has, done = np.unpackbits(np.frombuffer(wanted.value, np.uint8)), set()
+        has, done = np.unpackbits(np.frombuffer(wanted.value, np.uint8)).view(bool), set()
         for batch in batches:
             ids, sets = [], []
-            for t in batch.column(0).to_pylist():
+            for t in batch.column(1).filter(pa.array(has[np.asarray(batch.column(0))])).to_pylist():
                 s = shingle_set(t, shingle)
                 i = set_id(s)
-                if i is not None and has[i % WANTED_BUCKETS] and i not in done:
+                if i is not None and i not in done:
                     done.add(i)
                     ids.append(i)
                     sets.append(s.tobytes())
@@ -246,21 +247,29 @@ def _candidates(pct: int):
     return run
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, pct: int, name: str) -> DataFrame:
-    """The pairs (a, b) of set ids whose sets link, by exact comparison.  Only
-    sets that take part are read back; the texts are scanned, not shuffled."""
+def _bucket():
+    """Bucket of a row's document id (a null id has one too)."""
+    return F.pmod(F.xxhash64("doc_id"), F.lit(WANTED_BUCKETS)).cast("int")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, shingle: int, pct: int, name: str) -> DataFrame:
+    """The pairs (a, b) of set ids whose sets link, by exact comparison.  Of each
+    set that takes part one document is read again, told by the bucket of its id;
+    the texts are scanned, not shuffled."""
     spark = pairs.sparkSession
     pairs = S.materialize(pairs, f"{name}-pairs")
     sids = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
     flags = np.zeros(WANTED_BUCKETS, bool)
-    for row in sids.select(F.pmod("sid", F.lit(WANTED_BUCKETS)).cast("int").alias("k")).distinct() \
+    one = members.join(sids, "sid", "left_semi").groupBy("sid").agg(F.min(_bucket()).alias("k"))
+    for row in one.select("k").distinct() \
             .select(F.pmod("k", F.lit(4096)).alias("g"), "k").groupBy("g").agg(F.collect_list("k").alias("ks")) \
             .toLocalIterator():
         flags[row.ks] = True
     if not flags.any():
         return pairs
     wanted = spark.sparkContext.broadcast(np.packbits(flags).tobytes())
-    sets = docs.select(text_bytes("text").alias("t")).mapInArrow(_sets(wanted, shingle), "sid long, tokens binary")
+    sets = docs.select(_bucket().alias("k"), text_bytes("text").alias("t")).mapInArrow(
+        _sets(wanted, shingle), "sid long, tokens binary")
     sets = S.materialize(sets.join(sids, "sid", "left_semi").groupBy("sid").agg(F.first("tokens").alias("tokens")),
                          f"{name}-sets")
 
@@ -350,9 +359,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     often = spark.sparkContext.broadcast(last.tobytes())
 
     sets, posts = _posts(docs, often, shingle, pct)
-    near = _verified(_near_pairs(sets, posts, pct), docs, shingle, pct, "near")
+    near = _verified(_near_pairs(sets, posts, pct), docs, members, shingle, pct, "near")
     comps = S.materialize(components(near), "near-components")
-    rest = _verified(_tree_pairs(sets, posts, comps, pct), docs, shingle, pct, "tree")
+    rest = _verified(_tree_pairs(sets, posts, comps, pct), docs, members, shingle, pct, "tree")
     stars = comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))
     comps = components(rest.select("a", "b").union(stars))
 
