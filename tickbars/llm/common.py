@@ -7,10 +7,7 @@ never decoded unless code points are needed.
 
 from __future__ import annotations
 
-from itertools import islice
-
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,30 +79,3 @@ def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
 def signed(h: int) -> int:
     """Unsigned 64-bit hash as Spark's long."""
     return h - (1 << 64) if h >= 1 << 63 else h
-
-
-def groups(batches, keys: list[str]):
-    """Consecutive equal-key runs of sorted Arrow batches, as (table) slices; a
-    run may span batches.  Only one run is held at a time."""
-    pending: list[pa.Table] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        t = pa.Table.from_batches([batch])
-        cols = [np.asarray(t.column(k)) for k in keys]
-        change = np.zeros(t.num_rows, bool)
-        for c in cols:
-            change[1:] |= c[1:] != c[:-1]
-        starts = [0, *np.flatnonzero(change).tolist(), t.num_rows]
-        for a, b in zip(starts, islice(starts, 1, None)):
-            if a == b:
-                continue
-            key = tuple(c[a] for c in cols)
-            if pending and key != last:
-                yield pa.concat_tables(pending)
-                pending = []
-            last = key
-            pending.append(t.slice(a, b - a))
-    if pending:
-        yield pa.concat_tables(pending)
