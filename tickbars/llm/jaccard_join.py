@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tickbars import session as S
 from tickbars.llm import signature_tree as T
-from tickbars.llm.common import WORD_HASHES, _MULT, signed, text_bytes, window_hashes
+from tickbars.llm.common import WORD_HASHES, signed, text_bytes, window_hashes
 from tickbars.llm.components import components
 
 SHINGLE = 4
