@@ -10,7 +10,6 @@ file table.  The checkpoint, bar and EMA settings of the options apply here.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tickbars.operators.tables import ON_CONFLICT_UPDATE
 from tickbars.options import JobOptions
