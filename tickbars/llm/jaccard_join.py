@@ -300,6 +300,11 @@ def _posts(docs: DataFrame, often, shingle: int, pct: int) -> tuple[DataFrame, D
     posts = sets.select("sid", "n", tiers.alias("tiers"), F.posexplode("prefix").alias("at", "token")) \
         .select("sid", "n", (F.col("n") - F.col("at")).alias("rest"), "token", F.explode("tiers").alias("tier"))
     whole = Window.partitionBy("tier", "token")
+    # At the first token that two linked sets share, the smaller one still has 2 pct / (100 + pct)
+    # of itself to come.  So a row matters if it is that early, or not smaller than one that is.
+    early = (100 + pct) * F.col("rest") >= 2 * pct * F.col("n")
+    posts = posts.withColumn("least", F.min(F.when(early, F.col("n"))).over(whole)) \
+        .filter(early | (F.col("least") <= F.col("n"))).drop("least")
     posts = posts.withColumns({"low": F.min("sid").over(whole), "high": F.max("sid").over(whole)}) \
         .filter("low < high").drop("low", "high")
     return sets, S.materialize(posts, "posts")
