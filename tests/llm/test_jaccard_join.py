@@ -101,3 +101,15 @@ def test_connected_components(llm):
     edges = [(i, i + 1) for i in range(50)] + [(100, 101), (101, 100), (7, 7), (None, 3)]
     got = {r.node: r.comp for r in components(llm.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(51)}, 100: 100, 101: 100}
+
+
+def test_links_across_the_bitmap_widths(llm):
+    """A set small enough for the narrow bitmap links with one that needs the wide one."""
+    rows, k = [], 0
+    for small, more in ((1150, 280), (1130, 282), (1200, 300), (1199, 215), (1210, 290), (1150, 290)):
+        text = [f"t{k}w{i}" for i in range(small + more + 4)]
+        rows += [(k, " ".join(text[:small + 4])), (k + 1, " ".join(text))]
+        k += 2
+    want = sorted(brute(rows, 5, 80))
+    assert [c for _, _, c in want] == [0, 0, 2, 2, 4, 4, 6, 6, 8, 8, 10, 11]
+    assert run(llm, rows, shingle=5, pct=80) == want

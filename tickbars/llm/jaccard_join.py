@@ -137,7 +137,7 @@ def _prefixes(often, shingle: int, pct: int):
                 take = n - -(-pct * n // 100) + 1
                 late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s if len(last) else np.zeros(n, bool)
                 order = np.concatenate([s[~late], s[late]])[:take]
-                rows.append((i, n, order.view(np.int64), _bitmap(s, NARROW) if 85 * n <= 100 * NARROW_SIZE else None,
+                rows.append((i, n, order.view(np.int64), _bitmap(s, NARROW) if pct * n <= 100 * NARROW_SIZE else None,
                              _bitmap(s, WIDE) if n > NARROW_SIZE else None))
             cols = list(zip(*rows)) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([
