@@ -44,3 +44,17 @@ def test_canonical_words():
     assert D.canonical(b"3.5%,")[0] == D.NUMBER and D.canonical(b"12km")[0] == D.NUMBER
     assert D.canonical(b"hours.")[0] == D.UNIT and D.canonical(b"(Paris)")[:2] == (D.NAME, "Paris")
     assert D.canonical(b"|")[0] == D.BREAK and D.canonical("été!".encode()) == (D.LITERAL, "été", True)
+
+
+def found(spark, texts, items):
+    return {(r.doc_id, r.item_id): r.same_values for r in D.decontaminate(docs(spark, texts), bench(spark, items)).collect()}
+
+
+def test_items_dense_in_values(llm):
+    """Windows with few literal words count, and items of few words are looked up whole."""
+    items = ["Alice paid Bob 5 dollars and Carol 7 euros", "A rectangle is 12 cm by 8 cm by 5 cm and weighs 3 kg",
+             "What is gravity?", "Bob owes 5 euros", "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16"]
+    texts = [f"they say {x} to all" for x in items] + [
+        f"Something else. {items[2]}\nAnd on.", f"First line\n{items[3]}", "gravity is what it is", "Bob owes 7 euros",
+        "So a rectangle is 40 cm by 30 cm by 20 cm and weighs 9 kg in all", "8 9 1 2 5 5 1 2 8 16 3 11 2 1 1 4 9"]
+    assert found(llm, texts, items) == {(0, 0): True, (1, 1): True, (4, 4): True, (5, 2): True, (6, 3): True, (9, 1): False}

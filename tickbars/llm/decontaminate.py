@@ -7,14 +7,19 @@ per (document, item, shift), and the placeholder values must map consistently:
 one item value always to one document value.  Whether the values are the same
 (a verbatim copy) or consistently others (a re-parameterised one), the document
 is contaminated if the line-up covers ``RUN`` words, or the whole item if that
-is shorter.
+is shorter, or every window of the item that is a template.
+
+Every window is hashed word for word, so a verbatim copy is found however dense
+it is in values, and as a template if at least ``LITERALS`` of its words stay
+literal.
 
 A bitmap of the benchmark's window hashes (a fixed number of buckets, whatever
 the benchmark's size) filters document windows inside the scan; only windows
 that hit it are shuffled.  The join itself compares 64-bit hashes.
 
 Defined results: null or empty texts match nothing; an item of fewer than
-``MIN_ITEM`` words cannot be told from chance and is not searched; a null id is
+``MIN_ITEM`` words cannot be told from chance inside a sentence and is looked up
+whole, as the words between two ends of sentences, lines or texts; a null id is
 reported as null; repeated rows of one id give one row per item; an empty table
 on either side gives no rows; only the named columns are read.
 """
@@ -36,9 +41,11 @@ import xxhash
 WINDOW = 8
 RUN = 13
 MIN_ITEM = 5
-#: Literal words a window needs: placeholders alone match too much.
+#: Literal words a template needs: placeholders alone match too much.
 LITERALS = 4
 BUCKETS = 1 << 22
+#: Readings of soft words hashed at a time (bounds memory only).
+READINGS = 1 << 18
 
 # Units (fixed values).
 UNITS = frozenset("""mm cm m km in ft yd mi mg g kg lb oz ml l s sec min h hr ms
@@ -47,6 +54,10 @@ meter meters metre metres kilometer kilometers kilometre kilometres centimeter c
 mile miles foot feet inch inches yard yards gram grams kilogram kilograms pound pounds ounce ounces
 liter liters litre litres dollar dollars euro euros cent cents percent degree degrees
 mph kph km/h""".split())
+# Number words (fixed values), also joined by hyphens.
+NUMBER_WORDS = frozenset("""zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen
+sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million
+billion dozen half""".split())
 
 LITERAL, NUMBER, UNIT, NAME, BREAK = range(5)
 _NUMBER = re.compile(r"[+-]?\d+(?:[.,:/]\d+)*%?")
@@ -55,27 +66,39 @@ _MARK = b"\xff"  # line end: never part of UTF-8 text
 
 
 class Canon(dict):
-    """word -> row of the arrays ``code`` (hash of the literal), ``kind``, ``ends``."""
+    """word -> row of the arrays ``code`` (hash of the literal), ``kind``, ``ends``,
+    ``soft`` (may be an ordinary word as well)."""
 
     def __init__(self):
         super().__init__()
         self.code = np.zeros(WORD_MEMORY, np.uint64)
         self.kind = np.zeros(WORD_MEMORY, np.int8)
         self.ends = np.zeros(WORD_MEMORY, bool)
+        self.soft = np.zeros(WORD_MEMORY, bool)
 
     def __missing__(self, word: bytes) -> int:
         row = len(self)
         self[word] = row
         kind, core, ends = canonical(word)
         if row >= len(self.code):
-            for name in ("code", "kind", "ends"):
+            for name in ("code", "kind", "ends", "soft"):
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
         self.code[row] = xxhash.xxh3_64_intdigest(core.lower())
         self.kind[row], self.ends[row] = kind, ends
+        self.soft[row] = (kind == NUMBER and not core[-1:].isdigit() and _number_word(core)) \
+            or (kind == NAME and not _plain_name(core))
         return row
 
 
+def _number_word(core: str) -> bool:
+    return all(x in NUMBER_WORDS for x in core.lower().split("-"))
+
+
+def _plain_name(core: str) -> bool:
+    return len(core) > 1 and core[0].isupper() and core[1:].islower()
+
+
 def canonical(word: bytes) -> tuple[int, str, bool]:
     """(kind, word without outer punctuation, does it end a sentence)."""
     if word == _MARK:
@@ -97,7 +120,7 @@ def canonical(word: bytes) -> tuple[int, str, bool]:
         return NUMBER, core, ends
     if core.lower() in UNITS:
         return UNIT, core, ends
-    if len(core) > 1 and core[0].isupper() and core[1:].islower():
+    if _plain_name(core):
         return NAME, core, ends
     return LITERAL, core, ends
 
@@ -106,9 +129,9 @@ _CANON = Canon()
 
 
 def canonical_words(texts: list[bytes]):
-    """(words, document of each word, hash, kind) of a batch: punctuation-only
-    words are left out, and a capitalised word that opens a sentence, a line or a
-    text is an ordinary word."""
+    """(words, place in them, document, literal hash, kind, soft, begins, ends) of a
+    batch's canonical words: punctuation-only words are left out; a word begins or
+    ends what stands between two ends of sentences, lines or texts."""
     if len(_CANON) >= WORD_MEMORY:
         _CANON.clear()
     words, counts = [], []
@@ -118,65 +141,109 @@ def canonical_words(texts: list[bytes]):
         words.append(_MARK)
         words.extend(w)
     rows = np.fromiter(map(_CANON.__getitem__, words), np.int64, len(words))
-    kind, code = _CANON.kind[rows], _CANON.code[rows]
+    kind, soft = _CANON.kind[rows], _CANON.soft[rows]
     opens = np.ones(len(rows), bool)
     opens[1:] = _CANON.ends[rows[:-1]]
     kind = np.where((kind == NAME) & opens, LITERAL, kind)
+    # a piece between two ends, counted without its punctuation-only words
+    piece = np.cumsum(opens | (rows == _CANON[_MARK]))
     keep = np.flatnonzero(kind != BREAK)
     doc = np.repeat(np.arange(len(texts)), counts)[keep]
-    kind, code = kind[keep], code[keep]
-    code = np.where(kind == LITERAL, code, kind.astype(np.uint64))
-    return words, keep, doc, code, kind
+    change = np.diff(piece[keep]) > 0
+    edge = np.ones(1, bool)
+    return (words, keep, doc, _CANON.code[rows[keep]], kind[keep], soft[keep],
+            np.concatenate([edge, change]), np.concatenate([change, edge]))
 
 
-def windows(doc: np.ndarray, code: np.ndarray, kind: np.ndarray, width: int):
-    """(start, hash) of the windows inside one document with enough literals."""
-    n = len(code) - width + 1
+def windows(doc, lit, kind, soft, begins, ends, width: int):
+    """(start, hash, slots, soft slots, is a template in every reading) of the
+    windows inside one document, in pieces; slots are bits of the places read as
+    values (word for word: of those that are values in every reading)."""
+    n = len(lit) - width + 1
     if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    h = np.full(n, width, np.uint64)
+        return
+    inside = doc[:n] == doc[width - 1:]
+    if width < MIN_ITEM:
+        inside &= begins[:n] & ends[width - 1:]
+        pieces = np.add.accumulate(begins, dtype=np.int64)
+        inside &= pieces[:n] == pieces[width - 1:]
+    hard = (kind != LITERAL) & ~soft
+    code = np.where(hard, kind.astype(np.uint64), lit)
+    literal_hash, hash_, bits = np.full(n, width, np.uint64), np.full(n, width, np.uint64), np.zeros(n, np.int64)
     for k in range(width):
-        h += code[k:k + n] * _MULT[k]
-    literal = np.concatenate([[0], np.cumsum(kind == LITERAL)])
-    ok = (doc[:n] == doc[width - 1:]) & (literal[width:] - literal[:n] >= min(LITERALS, width))
-    at = np.flatnonzero(ok)
-    return at, mix(h[at])
+        literal_hash += lit[k:k + n] * _MULT[k]
+        hash_ += code[k:k + n] * _MULT[k]
+        bits |= hard[k:k + n].astype(np.int64) << k
+    before = np.concatenate([[0], np.cumsum(soft)])
+    n_soft = before[width:] - before[:n]
+    literals = width - np.bitwise_count(bits)
+    safe = literals - n_soft >= LITERALS
+    at = np.flatnonzero(inside)
+    yield at, mix(literal_hash[at]), bits[at], np.zeros(len(at), np.int64), safe[at]
+    if width < MIN_ITEM:
+        return
+    at = np.flatnonzero(inside & (bits > 0) & (literals >= LITERALS))
+    yield at, mix(hash_[at]), bits[at], np.zeros(len(at), np.int64), safe[at]
+    place = np.flatnonzero(soft)
+    for k in range(1, width + 1):
+        every = np.flatnonzero(inside & (n_soft == k) & (literals > LITERALS))
+        step = READINGS >> k
+        for x in range(0, len(every), step):
+            at = every[x:x + step]
+            held = place[before[at][:, None] + np.arange(k)]
+            offset = held - at[:, None]
+            delta = (kind[held].astype(np.uint64) - lit[held]) * np.array(_MULT)[offset]
+            h, b = hash_[at][:, None], np.zeros((len(at), 1), np.int64)
+            for j in range(k):
+                h = np.hstack([h, h + delta[:, j:j + 1]])
+                b = np.hstack([b, b | (1 << offset[:, j:j + 1])])
+            ok = literals[at][:, None] - np.bitwise_count(b) >= LITERALS
+            ok[:, 0] = False
+            row, col = np.nonzero(ok)
+            yield at[row], mix(h[row, col]), bits[at[row]] | b[row, col], b[row, col], safe[at[row]]
+
+
+_ROWS = "words long, pos long, hash long, slots array<string>, held long, soft long, safe boolean, n_safe long"
 
 
 def _scan(widths: tuple[int, ...], flags):
-    """(key, words, pos, width, hash, slots) rows of the windows that may match;
-    ``flags`` None: of every window, only of the width an item is cut by."""
+    """A row of every window that may match, in each of its readings; ``slots``
+    are all its words.  ``flags`` None: of every window, only of the width an item
+    is cut by, shorter items whole."""
     def run(batches):
         has = None if flags is None else np.unpackbits(np.frombuffer(flags.value, np.uint8)).view(bool)
         for batch in batches:
-            words, keep, doc, code, kind = canonical_words(batch.column(1).to_pylist())
+            words, keep, doc, *marks = canonical_words(batch.column(1).to_pylist())
             count = np.bincount(doc, minlength=batch.num_rows)
             first = np.concatenate([[0], np.cumsum(count)])
-            parts = []
+            if has is None:  # a short item is looked for by all its words
+                marks[-2:] = np.isin(np.arange(len(doc)), first[:-1]), np.isin(np.arange(len(doc)), first[1:] - 1)
+            parts = [[np.empty(0, t) for t in (np.int64, np.uint64, np.int64, np.int64, bool, np.int64)]]
+            n_safe = np.zeros(batch.num_rows, np.int64)
             for width in widths:
-                at, h = windows(doc, code, kind, width)
-                if has is None:
-                    sel = np.minimum(count[doc[at]], WINDOW) == width
-                else:
-                    sel = has[h % np.uint64(BUCKETS)]
-                parts.append((at[sel], h[sel], np.full(int(sel.sum()), width)))
-            at, h, width = (np.concatenate(x) for x in zip(*parts)) if parts else ([], [], [])
-            slots = []
-            for a, w in zip(at, width):
-                held = [k for k in range(a, a + w) if kind[k] != LITERAL]
-                slots.append([canonical(words[keep[k]])[1].lower() for k in held])
-            d = doc[at] if len(at) else np.empty(0, np.int64)
+                for k, (at, h, held, soft, safe) in enumerate(windows(doc, *marks, width)):
+                    if has is None:
+                        sel = np.minimum(count[doc[at]], WINDOW) == width
+                        if k == 0:
+                            n_safe += np.bincount(doc[at[sel & safe]], minlength=batch.num_rows)
+                    else:
+                        sel = has[h % np.uint64(BUCKETS)]
+                    parts.append([x[sel] for x in (at, h, held, soft, safe)] + [np.full(int(sel.sum()), width)])
+            at, h, held, soft, safe, width = (np.concatenate(x) for x in zip(*parts))
+            slots = [[canonical(words[keep[k]])[1].lower() for k in range(a, a + w)] for a, w in zip(at, width)]
+            d = doc[at]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).take(pa.array(d, pa.int64())), pa.array(count[d], pa.int64()),
-                pa.array(at - first[d] if len(at) else [], pa.int64()),
-                pa.array(np.asarray(h, np.uint64).view(np.int64), pa.int64()),
-                pa.array(slots, pa.list_(pa.string()))], ["key", "words", "pos", "hash", "slots"])
+                pa.array(at - first[d], pa.int64()), pa.array(h.view(np.int64), pa.int64()),
+                pa.array(slots, pa.list_(pa.string())), pa.array(held, pa.int64()), pa.array(soft, pa.int64()),
+                pa.array(safe, pa.bool_()), pa.array(n_safe[d], pa.int64())],
+                ["key", "words", "pos", "hash", "slots", "held", "soft", "safe", "n_safe"])
     return run
 
 
 def _windows(df: DataFrame, key: Column, key_type: str, text_col: str, widths, flags) -> DataFrame:
     return df.select(key.alias("key"), text_bytes(text_col).alias("t")).mapInArrow(
-        _scan(widths, flags), f"key {key_type}, words long, pos long, hash long, slots array<string>")
+        _scan(widths, flags), f"key {key_type}, {_ROWS}")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: Column, text_col: str = "text",
@@ -188,7 +255,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: Column, text_col: s
     key_type = docs.select(key.alias("key")).schema["key"].dataType.simpleString()
     item_type = benchmark.schema[item_col].dataType.simpleString()
     items = S.materialize(_windows(benchmark, F.col(item_col), item_type, item_text,
-                                   tuple(range(MIN_ITEM, WINDOW + 1)), None), "benchmark-windows")
+                                   tuple(range(1, WINDOW + 1)), None), "benchmark-windows")
     flags = np.zeros(BUCKETS, bool)
     buckets = items.select(F.pmod("hash", F.lit(BUCKETS)).cast("int").alias("k")).distinct() \
         .groupBy(F.pmod("k", F.lit(4096)).alias("g")).agg(F.collect_list("k").alias("ks"))
@@ -197,25 +264,35 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: Column, text_col: s
     # an item shorter than the window is one window of its own length
     widths = tuple(r.w for r in items.select(F.least("words", F.lit(WINDOW)).cast("int").alias("w")).distinct().collect())
     found = _windows(docs, key, key_type, text_col, tuple(sorted(widths)),
-                     spark.sparkContext.broadcast(np.packbits(flags).tobytes()))
+                     spark.sparkContext.broadcast(np.packbits(flags).tobytes())).select("key", "pos", "hash", "slots")
     items = items.select(F.col("key").alias("item_id"), F.col("words").alias("m"), F.col("pos").alias("ipos"),
-                         "hash", F.col("slots").alias("islots"))
+                         "hash", F.col("slots").alias("islots"), "held", "soft", "safe", "n_safe")
+    values = F.filter(F.transform(F.arrays_zip("islots", "slots"), lambda x, i: F.struct(
+        x["islots"].alias("v"), x["slots"].alias("d"), (F.getbit("held", i) == 1).alias("held"),
+        (F.getbit("soft", i) == 1).alias("soft"))), lambda x: x["held"])
     lined = found.join(items, "hash").select(
-        "key", "item_id", "m", "pos", (F.col("pos") - F.col("ipos")).alias("shift"),
-        F.arrays_zip("islots", "slots").alias("slots"))
+        "key", "item_id", "m", "n_safe", "safe", "pos", (F.col("pos") - F.col("ipos")).alias("shift"),
+        values.alias("slots"))
     lined = S.materialize(lined, "lined-up")
     group = ["key", "item_id", "shift"]
-    runs = lined.groupBy(*group).agg(
-        F.max("m").alias("m"), (F.count_distinct("pos") + F.least(F.max("m"), F.lit(WINDOW)) - 1).alias("n_words"),
-        F.bool_and(F.forall("slots", lambda x: x["islots"].eqNullSafe(x["slots"]))).alias("same_values")) \
-        .filter(F.col("n_words") >= F.least("m", F.lit(RUN)))
-    clash = lined.select(*group, F.explode("slots").alias("x")) \
-        .groupBy(*group, F.col("x.islots").alias("v")).agg(
-            F.min("x.slots").alias("a"), F.max("x.slots").alias("b")).filter("a <> b").select(*group).distinct()
-    r, c = runs.alias("r"), clash.alias("c")
+    # One item value, two document values: between values the line-up is no copy,
+    # with a soft word only the readings that take it for a value are none.
+    firm = F.when(~F.col("x.soft"), F.col("x.d"))
+    clash = lined.select(*group, F.explode("slots").alias("x")).groupBy(*group, F.col("x.v").alias("v")).agg(
+        (F.min("x.d") != F.max("x.d")).alias("two"),
+        F.coalesce(F.min(firm) != F.max(firm), F.lit(False)).alias("no")).filter("two") \
+        .groupBy(*group).agg(F.bool_or("no").alias("no"), F.collect_set("v").alias("vs"))
+    r, c = lined.alias("r"), clash.alias("c")
     kept = r.join(c, F.col("r.key").eqNullSafe(F.col("c.key")) & (F.col("r.item_id") == F.col("c.item_id"))
-                  & (F.col("r.shift") == F.col("c.shift")), "left_anti")
-    return kept.groupBy("key", "item_id").agg(F.max("n_words").alias("n_words"),
+                  & (F.col("r.shift") == F.col("c.shift")), "left") \
+        .filter(F.col("c.no").isNull() | (~F.col("c.no") & ~F.exists(
+            "r.slots", lambda x: x["soft"] & F.array_contains(F.col("c.vs"), x["v"])))).select("r.*")
+    runs = kept.groupBy(*group).agg(
+        F.max("m").alias("m"), (F.count_distinct("pos") + F.least(F.max("m"), F.lit(WINDOW)) - 1).alias("n_words"),
+        F.max("n_safe").alias("n_safe"), F.count_distinct(F.when(F.col("safe"), F.col("pos"))).alias("hit"),
+        F.bool_and(F.forall("slots", lambda x: x["v"].eqNullSafe(x["d"]))).alias("same_values")) \
+        .filter((F.col("n_words") >= F.least("m", F.lit(RUN))) | ((F.col("n_safe") > 0) & (F.col("hit") >= F.col("n_safe"))))
+    return runs.groupBy("key", "item_id").agg(F.max("n_words").alias("n_words"),
                                               F.bool_or("same_values").alias("same_values"))
 
 
