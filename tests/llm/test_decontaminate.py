@@ -58,3 +58,18 @@ def test_items_dense_in_values(llm):
         f"Something else. {items[2]}\nAnd on.", f"First line\n{items[3]}", "gravity is what it is", "Bob owes 7 euros",
         "So a rectangle is 40 cm by 30 cm by 20 cm and weighs 9 kg in all", "8 9 1 2 5 5 1 2 8 16 3 11 2 1 1 4 9"]
     assert found(llm, texts, items) == {(0, 0): True, (1, 1): True, (4, 4): True, (5, 2): True, (6, 3): True, (9, 1): False}
+
+
+def test_openers_number_words_and_other_names(llm):
+    """A soft word is read as a value and as an ordinary word."""
+    tom = "Tom has 3 red apples. Sue buys 5 more pears. Ann eats 2 of them. Jim wants all."
+    mac = "the farmer McDonald sells twelve old horses to O'Brien and Jean-Luc brings three of them back to the USA again"
+    new = mac.replace("McDonald", "MacLeod").replace("twelve", "nine").replace("O'Brien", "Smith-Jones") \
+        .replace("Jean-Luc", "d'Arcy").replace("three", "4").replace("USA", "UK")
+    planet = "Which planet is known as the red planet"
+    twice = "The cost is what we paid then for all of it. The rest was left to him and then to her"
+    texts = [tom.replace("Tom", "Ben").replace("Sue", "Eva").replace("Ann", "Kim").replace("Jim", "Max"), new,
+             f"and they asked {planet} again", mac.upper(), twice.replace("The cost", "A cost"),
+             tom.replace("Tom", "Ben").replace("Sue", "Eva").replace("Ann eats", "Ann sells").replace("2 of", "2 or")]
+    assert found(llm, texts, [tom, mac, planet, twice]) == {
+        (0, 0): False, (1, 1): False, (2, 2): True, (3, 1): True, (4, 3): True}

@@ -11,11 +11,14 @@ is shorter, or every window of the item that is a template.
 
 Every window is hashed word for word, so a verbatim copy is found however dense
 it is in values, and as a template if at least ``LITERALS`` of its words stay
-literal.
+literal.  A soft word may be a value or an ordinary word: a capitalised word that
+opens a sentence, a line or a text, a number word, a name in other case (O'Brien,
+Jean-Luc, McDonald, USA).  A window is hashed in every reading of its soft words.
 
-A bitmap of the benchmark's window hashes (a fixed number of buckets, whatever
-the benchmark's size) filters document windows inside the scan; only windows
-that hit it are shuffled.  The join itself compares 64-bit hashes.
+Bitmaps of the benchmark's window and word hashes (a fixed number of buckets,
+whatever the benchmark's size) filter document windows inside the scan: a window
+with a word read literally that no item has is not hashed, and only windows that
+hit are shuffled.  The join itself compares 64-bit hashes.
 
 Defined results: null or empty texts match nothing; an item of fewer than
 ``MIN_ITEM`` words cannot be told from chance inside a sentence and is looked up
@@ -67,7 +70,7 @@ _MARK = b"\xff"  # line end: never part of UTF-8 text
 
 class Canon(dict):
     """word -> row of the arrays ``code`` (hash of the literal), ``kind``, ``ends``,
-    ``soft`` (may be an ordinary word as well)."""
+    ``soft`` (may be an ordinary word as well) and of the texts ``core``."""
 
     def __init__(self):
         super().__init__()
@@ -75,6 +78,7 @@ class Canon(dict):
         self.kind = np.zeros(WORD_MEMORY, np.int8)
         self.ends = np.zeros(WORD_MEMORY, bool)
         self.soft = np.zeros(WORD_MEMORY, bool)
+        self.core = {}
 
     def __missing__(self, word: bytes) -> int:
         row = len(self)
@@ -84,7 +88,8 @@ class Canon(dict):
             for name in ("code", "kind", "ends", "soft"):
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
-        self.code[row] = xxhash.xxh3_64_intdigest(core.lower())
+        self.core[row] = core.lower()
+        self.code[row] = xxhash.xxh3_64_intdigest(self.core[row])
         self.kind[row], self.ends[row] = kind, ends
         self.soft[row] = (kind == NUMBER and not core[-1:].isdigit() and _number_word(core)) \
             or (kind == NAME and not _plain_name(core))
@@ -120,7 +125,9 @@ def canonical(word: bytes) -> tuple[int, str, bool]:
         return NUMBER, core, ends
     if core.lower() in UNITS:
         return UNIT, core, ends
-    if _plain_name(core):
+    if _number_word(core):
+        return NUMBER, core, ends
+    if len(core) > 1 and any(x.isupper() for x in core):
         return NAME, core, ends
     return LITERAL, core, ends
 
@@ -129,7 +136,7 @@ _CANON = Canon()
 
 
 def canonical_words(texts: list[bytes]):
-    """(words, place in them, document, literal hash, kind, soft, begins, ends) of a
+    """(row in the word memory, document, literal hash, kind, soft, begins, ends) of a
     batch's canonical words: punctuation-only words are left out; a word begins or
     ends what stands between two ends of sentences, lines or texts."""
     if len(_CANON) >= WORD_MEMORY:
@@ -144,21 +151,27 @@ def canonical_words(texts: list[bytes]):
     kind, soft = _CANON.kind[rows], _CANON.soft[rows]
     opens = np.ones(len(rows), bool)
     opens[1:] = _CANON.ends[rows[:-1]]
-    kind = np.where((kind == NAME) & opens, LITERAL, kind)
+    soft |= (kind == NAME) & opens
     # a piece between two ends, counted without its punctuation-only words
     piece = np.cumsum(opens | (rows == _CANON[_MARK]))
     keep = np.flatnonzero(kind != BREAK)
     doc = np.repeat(np.arange(len(texts)), counts)[keep]
     change = np.diff(piece[keep]) > 0
     edge = np.ones(1, bool)
-    return (words, keep, doc, _CANON.code[rows[keep]], kind[keep], soft[keep],
+    return (rows[keep], doc, _CANON.code[rows[keep]], kind[keep], soft[keep],
             np.concatenate([edge, change]), np.concatenate([change, edge]))
 
 
-def windows(doc, lit, kind, soft, begins, ends, width: int):
+def core_words(rows: np.ndarray) -> list[str]:
+    """Texts of words of the batch last read."""
+    return [_CANON.core[k] for k in rows.tolist()]
+
+
+def windows(doc, lit, kind, soft, begins, ends, width: int, known=None):
     """(start, hash, slots, soft slots, is a template in every reading) of the
     windows inside one document, in pieces; slots are bits of the places read as
-    values (word for word: of those that are values in every reading)."""
+    values (word for word: of those that are values in every reading).  ``known``:
+    the words that can be matched literally (None: all)."""
     n = len(lit) - width + 1
     if n <= 0:
         return
@@ -167,40 +180,52 @@ def windows(doc, lit, kind, soft, begins, ends, width: int):
         inside &= begins[:n] & ends[width - 1:]
         pieces = np.add.accumulate(begins, dtype=np.int64)
         inside &= pieces[:n] == pieces[width - 1:]
+    known = np.ones(len(lit), bool) if known is None else known
     hard = (kind != LITERAL) & ~soft
+
+    def many(flag, at):
+        before = np.concatenate([[0], np.cumsum(flag)])
+        return before[at + width] - before[at]
+
+    every = np.flatnonzero(inside)
+    every = every[many(~known & (kind == LITERAL) & ~soft, every) == 0]
+    before = np.concatenate([[0], np.cumsum(soft)])
+    n_soft, forced, strange = before[every + width] - before[every], many(~known & soft, every), many(~known, every)
     code = np.where(hard, kind.astype(np.uint64), lit)
-    literal_hash, hash_, bits = np.full(n, width, np.uint64), np.full(n, width, np.uint64), np.zeros(n, np.int64)
+    literal_hash, hash_ = np.full(len(every), width, np.uint64), np.full(len(every), width, np.uint64)
+    bits = np.zeros(len(every), np.int64)
     for k in range(width):
-        literal_hash += lit[k:k + n] * _MULT[k]
-        hash_ += code[k:k + n] * _MULT[k]
-        bits |= hard[k:k + n].astype(np.int64) << k
-    before = np.concatenate([[0], np.cumsum(soft)])
-    n_soft = before[width:] - before[:n]
-    literals = width - np.bitwise_count(bits)
+        literal_hash += lit[every + k] * _MULT[k]
+        hash_ += code[every + k] * _MULT[k]
+        bits |= hard[every + k].astype(np.int64) << k
+    literals = width - np.bitwise_count(bits).astype(np.int64)
     safe = literals - n_soft >= LITERALS
-    at = np.flatnonzero(inside)
-    yield at, mix(literal_hash[at]), bits[at], np.zeros(len(at), np.int64), safe[at]
+    none = np.zeros(len(every), np.int64)
+    x = np.flatnonzero(strange == 0)
+    yield every[x], mix(literal_hash[x]), bits[x], none[x], safe[x]
     if width < MIN_ITEM:
         return
-    at = np.flatnonzero(inside & (bits > 0) & (literals >= LITERALS))
-    yield at, mix(hash_[at]), bits[at], np.zeros(len(at), np.int64), safe[at]
+    x = np.flatnonzero((bits > 0) & (forced == 0) & (literals >= LITERALS))
+    yield every[x], mix(hash_[x]), bits[x], none[x], safe[x]
     place = np.flatnonzero(soft)
     for k in range(1, width + 1):
-        every = np.flatnonzero(inside & (n_soft == k) & (literals > LITERALS))
+        some = np.flatnonzero((n_soft == k) & (literals - np.maximum(forced, 1) >= LITERALS))
         step = READINGS >> k
-        for x in range(0, len(every), step):
-            at = every[x:x + step]
+        for start in range(0, len(some), step):
+            x = some[start:start + step]
+            at = every[x]
             held = place[before[at][:, None] + np.arange(k)]
             offset = held - at[:, None]
             delta = (kind[held].astype(np.uint64) - lit[held]) * np.array(_MULT)[offset]
-            h, b = hash_[at][:, None], np.zeros((len(at), 1), np.int64)
+            must = (~known[held] << offset).sum(axis=1)
+            h, b = hash_[x][:, None], np.zeros((len(x), 1), np.int64)
             for j in range(k):
                 h = np.hstack([h, h + delta[:, j:j + 1]])
                 b = np.hstack([b, b | (1 << offset[:, j:j + 1])])
-            ok = literals[at][:, None] - np.bitwise_count(b) >= LITERALS
+            ok = (literals[x][:, None] - np.bitwise_count(b) >= LITERALS) & (b & must[:, None] == must[:, None])
             ok[:, 0] = False
             row, col = np.nonzero(ok)
-            yield at[row], mix(h[row, col]), bits[at[row]] | b[row, col], b[row, col], safe[at[row]]
+            yield at[row], mix(h[row, col]), bits[x[row]] | b[row, col], b[row, col], safe[x[row]]
 
 
 _ROWS = "words long, pos long, hash long, slots array<string>, held long, soft long, safe boolean, n_safe long"
@@ -211,17 +236,19 @@ def _scan(widths: tuple[int, ...], flags):
     are all its words.  ``flags`` None: of every window, only of the width an item
     is cut by, shorter items whole."""
     def run(batches):
-        has = None if flags is None else np.unpackbits(np.frombuffer(flags.value, np.uint8)).view(bool)
+        has, word = (None, None) if flags is None else (
+            np.unpackbits(np.frombuffer(x, np.uint8)).view(bool) for x in flags.value)
         for batch in batches:
-            words, keep, doc, *marks = canonical_words(batch.column(1).to_pylist())
+            rows, doc, *marks = canonical_words(batch.column(1).to_pylist())
             count = np.bincount(doc, minlength=batch.num_rows)
             first = np.concatenate([[0], np.cumsum(count)])
             if has is None:  # a short item is looked for by all its words
                 marks[-2:] = np.isin(np.arange(len(doc)), first[:-1]), np.isin(np.arange(len(doc)), first[1:] - 1)
+            known = None if has is None else word[marks[0] % np.uint64(BUCKETS)]
             parts = [[np.empty(0, t) for t in (np.int64, np.uint64, np.int64, np.int64, bool, np.int64)]]
             n_safe = np.zeros(batch.num_rows, np.int64)
             for width in widths:
-                for k, (at, h, held, soft, safe) in enumerate(windows(doc, *marks, width)):
+                for k, (at, h, held, soft, safe) in enumerate(windows(doc, *marks, width, known)):
                     if has is None:
                         sel = np.minimum(count[doc[at]], WINDOW) == width
                         if k == 0:
@@ -230,7 +257,7 @@ def _scan(widths: tuple[int, ...], flags):
                         sel = has[h % np.uint64(BUCKETS)]
                     parts.append([x[sel] for x in (at, h, held, soft, safe)] + [np.full(int(sel.sum()), width)])
             at, h, held, soft, safe, width = (np.concatenate(x) for x in zip(*parts))
-            slots = [[canonical(words[keep[k]])[1].lower() for k in range(a, a + w)] for a, w in zip(at, width)]
+            slots = [core_words(rows[a:a + w]) for a, w in zip(at, width)]
             d = doc[at]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).take(pa.array(d, pa.int64())), pa.array(count[d], pa.int64()),
@@ -261,10 +288,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: Column, text_col: s
         .groupBy(F.pmod("k", F.lit(4096)).alias("g")).agg(F.collect_list("k").alias("ks"))
     for row in buckets.toLocalIterator():
         flags[row.ks] = True
+    words = np.zeros(BUCKETS, bool)
+    for row in items.select(F.explode("slots").alias("w")).distinct().groupBy(F.pmod(F.xxhash64("w"), F.lit(4096)).alias("g")) \
+            .agg(F.collect_list("w").alias("ws")).toLocalIterator():
+        words[[xxhash.xxh3_64_intdigest(w) % BUCKETS for w in row.ws]] = True
     # an item shorter than the window is one window of its own length
     widths = tuple(r.w for r in items.select(F.least("words", F.lit(WINDOW)).cast("int").alias("w")).distinct().collect())
     found = _windows(docs, key, key_type, text_col, tuple(sorted(widths)),
-                     spark.sparkContext.broadcast(np.packbits(flags).tobytes())).select("key", "pos", "hash", "slots")
+                     spark.sparkContext.broadcast((np.packbits(flags).tobytes(), np.packbits(words).tobytes()))).select("key", "pos", "hash", "slots")
     items = items.select(F.col("key").alias("item_id"), F.col("words").alias("m"), F.col("pos").alias("ipos"),
                          "hash", F.col("slots").alias("islots"), "held", "soft", "safe", "n_safe")
     values = F.filter(F.transform(F.arrays_zip("islots", "slots"), lambda x, i: F.struct(
