@@ -127,6 +127,18 @@ def test_revealing_terms(llm):
     assert less[209].n_term == 0  # four of five: under the threshold
 
 
+def test_terms_counted_over_whole_texts(llm):
+    filler = [f"common words here number {k} and common things" for k in range(200)]
+    far = "common things and words here and more of them again and "
+    told = [f"note {k}: Zorblatt with z@example.com on common things" for k in range(8)]
+    told += [f"note {k}: Zorblatt {far}{far}with z@example.com" for k in (8, 9)]
+    edge = ["Kowalski k@example.com", "Kowalski, k@example.com here", "Kowalski - k@example.com"]
+    edge += ["l@example.com Nowakowa", "common l@example.com Nowakowa", "here l@example.com Nowakowa"]
+    got = {r.doc_id: r for r in P.find_pii(frame(llm, filler + told + edge)).collect()}
+    assert all("term:" in got[200 + k].spans for k in range(16))
+    assert got[0].n_term == 0
+
+
 def test_sanitise(llm):
     told = [f"note {k}: Zorblatt writes to z@example.com about common things" for k in range(4)]
     docs = frame(llm, [f"common things number {k} about" for k in range(60)] + told + [None])

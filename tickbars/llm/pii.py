@@ -74,10 +74,12 @@ def base_spans(text: Column) -> Column:
 
 
 def _context_terms(text: Column, x: Column) -> Column:
-    """Distinct whole words of letters beside a span."""
-    before = F.regexp_replace(F.substring(text, F.greatest(x["start"] - CONTEXT, F.lit(0)) + 1,
-                                          F.least(x["start"], F.lit(CONTEXT))), rf"^{WORD_END}+", " ")
-    after = F.regexp_replace(F.substring(text, x["end"] + 1, F.lit(CONTEXT)), rf"{WORD_END}+$", " ")
+    """Distinct whole words of letters beside a span; a word that the context's
+    edge may cut is left out."""
+    before = F.substring(text, F.greatest(x["start"] - CONTEXT, F.lit(0)) + 1, F.least(x["start"], F.lit(CONTEXT)))
+    before = F.when(x["start"] > CONTEXT, F.regexp_replace(before, rf"^{WORD_END}+", " ")).otherwise(before)
+    after = F.substring(text, x["end"] + 1, F.lit(CONTEXT))
+    after = F.when(F.length(text) > x["end"] + CONTEXT, F.regexp_replace(after, rf"{WORD_END}+$", " ")).otherwise(after)
     pattern = rf"(?<!{WORD_END}){TERM}(?!{WORD_END})"
     return F.array_distinct(F.regexp_extract_all(F.concat_ws(" | ", before, after), F.lit(pattern), F.lit(0)))
 
@@ -99,14 +101,15 @@ def revealing_terms(texts: DataFrame, support: int = SUPPORT, disclosure: float
         .select("key", F.concat_ws(":", "x.kind", "x.value").alias("entity"),
                 _context_terms(F.col("text"), F.col("x")).alias("terms"))
     beside = S.materialize(beside.distinct(), "entities")
-    entities = beside.select("entity", "key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")) \
+    having = beside.select("entity", "key").distinct()
+    entities = having.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")) \
         .filter(F.col("n_e") >= support)
     pairs = beside.select("key", "entity", F.explode("terms").alias("term")).distinct() \
-        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).filter(F.col("n_et") >= support)
+        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_beside")).filter(F.col("n_beside") >= support)
     pairs = S.materialize(pairs.join(entities, "entity"), "entity-terms")
     # A term in more texts of a share of the corpus than its entity allows in all
     # of it cannot reach the threshold: common words go before all texts are read.
-    most = pairs.groupBy("term").agg(F.max("n_et").alias("most"))
+    most = pairs.groupBy("term").agg(F.max("n_e").alias("most"))
     seen = _holding(texts.filter(F.pmod("key", F.lit(SHARE)) == 0), most.select("term")) \
         .groupBy("term").agg(F.count(F.lit(1)).alias("seen"))
     terms = S.materialize(most.join(seen, "term", "left").filter(
@@ -114,8 +117,11 @@ def revealing_terms(texts: DataFrame, support: int = SUPPORT, disclosure: float
     held = S.materialize(_holding(texts, terms), "held-terms")
     n_texts = texts.select("key").distinct().count()
     counts = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    both = having.join(entities.select("entity"), "entity", "left_semi").join(held, "key") \
+        .join(pairs.select("entity", "term"), ["entity", "term"], "left_semi") \
+        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
     p = F.col("n_et") / F.col("n_t")
-    strong = pairs.join(counts, "term").filter(
+    strong = pairs.join(both, ["entity", "term"]).join(counts, "term").filter(
         (p >= disclosure) & (F.log2(p * n_texts / F.col("n_e")) >= bits)).select("term").distinct()
     return held.join(strong, "term").groupBy("key").agg(F.collect_set("term").alias("terms"))
 
