@@ -177,3 +177,62 @@ SELECT doc_id, CAST(coalesce(n_email, 0) AS BIGINT) AS n_email, CAST(coalesce(n_
        CAST(coalesce(n_term, 0) AS BIGINT) AS n_term
 FROM d LEFT JOIN b USING (rid) LEFT JOIN s USING (rid)
 """
+
+ORACLE_SQL["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same,
+         CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.id % 100 = 0 AND a.id <> b.id),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other AS negative_id,
+       positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER w <= 10
+"""
+
+ORACLE_SQL["op12_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY pos) AS ts FROM t GROUP BY conv_id),
+-- crc32 (polynomial edb88320) of the decimal id, bit by bit
+digits AS (
+  SELECT conv_id, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS bs FROM c),
+hashed AS (
+  SELECT conv_id, xor(list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(bs, lambda b: list_concat([b + 4294967296], [-1, -1, -1, -1, -1, -1, -1, -1])))),
+           lambda a, x: CASE WHEN x >= 0 THEN xor(a, x - 4294967296)
+                             WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295) % 9 AS h
+  FROM digits),
+r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.ts[1:h], []), c.ts[h + 1:]) AS ts
+  FROM c JOIN hashed USING (conv_id) LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 5),
+m AS (
+  SELECT conv_id, ts[1:d] AS path, d, len(ts) = d AS ends
+  FROM (SELECT conv_id, ts, unnest(range(0, len(ts) + 1)) AS d FROM r)),
+n AS (
+  SELECT path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         CASE WHEN d = 0 THEN 0 ELSE strlen(path[-1].text) END * (count(*) - 1) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM m GROUP BY path, d),
+k AS (SELECT path[1:-2] AS path, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k USING (path, depth)),
+up AS (
+  SELECT path[1:d] AS path, d AS depth, sum(saved) AS saved_tokens, sum(CAST(n_children = 0 AS INT)) AS n_leaves
+  FROM (SELECT path, saved, n_children, unnest(range(0, depth + 1)) AS d FROM v) GROUP BY ALL)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM v JOIN up USING (path, depth) LEFT JOIN n p ON p.path = v.path[1:-2] AND p.depth = v.depth - 1
+"""

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tickbars import session as S
 from tickbars.llm.common import prepare, table
 from tickbars.llm.decontaminate import decontaminate
+from tickbars.llm.hard_negatives import mine
 from tickbars.llm.html_text import extract
 from tickbars.llm.jaccard_join import jaccard_components
 from tickbars.llm.language_id import identify
@@ -16,8 +19,10 @@ from tickbars.llm.maxent_lm import score_texts
 from tickbars.llm.oracles import ORACLE_SQL
 from tickbars.llm.packing import pack
 from tickbars.llm.pii import find_pii
+from tickbars.llm.prefix_trie import ends_digest, prefix_trie, rebuilt_turns, turns_of
 from tickbars.llm.quality_rules import quality_rules
 from tickbars.llm.secret_scan import secret_scan
+from tickbars.llm.suffix_dedup import repeated_spans
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,9 +72,33 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(prepare(spark), sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(prepare(spark), sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0, scale=256.0)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = S.materialize(turns_of(table(prepare(spark), sf_dir, "conversations")), "turns")
+    nodes, ends = prefix_trie(*rebuilt_turns(turns))
+    key = ["depth", "z1", "z2"]
+    none = F.sha2(F.lit(b"").cast("binary"), 256)
+    return nodes.join(ends_digest(ends), key, "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", none).alias("ends_sha256"))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_spans(table(prepare(spark), sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_license_scan, op2_quality_rules, op3_best_fit_packing, op4_language_id, op5_html_text,
-           op6_pii, op7_decontaminate, op8_secret_scan, op9_maxent_lm, op10_jaccard_join)
+           op6_pii, op7_decontaminate, op8_secret_scan, op9_maxent_lm, op10_jaccard_join, op11_hard_negatives,
+           op12_prefix_trie, op13_suffix_dedup)
     return {f.__name__: f for f in ops}
 
 
