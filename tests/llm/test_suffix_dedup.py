@@ -104,13 +104,12 @@ def test_shard_is_sorted_and_refines_by_steps():
     left = np.repeat(np.cumsum(phrases), phrases) - np.arange(len(starts))
     shard = D.Shard(lengths, phrases, sizes, symbols, D.suffix_array(symbols, left))
     runs = [tuple(symbols[p:p + left[p]]) for p in shard.sa]
-    blocks = None
+    level, ranks, blocks = np.zeros(len(runs), np.int64), None, None
     for k in range(1, 6):
-        blocks = shard.refine(blocks)
+        ranks, blocks = shard.refine(ranks, blocks, level, 0, k)
+        assert ranks.tolist() == [r for r, run in enumerate(runs) if shard.need[r] >= k]
         groups = {}
-        for r, run in enumerate(runs):
-            if len(run) >= k:
-                groups.setdefault(run[:k], []).append(r)
-        assert all(len({int(blocks[r]) for r in g}) == 1 for g in groups.values())
-        assert len({int(blocks[g[0]]) for g in groups.values()}) == len(groups)
-        assert all(g == list(range(g[0], g[0] + len(g))) for g in groups.values() if min(len(runs[r]) for r in g) >= 6)
+        for r, b in zip(ranks.tolist(), blocks.tolist()):
+            groups.setdefault(runs[r][:k], []).append((r, b))
+        assert all(len({b for _, b in g}) == 1 for g in groups.values())
+        assert len({g[0][1] for g in groups.values()}) == len(groups) == len(shard.intervals(blocks)[0])

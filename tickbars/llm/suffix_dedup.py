@@ -173,40 +173,45 @@ class Shard:
         full = self.ends > self.begins
         return self.begins[full], self.ends[full]
 
-    def refine(self, blocks: np.ndarray | None) -> np.ndarray:
-        """One step of the interleave: block of each rank's prefix, one symbol longer."""
-        mine = self.symbols[self.sa]
-        if blocks is None:
-            return mine
-        out = np.zeros_like(mine)
-        to = self.lf >= 0
-        out[self.lf[to]] = mix(mine[self.lf[to]] * _STEP + blocks[to])
-        return out
-
-    def intervals(self, blocks: np.ndarray, open_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ranks, block per interval, ranks per interval) of the open ranks."""
-        at = np.flatnonzero(open_)
-        b = blocks[at]
-        head = np.flatnonzero(np.r_[True, b[1:] != b[:-1]]) if len(b) else np.empty(0, np.int64)
-        return at, b[head], np.diff(np.append(head, len(b)))
-
-    def settle(self, level: np.ndarray, shared: np.ndarray, low: int, high: int) -> np.ndarray | None:
+    def refine(self, ranks: np.ndarray, blocks: np.ndarray, level: np.ndarray, known: int,
+               k: int) -> tuple[np.ndarray, np.ndarray]:
+        """One step of the interleave: (ranks, blocks) of the prefixes of k symbols, by rank, from those of k - 1
+        symbols.  Only ranks known to be repeated for ``known`` symbols and not yet followed far enough go on."""
+        if k == 1:
+            return np.arange(len(self.sa)), self.symbols[self.sa]
+        to = self.lf[ranks]
+        go = (to >= 0) & (level[to] >= known) & (self.need[to] >= k)
+        to, blocks = to[go], blocks[go]
+        order = np.argsort(to)
+        to = to[order]
+        return to, mix(self.symbols[self.sa[to]] * _STEP + blocks[order])
+
+    @staticmethod
+    def intervals(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(block, ranks) per interval of ranks with one block."""
+        head = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]]) if len(blocks) else np.empty(0, np.int64)
+        return blocks[head], np.diff(np.append(head, len(blocks)))
+
+    def settle(self, level: np.ndarray, blocks: np.ndarray, shared: np.ndarray, low: int, high: int) -> np.ndarray:
         """Takes the counts of steps low+1..high in: raises ``level`` (symbols known to be repeated, by rank) where
-        the block has company in the shard or is one of ``shared``.  Returns the blocks of step ``high``."""
-        blocks = None
-        for k in range(1, high + 1):
-            blocks = self.refine(blocks)
-            if k > low:
-                at, b, n = self.intervals(blocks, (level == k - 1) & (self.need >= k))
-                level[at[np.repeat((n > 1) | np.isin(b, shared), n)]] = k
+        the block has company in the shard or is one of ``shared``.  ``blocks``: those of the ranks at ``low``;
+        returns those of the ranks at ``high``."""
+        ranks = np.flatnonzero(level == low)
+        for k in range(low + 1, high + 1):
+            ranks, blocks = self.refine(ranks, blocks, level, k - 1, k)
+            b, n = self.intervals(blocks)
+            alive = np.repeat((n > 1) | np.isin(b, shared), n)
+            ranks, blocks = ranks[alive], blocks[alive]
+            level[ranks] = k
         return blocks
 
-    def messages(self, level: np.ndarray, blocks: np.ndarray | None, high: int, upto: int) -> tuple[np.ndarray, np.ndarray]:
-        """(block, suffixes) of steps high+1..upto for the ranks that are still open after step ``high``."""
+    def messages(self, level: np.ndarray, blocks: np.ndarray, high: int, upto: int) -> tuple[np.ndarray, np.ndarray]:
+        """(block, suffixes) of steps high+1..upto for the ranks that may go on after step ``high``."""
+        ranks = np.flatnonzero(level == high)
         keys, counts = [], []
         for k in range(high + 1, upto + 1):
-            blocks = self.refine(blocks)
-            _, b, n = self.intervals(blocks, (level == high) & (self.need >= k))
+            ranks, blocks = self.refine(ranks, blocks, level, high, k)
+            b, n = self.intervals(blocks)
             keys.append(b)
             counts.append(n)
         return np.concatenate(keys), np.concatenate(counts)
@@ -330,12 +335,12 @@ def _step(low: int, high: int, upto: int):
         for r in _rows(batches):
             shard = _loaded(r)
             level = _level(r, shard)
-            blocks = shard.settle(level, _keys(r["shared"]), low, high)
+            blocks = shard.settle(level, np.frombuffer(r["blocks"] or b"", np.uint64), _keys(r["shared"]), low, high)
             keys, n = shard.messages(level, blocks, high, upto)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r["shard"]]), pa.array([level.astype(np.uint16).tobytes()], pa.binary()),
-                 pa.array([keys.view(np.int64)], pa.list_(pa.int64())), pa.array([n], pa.list_(pa.int64()))],
-                ["shard", "level", "keys", "n"])
+                 pa.array([blocks.tobytes()], pa.binary()), pa.array([keys.view(np.int64)], pa.list_(pa.int64())),
+                 pa.array([n], pa.list_(pa.int64()))], ["shard", "level", "blocks", "keys", "n"])
     return run
 
 
@@ -352,7 +357,7 @@ def _ask(low: int, high: int):
         for r in _rows(batches):
             shard = _loaded(r)
             level = _level(r, shard)
-            shard.settle(level, _keys(r["shared"]), low, high)
+            shard.settle(level, np.frombuffer(r["blocks"], np.uint64), _keys(r["shared"]), low, high)
             _, route, inside = _windows(r, shard, level)
             edge, run_ = np.unique(route[~inside]), np.unique(route[inside])
             yield pa.RecordBatch.from_arrays(
@@ -467,16 +472,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         while True:
             x = shards.select(*body)
             if state is None:
-                x = x.withColumns({"level": F.lit(None).cast("binary"), "shared": F.lit(None).cast("array<long>")})
+                x = x.withColumns({"level": F.lit(None).cast("binary"), "blocks": F.lit(None).cast("binary"),
+                                   "shared": F.lit(None).cast("array<long>")})
             else:
-                x = x.join(state.select("shard", "level"), "shard").join(shared, "shard", "left")
-            state = S.materialize(x.mapInArrow(_step(low, high, upto), "shard long, level binary, keys array<long>, n array<long>"),
+                x = x.join(state.select("shard", "level", "blocks"), "shard").join(shared, "shard", "left")
+            state = S.materialize(x.mapInArrow(_step(low, high, upto), "shard long, level binary, blocks binary, keys array<long>, n array<long>"),
                                   "interleave")
             low, high, upto = high, upto, 2 * upto + 1
             shared = S.materialize(_shared(state, ["keys"]), "shared")
             if not state.filter(F.size("keys") > 0).limit(1).count():
                 break
-        x = shards.select(*body, "text").join(state.select("shard", "level"), "shard").join(shared, "shard", "left")
+        x = shards.select(*body, "text").join(state.select("shard", "level", "blocks"), "shard").join(shared, "shard", "left")
         state = S.materialize(x.mapInArrow(_ask(low, high), "shard long, level binary, keys array<long>, asked array<long>"),
                               "asked")
         asked = S.materialize(_asked(state), "asked")
