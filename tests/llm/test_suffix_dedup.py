@@ -102,7 +102,7 @@ def test_shard_is_sorted_and_refines_by_steps():
     phrases = np.searchsorted(starts, ends) - np.searchsorted(starts, ends - 500)
     symbols = D.phrase_hashes(text, starts, sizes)
     left = np.repeat(np.cumsum(phrases), phrases) - np.arange(len(starts))
-    shard = D.Shard(lengths, phrases, sizes, symbols, D.suffix_array(symbols, left))
+    shard = D.Shard(lengths, phrases, sizes, symbols, D.suffix_array(symbols, left), np.ones(len(starts), np.uint8))
     runs = [tuple(symbols[p:p + left[p]]) for p in shard.sa]
     level, ranks, blocks = np.zeros(len(runs), np.int64), None, None
     for k in range(1, 6):

@@ -19,7 +19,7 @@ its hash.  A block of one suffix shares no longer prefix with any other: the
 suffix's longest common prefix is known and it takes no further part; a block
 of two or more goes on.  So the work shrinks to what is repeated, and a suffix
 stops once its prefix covers every window that starts in its first phrase.
-Steps are taken in rounds of 1, 2, 4, 8 .. symbols, one exchange each; a shard
+Steps are taken in rounds of 1, 2, 4 and 8 symbols, one exchange each; a shard
 sends one row per block and step, however many of its suffixes are in it, so a
 passage in a third of all texts costs one row per shard.
 
@@ -69,7 +69,9 @@ _STRONG = np.uint64((1 << 64) // MEAN)
 _SEEN = LENGTH - GRAM
 #: Bytes by which edge windows are asked for.
 ROUTE = 80
-_CHUNK = 1 << 20
+#: Symbols by which a suffix is followed; windows in stretches of shorter phrases are compared byte by byte instead.
+MOST_STEPS = 15
+_CHUNK = 1 << 16
 #: A phrase is at most GAP + WEAK_GAP + GRAM bytes long: one random number per (place in phrase, byte).
 _LONGEST = GAP + WEAK_GAP + GRAM + 8
 _PLACES = np.random.default_rng(20240613).integers(0, 1 << 64, (_LONGEST, 256), np.uint64).ravel()
@@ -124,32 +126,39 @@ def phrase_hashes(buf: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
 
 
 def suffix_array(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Ranks by prefix doubling; ``left``: symbols up to the text's end, this one included."""
+    """Order by the first MOST_STEPS symbols at least, by prefix doubling; ``left``: symbols up to the text's end."""
     n = len(symbols)
     if not n:
         return np.empty(0, np.int32)
     _, rank = np.unique(symbols, return_inverse=True)
-    k, most = 1, int(left.max())
-    order = np.argsort(rank, kind="stable")
+    k, most = 1, min(int(left.max()), MOST_STEPS)
+    order = np.argsort(rank)
     while k < most:
         nxt = np.where(left > k, np.append(rank, np.zeros(k, rank.dtype))[np.minimum(np.arange(n) + k, n)] + 1, 0)
         key = rank.astype(np.int64) * (n + 1) + nxt
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         head = np.r_[True, np.diff(key[order]) != 0]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(head) - 1
         if head.all():
             break
         k *= 2
-        if k > LENGTH + _LONGEST:  # no suffix is followed further than this many phrases
-            break
     return order.astype(np.int32)
 
 
+def _among(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    """Which values are in an ascending array."""
+    at = np.searchsorted(ascending, values)
+    return np.append(ascending, ~values[:1])[at] == values if len(ascending) else np.zeros(len(values), bool)
+
+
 class Shard:
-    """A shard's suffixes in text order (positions, sizes, symbols) and in rank order (suffix array, LF)."""
+    """A shard's suffixes in text order (positions, sizes, symbols, kinds of start) and in rank order (suffix
+    array, LF)."""
 
-    def __init__(self, lengths: np.ndarray, phrases: np.ndarray, sizes: np.ndarray, symbols: np.ndarray, sa: np.ndarray):
+    def __init__(self, lengths: np.ndarray, phrases: np.ndarray, sizes: np.ndarray, symbols: np.ndarray, sa: np.ndarray,
+                 kinds: np.ndarray):
+        self.kinds = kinds
         self.ends = np.cumsum(lengths)
         self.begins = self.ends - lengths
         self.symbols, self.sa = symbols, sa
@@ -164,14 +173,15 @@ class Shard:
         first = np.ones(n, bool)
         first[1:] = last[1:] != last[:-1]
         self.lf = np.where(first[sa], -1, isa[sa - 1])
-        # symbols until a prefix covers every window that starts in the first phrase (or the text ends)
+        # symbols until a prefix covers every window that starts in the first phrase (or the text or patience ends)
         reach = np.searchsorted(self.starts, self.starts + sizes + LENGTH - 1)
-        self.need = np.minimum(reach - np.arange(n), self.left)[sa]
+        self.covers = np.minimum(reach - np.arange(n), self.left)
+        self.need = np.minimum(self.covers, MOST_STEPS)[sa]
 
-    def filled(self) -> tuple[np.ndarray, np.ndarray]:
-        """Begins and ends of the texts that are not empty."""
-        full = self.ends > self.begins
-        return self.begins[full], self.ends[full]
+    def points(self) -> tuple[np.ndarray, np.ndarray]:
+        """Cut points and whether they are strong."""
+        point = self.kinds > 0
+        return self.starts[point], self.kinds[point] == 2
 
     def refine(self, ranks: np.ndarray, blocks: np.ndarray, level: np.ndarray, known: int,
                k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -200,7 +210,7 @@ class Shard:
         for k in range(low + 1, high + 1):
             ranks, blocks = self.refine(ranks, blocks, level, k - 1, k)
             b, n = self.intervals(blocks)
-            alive = np.repeat((n > 1) | np.isin(b, shared), n)
+            alive = np.repeat((n > 1) | _among(b, shared), n)
             ranks, blocks = ranks[alive], blocks[alive]
             level[ranks] = k
         return blocks
@@ -216,22 +226,24 @@ class Shard:
             counts.append(n)
         return np.concatenate(keys), np.concatenate(counts)
 
-    def reach(self, level: np.ndarray) -> np.ndarray:
-        """Text order: where the longest repeated prefix of each suffix ends."""
+    def reach(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Text order: where the longest repeated prefix of each suffix ends, as known and at most."""
         k = np.empty(len(self.sa), np.int64)
         k[self.sa] = level
         full = k == self.left
         at = np.append(self.starts, 0)[np.arange(len(k)) + np.where(full, 0, k)]
-        return np.where(full, self.end, at)
+        known = np.where(full, self.end, at)
+        return known, np.where((k == MOST_STEPS) & (self.covers > k), self.end, known)
 
 
-def anchored_windows(shard: Shard, reach: np.ndarray, points: np.ndarray,
-                     strong: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchored_windows(shard: Shard, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(window, anchor, inside a repeated prefix?) of every window that may be repeated.
 
     A window's anchor is its first strong point or, with none, the first point from GAP on: its own bytes decide
     which.  If the window is repeated, so is the run of phrases from its anchor to the last point that its bytes
-    decide.  So per point: the windows it anchors, up to the place where that run would outgrow its reach."""
+    decide.  So per point: the windows it anchors, up to the place where that run would outgrow its reach at most."""
+    points, strong = shard.points()
+    reach, at_most = shard.reach(level)
     if not len(points):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
     text = np.searchsorted(shard.begins, points, "right") - 1
@@ -241,7 +253,7 @@ def anchored_windows(shard: Shard, reach: np.ndarray, points: np.ndarray,
     following = np.append(s, _FAR)[np.searchsorted(s, points, "right")]
     following = np.where(following < end, following, _FAR)
     previous = np.maximum(np.append(-_FAR, points)[:-1], begin - 1)
-    mine = reach[np.searchsorted(shard.starts, points)]
+    mine = at_most[shard.kinds > 0]
     outgrows = np.append(points, _FAR)[np.searchsorted(points, mine, "right")]
     outgrows = np.where(outgrows < end, outgrows, _FAR)
     low = np.maximum(before + 1, np.where(strong, points - _SEEN, previous + 1 - GAP))
@@ -264,17 +276,20 @@ def _routes(buf: bytes, at: np.ndarray, anchor: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(buf[i:i + ROUTE]) for i in place.tolist()], np.uint64)[back]
 
 
-def _window_keys(buf: bytes, at: np.ndarray) -> np.ndarray:
-    """128-bit hashes of the windows, as (a, b) records."""
-    joined = b"".join(xxhash.xxh3_128_digest(buf[i:i + LENGTH]) for i in at.tolist())
-    return np.frombuffer(joined, _PAIR) if joined else np.empty(0, _PAIR)
-
-
-_PAIR = np.dtype([("a", "<i8"), ("b", "<i8")])
+def _window_groups(buf: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """128-bit hashes of the distinct windows (n x 2), the window's place among them, and windows per hash."""
+    joined = bytearray().join(xxhash.xxh3_128_digest(buf[i:i + LENGTH]) for i in at.tolist())
+    h = np.frombuffer(joined, np.int64).reshape(-1, 2) if joined else np.empty((0, 2), np.int64)
+    order = np.lexsort((h[:, 1], h[:, 0]))
+    h = h[order]
+    head = np.r_[True, (h[1:] != h[:-1]).any(axis=1)][:len(h)]
+    group = np.empty(len(h), np.int32)
+    group[order] = np.cumsum(head) - 1
+    return h[head], group, np.diff(np.append(np.flatnonzero(head), len(h)))
 
 
 _SHARDS = ("shard long, doc_ids array<long>, lengths array<int>, phrases array<int>, text binary, sizes binary, "
-           "symbols binary, ranks binary")
+           "symbols binary, ranks binary, kinds binary")
 
 
 def _shards(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,8 +301,10 @@ def _shards(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         ends = np.cumsum(lengths)
         begins = ends - lengths
         full = lengths > 0
-        points, _ = cut_points(buf, begins[full], ends[full])
+        points, strong = cut_points(buf, begins[full], ends[full])
         starts = np.union1d(points, begins[full])
+        kinds = np.zeros(len(starts), np.uint8)
+        kinds[np.searchsorted(starts, points)] = 1 + strong
         sizes = np.diff(np.append(starts, len(buf)))
         phrases = np.searchsorted(starts, ends) - np.searchsorted(starts, begins)
         symbols = phrase_hashes(buf, starts, sizes)
@@ -295,7 +312,8 @@ def _shards(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         one = [pa.array([(part << 24) + number]), pa.array([ids], pa.list_(pa.int64())),
                pa.array([lengths], pa.list_(pa.int32())), pa.array([phrases], pa.list_(pa.int32())),
                *[pa.array([x], pa.binary()) for x in (
-                   buf, sizes.astype(np.uint8).tobytes(), symbols.tobytes(), suffix_array(symbols, left).tobytes())]]
+                   buf, sizes.astype(np.uint8).tobytes(), symbols.tobytes(), suffix_array(symbols, left).tobytes(),
+                   kinds.tobytes())]]
         return pa.RecordBatch.from_arrays(one, [c.split()[0] for c in _SHARDS.split(", ")])
 
     for batch in batches:
@@ -313,7 +331,8 @@ def _shards(part: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 def _loaded(r: dict) -> Shard:
     return Shard(np.array(r["lengths"], np.int64), np.array(r["phrases"], np.int64), np.frombuffer(r["sizes"], np.uint8),
-                 np.frombuffer(r["symbols"], np.uint64), np.frombuffer(r["ranks"], np.int32))
+                 np.frombuffer(r["symbols"], np.uint64), np.frombuffer(r["ranks"], np.int32),
+                 np.frombuffer(r["kinds"], np.uint8))
 
 
 def _level(r: dict, shard: Shard) -> np.ndarray:
@@ -321,7 +340,8 @@ def _level(r: dict, shard: Shard) -> np.ndarray:
 
 
 def _keys(values: list | None) -> np.ndarray:
-    return np.array(values or [], np.int64).view(np.uint64)
+    """Hashes held as longs, ascending."""
+    return np.sort(np.array(values or [], np.int64).view(np.uint64))
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -345,9 +365,7 @@ def _step(low: int, high: int, upto: int):
 
 
 def _windows(r: dict, shard: Shard, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    if not len(shard.sa):
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, bool)
-    at, anchor, inside = anchored_windows(shard, shard.reach(level), *cut_points(r["text"], *shard.filled()))
+    at, anchor, inside = anchored_windows(shard, level)
     return at, _routes(r["text"], at, anchor), inside
 
 
@@ -373,12 +391,12 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for r in _rows(batches):
         shard = _loaded(r)
         at, route, inside = _windows(r, shard, _level(r, shard))
-        at = at[~inside | np.isin(route, _keys(r["asked"]))]
-        keys, n = np.unique(_window_keys(r["text"], at), return_counts=True)
+        at = at[~inside | _among(route, _keys(r["asked"]))]
+        keys, group, n = _window_groups(r["text"], at)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r["shard"]]), pa.array([at.astype(np.int32).tobytes()], pa.binary()),
-             pa.array([keys["a"].copy()], pa.list_(pa.int64())), pa.array([keys["b"].copy()], pa.list_(pa.int64())),
-             pa.array([n], pa.list_(pa.int64()))], ["shard", "windows", "keys", "keys2", "n"])
+            [pa.array([r["shard"]]), *[pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (at, group, n)],
+             *[pa.array([x], pa.list_(pa.int64())) for x in (keys[:, 0], keys[:, 1], n, np.arange(len(n)))]],
+            ["shard", "windows", "groups", "counts", "keys", "keys2", "n", "place"])
 
 
 def _merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -395,13 +413,12 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per text: id, bytes, removed [start, end) spans and the bytes that stay."""
     for r in _rows(batches):
         shard, buf = _loaded(r), r["text"]
-        reach = shard.reach(_level(r, shard))
+        reach, _ = shard.reach(_level(r, shard))
         run = reach - shard.starts >= LENGTH
-        at = np.frombuffer(r["windows"], np.int32).astype(np.int64)
-        _, inverse, n = np.unique(keys := _window_keys(buf, at), return_inverse=True, return_counts=True)
-        hit = np.empty(len(r["shared"] or []), _PAIR)
-        hit["a"], hit["b"] = r["shared"] or [], r["shared2"] or []
-        at = at[np.isin(keys, hit) | (n[inverse] > 1)]
+        at, group, n = (np.frombuffer(r[c], np.int32).astype(np.int64) for c in ("windows", "groups", "counts"))
+        found = n > 1
+        found[r["shared"] or []] = True
+        at = at[found[group]]
         # per text, so that spans of neighbouring texts never merge
         start = np.concatenate([shard.starts[run], at])
         end = np.concatenate([reach[run], at + LENGTH])
@@ -431,15 +448,12 @@ def _doc_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       ["doc_id", "n_bytes", "spans", "kept"])
 
 
-def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Per shard, the keys that it holds once and another shard holds too.  A shard sends a key once."""
-    one = rows.select("shard", F.explode(F.arrays_zip(*keys, "n")).alias("m")).select("shard", "m.*")
+def _shared(rows: DataFrame, keys: list[str], answer: str) -> DataFrame:
+    """Per shard, ``answer`` of the keys that it holds once and another shard holds too.  A shard sends a key once."""
+    one = rows.select("shard", F.explode(F.arrays_zip(*dict.fromkeys([*keys, answer]), "n")).alias("m")).select("shard", "m.*")
     total = F.sum("n").over(Window.partitionBy(*keys))
-    kept = one.withColumn("total", total).filter("n = 1 and total > 1")
-    back = F.collect_list(F.struct(*keys))
-    names = ["shared", "shared2"]
-    return kept.groupBy("shard").agg(back.alias("m")).select(
-        "shard", *[F.col(f"m.{k}").alias(a) for k, a in zip(keys, names)])
+    return one.withColumn("total", total).filter("n = 1 and total > 1").groupBy("shard").agg(
+        F.collect_list(answer).alias("shared"))
 
 
 def _asked(rows: DataFrame) -> DataFrame:
@@ -466,10 +480,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "path", S.fresh_path(spark, "shards")).option("compression", "zstd").format("parquet").saveAsTable(name)
     try:
         shards = spark.table(name)
-        body = ["shard", "lengths", "phrases", "sizes", "symbols", "ranks"]
+        body = ["shard", "lengths", "phrases", "sizes", "symbols", "ranks", "kinds"]
         state, shared = None, None
         low, high, upto = 0, 0, 1
-        while True:
+        while high < MOST_STEPS:
             x = shards.select(*body)
             if state is None:
                 x = x.withColumns({"level": F.lit(None).cast("binary"), "blocks": F.lit(None).cast("binary"),
@@ -479,19 +493,18 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             state = S.materialize(x.mapInArrow(_step(low, high, upto), "shard long, level binary, blocks binary, keys array<long>, n array<long>"),
                                   "interleave")
             low, high, upto = high, upto, 2 * upto + 1
-            shared = S.materialize(_shared(state, ["keys"]), "shared")
-            if not state.filter(F.size("keys") > 0).limit(1).count():
-                break
+            shared = S.materialize(_shared(state, ["keys"], "keys"), "shared")
         x = shards.select(*body, "text").join(state.select("shard", "level", "blocks"), "shard").join(shared, "shard", "left")
         state = S.materialize(x.mapInArrow(_ask(low, high), "shard long, level binary, keys array<long>, asked array<long>"),
                               "asked")
         asked = S.materialize(_asked(state), "asked")
         x = shards.select(*body, "text").join(state.select("shard", "level"), "shard").join(asked, "shard", "left")
         edges = S.materialize(x.mapInArrow(
-            _answer, "shard long, windows binary, keys array<long>, keys2 array<long>, n array<long>"), "edges")
-        shared = S.materialize(_shared(edges, ["keys", "keys2"]), "shared")
+            _answer, "shard long, windows binary, groups binary, counts binary, keys array<long>, keys2 array<long>, "
+                     "n array<long>, place array<long>"), "edges")
+        shared = S.materialize(_shared(edges, ["keys", "keys2"], "place"), "shared")
         x = shards.select("doc_ids", *body, "text").join(state.select("shard", "level"), "shard") \
-            .join(edges.select("shard", "windows"), "shard").join(shared, "shard", "left")
+            .join(edges.select("shard", "windows", "groups", "counts"), "shard").join(shared, "shard", "left")
         return S.materialize(x.mapInArrow(_spans, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"),
                              "kept-bytes")
     finally:
