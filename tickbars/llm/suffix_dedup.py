@@ -28,9 +28,9 @@ as it is.  A repeated window may also stick out of a repeated run of phrases
 into the next phrase on either side.  Such *edge* windows are few (about a
 phrase's length at each end of a repeated passage); they are counted by a
 128-bit hash of their bytes.  The same window may lie inside a longer repeated
-run elsewhere, where it is no edge: the edges' places are therefore asked for
-first, by a hash of 80 bytes beside the window's anchor, and only shards that
-hold these bytes add their windows there.
+run elsewhere, where it is no edge.  Groups of neighbouring windows are
+therefore counted first, by the bytes that the windows of a group share; single
+windows are sent only for groups that stand twice and hold an edge somewhere.
 
 The shard table is bucketed by shard, so every round joins its few rows to it
 without moving texts or suffix arrays.  Blocks are told apart by 64-bit hashes.
@@ -67,8 +67,8 @@ GRAM, MEAN, GAP, WEAK, WEAK_GAP = 8, 28, 128, 8, 32
 _STRONG = np.uint64((1 << 64) // MEAN)
 #: Last place in a window of LENGTH bytes at which a cut point is decided by the window's own bytes.
 _SEEN = LENGTH - GRAM
-#: Bytes by which edge windows are asked for.
-ROUTE = 80
+#: Neighbouring windows that are asked for together.
+GROUP = 8
 #: Symbols by which a suffix is followed; windows in stretches of shorter phrases are compared byte by byte instead.
 MOST_STEPS = 15
 _CHUNK = 1 << 16
@@ -270,10 +270,14 @@ def anchored_windows(shard: Shard, level: np.ndarray) -> tuple[np.ndarray, np.nd
     return at, anchor, np.maximum.accumulate(reach)[own] >= at + LENGTH
 
 
-def _routes(buf: bytes, at: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-    """Hash of ROUTE bytes of each window: those after its anchor or, near the window's end, before it."""
-    place, back = np.unique(np.where(anchor - at <= LENGTH - ROUTE, anchor, anchor - ROUTE), return_inverse=True)
-    return np.array([xxhash.xxh3_64_intdigest(buf[i:i + ROUTE]) for i in place.tolist()], np.uint64)[back]
+def _routes(buf: bytes, at: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbouring windows of one anchor in groups of GROUP: (hash of the bytes that a group shares, group of each
+    window).  Equal windows lie equally far before their anchors, so their groups share the same bytes."""
+    step = (anchor - at) // GROUP
+    pair, group = np.unique(anchor * LENGTH + step, return_inverse=True)
+    first = pair // LENGTH - pair % LENGTH * GROUP
+    shared = LENGTH - GROUP + 1
+    return np.array([xxhash.xxh3_64_intdigest(buf[i:i + shared]) for i in first.tolist()], np.uint64), group
 
 
 def _window_groups(buf: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -364,34 +368,35 @@ def _step(low: int, high: int, upto: int):
     return run
 
 
-def _windows(r: dict, shard: Shard, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    at, anchor, inside = anchored_windows(shard, level)
-    return at, _routes(r["text"], at, anchor), inside
-
-
 def _ask(low: int, high: int):
-    """Takes the last counts in; sends the routes of edge windows (asked: 1) and of windows inside runs (0)."""
+    """Takes the last counts in; sends the groups of windows that may be repeated, with their number in the shard
+    and whether a window of them is an edge (asked: 1) or all lie inside repeated prefixes (0)."""
     def run(batches):
         for r in _rows(batches):
             shard = _loaded(r)
             level = _level(r, shard)
             shard.settle(level, np.frombuffer(r["blocks"], np.uint64), _keys(r["shared"]), low, high)
-            _, route, inside = _windows(r, shard, level)
-            edge, run_ = np.unique(route[~inside]), np.unique(route[inside])
+            at, anchor, inside = anchored_windows(shard, level)
+            route, group = _routes(r["text"], at, anchor)
+            edge = np.zeros(len(route), bool)
+            edge[group[~inside]] = True
+            keys, same, n = np.unique(route, return_inverse=True, return_counts=True)
+            asked = np.zeros(len(keys), np.int64)
+            asked[same[edge]] = 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r["shard"]]), pa.array([level.astype(np.uint16).tobytes()], pa.binary()),
-                 pa.array([np.concatenate([edge, run_]).view(np.int64)], pa.list_(pa.int64())),
-                 pa.array([np.repeat([1, 0], [len(edge), len(run_)])], pa.list_(pa.int64()))],
-                ["shard", "level", "keys", "asked"])
+                 *[pa.array([x.view(np.int64)], pa.list_(pa.int64())) for x in (keys, asked, n)]],
+                ["shard", "level", "keys", "asked", "n"])
     return run
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sends the edge windows and those inside runs whose route is asked for, with their number in the shard."""
+    """Sends the windows of the groups that some shard asks for and that stand twice or more, with their number."""
     for r in _rows(batches):
         shard = _loaded(r)
-        at, route, inside = _windows(r, shard, _level(r, shard))
-        at = at[~inside | _among(route, _keys(r["asked"]))]
+        at, anchor, _ = anchored_windows(shard, _level(r, shard))
+        route, group = _routes(r["text"], at, anchor)
+        at = at[_among(route, _keys(r["asked"]))[group]]
         keys, group, n = _window_groups(r["text"], at)
         yield pa.RecordBatch.from_arrays(
             [pa.array([r["shard"]]), *[pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (at, group, n)],
@@ -457,11 +462,11 @@ def _shared(rows: DataFrame, keys: list[str], answer: str) -> DataFrame:
 
 
 def _asked(rows: DataFrame) -> DataFrame:
-    """Per shard, the routes that it could answer and any shard asks for."""
-    one = rows.select("shard", F.explode(F.arrays_zip("keys", "asked")).alias("m")).select("shard", "m.*")
-    wanted = F.max("asked").over(Window.partitionBy("keys"))
-    return one.withColumn("wanted", wanted).filter("asked = 0 and wanted = 1").groupBy("shard").agg(
-        F.collect_list("keys").alias("asked"))
+    """Per shard, its groups of windows that stand twice or more over all shards and that any shard asks for."""
+    one = rows.select("shard", F.explode(F.arrays_zip("keys", "asked", "n")).alias("m")).select("shard", "m.*")
+    w = Window.partitionBy("keys")
+    return one.withColumns({"wanted": F.max("asked").over(w), "total": F.sum("n").over(w)}) \
+        .filter("wanted = 1 and total > 1").groupBy("shard").agg(F.collect_list("keys").alias("asked"))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -495,7 +500,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             low, high, upto = high, upto, 2 * upto + 1
             shared = S.materialize(_shared(state, ["keys"], "keys"), "shared")
         x = shards.select(*body, "text").join(state.select("shard", "level", "blocks"), "shard").join(shared, "shard", "left")
-        state = S.materialize(x.mapInArrow(_ask(low, high), "shard long, level binary, keys array<long>, asked array<long>"),
+        state = S.materialize(x.mapInArrow(_ask(low, high), "shard long, level binary, keys array<long>, asked array<long>, n array<long>"),
                               "asked")
         asked = S.materialize(_asked(state), "asked")
         x = shards.select(*body, "text").join(state.select("shard", "level"), "shard").join(asked, "shard", "left")
