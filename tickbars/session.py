@@ -142,3 +142,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that ``materialize`` wrote and nothing reads any more."""
+    spark = df.sparkSession
+    root = shared_root(spark).split(":", 1)[-1].lstrip("/")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if f"/{root}/tickbars/" in "/" + folder.split(":", 1)[-1].lstrip("/") + "/":
+            fs, path = _hadoop_path(spark, folder)
+            fs.delete(path, True)
