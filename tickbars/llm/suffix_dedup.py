@@ -19,7 +19,7 @@ its hash.  A block of one suffix shares no longer prefix with any other: the
 suffix's longest common prefix is known and it takes no further part; a block
 of two or more goes on.  So the work shrinks to what is repeated, and a suffix
 stops once its prefix covers every window that starts in its first phrase.
-Steps are taken in rounds of 1, 2, 4 and 8 symbols, one exchange each; a shard
+Blocks are counted after the steps in ``STEPS``, one exchange each; a shard
 sends one row per block and step, however many of its suffixes are in it, so a
 passage in a third of all texts costs one row per shard.
 
@@ -30,7 +30,8 @@ phrase's length at each end of a repeated passage); they are counted by a
 128-bit hash of their bytes.  The same window may lie inside a longer repeated
 run elsewhere, where it is no edge.  Groups of neighbouring windows are
 therefore counted first, by the bytes that the windows of a group share; single
-windows are sent only for groups that stand twice and hold an edge somewhere.
+windows are sent only for groups that stand twice, hold an edge somewhere and
+have other bytes around the shared ones in places.
 
 The shard table is bucketed by shard, so every round joins its few rows to it
 without moving texts or suffix arrays.  Blocks are told apart by 64-bit hashes.
@@ -68,9 +69,11 @@ _STRONG = np.uint64((1 << 64) // MEAN)
 #: Last place in a window of LENGTH bytes at which a cut point is decided by the window's own bytes.
 _SEEN = LENGTH - GRAM
 #: Neighbouring windows that are asked for together.
-GROUP = 8
-#: Symbols by which a suffix is followed; windows in stretches of shorter phrases are compared byte by byte instead.
-MOST_STEPS = 15
+GROUP = 16
+#: Steps after which blocks are counted.  A suffix is followed no further than the last one; what that leaves open
+#: (lengths between two counts, windows in stretches of short phrases) is decided by the windows' bytes.
+STEPS = (1, 3, 6, 15)
+MOST_STEPS = STEPS[-1]
 _CHUNK = 1 << 16
 #: A phrase is at most GAP + WEAK_GAP + GRAM bytes long: one random number per (place in phrase, byte).
 _LONGEST = GAP + WEAK_GAP + GRAM + 8
@@ -203,37 +206,45 @@ class Shard:
         return blocks[head], np.diff(np.append(head, len(blocks)))
 
     def settle(self, level: np.ndarray, blocks: np.ndarray, shared: np.ndarray, low: int, high: int) -> np.ndarray:
-        """Takes the counts of steps low+1..high in: raises ``level`` (symbols known to be repeated, by rank) where
-        the block has company in the shard or is one of ``shared``.  ``blocks``: those of the ranks at ``low``;
-        returns those of the ranks at ``high``."""
-        ranks = np.flatnonzero(level == low)
+        """Takes the counts between steps ``low`` and ``high`` in: raises ``level`` (symbols known to be repeated, by
+        rank) where the block has company in the shard or is one of ``shared``.  ``blocks``: those of the ranks at
+        ``low``; returns those of the ranks at ``high``."""
+        ranks, last = np.flatnonzero(level == low), blocks
+        before = level.copy()
         for k in range(low + 1, high + 1):
-            ranks, blocks = self.refine(ranks, blocks, level, k - 1, k)
-            b, n = self.intervals(blocks)
+            ranks, blocks = self.refine(ranks, blocks, before, low, k)
+            sent = (self.need[ranks] == k) | (k == high)
+            b, n = self.intervals(blocks[sent])
             alive = np.repeat((n > 1) | _among(b, shared), n)
-            ranks, blocks = ranks[alive], blocks[alive]
-            level[ranks] = k
-        return blocks
+            level[ranks[sent][alive]] = k
+            last = blocks[sent][alive]
+        return last
 
     def messages(self, level: np.ndarray, blocks: np.ndarray, high: int, upto: int) -> tuple[np.ndarray, np.ndarray]:
-        """(block, suffixes) of steps high+1..upto for the ranks that may go on after step ``high``."""
+        """(block, suffixes) of the ranks that may go on after step ``high``: each at step ``upto``, or before that
+        where it needs no more symbols."""
         ranks = np.flatnonzero(level == high)
         keys, counts = [], []
         for k in range(high + 1, upto + 1):
             ranks, blocks = self.refine(ranks, blocks, level, high, k)
-            b, n = self.intervals(blocks)
+            b, n = self.intervals(blocks[(self.need[ranks] == k) | (k == upto)])
             keys.append(b)
             counts.append(n)
         return np.concatenate(keys), np.concatenate(counts)
 
     def reach(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Text order: where the longest repeated prefix of each suffix ends, as known and at most."""
-        k = np.empty(len(self.sa), np.int64)
-        k[self.sa] = level
+        k, need = np.empty(len(self.sa), np.int64), np.empty(len(self.sa), np.int64)
+        k[self.sa], need[self.sa] = level, self.need
+        later = np.append(STEPS, MOST_STEPS)[np.searchsorted(STEPS, k, "right")]
+        most = np.where(k < need, np.minimum(need, later) - 1, k)
+        known, most = self._ends(k), self._ends(most)
+        return known, np.where((k == MOST_STEPS) & (self.covers > k), self.end, most)
+
+    def _ends(self, k: np.ndarray) -> np.ndarray:
         full = k == self.left
         at = np.append(self.starts, 0)[np.arange(len(k)) + np.where(full, 0, k)]
-        known = np.where(full, self.end, at)
-        return known, np.where((k == MOST_STEPS) & (self.covers > k), self.end, known)
+        return np.where(full, self.end, at)
 
 
 def anchored_windows(shard: Shard, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -270,14 +281,20 @@ def anchored_windows(shard: Shard, level: np.ndarray) -> tuple[np.ndarray, np.nd
     return at, anchor, np.maximum.accumulate(reach)[own] >= at + LENGTH
 
 
-def _routes(buf: bytes, at: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Neighbouring windows of one anchor in groups of GROUP: (hash of the bytes that a group shares, group of each
-    window).  Equal windows lie equally far before their anchors, so their groups share the same bytes."""
+def _routes(buf: bytes, at: np.ndarray, anchor: np.ndarray, shard: Shard) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Neighbouring windows of one anchor in groups of GROUP: (hash of the bytes that all windows of a group share,
+    hash of all bytes of its windows, group of each window).  Equal windows lie equally far before their anchors,
+    so their groups share the same bytes."""
     step = (anchor - at) // GROUP
     pair, group = np.unique(anchor * LENGTH + step, return_inverse=True)
     first = pair // LENGTH - pair % LENGTH * GROUP
+    text = np.searchsorted(shard.ends, first, "right")
+    low = np.maximum(first - GROUP + 1, shard.begins[text])
+    high = np.minimum(first + LENGTH, shard.ends[text])
     shared = LENGTH - GROUP + 1
-    return np.array([xxhash.xxh3_64_intdigest(buf[i:i + shared]) for i in first.tolist()], np.uint64), group
+    core = [xxhash.xxh3_64_intdigest(buf[i:i + shared]) for i in first.tolist()]
+    whole = [xxhash.xxh3_64_intdigest(buf[i:j], seed=j - k) for i, j, k in zip(low.tolist(), high.tolist(), first.tolist())]
+    return np.array(core, np.uint64), np.array(whole, np.uint64), group
 
 
 def _window_groups(buf: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -377,37 +394,44 @@ def _ask(low: int, high: int):
             level = _level(r, shard)
             shard.settle(level, np.frombuffer(r["blocks"], np.uint64), _keys(r["shared"]), low, high)
             at, anchor, inside = anchored_windows(shard, level)
-            route, group = _routes(r["text"], at, anchor)
-            edge = np.zeros(len(route), bool)
+            core, whole, group = _routes(r["text"], at, anchor, shard)
+            edge = np.zeros(len(core), bool)
             edge[group[~inside]] = True
-            keys, same, n = np.unique(route, return_inverse=True, return_counts=True)
-            asked = np.zeros(len(keys), np.int64)
+            order = np.lexsort((whole, core))
+            core, whole, edge = core[order], whole[order], edge[order]
+            head = np.r_[True, (core[1:] != core[:-1]) | (whole[1:] != whole[:-1])][:len(core)]
+            same = np.cumsum(head) - 1
+            asked = np.zeros(int(head.sum()), np.int64)
             asked[same[edge]] = 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r["shard"]]), pa.array([level.astype(np.uint16).tobytes()], pa.binary()),
-                 *[pa.array([x.view(np.int64)], pa.list_(pa.int64())) for x in (keys, asked, n)]],
-                ["shard", "level", "keys", "asked", "n"])
+                 *[pa.array([x.view(np.int64)], pa.list_(pa.int64())) for x in (core[head], whole[head], asked, np.bincount(same))]],
+                ["shard", "level", "keys", "whole", "asked", "n"])
     return run
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sends the windows of the groups that some shard asks for and that stand twice or more, with their number."""
+    """Takes the groups that are repeated as a whole in; sends the windows of the groups that are repeated in part
+    only, with their number."""
     for r in _rows(batches):
         shard = _loaded(r)
         at, anchor, _ = anchored_windows(shard, _level(r, shard))
-        route, group = _routes(r["text"], at, anchor)
-        at = at[_among(route, _keys(r["asked"]))[group]]
+        core, _, group = _routes(r["text"], at, anchor, shard)
+        s, e = _merged(at[_among(core, _keys(r["whole"]))[group]])
+        at = at[_among(core, _keys(r["parts"]))[group]]
         keys, group, n = _window_groups(r["text"], at)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r["shard"]]), *[pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (at, group, n)],
+            [pa.array([r["shard"]]),
+             *[pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (s, e, at, group, n)],
              *[pa.array([x], pa.list_(pa.int64())) for x in (keys[:, 0], keys[:, 1], n, np.arange(len(n)))]],
-            ["shard", "windows", "groups", "counts", "keys", "keys2", "n", "place"])
+            ["shard", "found", "found_end", "windows", "groups", "counts", "keys", "keys2", "n", "place"])
 
 
-def _merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Union of intervals; touching ones become one."""
+def _merged(start: np.ndarray, end: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Union of intervals (windows, with no end given); touching ones become one."""
     if not len(start):
-        return start, end
+        return start, start
+    end = start + LENGTH if end is None else end
     order = np.argsort(start, kind="stable")
     s, e = start[order], np.maximum.accumulate(end[order])
     head = np.flatnonzero(np.r_[True, s[1:] > e[:-1]])
@@ -425,8 +449,9 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found[r["shared"] or []] = True
         at = at[found[group]]
         # per text, so that spans of neighbouring texts never merge
-        start = np.concatenate([shard.starts[run], at])
-        end = np.concatenate([reach[run], at + LENGTH])
+        whole, whole_end = (np.frombuffer(r[c], np.int32).astype(np.int64) for c in ("found", "found_end"))
+        start = np.concatenate([shard.starts[run], at, whole])
+        end = np.concatenate([reach[run], at + LENGTH, whole_end])
         owner = np.searchsorted(shard.ends, start, "right")
         order = np.argsort(start, kind="stable")
         start, end, owner = start[order], end[order], owner[order]
@@ -462,11 +487,21 @@ def _shared(rows: DataFrame, keys: list[str], answer: str) -> DataFrame:
 
 
 def _asked(rows: DataFrame) -> DataFrame:
-    """Per shard, its groups of windows that stand twice or more over all shards and that any shard asks for."""
-    one = rows.select("shard", F.explode(F.arrays_zip("keys", "asked", "n")).alias("m")).select("shard", "m.*")
+    """Per shard, its groups of windows that stand twice or more over all shards and that any shard asks for: those
+    with the same bytes everywhere (``whole``), and the others."""
+    one = rows.select("shard", F.explode(F.arrays_zip("keys", "whole", "asked", "n")).alias("m")).select("shard", "m.*")
     w = Window.partitionBy("keys")
-    return one.withColumns({"wanted": F.max("asked").over(w), "total": F.sum("n").over(w)}) \
-        .filter("wanted = 1 and total > 1").groupBy("shard").agg(F.collect_list("keys").alias("asked"))
+    one = one.withColumns({"wanted": F.max("asked").over(w), "total": F.sum("n").over(w),
+                           "same": F.min("whole").over(w) == F.max("whole").over(w)})
+    return one.filter("wanted = 1 and total > 1 and (asked = 1 or not same)").groupBy("shard").agg(
+        F.collect_list(F.when(F.col("same"), F.col("keys"))).alias("whole"),
+        F.collect_list(F.when(~F.col("same"), F.col("keys"))).alias("parts"))
+
+
+def _discard(tables: list[DataFrame | None]) -> None:
+    for t in tables:
+        if t is not None:
+            S.discard(t)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -487,29 +522,33 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         shards = spark.table(name)
         body = ["shard", "lengths", "phrases", "sizes", "symbols", "ranks", "kinds"]
         state, shared = None, None
-        low, high, upto = 0, 0, 1
-        while high < MOST_STEPS:
+        low, high = 0, 0
+        for upto in STEPS:
             x = shards.select(*body)
             if state is None:
                 x = x.withColumns({"level": F.lit(None).cast("binary"), "blocks": F.lit(None).cast("binary"),
                                    "shared": F.lit(None).cast("array<long>")})
             else:
                 x = x.join(state.select("shard", "level", "blocks"), "shard").join(shared, "shard", "left")
-            state = S.materialize(x.mapInArrow(_step(low, high, upto), "shard long, level binary, blocks binary, keys array<long>, n array<long>"),
-                                  "interleave")
-            low, high, upto = high, upto, 2 * upto + 1
+            used = [state, shared]
+            state = S.materialize(x.mapInArrow(
+                _step(low, high, upto), "shard long, level binary, blocks binary, keys array<long>, n array<long>"), "interleave")
             shared = S.materialize(_shared(state, ["keys"], "keys"), "shared")
+            _discard(used)
+            low, high = high, upto
         x = shards.select(*body, "text").join(state.select("shard", "level", "blocks"), "shard").join(shared, "shard", "left")
-        state = S.materialize(x.mapInArrow(_ask(low, high), "shard long, level binary, keys array<long>, asked array<long>, n array<long>"),
+        used = [state, shared]
+        state = S.materialize(x.mapInArrow(_ask(low, high), "shard long, level binary, keys array<long>, whole array<long>, asked array<long>, n array<long>"),
                               "asked")
         asked = S.materialize(_asked(state), "asked")
+        _discard(used)
         x = shards.select(*body, "text").join(state.select("shard", "level"), "shard").join(asked, "shard", "left")
         edges = S.materialize(x.mapInArrow(
-            _answer, "shard long, windows binary, groups binary, counts binary, keys array<long>, keys2 array<long>, "
+            _answer, "shard long, found binary, found_end binary, windows binary, groups binary, counts binary, keys array<long>, keys2 array<long>, "
                      "n array<long>, place array<long>"), "edges")
         shared = S.materialize(_shared(edges, ["keys", "keys2"], "place"), "shared")
         x = shards.select("doc_ids", *body, "text").join(state.select("shard", "level"), "shard") \
-            .join(edges.select("shard", "windows", "groups", "counts"), "shard").join(shared, "shard", "left")
+            .join(edges.select("shard", "found", "found_end", "windows", "groups", "counts"), "shard").join(shared, "shard", "left")
         return S.materialize(x.mapInArrow(_spans, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"),
                              "kept-bytes")
     finally:
