@@ -30,6 +30,8 @@ RUNTIME_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(
     master: str | None = None,
@@ -137,10 +139,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table under the shared folder and read it
     back: cuts the lineage (an executor loss later does not recompute the
     upstream) and lets a consumer that reads its input several times read
-    the table instead of re-running the upstream."""
+    the table instead of re-running the upstream.  The write's shuffle files
+    are dropped when it ends, since nothing reads them again."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.parquet(path)
 
 
