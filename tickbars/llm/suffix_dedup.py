@@ -281,9 +281,10 @@ def anchored_windows(shard: Shard, level: np.ndarray) -> tuple[np.ndarray, np.nd
     return at, anchor, np.maximum.accumulate(reach)[own] >= at + LENGTH
 
 
-def _routes(buf: bytes, at: np.ndarray, anchor: np.ndarray, shard: Shard) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _routes(buf: bytes, at: np.ndarray, anchor: np.ndarray, shard: Shard,
+            whole: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
     """Neighbouring windows of one anchor in groups of GROUP: (hash of the bytes that all windows of a group share,
-    hash of all bytes of its windows, group of each window).  Equal windows lie equally far before their anchors,
+    hash of all bytes of its windows (``whole``), group of each window).  Equal windows lie equally far before their anchors,
     so their groups share the same bytes."""
     step = (anchor - at) // GROUP
     pair, group = np.unique(anchor * LENGTH + step, return_inverse=True)
@@ -293,8 +294,10 @@ def _routes(buf: bytes, at: np.ndarray, anchor: np.ndarray, shard: Shard) -> tup
     high = np.minimum(first + LENGTH, shard.ends[text])
     shared = LENGTH - GROUP + 1
     core = [xxhash.xxh3_64_intdigest(buf[i:i + shared]) for i in first.tolist()]
-    whole = [xxhash.xxh3_64_intdigest(buf[i:j], seed=j - k) for i, j, k in zip(low.tolist(), high.tolist(), first.tolist())]
-    return np.array(core, np.uint64), np.array(whole, np.uint64), group
+    if not whole:
+        return np.array(core, np.uint64), None, group
+    around = [xxhash.xxh3_64_intdigest(buf[i:j], seed=j - k) for i, j, k in zip(low.tolist(), high.tolist(), first.tolist())]
+    return np.array(core, np.uint64), np.array(around, np.uint64), group
 
 
 def _window_groups(buf: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -394,7 +397,7 @@ def _ask(low: int, high: int):
             level = _level(r, shard)
             shard.settle(level, np.frombuffer(r["blocks"], np.uint64), _keys(r["shared"]), low, high)
             at, anchor, inside = anchored_windows(shard, level)
-            core, whole, group = _routes(r["text"], at, anchor, shard)
+            core, whole, group = _routes(r["text"], at, anchor, shard, True)
             edge = np.zeros(len(core), bool)
             edge[group[~inside]] = True
             order = np.lexsort((whole, core))
@@ -416,7 +419,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for r in _rows(batches):
         shard = _loaded(r)
         at, anchor, _ = anchored_windows(shard, _level(r, shard))
-        core, _, group = _routes(r["text"], at, anchor, shard)
+        core, _, group = _routes(r["text"], at, anchor, shard, False)
         s, e = _merged(at[_among(core, _keys(r["whole"]))[group]])
         at = at[_among(core, _keys(r["parts"]))[group]]
         keys, group, n = _window_groups(r["text"], at)
@@ -521,6 +524,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     try:
         shards = spark.table(name)
         body = ["shard", "lengths", "phrases", "sizes", "symbols", "ranks", "kinds"]
+
+        def small(df: DataFrame, *cols: str) -> DataFrame:
+            # the hashed side of a join: a shard's own rows are streamed past it, never sorted
+            return df.select("shard", *cols).hint("shuffle_hash")
+
         state, shared = None, None
         low, high = 0, 0
         for upto in STEPS:
@@ -529,26 +537,27 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 x = x.withColumns({"level": F.lit(None).cast("binary"), "blocks": F.lit(None).cast("binary"),
                                    "shared": F.lit(None).cast("array<long>")})
             else:
-                x = x.join(state.select("shard", "level", "blocks"), "shard").join(shared, "shard", "left")
+                x = x.join(small(state, "level", "blocks"), "shard").join(small(shared, "shared"), "shard", "left")
             used = [state, shared]
             state = S.materialize(x.mapInArrow(
                 _step(low, high, upto), "shard long, level binary, blocks binary, keys array<long>, n array<long>"), "interleave")
             shared = S.materialize(_shared(state, ["keys"], "keys"), "shared")
             _discard(used)
             low, high = high, upto
-        x = shards.select(*body, "text").join(state.select("shard", "level", "blocks"), "shard").join(shared, "shard", "left")
+        x = shards.select(*body, "text").join(small(state, "level", "blocks"), "shard").join(small(shared, "shared"), "shard", "left")
         used = [state, shared]
         state = S.materialize(x.mapInArrow(_ask(low, high), "shard long, level binary, keys array<long>, whole array<long>, asked array<long>, n array<long>"),
                               "asked")
         asked = S.materialize(_asked(state), "asked")
         _discard(used)
-        x = shards.select(*body, "text").join(state.select("shard", "level"), "shard").join(asked, "shard", "left")
+        x = shards.select(*body, "text").join(small(state, "level"), "shard").join(small(asked, "whole", "parts"), "shard", "left")
         edges = S.materialize(x.mapInArrow(
             _answer, "shard long, found binary, found_end binary, windows binary, groups binary, counts binary, keys array<long>, keys2 array<long>, "
                      "n array<long>, place array<long>"), "edges")
         shared = S.materialize(_shared(edges, ["keys", "keys2"], "place"), "shared")
-        x = shards.select("doc_ids", *body, "text").join(state.select("shard", "level"), "shard") \
-            .join(edges.select("shard", "found", "found_end", "windows", "groups", "counts"), "shard").join(shared, "shard", "left")
+        x = shards.select("doc_ids", *body, "text").join(small(state, "level"), "shard") \
+            .join(small(edges, "found", "found_end", "windows", "groups", "counts"), "shard") \
+            .join(small(shared, "shared"), "shard", "left")
         return S.materialize(x.mapInArrow(_spans, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"),
                              "kept-bytes")
     finally:
