@@ -29,25 +29,36 @@ TYPED_FIELDS = [("E", "event_time_ms"), ("t", "trade_id"), ("p", "price"), ("q",
                 ("m", "is_buyer_maker"), ("ingestionTimeMs", "ingestion_time_ms"), ("latencyMs", "latency_ms")]
 
 
-def _decodable(v: Column, value: Column) -> Column:
-    """The value is a JSON object, every typed field that is present converts
-    (quoted numbers and booleans do) and no price or quantity is NaN.  A field
-    that is missing or JSON null is not bad: it keeps its default."""
-    t = F.try_variant_get(v, "$", WIRE_DDL).cast(TRADE_DDL)
-    bad = F.lit(False)
-    for wire, name in TYPED_FIELDS:
-        raw = F.try_variant_get(v, f"$.{wire}", "variant")
-        bad = bad | (t[name].isNull() & raw.isNotNull() & ~F.is_variant_null(raw))
-    bad = bad | F.isnan(F.coalesce(t["price"], F.lit(0.0))) | F.isnan(F.coalesce(t["quantity"], F.lit(0.0)))
-    is_object = v.isNotNull() & F.startswith(F.ltrim(value), F.lit("{"))
-    return F.coalesce(is_object & ~bad, F.lit(False))
-
-
-def _parsed(records: DataFrame, value: str) -> DataFrame:
-    """One VARIANT parse per record.  The observed record count sits above
-    it, so later filters are not pushed below and do not parse again."""
-    return records.withColumn("_v", F.try_parse_json(F.col(value))) \
-        .observe(f"wire_{uuid.uuid4().hex[:8]}", F.count(F.lit(1)).alias("records"))
+# The typed fields again, as text: whatever is present and not JSON null.
+RAW_DDL = "struct<" + ",".join(f"{wire}:string" for wire, _ in TYPED_FIELDS) + ">"
+RAW_NAMES_DDL = "struct<" + ",".join(f"{name}:string" for _, name in TYPED_FIELDS) + ">"
+DEFAULTS = {"event_time_ms": 0, "trade_id": 0, "price": 0.0, "quantity": 0.0,
+            "trade_time_ms": 0, "is_buyer_maker": False, "ingestion_time_ms": 0, "latency_ms": 0}
+
+
+def decode_stage(records: DataFrame, value: str = "value") -> DataFrame:
+    """Records with ``_t`` (the trade struct) and ``_ok`` (decodable: a JSON
+    object whose typed fields, where present, convert -- quoted numbers and
+    booleans do -- and whose price and quantity are not NaN; a field that is
+    missing or JSON null is not bad: it keeps its default).
+
+    One VARIANT parse and two struct reads per record.  An observed record
+    count sits above each of the two steps, so later filters and selections
+    stay above them and nothing is parsed or read again."""
+    def counted(df: DataFrame) -> DataFrame:
+        return df.observe(f"wire_{uuid.uuid4().hex[:8]}", F.count(F.lit(1)).alias("records"))
+
+    parsed = counted(records.withColumn("_v", F.try_parse_json(F.col(value))))
+    v = F.col("_v")
+    read = counted(parsed.select(
+        "*", F.try_variant_get(v, "$", WIRE_DDL).cast(TRADE_DDL).alias("_t"),
+        F.try_variant_get(v, "$", RAW_DDL).cast(RAW_NAMES_DDL).alias("_raw")).drop("_v"))
+    t, raw = F.col("_t"), F.col("_raw")
+    bad = F.isnan(F.coalesce(t["price"], F.lit(0.0))) | F.isnan(F.coalesce(t["quantity"], F.lit(0.0)))
+    for _, name in TYPED_FIELDS:
+        bad = bad | (t[name].isNull() & raw[name].isNotNull())
+    is_object = t.isNotNull() & F.startswith(F.ltrim(F.col(value)), F.lit("{"))
+    return read.withColumn("_ok", F.coalesce(is_object & ~bad, F.lit(False))).drop("_raw")
 
 
 def decode_trades(records: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -60,22 +71,19 @@ def decode_trades(records: DataFrame, value: str = "value", keep: tuple[str, ...
     is read from the VARIANT (paths are case-sensitive, so e/E and t/T are
     distinct) and renamed by position.
     """
-    p = _parsed(records, value)
-    v = F.col("_v")
-    t = F.when(_decodable(v, F.col(value)), F.try_variant_get(v, "$", WIRE_DDL).cast(TRADE_DDL))
+    return decoded_rows(decode_stage(records, value), keep)
+
+
+def decoded_rows(staged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Trades of the decodable records of ``decode_stage``."""
     cols = [F.col(c) for c in keep]
-    extra = [F.col(c) for c in ("partition", "offset") if c in records.columns]
-    if {"partition", "offset", "timestamp"} <= set(records.columns):
+    extra = [F.col(c) for c in ("partition", "offset") if c in staged.columns]
+    if {"partition", "offset", "timestamp"} <= set(staged.columns):
         extra.append(arrival_order().alias("arrival_order"))
-    decoded = p.select(*cols, t.alias("_t"), *extra)
-    out = decoded.filter(F.col("_t").isNotNull()).select(
-        *cols, *[F.col(f"_t.{f}").alias(f) for f in TRADE_FIELDS],
-        *[c for c in decoded.columns if c not in keep and c != "_t"])
-    defaults = {"event_time_ms": 0, "trade_id": 0, "price": 0.0, "quantity": 0.0,
-                "trade_time_ms": 0, "is_buyer_maker": False, "ingestion_time_ms": 0, "latency_ms": 0}
-    out = out.select(*[F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c)
-                       for c in out.columns])
-    if "offset" in records.columns:
+    fields = [F.coalesce(F.col(f"_t.{f}"), F.lit(DEFAULTS[f])).alias(f) if f in DEFAULTS else F.col(f"_t.{f}").alias(f)
+              for f in TRADE_FIELDS]
+    out = staged.filter("_ok").select(*cols, *fields, *[c for c in extra])
+    if "offset" in staged.columns:
         out = out.withColumn("arrival", F.col("offset"))
     return out
 
@@ -93,8 +101,12 @@ def arrival_order() -> Column:
 def undecodable(records: DataFrame, value: str = "value") -> DataFrame:
     """Records the consumer could not decode: not a JSON object, or a typed
     field is present and does not convert, or a price or quantity is NaN."""
-    p = _parsed(records, value)
-    return p.filter(~_decodable(F.col("_v"), F.col(value))).drop("_v")
+    return undecoded_rows(decode_stage(records, value))
+
+
+def undecoded_rows(staged: DataFrame) -> DataFrame:
+    """The records of ``decode_stage`` that do not decode."""
+    return staged.filter("not _ok").drop("_t", "_ok")
 
 
 def trade_value(df: DataFrame) -> Column:

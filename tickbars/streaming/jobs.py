@@ -285,24 +285,24 @@ def trade_job_writer(table: str, dlq: str):
     side label into the trades table (insert-ignore); records that do not
     decode go to the dead letters with error ``ParseError``, rows that break a
     constraint of the table with the constraint, instead of stopping the job.
-    The raw records are persisted for the batch and decoded by each output."""
+    A batch is decoded once: the decoded records are persisted for its outputs."""
     from tickbars.operators.tables import TRADE_NOT_NULL, split_valid
-    from tickbars.sources.wire import undecodable
+    from tickbars.sources.wire import decode_stage, decoded_rows, undecoded_rows
     insert = insert_ignore_writer(table)
 
     def write(records: DataFrame, batch_id: int) -> None:
-        records.persist()
+        staged = decode_stage(records).persist()
         try:
-            rows = trade_rows(decode_trades(records, keep=("value", "timestamp")))
+            rows = trade_rows(decoded_rows(staged, keep=("value", "timestamp")))
             good, broken = split_valid(rows, TRADE_NOT_NULL)
             insert(good, batch_id)
             letter = ["rawPayload", "error", "ingestionTimeMs", "partition", "offset"]
-            bad = undecodable(records).withColumn("error", F.lit(PARSE_ERROR)).unionByName(
+            bad = undecoded_rows(staged).withColumn("error", F.lit(PARSE_ERROR)).unionByName(
                 broken.withColumn("error", F.concat(F.lit("ConstraintViolation: "), "reason")), allowMissingColumns=True) \
                 .withColumns({"rawPayload": F.col("value"), "ingestionTimeMs": F.unix_millis("timestamp")}).select(*letter)
             bad.write.mode("overwrite").parquet(f"{dlq}/batch={batch_id}")
         finally:
-            records.unpersist()
+            staged.unpersist()
     return write
 
 
