@@ -182,6 +182,8 @@ def _stream_queries():
     q["stream_union_feeds"] = lambda s, d: _stream_feeds(s, d, "trades")
     q["stream_dead_letters"] = lambda s, d: _stream_feeds(s, d, "dlq")
     q["stream_bars_from_frames"] = lambda s, d: J.run_frames_to_bars(s, _frames(s, d))
+    q["wire_dead_letters"] = lambda s, d: s.read.parquet(
+        J.run_decode_hop(s, FX.bad_wire_records(S.configure(s), d))[1]).select("partition", "offset", "error")
     q["stream_trade_source"] = lambda s, d: J.run_decode_job(s, FX.wire_records(S.configure(s), d)).drop("arrival_order")
     return q
 

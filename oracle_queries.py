@@ -386,6 +386,15 @@ def stream_oracles() -> dict[str, str]:
         "stream_restart": o["spread_bars"] + f" where {CLOSED}",
         "stream_enrich_trades": trade_oracles()["enrich_side"],
         "stream_trade_source": trade_oracles()["decode_wire_json"],
+        "wire_dead_letters": "with " + WIRE + """,
+letters as (
+  select partition, "offset", case
+    when "offset" % 101 = 0 or "offset" % 103 = 0 or "offset" % 107 = 0 or "offset" % 109 = 0 then 'ParseError'
+    when "offset" % 113 = 0 then null
+    when "offset" % 127 = 0 then 'ConstraintViolation: source is null'
+    when "offset" % 131 = 0 then 'ConstraintViolation: symbol longer than 20' end as error
+  from wire)
+select * from letters where error is not null""",
         "stream_late_drop": late_drop_oracle(8),
         "stream_book": book_oracles()["book_top20"],
         "stream_union_feeds": feed_oracles()["union_feeds"],

@@ -229,6 +229,21 @@ def wire_records(spark: SparkSession, sf_dir: str, duplicates: bool = False) ->
     )
 
 
+def bad_wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """topic records of which some cannot be decoded (no JSON, no object, a
+    price that is no number or NaN), some break a constraint of the trades table
+    (no source, a long symbol) and some only miss a field, which is not bad."""
+    records = wire_records(spark, sf_dir)
+    trade_id, v = F.col("offset"), F.col("value")
+    at = lambda n: trade_id % n == 0
+    return records.withColumn("value", F.when(at(101), F.lit("not json")).when(at(103), F.lit("[1, 2]"))
+                              .when(at(107), F.regexp_replace(v, '"p":[^,]+', '"p":"abc"'))
+                              .when(at(109), F.regexp_replace(v, '"p":[^,]+', '"p":"NaN"'))
+                              .when(at(113), F.regexp_replace(v, '"T":[^,]+,', ""))
+                              .when(at(127), F.regexp_replace(v, '"source":"[^"]*"', '"source":null'))
+                              .when(at(131), F.regexp_replace(v, '"s":"[^"]*"', '"s":"' + "S" * 21 + '"')).otherwise(v))
+
+
 def broken_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8: rows of the trades table, some of which break a constraint (nulls and
     over-long texts at fixed ids)."""

@@ -87,3 +87,4 @@ def trade_table_rows(trades: DataFrame) -> DataFrame:
 # Key and column lists of the SQL tables.
 SQL_BAR_KEY = ["symbol", "source", "window_start"]
 SQL_TRADE_KEY = ["symbol", "source", "trade_id", "trade_time"]
+SQL_TRADE_COLUMNS = ["trade_time", "symbol", "source", "trade_id", "price", "quantity", "side", "ingestion_time", "latency_ms"]

@@ -280,15 +280,71 @@ def trade_rows(decoded: DataFrame) -> DataFrame:
                           "ingestion_time_ms", "latency_ms", "arrival")
 
 
-def trade_job_writer(table: str, dlq: str):
+def letters(staged: DataFrame, broken: DataFrame) -> DataFrame:
+    """Dead letters of decoded records: ``ParseError`` for those that do not
+    decode, the constraint for rows (with ``reason``) that break one."""
+    from tickbars.sources.wire import undecoded_rows
+
+    return undecoded_rows(staged).withColumn("error", F.lit(PARSE_ERROR)).unionByName(
+        broken.withColumn("error", F.concat(F.lit("ConstraintViolation: "), "reason")), allowMissingColumns=True) \
+        .withColumns({"rawPayload": F.col("value"), "ingestionTimeMs": F.unix_millis("timestamp")}) \
+        .select("rawPayload", "error", "ingestionTimeMs", "partition", "offset")
+
+
+DECODED_SCHEMA = ("event_type string, event_time_ms long, symbol string, trade_id long, price double, quantity double, "
+                  "trade_time_ms long, is_buyer_maker boolean, source string, ingestion_time_ms long, latency_ms long, "
+                  "partition int, offset long, arrival_order decimal(38,0), arrival long")
+
+
+def decode_hop_writer(out: str, dlq: str):
+    """foreachBatch on raw topic records: one decode for every reader of the
+    topic.  Trades that decode and keep the table's constraints go to ``out``,
+    the rest to the dead letters, both in the batch's own folder."""
+    from tickbars.operators.tables import TRADE_NOT_NULL, split_valid
+    from tickbars.sources.wire import decode_stage, decoded_rows
+
+    def write(records: DataFrame, batch_id: int) -> None:
+        staged = decode_stage(records).persist()
+        try:
+            rows = decoded_rows(staged, keep=("value", "timestamp"))
+            good, broken = split_valid(rows, [c for c in TRADE_NOT_NULL if c != "side"])
+            good.drop("value", "timestamp").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+            letters(staged, broken).write.mode("overwrite").parquet(f"{dlq}/batch={batch_id}")
+        finally:
+            staged.unpersist()
+    return write
+
+
+def start_decode_hop(records: DataFrame, out: str, dlq: str, checkpoint: str, **trigger):
+    """The decode hop as a running query; ``read_decoded`` streams its trades."""
+    return records.writeStream.foreachBatch(decode_hop_writer(out, dlq)) \
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def read_decoded(spark: SparkSession, out: str, max_files: int = 100) -> DataFrame:
+    """Trades of the decode hop as a stream (``batch`` folders, oldest first)."""
+    return spark.readStream.schema(DECODED_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(f"{out}/batch=*")
+
+
+def run_decode_hop(spark: SparkSession, records: DataFrame, batches: int = 4) -> tuple[str, str]:
+    """Land topic records and run the decode hop; returns its two folders."""
+    S.configure(spark)
+    base = S.fresh_path(spark, "stream-hop")
+    land_batches(spark, records, "offset", batches, base)
+    start_decode_hop(read_records(spark, base), f"{base}/out", f"{base}/dlq", f"{base}/checkpoint",
+                     availableNow=True).awaitTermination()
+    return f"{base}/out", f"{base}/dlq"
+
+
+def trade_job_writer(table: str, dlq: str, writer=None):
     """foreachBatch on raw topic records: decodable records go through the
     side label into the trades table (insert-ignore); records that do not
     decode go to the dead letters with error ``ParseError``, rows that break a
     constraint of the table with the constraint, instead of stopping the job.
-    A batch is decoded once: the decoded records are persisted for its outputs."""
+    ``writer`` replaces the file table (e.g. by the database sink).  A batch is decoded once: the decoded records are persisted for its outputs."""
     from tickbars.operators.tables import TRADE_NOT_NULL, split_valid
-    from tickbars.sources.wire import decode_stage, decoded_rows, undecoded_rows
-    insert = insert_ignore_writer(table)
+    from tickbars.sources.wire import decode_stage, decoded_rows
+    insert = writer or insert_ignore_writer(table)
 
     def write(records: DataFrame, batch_id: int) -> None:
         staged = decode_stage(records).persist()
@@ -296,11 +352,7 @@ def trade_job_writer(table: str, dlq: str):
             rows = trade_rows(decoded_rows(staged, keep=("value", "timestamp")))
             good, broken = split_valid(rows, TRADE_NOT_NULL)
             insert(good, batch_id)
-            letter = ["rawPayload", "error", "ingestionTimeMs", "partition", "offset"]
-            bad = undecoded_rows(staged).withColumn("error", F.lit(PARSE_ERROR)).unionByName(
-                broken.withColumn("error", F.concat(F.lit("ConstraintViolation: "), "reason")), allowMissingColumns=True) \
-                .withColumns({"rawPayload": F.col("value"), "ingestionTimeMs": F.unix_millis("timestamp")}).select(*letter)
-            bad.write.mode("overwrite").parquet(f"{dlq}/batch={batch_id}")
+            letters(staged, broken).write.mode("overwrite").parquet(f"{dlq}/batch={batch_id}")
         finally:
             staged.unpersist()
     return write
@@ -375,12 +427,23 @@ def run_book_job(spark: SparkSession, deltas: DataFrame, batches: int = 4, depth
 BAR_SINK_COLUMNS = BAR_TABLE_COLUMNS
 
 
-def upsert_writer(table: str):
-    """foreachBatch: ON CONFLICT upsert of the batch's bars into the table."""
-    from tickbars.operators.tables import upsert_days
+def upsert_writer(table: str, dlq: str | None = None):
+    """foreachBatch: ON CONFLICT upsert of the batch's bars into the table.
+    Bars that break a constraint of the table are left out; with ``dlq`` they
+    are written there, in the batch's own folder, with the constraint."""
+    from tickbars.operators.tables import BAR_NOT_NULL, split_valid, upsert_days
 
     def write(df: DataFrame, batch_id: int) -> None:
-        upsert_days(df.sparkSession, df, table, "window_start_ms")
+        bars = df.persist()
+        try:
+            good, broken = split_valid(bars, BAR_NOT_NULL)
+            upsert_days(df.sparkSession, good, table, "window_start_ms")
+            if dlq:
+                broken.select(F.to_json(F.struct(*df.columns)).alias("rawPayload"),
+                              F.concat(F.lit("ConstraintViolation: "), "reason").alias("error")) \
+                    .write.mode("overwrite").parquet(f"{dlq}/batch={batch_id}")
+        finally:
+            bars.unpersist()
     return write
 
 
@@ -467,47 +530,34 @@ def feed_totals(spark: SparkSession, base: str) -> dict[str, int]:
 
 # ------------------------------------------------------ production starters
 
-def dead_letter_writer(dlq: str):
-    """foreachBatch on raw topic records: those that do not decode, as dead
-    letters in the batch's own folder."""
-    from tickbars.sources.wire import undecodable
-
-    def write(records: DataFrame, batch_id: int) -> None:
-        undecodable(records).select(
-            F.col("value").alias("rawPayload"), F.lit(PARSE_ERROR).alias("error"),
-            F.unix_millis("timestamp").alias("ingestionTimeMs"), "partition", "offset") \
-            .write.mode("overwrite").parquet(f"{dlq}/batch={batch_id}")
-    return write
-
-
-def start_bar_job(records: DataFrame, table: str, checkpoint: str,
+def start_bar_job(records: DataFrame | None, table: str, checkpoint: str,
                   trigger: str = "500 milliseconds", delay: str = "5 seconds", period: int = 10,
                   state_partitions: int | None = None, dlq: str | None = None,
-                  interval: str = "1 minute", writer=None):
+                  interval: str = "1 minute", writer=None, trades: DataFrame | None = None):
     """Bar job on a stream of topic records (``sources.wire.read_kafka`` or
-    landed files): decode -> bars -> EMA -> spread -> upsert into the
-    day-partitioned ``ohlcv`` table.  Returns the running StreamingQuery;
-    state and progress live under ``checkpoint`` (use a folder under
-    ``spark.checkpoint.dir``)."""
-    S.ship_package(records.sparkSession)
-    if dlq:  # its own query and checkpoint: a stateful query has one output
-        records.writeStream.foreachBatch(dead_letter_writer(dlq)).option("checkpointLocation", f"{checkpoint}-dlq") \
-            .trigger(processingTime=trigger).start()
-    trades = decode_trades(records)
+    landed files), or of ``trades`` that the decode hop has decoded: bars -> EMA
+    -> spread -> upsert into the day-partitioned ``ohlcv`` table; bars that
+    break a constraint go to ``dlq``.  Returns the running StreamingQuery; state
+    and progress live under ``checkpoint`` (use a folder under
+    ``spark.checkpoint.dir``).  Records that do not decode are dropped here: run
+    the decode hop to keep them."""
+    trades = decode_trades(records) if trades is None else trades
+    spark = trades.sparkSession
+    S.ship_package(spark)
     if "arrival_order" in trades.columns:
         trades = trades.withColumn("arrival", F.col("arrival_order"))
     out = spread_stream(bar_stream(trades, delay=delay, interval=interval, period=period), interval=interval)
     return start_with_state_partitions(
-        records.sparkSession, out.writeStream.foreachBatch(writer or upsert_writer(table)).option("checkpointLocation", checkpoint)
+        spark, out.writeStream.foreachBatch(writer or upsert_writer(table, dlq)).option("checkpointLocation", checkpoint)
         .trigger(processingTime=trigger), state_partitions)
 
 
 def start_trade_job(records: DataFrame, table: str, checkpoint: str, dlq: str | None = None,
-                    trigger: str = "200 milliseconds"):
+                    trigger: str = "200 milliseconds", writer=None):
     """Trade job: decode -> side label -> insert-ignore into ``trades``,
     undecodable records to ``dlq``.  Its own checkpoint makes it an
     independent consumer of the same topic."""
-    return (records.writeStream.foreachBatch(trade_job_writer(table, dlq or f"{table}_dlq"))
+    return (records.writeStream.foreachBatch(trade_job_writer(table, dlq or f"{table}_dlq", writer))
             .option("checkpointLocation", checkpoint).trigger(processingTime=trigger).start())
 
 
