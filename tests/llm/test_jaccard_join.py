@@ -113,3 +113,26 @@ def test_links_across_the_bitmap_widths(llm):
     want = sorted(brute(rows, 5, 80))
     assert [c for _, _, c in want] == [0, 0, 2, 2, 4, 4, 6, 6, 8, 8, 10, 11]
     assert run(llm, rows, shingle=5, pct=80) == want
+
+
+def test_candidates_follow_the_links_of_near_copies(llm, monkeypatch):
+    """Near copies of one text: the trees' pairs stay within a few times the links."""
+    rnd = random.Random(9)
+    text = [f"w{rnd.randrange(5000)}" for _ in range(300)]
+    for copies in (200, 400):
+        rows = []
+        for i in range(copies):
+            t = list(text)
+            for _ in range(4):
+                t[rnd.randrange(300)] = f"x{rnd.randrange(10 ** 6)}"
+            rows.append((i, " ".join(t)))
+        sets = [J.shingle_set(t.encode()) for _, t in rows]
+        linked = sum(J.links(a, b) for a, b in itertools.combinations(sets, 2))
+        seen = []
+        verified = J._verified
+        monkeypatch.setattr(J, "_verified", lambda pairs, *a: (seen.append(pairs.count()), verified(pairs, *a))[1])
+        df = llm.createDataFrame([(*r, "s", "n") for r in rows], SCHEMA).repartition(4)
+        got = {r.doc_id: r.component_id for r in J.jaccard_components(df).collect()}
+        monkeypatch.undo()
+        assert [(d, got[d]) for d, _, c in brute(rows, 4, 85)] == [(d, c) for d, _, c in brute(rows, 4, 85)]
+        assert sum(seen) <= 3 * linked + copies, (sum(seen), linked)

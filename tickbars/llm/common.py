@@ -17,7 +17,7 @@ from tickbars import session as S
 #: Rows per Arrow batch: bounds a Python worker's memory when texts are long.
 BATCH_ROWS = 1000
 #: Words a worker remembers the hash of; past this the memory is emptied.
-WORD_MEMORY = 500_000
+WORD_MEMORY = 150_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -46,8 +46,9 @@ OFTEN = 50_000
 BLOCK = 4096
 #: Buckets (of document ids) of the bitmap that tells which texts a scan must read.
 WANTED_BUCKETS = 1 << 22
-#: Bits of a leaf bitmap, and the set size up to which the narrow one is used.
-NARROW, WIDE, NARROW_SIZE = 1024, 8192, 1200
+#: Bits of a leaf bitmap: of sets up to NARROW_SIZE in trees of one node and in larger trees, and of larger sets.
+#: A larger tree compares many near copies: the slack of a narrow bitmap would let most of its pairs through.
+NARROW, DENSE, WIDE, NARROW_SIZE = 1024, 4096, 8192, 1200
 #: One forest in ``NEAR_SHARE`` is searched for neighbours, ``NEAR`` of them a leaf.
 NEAR_SHARE, NEAR = 4, 16
 
@@ -99,6 +100,7 @@ def _sketches(shingle: int):
                 pa.array(first[:len(sets)], pa.list_(pa.int64())),
                 pa.array(first_n[:len(sets)], pa.list_(pa.int64()))],
                 ["doc_id", "n", "sid", "often", "often_n"])
+        WORD_HASHES.clear()
     return run
 
 
@@ -118,11 +120,12 @@ def _sets(wanted, shingle: int):
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())],
                                              ["sid", "tokens"])
+        WORD_HASHES.clear()
     return run
 
 
 def _prefixes(often, shingle: int, pct: int):
-    """(sid, n, prefix, bits, bits_wide) of every set, once per task."""
+    """(sid, n, prefix, three bitmaps) of every set, once per task."""
     def run(batches):
         last, done = np.frombuffer(often.value, np.uint64), set()
         for batch in batches:
@@ -137,13 +140,16 @@ def _prefixes(often, shingle: int, pct: int):
                 take = n - -(-pct * n // 100) + 1
                 late = last[np.minimum(np.searchsorted(last, s), len(last) - 1)] == s if len(last) else np.zeros(n, bool)
                 order = np.concatenate([s[~late], s[late]])[:take]
-                rows.append((i, n, order.view(np.int64), _bitmap(s, NARROW) if pct * n <= 100 * NARROW_SIZE else None,
-                             _bitmap(s, WIDE) if n > NARROW_SIZE else None))
-            cols = list(zip(*rows)) if rows else [[]] * 5
+                small = pct * n <= 100 * NARROW_SIZE
+                rows.append((i, n, order.view(np.int64), _bitmap(s, NARROW) if small else None,
+                             _bitmap(s, DENSE) if small else None, _bitmap(s, WIDE) if n > NARROW_SIZE else None))
+            cols = list(zip(*rows)) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays([
                 pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
                 pa.array(cols[2], pa.list_(pa.int64())), pa.array(cols[3], pa.binary()),
-                pa.array(cols[4], pa.binary())], ["sid", "n", "prefix", "bits", "bits_wide"])
+                pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.binary())],
+                ["sid", "n", "prefix", "bits", "bits_dense", "bits_wide"])
+        WORD_HASHES.clear()
     return run
 
 
@@ -284,16 +290,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, shingle: in
 
 
 def _with_bits(posts: DataFrame, sets: DataFrame) -> DataFrame:
-    return posts.join(sets.select("sid", "bits", "bits_wide"), "sid").withColumn(
-        "bits", F.when(F.col("tier") == 0, F.col("bits")).otherwise(F.col("bits_wide"))).drop("bits_wide")
+    return posts.join(sets.select("sid", "bits", "bits_dense", "bits_wide"), "sid").withColumn(
+        "bits", F.when(F.col("tier") == 1, F.col("bits_wide")).when(F.col("in_tree") > T.FAN, F.col("bits_dense"))
+        .otherwise(F.col("bits"))).drop("bits_dense", "bits_wide")
 
 
 def _posts(docs: DataFrame, often, shingle: int, pct: int) -> tuple[DataFrame, DataFrame]:
     """The distinct sets with prefix and bitmaps, and a row per set and prefix
-    token that at least two sets carry: (sid, n, rest, token, tier)."""
-    schema = "sid long, n long, prefix array<long>, bits binary, bits_wide binary"
+    token that at least two sets carry: (sid, n, rest, token, tier, in_tree)."""
+    schema = "sid long, n long, prefix array<long>, bits binary, bits_dense binary, bits_wide binary"
     sets = docs.select(text_bytes("text").alias("t")).mapInArrow(_prefixes(often, shingle, pct), schema)
-    sets = S.materialize(sets.groupBy("sid").agg(*[F.first(c).alias(c) for c in ("n", "prefix", "bits", "bits_wide")]),
+    sets = S.materialize(sets.groupBy("sid").agg(*[F.first(c).alias(c) for c in schema.replace(",", "").split()[2::2]]),
                          "prefixes")
     tiers = F.filter(F.array(F.when(F.col("bits").isNotNull(), F.lit(0)), F.when(F.col("bits_wide").isNotNull(), F.lit(1))),
                      lambda x: x.isNotNull())
@@ -305,8 +312,8 @@ def _posts(docs: DataFrame, often, shingle: int, pct: int) -> tuple[DataFrame, D
     early = (100 + pct) * F.col("rest") >= 2 * pct * F.col("n")
     posts = posts.withColumn("least", F.min(F.when(early, F.col("n"))).over(whole)) \
         .filter(early | (F.col("least") <= F.col("n"))).drop("least")
-    posts = posts.withColumns({"low": F.min("sid").over(whole), "high": F.max("sid").over(whole)}) \
-        .filter("low < high").drop("low", "high")
+    posts = posts.withColumns({"low": F.min("sid").over(whole), "high": F.max("sid").over(whole),
+                               "in_tree": F.count(F.lit(1)).over(whole)}).filter("low < high").drop("low", "high")
     return sets, S.materialize(posts, "posts")
 
 
@@ -327,7 +334,7 @@ def _tree_pairs(sets: DataFrame, posts: DataFrame, comps: DataFrame, pct: int) -
         .withColumn("blocks", F.max("block").over(whole) + 1).drop("low", "high")
     posts = S.materialize(posts, "open-posts")
     one = posts.filter("blocks = 1").select(
-        "tier", "token", F.lit(0).alias("bi"), F.lit(0).alias("bj"), F.lit(0).alias("side"), "sid", "n", "comp", "rest")
+        "tier", "token", F.lit(0).alias("bi"), F.lit(0).alias("bj"), F.lit(0).alias("side"), "sid", "n", "comp", "rest", "in_tree")
     many = posts.filter("blocks > 1")
     blocks = many.groupBy("tier", "token", "block").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.min("comp").alias("cl"), F.max("comp").alias("ch"))

@@ -127,13 +127,26 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                       (~F.col("base_failed") & ~F.col("host_rejected")).alias("kept"), "host_rejected")
 
 
+def _passing(text_col: str):
+    """Rows that pass the base rules, all columns as they are."""
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.binary()).to_pylist()
+            keep = []
+            for t in texts:
+                n, _, _, _, repeats = text_counts(t or b"")
+                keep.append(n >= MIN_WORDS and 100 * repeats <= MAX_REPEAT_PCT * n)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+    return run
+
+
 def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",
               host_limit: float = HOST_LIMIT) -> DataFrame:
-    """The rows of ``docs`` that pass: all their columns, unchanged.  The counts
-    travel in one column beside the input's own, so no name can clash."""
-    q = "__quality"
-    scored = S.materialize(docs.withColumn(q, counts_struct(text_bytes(text_col))), "quality-docs")
-    bad = rejected_hosts(scored, host_col, f"{q}.", host_limit)
-    host = F.col(f"d.{host_col}")
-    out = scored.alias("d").filter(~base_failed(f"{q}.")).join(bad.alias("b"), host == F.col("b.host"), "left_anti")
-    return out.select(*docs.columns)
+    """The rows of ``docs`` that pass: all their columns, unchanged.  A first
+    pass counts for the hosts' verdicts and writes no text; a second one streams
+    whole rows through the base rules.  No column is added, so none can clash."""
+    counts = docs.select(F.col(host_col).alias("host"), counts_struct(text_bytes(text_col)).alias("q"))
+    hosts = S.materialize(counts.select("host", *[f"q.{c}" for c in COUNTS]), "quality")
+    bad = rejected_hosts(hosts, "host", host_limit=host_limit).select(F.col("host").alias("h"))
+    clean = docs.alias("d").join(bad.alias("b"), F.col(f"d.{host_col}") == F.col("b.h"), "left_anti")
+    return clean.mapInArrow(_passing(text_col), docs.schema)
