@@ -131,9 +131,9 @@ def test_lm_probabilities_sum_to_one():
     for k, c in enumerate(cls):
         tokens[c] += hashes[int(v.hash[k])]
         kinds[c] += 1
-    w = np.random.default_rng(0).normal(size=(M.FEATURES + 1, M.CLASSES)).astype(np.float32)
-    f = M.features(v.hash[rows], count)
-    p = np.exp(M.class_logits(w, f[:, :1]))[0]
+    w = np.random.default_rng(0).normal(size=(257, M.CLASSES)).astype(np.float32)
+    f = M.features(v.hash[rows], count, 256)
+    p = np.exp([M.class_log_probability(w, f[:, :1], np.array([c]))[0] for c in range(M.CLASSES)])
     total = sum(p[c] * (hashes[int(v.hash[k])] + 0.1) / (tokens[c] + 0.1 * (kinds[c] + 1)) for k, c in enumerate(cls))
     total += sum(p[c] * 0.1 / (tokens[c] + 0.1 * (kinds[c] + 1)) for c in range(M.CLASSES))
     assert total == pytest.approx(1, abs=1e-5)
@@ -145,3 +145,28 @@ def test_lm_edge_tables(llm):
     one = llm.createDataFrame([(None, "a b", "x"), (None, None, None)], "doc_id long, text string, score string")
     out = M.score_texts(one).collect()
     assert [r.train_tokens for r in out] == [0, 0] and all(r.n_known == 0 for r in out)
+
+
+def test_lm_features_grow_with_the_corpus():
+    sizes = [M.feature_rows(n) for n in (0, 10 ** 6, 10 ** 8, 10 ** 10, 10 ** 13)]
+    assert sizes[0] == M.LEAST_FEATURES and sizes[-1] == M.MOST_FEATURES
+    assert sizes == sorted(sizes) and all(x & (x - 1) == 0 for x in sizes) and len(set(sizes)) >= 4
+
+
+def test_lm_gradient_step_equals_a_plain_one():
+    rng = np.random.default_rng(1)
+    w = rng.normal(size=(17, M.CLASSES)).astype(np.float32)
+    f, cls = rng.integers(0, 16, (3, 50)), rng.integers(0, M.CLASSES, 50)
+    z = w[f[0]] + w[f[1]] + w[f[2]] + w[-1]
+    g = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    assert np.allclose(M.class_log_probability(w, f, cls), np.log(g[np.arange(50), cls]), atol=1e-4)
+    g[np.arange(50), cls] -= 1
+    want, seen = w.copy(), np.full(17, 1e-2, np.float32)
+    for rows in (*f, np.full(50, 16)):
+        for row in np.unique(rows):
+            s = g[rows == row].sum(axis=0) / np.sqrt((rows == row).sum())
+            seen[row] += (s * s).mean()
+            want[row] -= M.RATE * s / np.sqrt(seen[row] + 1e-4)
+    got, mine = w.copy(), np.full(17, 1e-2, np.float32)
+    M.descend(got, mine, f, cls)
+    assert np.allclose(got, want, atol=1e-3) and np.allclose(mine, seen, rtol=1e-3)

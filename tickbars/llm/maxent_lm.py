@@ -24,6 +24,7 @@ empty table gives no rows; only the id and text columns are read.
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 
@@ -42,14 +43,15 @@ HEAD = 200_000
 #: Frequent words with a class of their own, and classes of the others.
 OWN, SUFFIXES = 16, 16
 CLASSES = OWN + SUFFIXES
-#: Rows of the hashed feature table.
-FEATURES = 1 << 15
+#: The hashed feature table grows with the square root of the training tokens, between these powers of two
+#: (the larger one bounds what a task holds and hands over).
+LEAST_FEATURES, MOST_FEATURES, FEATURES_PER_ROOT = 1 << 12, 1 << 20, 4
 ROUNDS = 4
 STEP = 8192
 RATE = 0.5
 ALPHA = 0.1
 #: Words a worker remembers; past this the memory is emptied.
-MEMORY = 600_000
+MEMORY = 300_000
 #: Parts in which a task hands its weights over.
 PARTS = 16
 
@@ -158,50 +160,69 @@ class Head:
         return np.where((at >= 0) & (own >= 0), own, OWN + v.suffix[rows])
 
 
-def features(h: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Feature rows (3 x tokens) from token hashes and tokens per text."""
+def feature_rows(tokens: int) -> int:
+    """Rows of the feature table for a number of training tokens: a power of two."""
+    wanted = int(FEATURES_PER_ROOT * math.sqrt(tokens))
+    return min(max(1 << max(wanted - 1, 0).bit_length(), LEAST_FEATURES), MOST_FEATURES)
+
+
+def features(h: np.ndarray, count: np.ndarray, size: int) -> np.ndarray:
+    """Feature rows (3 x tokens, below ``size``) from token hashes and tokens per text."""
     one = np.concatenate([[_START], h[:-1]])
     first = np.concatenate([[0], np.cumsum(count)[:-1]])
     one[first] = _START
     two = np.concatenate([[_START], one[:-1]])
     two[first] = _START
-    shift = np.uint64(64 - FEATURES.bit_length() + 1)
+    shift = np.uint64(64 - size.bit_length() + 1)
     return np.stack([(x ^ (x >> np.uint64(31))) * _K[3] >> shift for x in (
         one * _K[0], one * _K[1] + two * _K[2], two * _K[2] + _K[0])]).astype(np.int64)
 
 
-def class_logits(w: np.ndarray, f: np.ndarray) -> np.ndarray:
-    """Log probabilities (natural) of the classes, a row per token.  The last
-    row of the weights is the bias."""
-    z = w[f[0]] + w[f[1]] + w[f[2]] + w[-1]
+def class_scores(w: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """Scores of the classes before normalising, a row per token, the largest 0.
+    The last row of the weights is the bias."""
+    z = w[f[0]]
+    z += w[f[1]]
+    z += w[f[2]]
+    z += w[-1]
     z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return z
 
 
+def class_log_probability(w: np.ndarray, f: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    """Natural log probability of each token's class."""
+    z = class_scores(w, f)
+    own = z[np.arange(len(z)), cls]
+    return own - np.log(np.exp(z, out=z).sum(axis=1))
+
+
 def descend(w: np.ndarray, seen: np.ndarray, f: np.ndarray, cls: np.ndarray):
     """One gradient step in place over a few thousand tokens; ``seen`` sums the
     squared gradients per row (adaptive rates)."""
-    g = np.exp(class_logits(w, f))
+    z = class_scores(w, f)
+    g = np.exp(z, out=z)
+    g /= g.sum(axis=1, keepdims=True)
     g[np.arange(len(cls)), cls] -= 1
     for rows in (*f, None):
         if rows is None:
             at, sums, n = np.array([len(w) - 1]), g.sum(axis=0, keepdims=True), np.array([len(g)])
         else:
-            order = np.argsort(rows, kind="stable")
-            at, start, n = np.unique(rows[order], return_index=True, return_counts=True)
+            order = np.argsort(rows.astype(np.int32))
+            ordered = rows[order]
+            start = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+            at, n = ordered[start], np.diff(np.append(start, len(rows)))
             sums = np.add.reduceat(g[order], start, axis=0)
-        sums /= np.sqrt(n)[:, None]
-        seen[at] += (sums * sums).mean(axis=1)
-        w[at] -= RATE * sums / np.sqrt(seen[at] + 1e-4)[:, None]
+        sums /= np.sqrt(n, dtype=np.float32)[:, None]
+        seen[at] += np.einsum("ij,ij->i", sums, sums) / sums.shape[1]
+        w[at] -= sums * (RATE / np.sqrt(seen[at] + np.float32(1e-4)))[:, None]
 
 
-def _train(head, weights):
+def _train(head, weights, size: int):
     """A task's weights after its texts, times its tokens, in parts."""
     def run(batches):
         v, t = _VOCABULARY, head.value
-        w = np.frombuffer(weights.value, np.float32).reshape(FEATURES + 1, CLASSES).copy()
-        seen, tokens = np.full(FEATURES + 1, 1e-2, np.float32), 0
+        w = np.frombuffer(weights.value, np.float32).reshape(size + 1, CLASSES).copy()
+        seen, tokens = np.full(size + 1, 1e-2, np.float32), 0
         for batch in batches:
             if v.full():
                 v.empty()
@@ -209,7 +230,7 @@ def _train(head, weights):
             if not len(rows):
                 continue
             v.place(t.key, t.hash)
-            f, cls = features(v.hash[rows], count), t.classes(v, rows)
+            f, cls = features(v.hash[rows], count, size), t.classes(v, rows)
             for k in range(0, len(cls), STEP):
                 descend(w, seen, f[:, k:k + STEP], cls[k:k + STEP])
             tokens += len(cls)
@@ -238,16 +259,16 @@ def _sum_parts(batches):
              pa.array([(x / n).astype(np.float32).tobytes()], pa.binary())], ["part", "tokens", "w"])
 
 
-def train(texts: DataFrame, head) -> np.ndarray:
+def train(texts: DataFrame, head, size: int) -> np.ndarray:
     """Weights of the class softmax from all rows of ``texts`` (t)."""
     spark = texts.sparkSession
-    w = np.zeros((FEATURES + 1, CLASSES), np.float32)
+    w = np.zeros((size + 1, CLASSES), np.float32)
     schema = "part int, tokens long, w binary"
     tasks = 2 * spark.sparkContext.defaultParallelism  # weights handed over: by cores, not by input
     for k in range(ROUNDS):
         share = texts.filter(F.pmod(F.xxhash64("t"), F.lit(ROUNDS)) == k).coalesce(tasks)
         shared = spark.sparkContext.broadcast(w.tobytes())
-        got = {r.part: r.w for r in share.mapInArrow(_train(head, shared), schema)
+        got = {r.part: r.w for r in share.mapInArrow(_train(head, shared, size), schema)
                .repartition(PARTS, "part").mapInArrow(_sum_parts, schema).collect()}
         if got:
             w = np.concatenate([np.frombuffer(got[p], np.float32) for p in range(PARTS)]).reshape(w.shape)
@@ -255,23 +276,22 @@ def train(texts: DataFrame, head) -> np.ndarray:
     return w
 
 
-def _score(head, weights):
+def _score(head, weights, size: int):
     """Per text: tokens, known tokens and log counts of the frequent words, the
     class part of the log probability, and the hashes of all other words."""
     def run(batches):
         v, t = _VOCABULARY, head.value
-        w = np.frombuffer(weights.value, np.float32).reshape(FEATURES + 1, CLASSES)
+        w = np.frombuffer(weights.value, np.float32).reshape(size + 1, CLASSES)
         for batch in batches:
             if v.full():
                 v.empty()
             rows, count = v.rows(batch.column(2).to_pylist())
             v.place(t.key, t.hash)
             h, cls = v.hash[rows], t.classes(v, rows)
-            f = features(h, count) if len(h) else np.zeros((3, 0), np.int64)
+            f = features(h, count, size) if len(h) else np.zeros((3, 0), np.int64)
             p = np.empty(len(h))
             for k in range(0, len(h), STEP):
-                z = class_logits(w, f[:, k:k + STEP])
-                p[k:k + STEP] = z[np.arange(len(z)), cls[k:k + STEP]]
+                p[k:k + STEP] = class_log_probability(w, f[:, k:k + STEP], cls[k:k + STEP])
             p = p / np.log(10) - t.denominator[cls]
             at = v.head[rows]
             known = at >= 0
@@ -330,9 +350,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             class_tokens[k], class_words[k] = n, 1
         model = Head(listed, class_tokens, class_words)
     head = spark.sparkContext.broadcast(model)
-    weights = spark.sparkContext.broadcast(train(texts, head).tobytes())
+    size = feature_rows(n_train)
+    weights = spark.sparkContext.broadcast(train(texts, head, size).tobytes())
 
-    scored = rows.mapInArrow(_score(head, weights), f"doc_id {kind}, held_out boolean, n_tokens long, head_known long, "
+    scored = rows.mapInArrow(_score(head, weights, size), f"doc_id {kind}, held_out boolean, n_tokens long, head_known long, "
                              "head_logs double, class_logs double, tail array<long>")
     scored = S.materialize(scored.withColumn("rid", F.monotonically_increasing_id()), "scored")
     tail = scored.select("rid", F.explode("tail").alias("hash")).join(counts.select("hash", "n"), "hash", "left") \
