@@ -45,7 +45,7 @@ OWN, SUFFIXES = 16, 16
 CLASSES = OWN + SUFFIXES
 #: The hashed feature table grows with the square root of the training tokens, between these powers of two
 #: (the larger one bounds what a task holds and hands over).
-LEAST_FEATURES, MOST_FEATURES, FEATURES_PER_ROOT = 1 << 12, 1 << 20, 4
+LEAST_FEATURES, MOST_FEATURES, FEATURES_PER_ROOT = 1 << 15, 1 << 20, 4
 ROUNDS = 4
 STEP = 8192
 RATE = 0.5
