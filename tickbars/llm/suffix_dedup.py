@@ -287,7 +287,9 @@ def _routes(buf: bytes, at: np.ndarray, anchor: np.ndarray, shard: Shard,
     hash of all bytes of its windows (``whole``), group of each window).  Equal windows lie equally far before their anchors,
     so their groups share the same bytes."""
     step = (anchor - at) // GROUP
-    pair, group = np.unique(anchor * LENGTH + step, return_inverse=True)
+    pair = anchor * LENGTH + step  # windows are in order, so a group's are neighbours
+    head = np.r_[True, pair[1:] != pair[:-1]][:len(pair)]
+    pair, group = pair[head], np.cumsum(head) - 1
     first = pair // LENGTH - pair % LENGTH * GROUP
     text = np.searchsorted(shard.ends, first, "right")
     low = np.maximum(first - GROUP + 1, shard.begins[text])
@@ -424,10 +426,10 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = at[_among(core, _keys(r["parts"]))[group]]
         keys, group, n = _window_groups(r["text"], at)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r["shard"]]),
+            [pa.array([r["shard"]]), pa.array([r["level"]], pa.binary()),
              *[pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (s, e, at, group, n)],
              *[pa.array([x], pa.list_(pa.int64())) for x in (keys[:, 0], keys[:, 1], n, np.arange(len(n)))]],
-            ["shard", "found", "found_end", "windows", "groups", "counts", "keys", "keys2", "n", "place"])
+            ["shard", "level", "found", "found_end", "windows", "groups", "counts", "keys", "keys2", "n", "place"])
 
 
 def _merged(start: np.ndarray, end: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -552,13 +554,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         _discard(used)
         x = shards.select(*body, "text").join(small(state, "level"), "shard").join(small(asked, "whole", "parts"), "shard", "left")
         edges = S.materialize(x.mapInArrow(
-            _answer, "shard long, found binary, found_end binary, windows binary, groups binary, counts binary, keys array<long>, keys2 array<long>, "
+            _answer, "shard long, level binary, found binary, found_end binary, windows binary, groups binary, counts binary, keys array<long>, keys2 array<long>, "
                      "n array<long>, place array<long>"), "edges")
+        _discard([state, asked])
         shared = S.materialize(_shared(edges, ["keys", "keys2"], "place"), "shared")
-        x = shards.select("doc_ids", *body, "text").join(small(state, "level"), "shard") \
-            .join(small(edges, "found", "found_end", "windows", "groups", "counts"), "shard") \
+        x = shards.select("doc_ids", *body, "text") \
+            .join(small(edges, "level", "found", "found_end", "windows", "groups", "counts"), "shard") \
             .join(small(shared, "shared"), "shard", "left")
-        return S.materialize(x.mapInArrow(_spans, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"),
-                             "kept-bytes")
-    finally:
+        return x.mapInArrow(_spans, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    finally:  # the name only: the files, in the shared folder, stay for the result
         spark.sql(f"DROP TABLE IF EXISTS {name}")
