@@ -159,9 +159,8 @@ def _trade_queries():
         FX.broken_trades(S.configure(s), d), TB.TRADE_NOT_NULL)[1].select("trade_id", "reason")
     q["bars_scan_filtered"] = _bars_scan
     q["book_levels_asof"] = lambda s, d: BK.book_levels_asof(FX.book_deltas(S.configure(s), d))
-    q["book_top20"] = lambda s, d: BK.top_levels(BK.book_levels_asof(FX.book_deltas(S.configure(s), d)), 20)
-    q["book_from_frames"] = lambda s, d: BK.top_levels(
-        BK.book_levels_asof(S.materialize(FD.book_rows(_frames(s, d)), "book-levels")), 20)
+    q["book_top20"] = lambda s, d: BK.book_top(FX.book_deltas(S.configure(s), d))
+    q["book_from_frames"] = lambda s, d: BK.book_top(S.materialize(FD.book_rows(_frames(s, d)), "book-levels"))
     q.update(_stream_queries())
     return q
 

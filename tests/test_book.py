@@ -112,3 +112,70 @@ def test_bad_first_level_and_emptied_book(spark):
     deltas = FD.book_rows(spark.createDataFrame(frames, "source string, seq long, recv_ms long, raw string"))
     got = {r.seq: (r.timestamp_ms, [x.price for x in r.bids], r.asks) for r in B.book_snapshots(deltas).collect()}
     assert got == {1: (10, [5.0], []), 2: (20, [7.0], []), 3: (30, [], []), 4: (40, [8.0], [])}
+
+
+def _published(rows, depth):
+    """Best ``depth`` levels after every message, as (key, seq) -> (bids, asks)."""
+    books, out, msgs = {}, {}, {}
+    for r in rows:
+        msgs.setdefault(r[2], []).append(r)
+    for seq in sorted(msgs):
+        first = msgs[seq][0]
+        book = books.setdefault(first[:2], {"bid": {}, "ask": {}})
+        if first[5] == "snapshot":
+            book["bid"].clear()
+            book["ask"].clear()
+        for r in sorted(msgs[seq], key=lambda r: r[4]):
+            if r[6] is None or r[7] is None:
+                continue
+            side = "bid" if r[6] == "bid" else "ask"
+            if r[8] is None or (r[8] == 0 and not r[9]):
+                book[side].pop(r[7], None)
+            else:
+                book[side][r[7]] = r[8]
+        out[(*first[:2], seq)] = (sorted(book["bid"].items(), reverse=True)[:depth], sorted(book["ask"].items())[:depth])
+    return out
+
+
+def test_replayed_books_match_simulation(spark):
+    """Chunks of a few messages: levels carried over many chunks, snapshots
+    between and inside chunks, emptied books, null prices, quantities and keys."""
+    rows = _random_rows(7, 400)
+    rows += [(None, "BTC", 1000 + i, 0, 0, "update", "bid", float(i % 4), float(i % 3), False) for i in range(30)]
+    rows += [("X", "BTC", 2000, 0, 0, "update", "bid", None, 1.0, False),
+             ("X", "BTC", 2001, 0, 0, "update", "bid", 3.0, None, False),
+             ("X", "BTC", 2002, 0, 0, "snapshot", None, None, None, False)]
+    exp = _published(rows, 3)
+    df = spark.createDataFrame(rows, COLS)
+    for chunk, bucket in ((1 << 16, 1024), (13, 4), (50, 1)):
+        got = {(r.source, r.symbol, r.seq): ([tuple(x) for x in r.bids], [tuple(x) for x in r.asks])
+               for r in B.replayed_books(df, 3, chunk=chunk, bucket=bucket).collect()}
+        assert got == exp
+    assert B.replayed_books(df.limit(0), 3).count() == 0
+
+
+def test_level_rows_are_shuffled_with_their_chunk(spark):
+    """With broadcasts off, exchanges by the key alone (or key and epoch) stand
+    over the per-chunk aggregate, not over level rows."""
+    import re
+
+    df = spark.createDataFrame(_random_rows(3, 200), COLS)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        books = B.replayed_books(df, 3, bucket=16)
+        lines = books._jdf.queryExecution().executedPlan().toString().splitlines()
+        depth = [re.search(r"[A-Za-z(]", x).start() if re.search(r"[A-Za-z(]", x) else 0 for x in lines]
+        for i, x in enumerate(lines):
+            keys = re.search(r"Exchange hashpartitioning\(([^\[]*), \d+\)", x)
+            if not keys or "_chunk" in keys.group(1):
+                continue
+            below = []
+            for j in range(i + 1, len(lines)):
+                if depth[j] <= depth[i]:
+                    break
+                below.append(lines[j])
+            first_agg = next(y for y in below if "Aggregate" in y or "FileScan" in y)
+            assert "Aggregate" in first_agg, x
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

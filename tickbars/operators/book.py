@@ -29,7 +29,10 @@ Plan (no step puts a whole symbol into one task):
    sparse symbol is not listed in empty buckets, and a (key, bucket) group
    holds ``bucket`` messages and the levels alive there, whatever the
    symbol's total volume.
-Top-k per side is then a window over (message, side): book-depth rows.
+``book_levels_asof`` lists every live level of every message that way, since
+that is its result.  The published books (``replayed_books``) do not: a
+checkpoint table holds the levels alive at the start of each chunk of a key's
+messages, and one ordered replay per (key, chunk) emits the best levels a side.
 """
 
 from __future__ import annotations
@@ -41,6 +44,9 @@ from tickbars.constants import NULL_KEY
 from tickbars.operators.scan import chunked_running, chunked_scans
 
 KEYS = ["source", "symbol"]
+#: Messages of a key in one chunk, and chunks in one window of the per-chunk tables.
+BUCKET = 1024
+CHUNKS = 4096
 
 
 def _pos(seq: str = "seq", sub: str = "sub", rank: str | None = "rank") -> Column:
@@ -143,38 +149,94 @@ def top_levels(levels: DataFrame, depth: int = 20, keys: list[str] = KEYS) -> Da
     return levels.withColumn("level", F.row_number().over(w).cast("int")).filter(F.col("level") <= depth)
 
 
-def messages(deltas: DataFrame, keys: list[str] = KEYS) -> DataFrame:
-    """One row per book message, with its time where the input carries one."""
-    d = prepare(deltas).filter("header")
-    time = [c for c in ("timestamp_ms",) if c in d.columns]
-    return _restore_keys(d.select(*keys, "seq", "sub", *time), keys)
-
-
-def snapshots(top: DataFrame, keys: list[str] = KEYS, msgs: DataFrame | None = None) -> DataFrame:
-    """Top levels -> one book row per message with bids/asks arrays (the
-    published snapshot shape).  Groups hold at most 2 x depth rows.  With
-    ``msgs`` every message has its row: one that leaves the book empty gives
-    empty arrays."""
+def snapshots(top: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """Top levels -> one book row per message that has a level, with bids/asks
+    arrays.  Groups hold at most 2 x depth rows."""
     lv = F.struct(F.col("level"), F.col("price"), F.col("quantity"))
     g = top.groupBy(*keys, "seq", "sub").agg(
         F.array_sort(F.collect_list(F.when(F.col("side") == "bid", lv))).alias("_b"),
         F.array_sort(F.collect_list(F.when(F.col("side") == "ask", lv))).alias("_a"))
     strip = lambda c: F.transform(c, lambda x: F.struct(x["price"].alias("price"),
                                                         x["quantity"].alias("quantity")))
-    g = g.select(*keys, "seq", "sub", strip("_b").alias("bids"), strip("_a").alias("asks"))
-    if msgs is None:
-        return g
-    on = [*keys, "seq", "sub"]
-    m, b = msgs.alias("m"), g.alias("b")
-    same = F.lit(True)
-    for c in on:
-        same = same & F.col(f"m.{c}").eqNullSafe(F.col(f"b.{c}"))
-    none = F.array().cast("array<struct<price:double,quantity:double>>")
-    return m.join(b, same, "left").select(
-        "m.*", F.coalesce("b.bids", none).alias("bids"), F.coalesce("b.asks", none).alias("asks"))
+    return g.select(*keys, "seq", "sub", strip("_b").alias("bids"), strip("_a").alias("asks"))
+
+
+def chunk_start_books(ranked: DataFrame, keys: list[str] = KEYS, bucket: int = BUCKET) -> DataFrame:
+    """The checkpoint table: (key, _chunk, side, price, quantity), every level
+    alive before the first message of each chunk of ``bucket`` messages.
+
+    Only the last change of a level in a chunk reaches later chunk starts.  It is
+    alive at each of them up to the chunk that changes the level next, as long as
+    no snapshot lies between; a chunk with a snapshot passes on only what follows
+    its last one.  ``ranked`` carries ``_chunk``."""
+    ends = ranked.filter("header").groupBy(*keys, "_chunk").agg(F.max("epoch").alias("_epoch"))
+    # one row per (key, chunk) from here: the last chunk start that the epoch reaches
+    again = chunked_scans(ends.withColumn("_c", F.col("_chunk")).drop("_chunk"), keys, ["_c"],
+                          F.floor(F.col("_c") / F.lit(CHUNKS)), [("_last", F.col("_c"), "max", False, True)])
+    per_epoch = again.groupBy(*keys, "_epoch").agg(F.max("_c").alias("_held"), F.max("_last").alias("_last"))
+    reach = again.drop("_last").join(per_epoch, on=[*keys, "_epoch"], how="left") \
+        .select(*keys, F.col("_c").alias("_chunk"), "_epoch", F.least(F.col("_held") + 1, F.col("_last")).alias("_reach"))
+    order = F.struct("rank", "lpos")
+    last = ranked.filter(F.col("side").isNotNull() & F.col("price").isNotNull() & ~F.isnan("price")) \
+        .groupBy(*keys, "_chunk", "side", "price") \
+        .agg(F.max_by(F.struct("epoch", "quantity", "keep_zero"), order).alias("v"))
+    last = chunked_running(last.withColumnRenamed("_chunk", "_c"), [*keys, "side", "price"], ["_c"], F.col("_c"), "min",
+                           F.floor(F.col("_c") / F.lit(CHUNKS)), "_next", exclusive=True, reverse=True)
+    gone = F.col("v.quantity").isNull() | F.isnan("v.quantity") | ((F.col("v.quantity") == 0) & ~F.col("v.keep_zero"))
+    live = last.filter(~gone).withColumnRenamed("_c", "_chunk").join(reach, on=[*keys, "_chunk"]) \
+        .filter(F.col("v.epoch") == F.col("_epoch")) \
+        .withColumns({"_from": F.col("_chunk") + 1, "_to": F.least(F.col("_next"), F.col("_reach"))}) \
+        .filter(F.col("_from") <= F.col("_to"))
+    return live.select(*keys, F.explode(F.sequence("_from", "_to")).alias("_chunk"), "side", "price",
+                       F.col("v.quantity").alias("quantity"))
+
+
+def replayed_books(deltas: DataFrame, depth: int = 20, keys: list[str] = KEYS, chunk: int = 1 << 16,
+                   bucket: int = BUCKET) -> DataFrame:
+    """The published book after every message: (keys, seq, sub, timestamp_ms,
+    bids, asks), the best ``depth`` levels a side, empty books included.
+
+    Every key's messages are cut into chunks of ``bucket``; a group (key, chunk)
+    is its messages' rows and the book at its start, replayed in order.  Level
+    rows are shuffled by (key, chunk) or (key, chunk, level), never by the key
+    alone, and a message gives at most 2 x ``depth`` levels.  A level with a null
+    or NaN price is left out, one with a null or NaN quantity is not in the book;
+    a message without a time has a null one."""
+    from tickbars.operators.replay import LEVEL_COLUMNS, replay_chunk
+    from tickbars.session import materialize
+
+    d = deltas if "timestamp_ms" in deltas.columns else deltas.withColumn("timestamp_ms", F.lit(None).cast("long"))
+    ranked = _scanned(d, keys, chunk).withColumn("_chunk", F.floor((F.col("rank") - 1) / F.lit(bucket)))
+    cols = [*keys, "_chunk", "rank", "lpos", "header", "kind", "side", "price", "quantity", "keep_zero", "seq", "sub",
+            "timestamp_ms"]
+    ranked = materialize(ranked.select(*cols, "epoch"), "book-ranked")
+    none = {c: F.lit(None).cast(ranked.schema[c].dataType) for c in ("kind", "keep_zero", "seq", "sub", "timestamp_ms")}
+    at_start = chunk_start_books(ranked, keys, bucket).withColumns(
+        {**none, "rank": F.lit(0).cast(ranked.schema["rank"].dataType), "lpos": F.lit(0).cast("bigint"), "header": F.lit(False)})
+    schema = ", ".join([f"{k} string" for k in keys] + ["seq long, sub long, timestamp_ms long"]
+                       + [f"{c} array<double>" for c in LEVEL_COLUMNS])
+    out = ranked.select(*cols).unionByName(at_start.select(*cols)).groupBy(*keys, "_chunk") \
+        .applyInArrow(replay_chunk(depth, keys), schema)
+    return _restore_keys(with_sides(out), keys)
+
+
+def with_sides(books: DataFrame) -> DataFrame:
+    """Parallel price and quantity arrays -> bids and asks as arrays of structs."""
+    def side(name: str) -> Column:
+        return F.arrays_zip(F.col(f"{name}_price").alias("price"), F.col(f"{name}_quantity").alias("quantity")) \
+            .cast("array<struct<price:double,quantity:double>>")
+    return books.withColumns({"bids": side("bid"), "asks": side("ask")}) \
+        .drop("bid_price", "bid_quantity", "ask_price", "ask_quantity")
 
 
 def book_snapshots(deltas: DataFrame, depth: int = 20, keys: list[str] = KEYS) -> DataFrame:
-    """The published book after every message: (keys, seq, sub, timestamp_ms,
-    bids, asks), best ``depth`` levels a side, empty books included."""
-    return snapshots(top_levels(book_levels_asof(deltas, keys), depth, keys), keys, messages(deltas, keys))
+    """The published book after every message (``replayed_books``)."""
+    return replayed_books(deltas, depth, keys)
+
+
+def book_top(deltas: DataFrame, depth: int = 20, keys: list[str] = KEYS) -> DataFrame:
+    """(keys, seq, sub, side, price, quantity, level): the best ``depth`` levels a
+    side after every message, from the replayed books."""
+    from tickbars.operators.feeds import flatten_book
+
+    return flatten_book(replayed_books(deltas, depth, keys), [*keys, "seq", "sub"])
