@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from oracle_queries import PANEL_FROM, PANEL_SYMBOL, PANEL_TO  # noqa: E402
+from oracle_queries import PANEL_FROM, PANEL_SYMBOL, PANEL_TO, SILENCE_MS  # noqa: E402
 from oracle_queries import oracle_sql as _oracle_sql  # noqa: E402
 from tickbars import session as S  # noqa: E402
 from tickbars.functions.symbols import canonical_symbol, composite_key, split_composite_key  # noqa: E402
@@ -176,7 +176,10 @@ def _stream_queries():
     q["stream_enrich_trades"] = lambda s, d: J.run_trade_job(s, FX.wire_records(S.configure(s), d, duplicates=True))
     q["stream_late_drop"] = lambda s, d: J.run_bar_job(
         s, FX.late_stream_input(S.configure(s), d), batches=LATE_BATCHES, what="bars")
-    q["stream_book"] = lambda s, d: J.run_book_job(s, FX.book_deltas(S.configure(s), d))
+    q["stream_book"] = lambda s, d: FD.flatten_book(
+        J.run_book_job(s, FX.book_deltas(S.configure(s), d)), ["source", "symbol", "seq", "sub"])
+    q["stream_book_topic"] = _book_topic
+    q["stream_feed_liveness"] = lambda s, d: J.run_liveness(s, _frames(s, d), SILENCE_MS)
     q["stream_upsert_replay"] = lambda s, d: J.run_upsert_replay(s, _trades(s, d))
     q["stream_union_feeds"] = lambda s, d: _stream_feeds(s, d, "trades")
     q["stream_dead_letters"] = lambda s, d: _stream_feeds(s, d, "dlq")
@@ -187,6 +190,19 @@ def _stream_queries():
     return q
 
 
+def _book_topic(spark, d):
+    """The records of the book topic, decoded again: a row per level, and one
+    without a level for an empty book."""
+    level = "array<struct<price:double,quantity:double>>"
+    books = J.run_book_topic(spark, _frames(spark, d)).select("key", F.from_json(
+        "value", f"source string, symbol string, timestampMs long, bids {level}, asks {level}").alias("b"))
+    side = lambda n, label: F.transform(f"b.{n}", lambda x, i: F.struct(
+        F.lit(label).alias("side"), (i + 1).alias("level"), x["price"].alias("price"), x["quantity"].alias("quantity")))
+    rows = books.select("key", "b.source", "b.symbol", F.col("b.timestampMs").alias("timestamp_ms"),
+                        F.explode_outer(F.concat(side("bids", "bid"), side("asks", "ask"))).alias("l"))
+    return rows.select("key", "source", "symbol", "timestamp_ms", "l.side", "l.level", "l.price", "l.quantity")
+
+
 def _stream_feeds(spark, d, output):
     out, _ = J.run_feed_job(spark, _frames(spark, d))
     return spark.read.parquet(f"{out}/{output}").drop("batch")

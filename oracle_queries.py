@@ -482,6 +482,10 @@ select * from (
   from live) where level <= 20"""
 
 
+#: A feed is silent when no frame came for this long (its disconnection).
+SILENCE_MS = 30_000
+
+
 def published_oracles() -> dict[str, str]:
     """The book topic of all three feeds: rows of the snapshots, and the sizes
     of both sides for every message (empty books included)."""
@@ -498,6 +502,27 @@ feed1 as (
   from frames where kind = 'book' and source = 'BINANCE')
 """
     return {
+        "stream_feed_liveness": "with " + FRAMES + f""",
+gaps as (
+  select source, seq, recv_ms, case when recv_ms - lag(recv_ms) over (partition by source order by recv_ms, seq) <= {SILENCE_MS}
+                               then 0 else 1 end as opens from frames),
+spans as (
+  select source, recv_ms, sum(opens) over (partition by source order by recv_ms, seq rows between unbounded preceding and current row) as span
+  from gaps),
+closed as (
+  select source, min(recv_ms) as first_ms, max(recv_ms) + {SILENCE_MS} as end_ms from spans group by source, span
+  having max(recv_ms) + {SILENCE_MS} <= (select max(recv_ms) - 1000 from frames))
+select source, first_ms as at_ms, true as connected from closed
+union all select source, end_ms, false from closed""",
+        "stream_book_topic": pre + """,
+snaps as (
+  select source, symbol, seq, side, cast(level as integer) as level, price, quantity from top
+  union all select source, symbol, seq, side, 1, price, quantity from feed1),
+heads as (
+  select source, symbol, seq, timestamp_ms from msgs
+  union all select source, symbol, seq, timestamp_ms from feed1)
+select h.symbol as key, h.source, h.symbol, h.timestamp_ms, s.side, s.level, s.price, s.quantity
+from heads h left join snaps s on s.source = h.source and s.symbol = h.symbol and s.seq = h.seq""",
         "book_snapshots": pre + """
 select t.source, t.symbol, t.seq, t.sub, m.timestamp_ms, t.side, t.level, t.price, t.quantity
 from top t join msgs m on t.source = m.source and t.symbol = m.symbol and t.seq = m.seq

@@ -101,3 +101,39 @@ def test_counters_outlive_the_progress_reports(spark):
         assert m["dropped_late"] == 2
     finally:
         spark.conf.unset(key)
+
+
+def test_stream_book_keeps_emptied_books_over_batches(spark):
+    """Stream and batch publish the same books: emptied ones, snapshots and
+    levels carried from one micro-batch to the next, times included."""
+    from pyspark.sql import functions as F
+
+    from tests.test_book import COLS, _random_rows
+    from tickbars.operators import book as B
+    from tickbars.streaming import jobs as J
+
+    deltas = spark.createDataFrame(_random_rows(5, 200), COLS).withColumn("timestamp_ms", F.col("seq") * 10)
+    cols = ["source", "symbol", "seq", "sub", "timestamp_ms", "bids", "asks"]
+    got = sorted(J.run_book_job(spark, deltas, batches=3, depth=4).select(*cols).collect())
+    exp = sorted(B.replayed_books(deltas, 4, bucket=8).select(*cols).collect())
+    assert got == exp and any(not r.bids and not r.asks for r in got)
+
+
+def test_book_topic_and_liveness_keys(spark):
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from read_parquet('{SF}/events.parquet')")
+    for key in ("stream_book_topic", "stream_feed_liveness"):
+        got = E.queries()[key](spark, SF).toPandas()
+        exp = con.execute(E.oracle_sql()[key]).fetchdf()
+        assert len(got) == len(exp) > 0, key
+        assert digest(got) == digest(exp[got.columns]), key
+
+
+def test_feed_liveness_on_a_gap(spark):
+    from tickbars.operators.feeds import feed_liveness
+
+    rows = [("A", t) for t in (0, 10, 109, 209, 310, 500)] + [("B", 50), (None, 60), ("A", None)]
+    got = sorted(tuple(r) for r in feed_liveness(spark.createDataFrame(rows, "source string, recv_ms long"), 100).collect())
+    # 109 to 209 is a gap of exactly 100: no silence; 209 to 310 is longer
+    assert got == [("A", 0, True), ("A", 309, False), ("A", 310, True), ("A", 410, False), ("A", 500, True),
+                   ("A", 600, False), ("B", 50, True), ("B", 150, False)]

@@ -325,6 +325,22 @@ def feed_counts(frames: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
+def feed_liveness(frames: DataFrame, silence_ms: int = 30_000, delay: str = "1 second") -> DataFrame:
+    """When each feed was connected (O-91): rows (source, at_ms, connected), true
+    at the first frame after a silence, false ``silence_ms`` after the last frame
+    before one; a silence is longer than ``silence_ms``.  A session-window aggregate
+    by receive time, batch or stream; frames may come ``delay`` (at least 1 ms) out of order.  A stream tells a connection once its end has passed the watermark, so an open
+    one is not in its output.  Frames without a source or time count for none."""
+    at = F.timestamp_millis("recv_ms")
+    live = frames.filter(F.col("source").isNotNull() & F.col("recv_ms").isNotNull()).select("source", at.alias("at"))
+    if frames.isStreaming:
+        live = live.withWatermark("at", delay)
+    spans = live.groupBy("source", F.session_window("at", f"{silence_ms} milliseconds").alias("w")).agg(
+        F.count(F.lit(1)).alias("frames"))
+    flag = lambda c, on: F.struct(F.unix_millis(c).alias("at_ms"), F.lit(on).alias("connected"))
+    return spans.select("source", F.inline(F.array(flag(F.col("w.start"), True), flag(F.col("w.end"), False))))
+
+
 def levels_of(parsed: DataFrame) -> DataFrame:
     """Level changes, and one header row (lpos -1, no side) per message.  Bad
     levels are left out; a bad time leaves the time null, not the levels out."""

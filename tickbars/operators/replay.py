@@ -29,6 +29,11 @@ class Side:
             insort(self.order, self.sign * price)
         self.quantity[price] = quantity
 
+    def load(self, items) -> None:
+        """Fill an empty side from (price, quantity) pairs."""
+        self.quantity = dict(items)
+        self.order = sorted(self.sign * p for p in self.quantity)
+
     def remove(self, price: float) -> None:
         if self.quantity.pop(price, None) is not None:
             del self.order[bisect_left(self.order, self.sign * price)]

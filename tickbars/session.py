@@ -28,6 +28,8 @@ RUNTIME_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     # commit only the state changes of a micro-batch (snapshots in the background)
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # sessions merge inside a task before the shuffle, so a busy feed moves few rows
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

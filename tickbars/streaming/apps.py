@@ -84,11 +84,22 @@ def frame_symbol(raw: str):
     return got
 
 
-def start_producer(spark: SparkSession, o: JobOptions, root: str, frames: DataFrame, to_kafka: bool = True):
-    """Captured frames of the subscribed symbols -> trade, book and dead-letter
-    outputs: topics, or folders under ``root`` when ``to_kafka`` is off."""
+def start_producer(spark: SparkSession, o: JobOptions, root: str, frames: DataFrame, to_kafka: bool = True,
+                   state_partitions: int | None = None):
+    """Captured frames of the subscribed symbols -> trades and dead letters, and
+    the books of all three feeds: topics, or folders under ``root`` when
+    ``to_kafka`` is off.  Returns both running queries: (frames, books)."""
     from tickbars.operators.feeds import parse_frames
 
+    mine = subscribed(frames, o)
     write = J.feed_topics(o) if to_kafka else J.feed_writer(f"{root}/out")
-    return parse_frames(subscribed(frames, o)).writeStream.foreachBatch(write) \
+    feeds = parse_frames(mine).writeStream.foreachBatch(write) \
         .option("checkpointLocation", f"{root}/checkpoints/producer").trigger(processingTime=o.checkpoint_interval).start()
+
+    def to_topic(records: DataFrame, batch_id: int) -> None:
+        W.write_kafka(records, o.bootstrap_servers, o.book_topic)
+
+    books = J.start_book_topic(mine, to_topic if to_kafka else J.batch_writer(f"{root}/books"),
+                               f"{root}/checkpoints/books", state_partitions=state_partitions,
+                               processingTime=o.checkpoint_interval)
+    return feeds, books

@@ -393,18 +393,75 @@ DELTA_FILE_SCHEMA = T.StructType([
     T.StructField("lpos", T.LongType()), T.StructField("kind", T.StringType()),
     T.StructField("side", T.StringType()), T.StructField("price", T.DoubleType()),
     T.StructField("quantity", T.DoubleType()), T.StructField("keep_zero", T.BooleanType()),
-    T.StructField("header", T.BooleanType()),
+    T.StructField("header", T.BooleanType()), T.StructField("timestamp_ms", T.LongType()),
 ])
-TOP_SCHEMA = ("source string, symbol string, seq long, sub long, side string, price double, "
-              "quantity double, level int")
+BOOK_SCHEMA = ("source string, symbol string, seq long, sub long, timestamp_ms long, bid_price array<double>, "
+               "bid_quantity array<double>, ask_price array<double>, ask_quantity array<double>")
+BOOK_ROW = ["source", "symbol", "seq", "sub", "timestamp_ms", "bids", "asks"]
 
 
 def book_stream(deltas: DataFrame, depth: int = 20) -> DataFrame:
+    """Prepared level changes -> one book row per message (``BOOK_ROW``), empty
+    books included."""
     from tickbars.constants import NULL_KEY
+    from tickbars.operators.book import with_sides
     from tickbars.streaming.processors import BookProcessor
     out = deltas.groupBy("source", "symbol").transformWithStateInPandas(
-        BookProcessor(depth), TOP_SCHEMA, "Append", "None")
-    return out.withColumns({k: F.when(F.col(k) != NULL_KEY, F.col(k)) for k in ("source", "symbol")})
+        BookProcessor(depth), BOOK_SCHEMA, "Append", "None")
+    return with_sides(out).withColumns({k: F.when(F.col(k) != NULL_KEY, F.col(k)) for k in ("source", "symbol")})
+
+
+def published_books(frames: DataFrame, depth: int = 20) -> DataFrame:
+    """The book stream of all three feeds (O-30, O-59b): feed 1 sends whole
+    books, those of feeds 2 and 3 are kept in keyed state.  Every feed's frames
+    are parsed once, in their own branch of one query.
+
+    No watermark: a message is published in the micro-batch that reads it, none
+    waits for another feed and none is dropped as late.  Within a micro-batch
+    the messages of a key apply in arrival order, across them in topic order."""
+    from tickbars.constants import SOURCE_FEED1
+    from tickbars.operators.book import prepare
+    from tickbars.operators.feeds import book_rows, feed1_books
+
+    whole = feed1_books(frames).withColumn("sub", F.lit(0).cast("long"))
+    changes = prepare(book_rows(frames.filter(F.col("source") != SOURCE_FEED1)))
+    return whole.select(*BOOK_ROW).unionByName(book_stream(changes, depth).select(*BOOK_ROW))
+
+
+def start_book_topic(frames: DataFrame, writer, checkpoint: str, depth: int = 20, state_partitions: int | None = None,
+                     **trigger):
+    """Captured frames -> book records (key, value) of all feeds -> ``writer``
+    (foreachBatch), as a running query."""
+    from tickbars.sources.wire import encode_books
+
+    S.ship_package(frames.sparkSession)
+    return start_with_state_partitions(
+        frames.sparkSession, encode_books(published_books(frames, depth)).writeStream.foreachBatch(writer)
+        .option("checkpointLocation", checkpoint).trigger(**trigger), state_partitions)
+
+
+def run_book_topic(spark: SparkSession, frames: DataFrame, batches: int = 4) -> DataFrame:
+    """Land captured frames and publish their books; returns the records."""
+    S.configure(spark)
+    base = S.fresh_path(spark, "stream-book-topic")
+    land_batches(spark, frames, "seq", batches, base)
+    src = spark.readStream.schema(FRAME_FILE_SCHEMA).option("maxFilesPerTrigger", SLICE_FILES).json(f"{base}/in")
+    start_book_topic(src, batch_writer(f"{base}/sink"), f"{base}/checkpoint",
+                     state_partitions=spark.sparkContext.defaultParallelism, availableNow=True).awaitTermination()
+    return read_sink(spark, f"{base}/sink")
+
+
+def run_liveness(spark: SparkSession, frames: DataFrame, silence_ms: int, batches: int = 4) -> DataFrame:
+    """Land captured frames in receive order and watch the feeds' silences."""
+    from tickbars.operators.feeds import feed_liveness
+
+    S.configure(spark)
+    base = S.fresh_path(spark, "stream-liveness")
+    land_batches(spark, frames, "recv_ms", batches, base)
+    src = spark.readStream.schema(FRAME_FILE_SCHEMA).option("maxFilesPerTrigger", SLICE_FILES).json(f"{base}/in")
+    out = feed_liveness(src, silence_ms)
+    run_available(out, f"{base}/sink", f"{base}/checkpoint")
+    return read_sink(spark, f"{base}/sink", out.schema)
 
 
 def run_book_job(spark: SparkSession, deltas: DataFrame, batches: int = 4, depth: int = 20) -> DataFrame:
@@ -415,6 +472,8 @@ def run_book_job(spark: SparkSession, deltas: DataFrame, batches: int = 4, depth
     S.ship_package(spark)
     base = S.fresh_path(spark, "stream-book")
     sink, ckpt = f"{base}/sink", f"{base}/checkpoint"
+    if "timestamp_ms" not in deltas.columns:
+        deltas = deltas.withColumn("timestamp_ms", F.lit(None).cast("long"))
     d = prepare(deltas).select(*DELTA_FILE_SCHEMA.fieldNames())
     land_batches(spark, d, "seq", batches, base)
     src = spark.readStream.schema(DELTA_FILE_SCHEMA).option("maxFilesPerTrigger", SLICE_FILES).json(f"{base}/in")
@@ -489,16 +548,16 @@ def feed_writer(base: str):
 
 
 def feed_topics(o):
-    """foreachBatch for parsed frames: trades, books of feed 1 and dead letters
-    to the topics that the options name (needs the Kafka connector)."""
-    from tickbars.operators.feeds import dead_letters_of, feed1_snapshots, trades_of
+    """foreachBatch for parsed frames: trades and dead letters to the topics that
+    the options name (needs the Kafka connector); the books of all feeds are a
+    query of their own (``start_book_topic``)."""
+    from tickbars.operators.feeds import dead_letters_of, trades_of
     from tickbars.sources import wire as W
 
     def write(parsed: DataFrame, batch_id: int) -> None:
         parsed.persist()
         try:
             W.write_kafka(W.encode_trades(trades_of(parsed)), o.bootstrap_servers, o.trade_topic)
-            W.write_kafka(W.encode_books(feed1_snapshots(parsed)), o.bootstrap_servers, o.book_topic)
             W.write_kafka(W.encode_dead_letters(dead_letters_of(parsed)), o.bootstrap_servers, o.dlq_topic)
         finally:
             parsed.unpersist()

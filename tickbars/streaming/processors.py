@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from tickbars.operators.replay import LEVEL_COLUMNS, Published, apply_level, new_book
+
 # Python workers (including the driver-side runner of transformWithState)
 # need not have this package installed: the processors are pickled by
 # value; they depend only on pandas and pyspark.
@@ -56,8 +58,9 @@ class BookProcessor(StatefulProcessor):
 
     For each message, in (seq, sub) order: a snapshot clears both sides,
     then its levels apply in order; quantity 0 deletes unless
-    ``keep_zero``.  After each message the best ``depth`` levels per side
-    are emitted (bids descending, asks ascending) -- the stream form of
+    ``keep_zero``.  Every message emits one row with its time and the best
+    ``depth`` levels per side (bids descending, asks ascending), empty
+    arrays when it leaves a side empty -- the stream form of
     operators/book.py.  Work is per book message, not per trade; the state
     is written back only where a level changed (or cleared as a whole by a
     snapshot), so the changelog of a micro-batch is as long as its changes."""
@@ -70,39 +73,43 @@ class BookProcessor(StatefulProcessor):
                       "ask": handle.getMapState("asks", "price double", "quantity double")}
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        import heapq
-
-        source, symbol = key
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["seq", "sub", "lpos"], kind="stable")
-        book = {s: {k[0]: v[0] for k, v in st.iterator()} for s, st in self.sides.items()}
-        out, cleared = [], False
+        book, out, cleared = new_book(), Published(self.depth), False
+        for s, st in self.sides.items():
+            book[s].load((k[0], v[0]) for k, v in st.iterator())
         changed: dict[str, set] = {"bid": set(), "ask": set()}
-        for (seq, sub), msg in pdf.groupby(["seq", "sub"], sort=True):
-            if msg["kind"].iloc[0] == "snapshot":
-                cleared = True
-                for s in book:
-                    book[s].clear()
-                    changed[s].clear()
-            for side, price, qty, keep in zip(msg["side"], msg["price"], msg["quantity"], msg["keep_zero"]):
-                if side is None or pd.isna(price):
-                    continue
-                s = "bid" if side == "bid" else "ask"
-                changed[s].add(price)
-                if qty == 0 and not keep:
-                    book[s].pop(price, None)
-                else:
-                    book[s][price] = qty
-            best = {"bid": heapq.nlargest(self.depth, book["bid"].items()),
-                    "ask": heapq.nsmallest(self.depth, book["ask"].items())}
-            for s, levels in best.items():
-                for i, (p, q) in enumerate(levels, start=1):
-                    out.append((source, symbol, int(seq), int(sub), s, float(p), float(q), i))
+        times = [None if pd.isna(t) else int(t) for t in pdf["timestamp_ms"]]
+        message, when = None, None
+        for seq, sub, kind, side, price, qty, keep, time in zip(
+                pdf["seq"].tolist(), pdf["sub"].tolist(), pdf["kind"].tolist(), pdf["side"].tolist(),
+                pdf["price"].tolist(), pdf["quantity"].tolist(), pdf["keep_zero"].tolist(), times):
+            if message != (seq, sub):
+                if message is not None:
+                    out.add((*message, when), book)
+                message, when = (seq, sub), time
+                if kind == "snapshot":
+                    cleared = True
+                    for s in book:
+                        book[s].clear()
+                        changed[s].clear()
+            if side is None or side != side or price is None or price != price:
+                continue
+            s = "bid" if side == "bid" else "ask"
+            changed[s].add(price)
+            apply_level(book, s, price, qty, bool(keep))
+        if message is not None:
+            out.add((*message, when), book)
         for s, st in self.sides.items():
             if cleared:
                 st.clear()
             for p in changed[s]:
-                if p in book[s]:
-                    st.updateValue((float(p),), (float(book[s][p]),))
+                if p in book[s].quantity:
+                    st.updateValue((float(p),), (float(book[s].quantity[p]),))
                 elif not cleared and st.containsKey((float(p),)):
                     st.removeKey((float(p),))
-        yield pd.DataFrame(out, columns=["source", "symbol", "seq", "sub", "side", "price", "quantity", "level"])
+        source, symbol = key
+        heads = pd.DataFrame(out.heads, columns=["seq", "sub", "timestamp_ms"]).astype({"timestamp_ms": "Int64"})
+        yield heads.assign(source=source, symbol=symbol, **out.levels)[BOOK_COLUMNS]
+
+
+BOOK_COLUMNS = ["source", "symbol", "seq", "sub", "timestamp_ms", *LEVEL_COLUMNS]
