@@ -114,3 +114,77 @@ def test_upsert_survives_a_stop_at_any_step(spark, monkeypatch):
         TB.upsert_days(spark, second, table, "window_start_ms")
         got = {(r.symbol, r.window_start_ms, r.spread_usd) for r in spark.read.parquet(table).collect()}
         assert got == want, stop
+
+
+TRADE_COLS = "trade_time_ms long, symbol string, source string, trade_id long, price double, quantity double, " \
+             "side string, ingestion_time_ms long, latency_ms long, arrival long"
+
+
+def _trade_batch(spark, items):
+    return spark.createDataFrame([(t, "A", "X", i, p, 1.0, "BUY", t, 0, n) for n, (t, i, p) in enumerate(items)], TRADE_COLS)
+
+
+def _insert(spark, batch, path):
+    from tickbars.operators.trades import TRADE_KEY, TRADE_TABLE_COLUMNS
+
+    TB.insert_ignore_days(spark, batch, path, "trade_time_ms", TRADE_KEY, TRADE_TABLE_COLUMNS)
+
+
+def test_insert_ignore_touches_only_the_hours_of_the_batch(spark, tmp_path):
+    """Redeliveries in later batches change nothing, and the other hours are not
+    even opened (one of them holds a broken file)."""
+    h, path = TB.HOUR_MS, str(tmp_path / "trades")
+    _insert(spark, _trade_batch(spark, [(5, 1, 1.0), (h + 5, 2, 2.0), (-5, 4, 4.0)]), path)
+    (tmp_path / "trades" / "d=0" / "h=9").mkdir()
+    (tmp_path / "trades" / "d=0" / "h=9" / "part-broken.parquet").write_bytes(b"not parquet")
+    _insert(spark, _trade_batch(spark, [(h + 5, 2, 9.0), (h + 6, 3, 3.0), (h + 6, 3, 8.0), (-5, 4, 9.0)]), path)
+    (tmp_path / "trades" / "d=0" / "h=9" / "part-broken.parquet").unlink()
+    got = sorted((r.trade_id, r.price) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 1.0), (2, 2.0), (3, 3.0), (4, 4.0)]
+    old = TB.read_hours(spark, path, [1], spark.read.parquet(path).schema)
+    assert {f.split("/h=")[1].split("/")[0] for f in old.inputFiles()} == {"1"}
+    _insert(spark, _trade_batch(spark, []), path)
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_compaction_survives_a_stop_at_any_step(spark, tmp_path, monkeypatch):
+    renamed = TB._renamed
+    for stop in range(3):
+        path = str(tmp_path / f"trades{stop}")
+        for i in range(4):
+            _insert(spark, _trade_batch(spark, [(i, i, 1.0), (TB.HOUR_MS + i, 10 + i, 2.0)]), path)
+        left = [stop]
+
+        def breaking(fs, src, dst):
+            if left[0] == 0:
+                raise OSError("stopped")
+            left[0] -= 1
+            renamed(fs, src, dst)
+
+        monkeypatch.setattr(TB, "_renamed", breaking)
+        try:
+            TB.compact_hours(spark, path, [0])
+        except OSError:
+            pass
+        monkeypatch.setattr(TB, "_renamed", renamed)
+        TB.compact_hours(spark, path, [0, 7])
+        rows = spark.read.parquet(path)
+        assert sorted(r.trade_id for r in rows.collect()) == [0, 1, 2, 3, 10, 11, 12, 13], stop
+        files = [f for f in rows.inputFiles() if "/h=0/" in f]
+        assert len(files) == 1 and len(rows.inputFiles()) == 5
+        assert TB.compact_hours(spark, path, [0]) == []
+
+
+def test_newest_rows_opens_the_newest_days_only(spark, tmp_path):
+    day = TB.DAY_MS
+    df = spark.createDataFrame([(d * day + i, f"S{i}") for d in range(6) for i in range(3)], "window_start_ms long, symbol string")
+    path = str(tmp_path / "bars")
+    TB.write_partitioned(df, path, "window_start_ms")
+    order = [F.desc("window_start_ms")]
+    for n, days in ((1, {"5"}), (3, {"5"}), (4, {"4", "5"}), (100, set("012345"))):
+        got = TB.newest_rows(spark, path, n, order)
+        want = [r.window_start_ms for r in df.orderBy(*order).limit(n).collect()]
+        assert [r.window_start_ms for r in got.collect()] == want
+        assert {f.split("/d=")[1].split("/")[0] for f in got.inputFiles()} == days
+    where = F.col("symbol") == "S1"
+    assert TB.newest_rows(spark, path, 2, order, where).count() == 2

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DAY_MS = 86_400_000
+HOUR_MS = 3_600_000
 BAR_KEY = ["symbol", "source", "window_start_ms"]
 BAR_TABLE_COLUMNS = ["symbol", "source", "window_start_ms", "open", "high", "low", "close",
                      "volume", "vwap", "buy_volume", "sell_volume", "ema10", "trade_count",
@@ -205,20 +206,130 @@ def _fs(spark: SparkSession, path: str):
 
 def insert_ignore_days(spark: SparkSession, batch: DataFrame, table: str, time_col: str,
                        key: list[str], columns: list[str], arrival: str = "arrival") -> None:
-    """INSERT ... ON CONFLICT DO NOTHING into a day-partitioned Parquet table.
+    """INSERT ... ON CONFLICT DO NOTHING into a Parquet table partitioned by day
+    and, within it, by hour.
 
-    Only the day partitions the batch touches are read for the anti-join
+    Only the hours that the batch touches are listed and read for the anti-join
     (the key contains the time column, so a conflict is always in the same
-    day); new rows are appended.  Running the same batch again appends
-    nothing, so a retried or replayed micro-batch is harmless.
+    hour), their key columns alone; new rows are appended.  Of several rows of a
+    key in one batch the first to arrive is taken, so a stream needs no
+    de-duplication before this (one that keeps any copy would lose the order).
+    Running the same batch again appends nothing, so a retried or replayed
+    micro-batch is harmless.  Rows without a time go to a partition of their own
+    and, as in SQL, never conflict.
     """
     from tickbars.operators.trades import first_arrivals
 
     fresh = first_arrivals(batch, key, arrival).select(*columns)
-    days = [r[0] for r in batch.select(day_of(time_col)).distinct().collect()]  # days of one batch
-    old = read_days(spark, table, fresh.schema).filter(F.col("d").isin(days)).select(*key)
-    fresh = fresh.join(old, on=key, how="left_anti")
-    fresh.withColumn("d", day_of(time_col)).write.mode("append").partitionBy("d").parquet(table)
+    hours = [r[0] for r in batch.select(hour_of(time_col)).distinct().collect()]  # hours of one batch
+    old = read_hours(spark, table, hours, fresh.schema)
+    if old is not None:
+        fresh = fresh.join(old.select(*key), on=key, how="left_anti")
+    fresh.withColumns({"d": day_of(time_col), "h": hour_of(time_col)}) \
+        .write.mode("append").partitionBy("d", "h").parquet(table)
+
+
+def hour_of(ms: Column | str) -> Column:
+    """Partition value within a day: UTC hour number of an epoch-ms time."""
+    c = F.col(ms) if isinstance(ms, str) else ms
+    return F.floor(c / F.lit(HOUR_MS)).cast("int")
+
+
+def hour_path(table: str, hour: int) -> str:
+    return f"{table}/d={hour * HOUR_MS // DAY_MS}/h={hour}"
+
+
+def read_hours(spark: SparkSession, table: str, hours: list[int], schema) -> DataFrame | None:
+    """The rows of some hours of a table partitioned by day and hour; no other
+    folder is listed.  None when the table has none of them."""
+    fs, root, jvm = _fs(spark, table)
+    there = [hour_path(table, h) for h in hours
+             if h is not None and fs.exists(jvm.org.apache.hadoop.fs.Path(hour_path(table, h)))]
+    return spark.read.schema(schema).parquet(*there) if there else None
+
+
+def compact_hours(spark: SparkSession, table: str, hours: list[int], target_bytes: int = 128 << 20) -> list[int]:
+    """Rewrite the given hours (closed ones: no writer appends to them any more)
+    as files of about ``target_bytes``; returns the hours rewritten.
+
+    An hour already at its number of files is left alone.  The new files are
+    written beside the table, a journal naming the hour and its old files is
+    renamed into place (the commit), then the new files move in and the old ones
+    go.  A run that stops before the commit has changed nothing, one that stops
+    after it is finished by the next call (``recover_hours``); between the two a
+    reader may see rows twice, never too few."""
+    import uuid
+
+    fs, root, jvm = _fs(spark, table)
+    Path = jvm.org.apache.hadoop.fs.Path
+    recover_hours(spark, table)
+    done = []
+    for hour in hours:
+        folder = hour_path(table, hour)
+        old = [st for st in fs.listStatus(Path(folder)) if st.isFile() and _is_data(st)] if fs.exists(Path(folder)) else []
+        files = max(1, -(-sum(st.getLen() for st in old) // target_bytes))
+        if len(old) <= files:
+            continue
+        name = uuid.uuid4().hex
+        staged = f"{table}/_compact/{name}"
+        spark.read.parquet(folder).repartition(files).write.parquet(f"{staged}/new")
+        lines = [str(hour), *[st.getPath().getName() for st in old]]
+        draft = fs.create(Path(f"{staged}/draft"), True)
+        draft.write(bytearray("\n".join(lines).encode()))
+        draft.close()
+        _renamed(fs, Path(f"{staged}/draft"), Path(f"{table}/_compacted-{name}"))
+        recover_hours(spark, table)
+        done.append(hour)
+    return done
+
+
+def recover_hours(spark: SparkSession, table: str) -> None:
+    """Finish committed compactions; remove what an uncommitted one left."""
+    fs, root, jvm = _fs(spark, table)
+    if not fs.exists(root):
+        return
+    Path = jvm.org.apache.hadoop.fs.Path
+    for st in fs.listStatus(root):
+        journal = st.getPath()
+        if not journal.getName().startswith("_compacted-"):
+            continue
+        stream = fs.open(journal)
+        hour, *old = bytes(stream.readAllBytes()).decode().split("\n")
+        stream.close()
+        folder, staged = hour_path(table, int(hour)), f"{table}/_compact/{journal.getName()[len('_compacted-'):]}"
+        if fs.exists(Path(f"{staged}/new")):
+            for new in fs.listStatus(Path(f"{staged}/new")):
+                if _is_data(new):
+                    _renamed(fs, new.getPath(), Path(f"{folder}/{new.getPath().getName()}"))
+        for name in old:
+            fs.delete(Path(f"{folder}/{name}"), False)
+        fs.delete(Path(staged), True)
+        fs.delete(journal, False)
+    if fs.exists(Path(f"{table}/_compact")):
+        fs.delete(Path(f"{table}/_compact"), True)
+
+
+def _is_data(status) -> bool:
+    return not status.getPath().getName().startswith(("_", "."))
+
+
+def newest_rows(spark: SparkSession, table: str, n: int, order: list[Column], where: Column | None = None) -> DataFrame:
+    """The first ``n`` rows of a day-partitioned table in an order that starts
+    with the newest time (O-72, O-57).  Days are read from the newest backwards,
+    twice as many each time, until ``n`` rows are there; older days are neither
+    listed nor opened.  Rows without a time are taken last."""
+    fs, root, _ = _fs(spark, table)
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.getPath().getName().startswith("d=")]
+    dated = sorted((x for x in names if x[2:].lstrip("-").isdigit()), key=lambda x: -int(x[2:]))
+    days = dated + [x for x in names if x not in dated]
+    take = 1
+    while True:
+        rows = spark.read.option("basePath", table).parquet(*[f"{table}/{x}" for x in days[:take]]) if days \
+            else spark.read.parquet(table)
+        rows = rows if where is None else rows.filter(where)
+        if take >= len(days) or rows.limit(n).count() >= n:
+            return rows.drop("d", "h").orderBy(*order).limit(n)
+        take *= 2
 
 
 def drop_expired_days(spark: SparkSession, table: str, keep_ms: int, as_of_ms: int) -> list[int]:

@@ -366,7 +366,7 @@ def run_trade_job(spark: SparkSession, records: DataFrame, batches: int = 4) ->
     table, ckpt = f"{base}/table", f"{base}/checkpoint"
     land_batches(spark, records, "offset", batches, base)
     run_available(read_records(spark, base), table, ckpt, trade_job_writer(table, f"{base}/dlq"))
-    return read_sink(spark, table).drop("d")
+    return read_sink(spark, table).drop("d", "h")
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
