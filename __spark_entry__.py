@@ -113,7 +113,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                  "panel_imbalance", "spread_usd_series", "spread_bps_series"]:
         q[name] = (lambda fn: lambda s, d: fn(_panel_rows(s, d), PANEL_SYMBOL, PANEL_FROM, PANEL_TO))(getattr(P, name))
     q["distinct_symbols"] = lambda s, d: P.distinct_symbols(s.read.parquet(_bar_table(s, d)))
-    q["latest_bars"] = lambda s, d: TB.newest_rows(s, _bar_table(s, d), 10, P.NEWEST_FIRST)
+    q["latest_bars"] = lambda s, d: TB.newest_rows(s, _bar_table(s, d), 10, P.newest_first())
     q["bar_rollup"] = lambda s, d: rollup_bars(_bars(s, d), 5 * 60_000)
     q.update(_feed_queries())
     q.update(_trade_queries())

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from tickbars.constants import SOURCE_FEED1
 
 TIME = "window_start_ms"
-NEWEST_FIRST = [F.desc(TIME), F.asc("symbol"), F.asc("source")]
 
 
 def _where(bars: DataFrame, symbol: str, t_from: int | None, t_to: int | None) -> DataFrame:
@@ -81,7 +80,11 @@ def distinct_symbols(bars: DataFrame) -> DataFrame:
     return bars.select("symbol").distinct().orderBy("symbol")
 
 
+def newest_first() -> list[Column]:
+    return [F.desc(TIME), F.asc("symbol"), F.asc("source")]
+
+
 def latest_bars(bars: DataFrame, n: int = 10) -> DataFrame:
     """ORDER BY window_start DESC LIMIT n (a top-n: Spark plans TakeOrdered,
     each task keeps n rows, the driver merges n x tasks)."""
-    return bars.orderBy(*NEWEST_FIRST).limit(n)
+    return bars.orderBy(*newest_first()).limit(n)
