@@ -105,3 +105,19 @@ def test_bar_job_keeps_null_symbol(spark):
     rows = [(i, None if i % 2 else "BTCUSDT", "BINANCE", i * 60_000, float(i), 1.0, False, i) for i in range(10)]
     out = bars_with_ema(spark.createDataFrame(rows, cols)).collect()
     assert len(out) == 10 and sum(r.symbol is None for r in out) == 5
+
+
+def test_carries_over_many_groups(spark):
+    """Groups of two and three chunks give the fold over the whole history."""
+    from tickbars.operators.ema import ema_chunked
+
+    xs = [float((7 * i) % 23) for i in range(300)]
+    df = spark.createDataFrame([("A", "X", 60_000 * (i + 3 * (i // 40)), x) for i, x in enumerate(xs)],
+                               "symbol string, source string, window_start_ms long, close double")
+    exp, ema = [], None
+    for x in xs:
+        ema = x if ema is None else 2 / 11 * x + (1 - 2 / 11) * ema
+        exp.append(ema)
+    for group in (2, 3, 512):
+        got = [r.ema10 for r in ema_chunked(df, chunk=4, group=group).orderBy("window_start_ms").collect()]
+        assert max(abs(a - b) for a, b in zip(got, exp)) < 1e-9 and len(got) == len(exp)

@@ -137,3 +137,25 @@ def test_feed_liveness_on_a_gap(spark):
     # 109 to 209 is a gap of exactly 100: no silence; 209 to 310 is longer
     assert got == [("A", 0, True), ("A", 309, False), ("A", 310, True), ("A", 410, False), ("A", 500, True),
                    ("A", 600, False), ("B", 50, True), ("B", 150, False)]
+
+
+def test_idle_key_starts_again_from_its_seed(spark):
+    """A key that is silent longer than idle_ms is forgotten; another is kept."""
+    from tickbars.streaming import jobs as J
+
+    cols = J.TRADE_FILE_SCHEMA.simpleString()[len("struct<"):-1]
+    m = 60_000
+    ticks = [("A", 0, 10.0), ("A", m, 20.0)] + [("B", i * m, 10.0 + i) for i in range(30)] + [("A", 29 * m, 40.0)] \
+        + [("B", i * m, 10.0 + i) for i in range(30, 34)]
+    rows = [(i, s, "BINANCE", t, p, 1.0, False, t, 0, i) for i, (s, t, p) in enumerate(sorted(ticks, key=lambda x: x[1]))]
+    df = spark.createDataFrame(rows, cols)
+    for idle, last in ((None, None), (5 * m, 40.0)):
+        out = J.run_bar_job(spark, df, batches=6, what="ema", idle_ms=idle)
+        got = {(r.symbol, r.window_start_ms): r.ema10 for r in out.collect()}
+        a, first = 2 / 11, 10.0
+        second = a * 20 + (1 - a) * first
+        assert abs(got["A", 29 * m] - (last or a * 40 + (1 - a) * second)) < 1e-9
+        ema = 10.0
+        for i in range(1, 31):
+            ema = a * (10.0 + i) + (1 - a) * ema
+            assert abs(got["B", i * m] - ema) < 1e-9

@@ -127,6 +127,31 @@ def chunk_of(order: str, step_ms: int, chunk: int):
     return F.floor(F.col(order) / F.lit(step_ms * chunk)).cast("bigint")
 
 
+def chunk_carries(tot: DataFrame, keys: list[str], chunk_col: str, group: int) -> DataFrame:
+    """(keys, chunk, _carry): the state entering each chunk -- the key's first
+    value, so that its first bar's EMA is its close, pushed through every earlier
+    chunk's total map ``_t`` in order.
+
+    Two levels: the maps of ``group`` chunks are folded inside one row, and only
+    the groups' maps are listed per key (with 2,048 one-minute bars a chunk and
+    512 chunks a group, one map in two years)."""
+    step = lambda x, e: e["_t"]["_A"] * x + e["_t"]["_B"]
+    ident = F.struct(F.lit(1.0).alias("_A"), F.lit(0.0).alias("_B"))
+    g = tot.groupBy(*keys, F.floor(F.col(chunk_col) / F.lit(group)).alias("_g")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(chunk_col).alias("c"), "_t", "_x_first"))).alias("_m"))
+    g = g.withColumn("_gt", F.aggregate("_m", ident, lambda acc, e: F.struct(
+        (e["_t"]["_A"] * acc["_A"]).alias("_A"), (e["_t"]["_A"] * acc["_B"] + e["_t"]["_B"]).alias("_B"))))
+    by_group = Window.partitionBy(*keys).orderBy("_g")
+    g = g.withColumn("_x0", F.first(F.element_at("_m", 1)["_x_first"]).over(by_group.rowsBetween(Window.unboundedPreceding, 0))) \
+         .withColumn("_prev", F.collect_list("_gt").over(by_group.rowsBetween(Window.unboundedPreceding, -1))) \
+         .withColumn("_in", F.aggregate("_prev", F.col("_x0"), lambda x, t: t["_A"] * x + t["_B"]))
+    # running fold inside the group: state entering its first, second, ... chunk
+    g = g.withColumn("_ins", F.aggregate("_m", F.array("_in"), lambda acc, e: F.concat(
+        acc, F.array(step(F.element_at(acc, -1), e)))))
+    return g.select(*keys, F.posexplode("_m").alias("_i", "_e"), "_ins") \
+            .select(*keys, F.col("_e.c").alias(chunk_col), F.col("_ins")[F.col("_i")].alias("_carry"))
+
+
 def ema_chunked(
     bars: DataFrame,
     period: int = 10,
@@ -138,6 +163,7 @@ def ema_chunked(
     chunk_col: str = "_chunk",
     out: str | None = None,
     partition_keys: tuple[str, ...] | None = None,
+    group: int = 512,
 ) -> DataFrame:
     """The same EMA as ``ema``, evaluated per (key, time chunk); keeps
     ``chunk_col`` so a caller can partition later steps on it too.
@@ -169,14 +195,7 @@ def ema_chunked(
                                                           (acc["_B"] * F.lit(w) + F.lit(a) * e["v"]).alias("_B"))
                     ).alias("_t"),
         F.element_at("_xs", 1)["v"].alias("_x_first"))
-    by_chunk = Window.partitionBy(*keys).orderBy(chunk_col)
-    carry = (tot
-             .withColumn("_x0", F.first("_x_first").over(by_chunk.rowsBetween(Window.unboundedPreceding, 0)))
-             .withColumn("_prev", F.collect_list("_t").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)))
-             # state entering the chunk: x0 (the seed, so the first bar's EMA is its
-             # close) pushed through every earlier chunk's total map, in order
-             .select(*keys, chunk_col, F.aggregate("_prev", F.col("_x0"),
-                                                   lambda acc, t: t["_A"] * acc + t["_B"]).alias("_carry")))
+    carry = chunk_carries(tot, keys, chunk_col, group)
     if partition_keys:
         rest = [k for k in keys if k not in partition_keys]
         # one small array per (partition keys, chunk): [(other keys, carry)],

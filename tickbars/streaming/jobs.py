@@ -193,12 +193,14 @@ def _bar_schema_with_ema() -> T.StructType:
 
 
 def bar_stream(trades: DataFrame, delay: str = "5 seconds", interval: str = "1 minute",
-               period: int = 10) -> DataFrame:
-    """Streaming bars with EMA (event time of a bar = its window_time)."""
+               period: int = 10, idle_ms: int | None = None) -> DataFrame:
+    """Streaming bars with EMA (event time of a bar = its window_time).
+    ``idle_ms``: see EmaProcessor."""
     bars = stream_ohlcv_bars(trades, interval=interval, delay=delay)
     bars = bars.withColumn("bar_time", F.window_time("w")).drop("w")
     return bars.groupBy("symbol", "source").transformWithStateInPandas(
-        EmaProcessor(period), _bar_schema_with_ema(), "Append", "None", eventTimeColumnName="bar_time")
+        EmaProcessor(period, idle_ms=idle_ms), _bar_schema_with_ema(), "Append", "EventTime" if idle_ms else "None",
+        eventTimeColumnName="bar_time")
 
 
 def spread_stream(bars: DataFrame, interval: str = "1 minute",
@@ -224,7 +226,7 @@ def read_trade_files(spark: SparkSession, folder: str, files_per_batch: int = SL
 
 
 def run_bar_job(spark: SparkSession, trades: DataFrame, batches: int = 4, stages: tuple[int, ...] = (),
-                what: str = "spread", metrics: dict | None = None) -> DataFrame:
+                what: str = "spread", metrics: dict | None = None, idle_ms: int | None = None) -> DataFrame:
     """Land ``trades`` in time order and run the bar stream over them.
 
     ``stages``: stop-and-restart points (batch numbers) -- the query is
@@ -244,7 +246,7 @@ def run_bar_job(spark: SparkSession, trades: DataFrame, batches: int = 4, stages
         if what == "bars":
             out = stream_ohlcv_bars(src).drop("w")
         elif what == "ema":
-            out = bar_stream(src)
+            out = bar_stream(src, idle_ms=idle_ms)
         else:
             out = spread_stream(bar_stream(src))
         schema = out.schema

@@ -28,16 +28,31 @@ class EmaProcessor(StatefulProcessor):
 
     Several windows of a key can close in one micro-batch, so the rows are
     ordered by window start before folding.  The state survives restarts
-    through the query checkpoint."""
+    through the query checkpoint.
+
+    ``idle_ms``: a key without a bar for that long (event time, after its last
+    window's start) is forgotten by a timer and starts again from its seed; by
+    default keys are kept for good."""
 
     def __init__(self, period: int = 10, value: str = "close", order: str = "window_start_ms",
-                 out: str = "ema10"):
+                 out: str = "ema10", idle_ms: int | None = None):
         self.alpha = 2.0 / (period + 1)
-        self.value, self.order, self.out = value, order, out
+        self.value, self.order, self.out, self.idle_ms = value, order, out, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("ema", "ema double")
 
+    def _renew(self, last_ms: int) -> None:
+        """One timer a key: idle_ms after its newest window."""
+        for at in list(self.handle.listTimers()):
+            self.handle.deleteTimer(at)
+        self.handle.registerTimer(last_ms + self.idle_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter(())
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.order, kind="stable")
         prev = self.state.get()
@@ -47,6 +62,8 @@ class EmaProcessor(StatefulProcessor):
             ema = x if ema is None else self.alpha * x + (1 - self.alpha) * ema
             out.append(ema)
         self.state.update((ema,))
+        if self.idle_ms is not None:
+            self._renew(int(pdf[self.order].iloc[-1]))
         yield pdf.assign(**{self.out: out})
 
     def close(self) -> None:
