@@ -170,3 +170,34 @@ def test_lm_gradient_step_equals_a_plain_one():
     got, mine = w.copy(), np.full(17, 1e-2, np.float32)
     M.descend(got, mine, f, cls)
     assert np.allclose(got, want, atol=1e-3) and np.allclose(mine, seen, rtol=1e-3)
+
+
+def test_html_formulas_fallback_text_and_open_quotes():
+    texts = lambda page: [b[1] for b in W.blocks(page)]
+    assert texts("<p>energy <math><mi>E</mi><mo>=</mo><mi>m</mi></math> is</p>") == ["energy E=m is"]
+    assert texts("<p>a <object data=x>fallback</object> b <video src=y>no video</video></p>") == ["a fallback b no video"]
+    assert texts("<article><noscript><p>shown without scripts</p></noscript></article>") == ["shown without scripts"]
+    assert texts('<p title="x>Hello <b>you</b></p><p>two</p>') == ["Hello you", "two"]
+
+
+def test_html_reads_every_word_of_a_block():
+    block = lambda words: [(("html", "p"), " ".join(words), 0, 0)]
+    words = [f"w{i}" for i in range(1000)]
+    base = W.vectors(block(words), {})
+    for k in (1, 499, 998):
+        assert not (W.vectors(block(words[:k] + ["changed" * k] + words[k + 1:]), {})[0, W.PATH_DIMS:-W.SHAPE_DIMS]
+                    == base[0, W.PATH_DIMS:-W.SHAPE_DIMS]).all()
+
+
+def test_html_long_pages_beside_short_ones():
+    """A page of very many blocks is scored alone; every page gets the labels it
+    gets by itself."""
+    model = W.Labeller()
+    rng = np.random.default_rng(1)
+    pages = [rng.normal(size=(n, W.DIMS)).astype(np.float32) for n in (3, 70_000, 0, 5, 900, 1)]
+    together = model.label(pages)
+    assert [len(y) for y in together] == [len(p) for p in pages]
+    for page, y in zip(pages, together):
+        assert (y == model.label([page])[0]).mean() > 0.999 if len(page) else len(y) == 0
+    import pyarrow as pa
+    assert [len(s) for s in W.slices(pa.array(["a"] * 1030 + [None, "b" * (1 << 25), "c"]))] == [1024, 7, 1, 1]

@@ -14,7 +14,9 @@ Pages are varied for training: side blocks of kinds that the table may not show
 container names change, so that the labeller learns names, neighbours and shape
 instead of one layout.
 
-Pages are scored in blocks of equal size, sorted by length; nothing is cut.
+Pages of similar length are scored together, a bounded number of blocks at a time;
+nothing is cut, and every word of a block is read.  Formulas and the fallback text
+of media are text of the block around them.
 
 Defined results: a null or empty html gives an empty text; a page without text
 blocks too; repeated rows are read row by row; an empty table gives no rows;
@@ -38,15 +40,18 @@ EPOCHS = 10
 PATH_DIMS, WORD_DIMS, SHAPE_DIMS = 128, 16, 6
 DIMS = PATH_DIMS + WORD_DIMS + SHAPE_DIMS
 HIDDEN = 16
-#: Pages scored side by side.
-SIDE = 128
+#: Pages scored side by side, blocks of them together (longer pages alone), and
+#: pages and characters read before they are scored.
+SIDE, CELLS = 128, 1 << 16
+READ_PAGES, READ_CHARS = 1024, 1 << 24
 
 # Elements that never hold page text, elements that do not break a
 # block, elements without content, and words that name main and side containers.
-SILENT = frozenset("script style noscript template svg math iframe object canvas head title select option "
-                   "textarea button datalist audio video".split())
+SILENT = frozenset("script style template svg iframe head title select option textarea button datalist".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp "
-                   "rt s samp small span strike strong sub sup time tt u var wbr input".split())
+                   "rt s samp small span strike strong sub sup time tt u var wbr input audio canvas object video "
+                   "math annotation menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms "
+                   "mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES = {"p": "p", "li": "li", "tr": "tr", "td": "td", "th": "th", "dt": "dt", "dd": "dd"}
 MAIN = ["article", "main", "div.content", "div.post", "div.entry-content", "section.article-body", "div#content",
@@ -64,7 +69,7 @@ SIDE_WORD = re.compile(r"(?:^|[-_ ])(?:comments?|commentlist|respond|sidebar|rel
 SIDE_TAG = frozenset("nav aside footer header form fieldset menu dialog".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
-                    r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+                    r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)>", re.S)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPACE = re.compile(r"\s+")
 
@@ -100,12 +105,12 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, int]]:
         if not m:
             break
         at = m.end()
-        name = (m[2] or "").lower()
+        slash, name, attrs = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])  # the second: a quote never closed
         if not name:
             continue
-        closing = bool(m[1])
+        name, closing = name.lower(), bool(slash)
         if name in SILENT:
-            if not closing and not (m[3] or "").rstrip().endswith("/"):
+            if not closing and not (attrs or "").rstrip().endswith("/"):
                 if name not in ("head",):
                     e = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                     if e:
@@ -131,7 +136,7 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int, int]]:
         elif name not in VOID:
             if stack and stack[-1][0] == "p" or name in CLOSES and stack and stack[-1][0] == CLOSES[name]:
                 stack.pop()
-            words = [f"{a.lower()}={v}" for a, *vs in _ATTR.findall(m[3]) for v in " ".join(vs).lower().split()] if m[3] else []
+            words = [f"{a.lower()}={v}" for a, *vs in _ATTR.findall(attrs) for v in " ".join(vs).lower().split()] if attrs else []
             stack.append((name, " ".join([name, *words])))
     end_block()
     return out
@@ -168,6 +173,20 @@ def path_vector(path: tuple[str, ...]) -> np.ndarray:
     return v
 
 
+class _Slots(dict):
+    """Word -> its dimension, or WORD_DIMS more where its sign is negative."""
+
+    def __missing__(self, word: str) -> int:
+        d, sign = _hashed(word, WORD_DIMS)
+        if len(self) > 100_000:
+            self.clear()
+        slot = self[word] = d + WORD_DIMS * (sign < 0)
+        return slot
+
+
+_WORD_SLOT = _Slots()
+
+
 def vectors(page: list[tuple[tuple[str, ...], str, int, int]], paths: dict) -> np.ndarray:
     """One row per block."""
     x = np.zeros((len(page), DIMS), np.float32)
@@ -178,12 +197,9 @@ def vectors(page: list[tuple[tuple[str, ...], str, int, int]], paths: dict) -> n
                 paths.clear()
             p = paths[path] = path_vector(path)
         x[k, :PATH_DIMS] = p
-        words = text.split(" ")
-        shown = words[::len(words) // 16 + 1]  # evenly spaced words describe a block; its text stays whole
-        for w in shown:
-            d, sign = _hashed(w.lower(), WORD_DIMS)
-            x[k, PATH_DIMS + d] += sign
-        x[k, PATH_DIMS:PATH_DIMS + WORD_DIMS] /= len(shown)
+        words = text.lower().split(" ")
+        n = np.bincount([_WORD_SLOT[w] for w in words], minlength=2 * WORD_DIMS)
+        x[k, PATH_DIMS:PATH_DIMS + WORD_DIMS] = (n[:WORD_DIMS] - n[WORD_DIMS:]) / len(words)
         x[k, -SHAPE_DIMS:] = (np.log1p(len(text)) / 8, np.log1p(len(words)) / 6, linked / (len(text) + 1),
                               min(links, 5) / 5, text[-1:] in ".!?", k / len(page))
     return x
@@ -272,8 +288,12 @@ class Labeller:
         """Whether each block of each page is main text."""
         out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
         order = sorted((k for k in range(len(pages)) if len(pages[k])), key=lambda k: len(pages[k]))
-        for s in range(0, len(order), SIDE):
-            part = order[s:s + SIDE]
+        parts: list[list[int]] = []
+        for k in order:
+            if not parts or len(parts[-1]) == SIDE or (len(parts[-1]) + 1) * len(pages[k]) > CELLS:
+                parts.append([])
+            parts[-1].append(k)
+        for part in parts:
             hs, _, _ = self.states(*self.padded([pages[k] for k in part]))
             y = hs @ self.v + self.d > 0
             for j, k in enumerate(part):
@@ -358,6 +378,26 @@ def train(pages: list[str], epochs: int = EPOCHS, seed: int = 7) -> Labeller:
     return model
 
 
+def slices(html: pa.Array):
+    """The pages of a batch in parts of bounded size (a longer page is one alone)."""
+    part, chars = [], 0
+    for h in html:
+        h = h.as_py() or ""
+        if part and (len(part) == READ_PAGES or chars + len(h) > READ_CHARS):
+            yield part
+            part, chars = [], 0
+        part.append(h)
+        chars += len(h)
+    if part:
+        yield part
+
+
+def page_texts(model: Labeller, pages: list[str], paths: dict) -> list[str]:
+    read = [blocks(h) for h in pages]
+    labels = model.label([vectors(b, paths) for b in read])
+    return ["\n\n".join(b[1] for b, y in zip(page, label) if y) for page, label in zip(read, labels)]
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
             train_pages: int = TRAIN_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars) per row of ``pages``."""
@@ -371,10 +411,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     @F.arrow_udf("string")
     def main_text(html: pa.Array) -> pa.Array:
-        read = [blocks(h or "") for h in html.to_pylist()]
-        labels = model.value.label([vectors(b, paths) for b in read])
-        return pa.array(["\n\n".join(b[1] for b, y in zip(page, label) if y) for page, label in zip(read, labels)],
-                        pa.string())
+        return pa.array([t for part in slices(html) for t in page_texts(model.value, part, paths)], pa.string())
 
     return rows.select("page_id", "url", main_text.asNondeterministic()("html").alias("text")) \
         .select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
