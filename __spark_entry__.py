@@ -173,6 +173,7 @@ def _stream_queries():
     q["stream_ema10"] = lambda s, d: J.run_bar_job(s, _trades(s, d), what="ema").drop("bar_time")
     q["stream_spread_bars"] = lambda s, d: J.run_bar_job(s, _trades(s, d), what="spread")
     q["stream_restart"] = lambda s, d: J.run_bar_job(s, _trades(s, d), stages=(2,), what="spread")
+    q["stream_crash_restart"] = lambda s, d: J.run_crash_job(s, _trades(s, d))[0]
     q["stream_enrich_trades"] = lambda s, d: J.run_trade_job(s, FX.wire_records(S.configure(s), d, duplicates=True))
     q["stream_late_drop"] = lambda s, d: J.run_bar_job(
         s, FX.late_stream_input(S.configure(s), d), batches=LATE_BATCHES, what="bars")

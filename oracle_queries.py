@@ -384,6 +384,7 @@ def stream_oracles() -> dict[str, str]:
         "stream_ema10": with_(TRADES, BARS, EMA) + f"select {BAR_OUT}, {R('ema10')} as ema10 from ema where {CLOSED}",
         "stream_spread_bars": o["spread_bars"] + f" where {CLOSED}",
         "stream_restart": o["spread_bars"] + f" where {CLOSED}",
+        "stream_crash_restart": o["spread_bars"] + f" where {CLOSED}",
         "stream_enrich_trades": trade_oracles()["enrich_side"],
         "stream_trade_source": trade_oracles()["decode_wire_json"],
         "wire_dead_letters": "with " + WIRE + """,

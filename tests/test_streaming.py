@@ -159,3 +159,21 @@ def test_idle_key_starts_again_from_its_seed(spark):
         for i in range(1, 31):
             ema = a * (10.0 + i) + (1 - a) * ema
             assert abs(got["B", i * m] - ema) < 1e-9
+
+
+def test_stop_between_state_and_sink(spark):
+    """Stopped inside a batch, the job ends with the rows and the state of an
+    uninterrupted run."""
+    from tickbars.sources import fixtures as FX
+    from tickbars.streaming import jobs as J
+
+    trades = FX.trades(spark, SF)
+    whole, ck1 = J.run_crash_job(spark, trades, at=None)
+    broken, ck2 = J.run_crash_job(spark, trades, at=2)
+    got = [sorted(map(str, df.collect())) for df in (whole, broken)]
+    assert got[0] and got[0] == got[1]
+    states = []
+    for ck in (ck1, ck2):
+        read = [spark.read.format("statestore").option("operatorId", k).load(ck).select("key", "value") for k in (0, 2)]
+        states.append([sorted(map(str, df.collect())) for df in read])
+    assert states[0] == states[1] and any(states[0])

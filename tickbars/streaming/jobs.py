@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import threading
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -263,6 +264,47 @@ def run_bar_job(spark: SparkSession, trades: DataFrame, batches: int = 4, stages
 
 # ------------------------------------------------------------ trade stream
 
+def crashing_writer(write, at: int):
+    """A foreachBatch writer that fails once, in batch ``at``: after the batch was
+    computed (its state is committed in the stores) and before ``write``."""
+    armed = [True]
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        if batch_id == at and armed:
+            armed.pop()
+            rows = df.persist()
+            try:
+                rows.count()
+            finally:
+                rows.unpersist()
+            raise RuntimeError(f"batch {batch_id} stopped before its sink")
+        write(df, batch_id)
+    return run
+
+
+def run_crash_job(spark: SparkSession, trades: DataFrame, batches: int = 4, at: int | None = 1) -> tuple[DataFrame, str]:
+    """The bar job, stopped inside batch ``at`` between state commit and sink and
+    started again from its checkpoint; (bars of the sink, checkpoint).  ``at``
+    None: not stopped."""
+    S.configure(spark)
+    S.ship_package(spark)
+    base = S.fresh_path(spark, "stream-crash")
+    sink, ckpt = f"{base}/sink", f"{base}/checkpoint"
+    land_batches(spark, trades.select(*TRADE_FILE_SCHEMA.fieldNames()), "arrival", batches, base)
+    write = batch_writer(sink) if at is None else crashing_writer(batch_writer(sink), at)
+    out = spread_stream(bar_stream(read_trade_files(spark, base)))
+    if at is not None:
+        try:
+            run_available(out, sink, ckpt, write)
+        except StreamingQueryException as stopped:
+            if "stopped before its sink" not in str(stopped):
+                raise
+        else:
+            raise ValueError(f"the run has no batch {at}")
+    run_available(out, sink, ckpt, write)
+    return read_sink(spark, sink, out.schema), ckpt
+
+
 def insert_ignore_writer(table: str):
     """foreachBatch: INSERT ... ON CONFLICT DO NOTHING into the day-partitioned
     trades table; reads only the days the batch touches; a replayed batch
@@ -489,16 +531,17 @@ BAR_SINK_COLUMNS = BAR_TABLE_COLUMNS
 
 
 def upsert_writer(table: str, dlq: str | None = None):
-    """foreachBatch: ON CONFLICT upsert of the batch's bars into the table.
-    Bars that break a constraint of the table are left out; with ``dlq`` they
+    """foreachBatch: ON CONFLICT upsert of the batch's bars into the bucketed
+    table (``operators.buckets``, read with ``read_bars``).  Bars that break a constraint of the table are left out; with ``dlq`` they
     are written there, in the batch's own folder, with the constraint."""
-    from tickbars.operators.tables import BAR_NOT_NULL, split_valid, upsert_days
+    from tickbars.operators.buckets import upsert_buckets
+    from tickbars.operators.tables import BAR_NOT_NULL, split_valid
 
     def write(df: DataFrame, batch_id: int) -> None:
         bars = df.persist()
         try:
             good, broken = split_valid(bars, BAR_NOT_NULL)
-            upsert_days(df.sparkSession, good, table, "window_start_ms")
+            upsert_buckets(df.sparkSession, good, table, "window_start_ms")
             if dlq:
                 broken.select(F.to_json(F.struct(*df.columns)).alias("rawPayload"),
                               F.concat(F.lit("ConstraintViolation: "), "reason").alias("error")) \
@@ -508,6 +551,19 @@ def upsert_writer(table: str, dlq: str | None = None):
     return write
 
 
+BAR_TABLE_SCHEMA = T.StructType([
+    T.StructField(c, T.StringType() if c in ("symbol", "source")
+                  else T.LongType() if c == "window_start_ms" else T.IntegerType() if c == "trade_count" else T.DoubleType())
+    for c in BAR_TABLE_COLUMNS])
+
+
+def read_bars(spark: SparkSession, table: str, days: list[int] | None = None) -> DataFrame:
+    """The bar table that ``upsert_writer`` keeps: its committed rows."""
+    from tickbars.operators.buckets import read_buckets
+
+    return read_buckets(spark, table, BAR_TABLE_SCHEMA, days)
+
+
 def run_upsert_replay(spark: SparkSession, trades: DataFrame, batches: int = 4) -> DataFrame:
     """Run the bar job into an upsert table, then replay every batch from a
     fresh checkpoint into the same table: the table must not change."""
@@ -519,7 +575,7 @@ def run_upsert_replay(spark: SparkSession, trades: DataFrame, batches: int = 4)
     for attempt in ("first", "replay"):
         out = spread_stream(bar_stream(read_trade_files(spark, base)))
         run_available(out, table, f"{base}/checkpoint-{attempt}", upsert_writer(table))
-    return spark.read.parquet(table).drop("d")
+    return read_bars(spark, table)
 
 
 # -------------------------------------------------------------- feed stream
@@ -597,7 +653,7 @@ def start_bar_job(records: DataFrame | None, table: str, checkpoint: str,
                   interval: str = "1 minute", writer=None, trades: DataFrame | None = None):
     """Bar job on a stream of topic records (``sources.wire.read_kafka`` or
     landed files), or of ``trades`` that the decode hop has decoded: bars -> EMA
-    -> spread -> upsert into the day-partitioned ``ohlcv`` table; bars that
+    -> spread -> upsert into the bucketed ``ohlcv`` table (``read_bars``); bars that
     break a constraint go to ``dlq``.  Returns the running StreamingQuery; state
     and progress live under ``checkpoint`` (use a folder under
     ``spark.checkpoint.dir``).  Records that do not decode are dropped here: run
