@@ -56,6 +56,7 @@ MEMORY = 300_000
 PARTS = 16
 
 _END_HASH = np.uint64(xxhash.xxh3_64_intdigest(b""))
+_ONES, _COLUMNS = np.ones(CLASSES, np.float32), np.arange(CLASSES)
 _START = np.uint64(0x9E3779B97F4A7C15)
 # Odd multipliers of the feature hash (fixed values; any odd 64-bit numbers do).
 _K = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
@@ -181,9 +182,9 @@ def features(h: np.ndarray, count: np.ndarray, size: int) -> np.ndarray:
 def class_scores(w: np.ndarray, f: np.ndarray) -> np.ndarray:
     """Scores of the classes before normalising, a row per token, the largest 0.
     The last row of the weights is the bias."""
-    z = w[f[0]]
-    z += w[f[1]]
-    z += w[f[2]]
+    z = w.take(f[0], axis=0)
+    z += w.take(f[1], axis=0)
+    z += w.take(f[2], axis=0)
     z += w[-1]
     z -= z.max(axis=1, keepdims=True)
     return z
@@ -193,7 +194,7 @@ def class_log_probability(w: np.ndarray, f: np.ndarray, cls: np.ndarray) -> np.n
     """Natural log probability of each token's class."""
     z = class_scores(w, f)
     own = z[np.arange(len(z)), cls]
-    return own - np.log(np.exp(z, out=z).sum(axis=1))
+    return own - np.log(np.exp(z, out=z) @ _ONES)
 
 
 def descend(w: np.ndarray, seen: np.ndarray, f: np.ndarray, cls: np.ndarray):
@@ -201,7 +202,7 @@ def descend(w: np.ndarray, seen: np.ndarray, f: np.ndarray, cls: np.ndarray):
     squared gradients per row (adaptive rates)."""
     z = class_scores(w, f)
     g = np.exp(z, out=z)
-    g /= g.sum(axis=1, keepdims=True)
+    g /= (g @ _ONES)[:, None]
     g[np.arange(len(cls)), cls] -= 1
     for rows in (*f, None):
         if rows is None:
@@ -211,10 +212,17 @@ def descend(w: np.ndarray, seen: np.ndarray, f: np.ndarray, cls: np.ndarray):
             ordered = rows[order]
             start = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
             at, n = ordered[start], np.diff(np.append(start, len(rows)))
-            sums = np.add.reduceat(g[order], start, axis=0)
+            # most rows of a step occur once: only the others are summed
+            sums = g.take(order[start], axis=0)
+            more = n > 1
+            if more.any():
+                group = np.repeat(np.arange(more.sum()) * CLASSES, n[more])
+                again = g.take(order[np.repeat(more, n)], axis=0)
+                sums[more] = np.bincount((group[:, None] + _COLUMNS).ravel(), again.ravel()).reshape(-1, CLASSES)
         sums /= np.sqrt(n, dtype=np.float32)[:, None]
         seen[at] += np.einsum("ij,ij->i", sums, sums) / sums.shape[1]
-        w[at] -= sums * (RATE / np.sqrt(seen[at] + np.float32(1e-4)))[:, None]
+        sums *= (RATE / np.sqrt(seen[at] + np.float32(1e-4)))[:, None]
+        w[at] = w.take(at, axis=0) - sums
 
 
 def _train(head, weights, size: int):
