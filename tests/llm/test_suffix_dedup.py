@@ -78,6 +78,32 @@ def test_nulls_copies_empty_table(llm):
     assert D.repeated_spans(llm.createDataFrame([(1, None, 1, "s"), (2, "", 1, "s")], SCHEMA)).count() == 2
 
 
+def spans_equal_brute_force(llm, texts):
+    df = llm.createDataFrame([(i, t, 1, "s") for i, t in enumerate(texts)], SCHEMA).coalesce(1)
+    got = {r.doc_id: r for r in D.repeated_spans(df).collect()}
+    for i, (t, want) in enumerate(zip(texts, brute(texts))):
+        assert bytes(got[i].kept) == want, i
+        assert sum(s.end - s.start for s in got[i].spans) == len(t.encode()) - len(want), i
+
+
+def test_windows_of_two_anchors_at_one_place_are_not_equal_windows(llm):
+    spans_equal_brute_force(llm, ["aabbbbababaaaaaba" + "ab" * 95 + "aaabbaabbbbabbabaaaabbaabbbaabaaa"])
+
+
+def test_spans_that_touch_over_two_texts_stay_apart(llm):
+    rnd = random.Random(0)
+    words = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randrange(1, 9))) for _ in range(300)]
+
+    def prose(n):
+        return " ".join(rnd.choice(words) for _ in range(n))[:n]
+
+    texts = []
+    for k in range(30):  # a text that ends with a passage, then one that begins with another
+        s, t = prose(205 + k), prose(240)
+        texts += [prose(40) + s, t + prose(40), prose(45) + s, t + prose(35)]
+    spans_equal_brute_force(llm, texts)
+
+
 def test_cut_points_depend_on_content_only():
     rnd = random.Random(8)
     s = bytes(rnd.choice(b"abcd ") for _ in range(600))

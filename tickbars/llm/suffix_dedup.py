@@ -283,9 +283,10 @@ def anchored_windows(shard: Shard, level: np.ndarray) -> tuple[np.ndarray, np.nd
 
 def _routes(buf: bytes, at: np.ndarray, anchor: np.ndarray, shard: Shard,
             whole: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
-    """Neighbouring windows of one anchor in groups of GROUP: (hash of the bytes that all windows of a group share,
-    hash of all bytes of its windows (``whole``), group of each window).  Equal windows lie equally far before their anchors,
-    so their groups share the same bytes."""
+    """Neighbouring windows of one anchor in groups of GROUP: (hash of the bytes that all windows of a group share and
+    of their step before the anchor, hash of all bytes of its windows (``whole``), group of each window).  Equal windows
+    lie equally far before their anchors, so their groups share bytes and step; the step tells groups at one place, of
+    two anchors, apart."""
     step = (anchor - at) // GROUP
     pair = anchor * LENGTH + step  # windows are in order, so a group's are neighbours
     head = np.r_[True, pair[1:] != pair[:-1]][:len(pair)]
@@ -295,7 +296,7 @@ def _routes(buf: bytes, at: np.ndarray, anchor: np.ndarray, shard: Shard,
     low = np.maximum(first - GROUP + 1, shard.begins[text])
     high = np.minimum(first + LENGTH, shard.ends[text])
     shared = LENGTH - GROUP + 1
-    core = [xxhash.xxh3_64_intdigest(buf[i:i + shared]) for i in first.tolist()]
+    core = [xxhash.xxh3_64_intdigest(buf[i:i + shared], seed=k) for i, k in zip(first.tolist(), (pair % LENGTH).tolist())]
     if not whole:
         return np.array(core, np.uint64), None, group
     around = [xxhash.xxh3_64_intdigest(buf[i:j], seed=j - k) for i, j, k in zip(low.tolist(), high.tolist(), first.tolist())]
@@ -422,7 +423,8 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = _loaded(r)
         at, anchor, _ = anchored_windows(shard, _level(r, shard))
         core, _, group = _routes(r["text"], at, anchor, shard, False)
-        s, e = _merged(at[_among(core, _keys(r["whole"]))[group]])
+        whole = at[_among(core, _keys(r["whole"]))[group]]
+        s, e = _merged(whole, whole + LENGTH, touching=False)
         at = at[_among(core, _keys(r["parts"]))[group]]
         keys, group, n = _window_groups(r["text"], at)
         yield pa.RecordBatch.from_arrays(
@@ -432,14 +434,13 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["shard", "level", "found", "found_end", "windows", "groups", "counts", "keys", "keys2", "n", "place"])
 
 
-def _merged(start: np.ndarray, end: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Union of intervals (windows, with no end given); touching ones become one."""
+def _merged(start: np.ndarray, end: np.ndarray, touching: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Union of intervals; touching ones become one, if asked (those of neighbouring texts touch, but never overlap)."""
     if not len(start):
         return start, start
-    end = start + LENGTH if end is None else end
     order = np.argsort(start, kind="stable")
     s, e = start[order], np.maximum.accumulate(end[order])
-    head = np.flatnonzero(np.r_[True, s[1:] > e[:-1]])
+    head = np.flatnonzero(np.r_[True, s[1:] > e[:-1] if touching else s[1:] >= e[:-1]])
     return s[head], e[np.append(head[1:], len(s)) - 1]
 
 
