@@ -119,6 +119,33 @@ def test_stream_book_keeps_emptied_books_over_batches(spark):
     assert got == exp and any(not r.bids and not r.asks for r in got)
 
 
+def test_stream_book_hands_on_runs_of_a_key(spark, monkeypatch):
+    """A key's messages leave the state in runs with the book before each; replayed
+    anywhere they are the batch's books."""
+    from pyspark.sql import functions as F
+
+    from tests.test_book import COLS, _random_rows
+    from tickbars.operators import book as B
+    from tickbars.operators.replay import replay_runs
+    from tickbars.streaming import jobs as J
+    from tickbars.streaming import processors as P
+    import pyarrow as pa
+
+    run = {"source": "A", "symbol": "B", "seq": [7, 8], "sub": [0, 0], "timestamp_ms": [None, 5], "snapshot": [False, True],
+           "changes": [1, 1], "is_bid": [True, False], "price": [10.0, 11.0], "quantity": [0.0, 2.0], "keep": [False, False],
+           "bid_price": [10.0, 9.0], "bid_quantity": [1.0, 3.0], "ask_price": [12.0], "ask_quantity": [4.0]}
+    rows = [r for b in replay_runs(5, ["source", "symbol"])([pa.RecordBatch.from_pylist([run])]) for r in b.to_pylist()]
+    assert [(r["seq"], r["timestamp_ms"], r["bid_price"], r["ask_price"], r["ask_quantity"]) for r in rows] \
+        == [(7, None, [9.0], [12.0], [4.0]), (8, 5, [], [11.0], [2.0])]
+    monkeypatch.setattr(P.BookProcessor.__init__, "__defaults__", (8,))
+    monkeypatch.setattr(P, "RUNS", 3)
+    time = F.when(F.col("seq") % 3 > 0, F.col("seq") * 10)
+    deltas = spark.createDataFrame(_random_rows(6, 200), COLS).withColumn("timestamp_ms", time)
+    cols = ["source", "symbol", "seq", "sub", "timestamp_ms", "bids", "asks"]
+    got = sorted(map(str, J.run_book_job(spark, deltas, batches=2, depth=4).select(*cols).collect()))
+    assert got and got == sorted(map(str, B.replayed_books(deltas, 4, bucket=8).select(*cols).collect()))
+
+
 def test_book_topic_and_liveness_keys(spark):
     con = duckdb.connect()
     con.execute(f"create view events as select * from read_parquet('{SF}/events.parquet')")

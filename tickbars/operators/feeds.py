@@ -379,9 +379,8 @@ def feed1_books(frames: DataFrame, strict: bool = True) -> DataFrame:
 def flatten_book(books: DataFrame, keys: list[str]) -> DataFrame:
     """Snapshot arrays -> one row per (side, level) for checks and tables;
     one generator over both sides (no union, one pass)."""
-    def side(name: str, label: str) -> Column:
-        return F.transform(name, lambda x, i: F.struct(F.lit(label).alias("side"), (i + 1).alias("level"),
-                                                       x["price"].alias("price"),
-                                                       x["quantity"].alias("quantity")))
-    rows = books.select(*keys, F.explode_outer(F.concat(side("bids", "bid"), side("asks", "ask"))).alias("l"))
-    return rows.filter(F.col("l").isNotNull()).select(*keys, "l.side", "l.level", "l.price", "l.quantity")
+    rows = books.select(*keys, F.size("bids").alias("_n"), F.posexplode_outer(F.concat("bids", "asks")).alias("_at", "l"))
+    is_bid = F.col("_at") < F.col("_n")
+    return rows.filter(F.col("_at").isNotNull()).select(
+        *keys, F.when(is_bid, "bid").otherwise("ask").alias("side"),
+        F.when(is_bid, F.col("_at") + 1).otherwise(F.col("_at") - F.col("_n") + 1).alias("level"), "l.price", "l.quantity")

@@ -446,12 +446,15 @@ BOOK_ROW = ["source", "symbol", "seq", "sub", "timestamp_ms", "bids", "asks"]
 
 def book_stream(deltas: DataFrame, depth: int = 20) -> DataFrame:
     """Prepared level changes -> one book row per message (``BOOK_ROW``), empty
-    books included."""
+    books included.  The keyed state gives runs of messages with the book before
+    each; the runs are dealt out over all tasks and replayed there."""
     from tickbars.constants import NULL_KEY
     from tickbars.operators.book import with_sides
+    from tickbars.operators.replay import RUN_SCHEMA, replay_runs
     from tickbars.streaming.processors import BookProcessor
-    out = deltas.groupBy("source", "symbol").transformWithStateInPandas(
-        BookProcessor(depth), BOOK_SCHEMA, "Append", "None")
+    keys = ["source", "symbol"]
+    runs = deltas.groupBy(*keys).transformWithStateInPandas(BookProcessor(), RUN_SCHEMA, "Append", "None")
+    out = runs.repartition(*keys, F.col("seq")[0], F.col("sub")[0]).mapInArrow(replay_runs(depth, keys), BOOK_SCHEMA)
     return with_sides(out).withColumns({k: F.when(F.col(k) != NULL_KEY, F.col(k)) for k in ("source", "symbol")})
 
 
