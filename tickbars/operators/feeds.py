@@ -56,8 +56,9 @@ def _field(v: Column, path: str, dtype: str, default=None) -> tuple[Column, Colu
     """(typed value, 'present but not convertible').  Missing or JSON null
     gives ``default``."""
     raw = _get(v, path, "variant")
-    val = F.try_variant_get(raw, "$", dtype)
-    bad = raw.isNotNull() & ~F.is_variant_null(raw) & val.isNull()
+    val = _get(v, path, dtype)
+    # the value first: the element is looked at again only where it gave none
+    bad = val.isNull() & raw.isNotNull() & ~F.is_variant_null(raw)
     if default is not None:
         val = F.coalesce(val, F.lit(default).cast(dtype))
     return val, F.coalesce(bad, F.lit(False))
@@ -67,9 +68,16 @@ def _text(v: Column, path: str) -> Column:
     return F.coalesce(_get(v, path, "string"), F.lit(""))
 
 
-def _iso_time(text: Column, fallback: Column) -> tuple[Column, Column]:
-    parsed = iso_to_ms(text)
-    return F.when(text == "", fallback).otherwise(parsed), (text != "") & parsed.isNull()
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _with_time(text: Column, fallback: Column, body) -> Column:
+    """``body`` of (epoch ms of an instant text, 'present but no instant'); parsed once."""
+    parsed = lambda t: F.when(t == "", fallback).otherwise(iso_to_ms(t))
+    return _let(text, lambda t: _let(F.struct(parsed(t).alias("ms"), (t == "").alias("none")), lambda x: body(
+        x["ms"], ~x["none"] & x["ms"].isNull())))
 
 
 def _trade(pos, event_time, symbol, trade_id, price, qty, trade_time, maker, bad) -> Column:
@@ -94,10 +102,10 @@ def _feed2_trades(v: Column, recv: Column) -> Column:
     def one(t: Column) -> Column:
         price, b1 = _field(t, "$.price", "double", 0.0)
         size, b2 = _field(t, "$.size", "double", 0.0)
-        t_time, b3 = _iso_time(_text(t, "$.time"), recv)
         tid = F.coalesce(_get(t, "$.trade_id", "bigint"), F.lit(0).cast("bigint"))
-        return _trade(F.lit(0), recv, coinbase_symbol(_text(t, "$.product_id")), tid,
-                      price, size, t_time, _text(t, "$.side") == FEED2_SELL, b1 | b2 | b3)
+        return _with_time(_text(t, "$.time"), recv, lambda t_time, b3: _trade(
+            F.lit(0), recv, coinbase_symbol(_text(t, "$.product_id")), tid, price, size, t_time,
+            _text(t, "$.side") == FEED2_SELL, b1 | b2 | b3))
 
     events = F.coalesce(_get(v, "$.events", VARR), F.array().cast(VARR))
     flat = F.flatten(F.transform(events, lambda e: F.transform(
@@ -108,12 +116,12 @@ def _feed2_trades(v: Column, recv: Column) -> Column:
 
 def _feed3_trades(v: Column, recv: Column) -> Column:
     def one(t: Column, i: Column) -> Column:
-        t_time, bad = _iso_time(_text(t, "$.timestamp"), recv)
-        return _trade(i, t_time, kraken_symbol(_text(t, "$.symbol")),
-                      F.coalesce(_get(t, "$.trade_id", "bigint"), F.lit(0).cast("bigint")),
-                      F.coalesce(_get(t, "$.price", "double"), F.lit(0.0)),
-                      F.coalesce(_get(t, "$.qty", "double"), F.lit(0.0)),
-                      t_time, _text(t, "$.side") == FEED3_SELL, bad)
+        return _with_time(_text(t, "$.timestamp"), recv, lambda t_time, bad: _trade(
+            i, t_time, kraken_symbol(_text(t, "$.symbol")),
+            F.coalesce(_get(t, "$.trade_id", "bigint"), F.lit(0).cast("bigint")),
+            F.coalesce(_get(t, "$.price", "double"), F.lit(0.0)),
+            F.coalesce(_get(t, "$.qty", "double"), F.lit(0.0)),
+            t_time, _text(t, "$.side") == FEED3_SELL, bad))
 
     data = F.coalesce(_get(v, "$.data", VARR), F.array().cast(VARR))
     return F.transform(data, one)
@@ -140,16 +148,16 @@ def _feed2_levels(v: Column, recv: Column) -> Column:
     def event(e: Column, i: Column) -> Column:
         kind = F.when(_text(e, "$.type") == SNAPSHOT, SNAPSHOT).otherwise("update")
         sym = coinbase_symbol(_text(e, "$.product_id"))
-        ts, bad_t = _iso_time(_text(e, "$.time"), recv)
         ups = F.coalesce(_get(e, "$.updates", VARR), F.array().cast(VARR))
 
-        def upd(u: Column, j: Column) -> Column:
+        def upd(ts: Column, u: Column, j: Column) -> Column:
             price, b1 = _field(u, "$.price_level", "double", 0.0)
             qty, b2 = _field(u, "$.new_quantity", "double", 0.0)
             side = F.when(_text(u, "$.side") == BID, "bid").otherwise("ask")
             return _level(i, kind, sym, side, price, qty, F.lit(False), ts, b1 | b2, j)
 
-        return F.concat(F.array(_header(i, kind, sym, F.lit(False), ts)), F.transform(ups, upd))
+        return _with_time(_text(e, "$.time"), recv, lambda ts, bad_t: F.concat(
+            F.array(_header(i, kind, sym, F.lit(False), ts)), F.transform(ups, lambda u, j: upd(ts, u, j))))
 
     events = F.coalesce(_get(v, "$.events", VARR), F.array().cast(VARR))
     return F.flatten(F.transform(events, event))
@@ -162,17 +170,19 @@ def _feed3_levels(v: Column, recv: Column) -> Column:
 
     def item(d: Column, i: Column) -> Column:
         sym = kraken_symbol(_text(d, "$.symbol"))
-        ts, bad_t = _iso_time(_text(d, "$.timestamp"), recv)
 
-        def side(name: str, label: str) -> Column:
+        def side(ts: Column, name: str, label: str) -> Column:
             arr = F.coalesce(_get(d, f"$.{name}", VARR), F.array().cast(VARR))
             return F.transform(arr, lambda x: _level(
                 i, kind, sym, F.lit(label), F.coalesce(_get(x, "$.price", "double"), F.lit(0.0)),
                 F.coalesce(_get(x, "$.qty", "double"), F.lit(0.0)), keep, ts, F.lit(False)))
 
-        both = F.transform(F.concat(side("bids", "bid"), side("asks", "ask")),
-                           lambda x, j: x.withField("lpos", j.cast("bigint")))
-        return F.concat(F.array(_header(i, kind, sym, keep, ts)), both)
+        def message(ts: Column) -> Column:
+            both = F.transform(F.concat(side(ts, "bids", "bid"), side(ts, "asks", "ask")),
+                               lambda x, j: x.withField("lpos", j.cast("bigint")))
+            return F.concat(F.array(_header(i, kind, sym, keep, ts)), both)
+
+        return _with_time(_text(d, "$.timestamp"), recv, lambda ts, bad_t: message(ts))
 
     data = F.coalesce(_get(v, "$.data", VARR), F.array().cast(VARR))
     return F.flatten(F.transform(data, item))

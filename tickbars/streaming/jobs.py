@@ -79,7 +79,8 @@ def land_batches(spark: SparkSession, df: DataFrame, order: str, batches: int, f
         .filter((F.col("_batch") >= first) & (F.col("_batch") < last)) \
         .withColumn("_file", F.pmod(F.xxhash64(order), F.lit(files)).cast("int"))
     staging = f"{folder}/_staging/{first:05d}-{last:05d}"
-    (sliced.repartition(max(1, last - first) * files, "_batch", "_file")
+    # a file a task: by hash, several files fell to one task and others had none
+    (sliced.repartitionById(max(1, last - first) * files, (F.col("_batch") - F.lit(first)) * files + F.col("_file"))
      .write.mode("overwrite").partitionBy("_batch", "_file").json(staging))
     fs, _, jvm = _fs(spark, staging)
     Path = jvm.org.apache.hadoop.fs.Path
