@@ -73,3 +73,13 @@ def test_openers_number_words_and_other_names(llm):
              tom.replace("Tom", "Ben").replace("Sue", "Eva").replace("Ann eats", "Ann sells").replace("2 of", "2 or")]
     assert found(llm, texts, [tom, mac, planet, twice]) == {
         (0, 0): False, (1, 1): False, (2, 2): True, (3, 1): True, (4, 3): True}
+
+
+def test_keep_clean_shuffles_only_texts_that_may_go(llm):
+    """A clean text reaches the anti join of no shuffle; null texts and repeated rows stay as they came."""
+    texts = [f"Some other text of number {k} on its own" for k in range(60)]
+    df = llm.createDataFrame([(k, t) for k, t in enumerate([*texts, ITEM, None, None, texts[0]])], "doc_id long, text string")
+    kept = D.keep_clean(df, bench(llm, [ITEM]))
+    assert sorted(r.doc_id for r in kept.collect()) == [k for k in range(64) if k != 60]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lstrip().startswith("Union") and plan.count("LeftAnti") == 1

@@ -136,3 +136,50 @@ def test_candidates_follow_the_links_of_near_copies(llm, monkeypatch):
         monkeypatch.undo()
         assert [(d, got[d]) for d, _, c in brute(rows, 4, 85)] == [(d, c) for d, _, c in brute(rows, 4, 85)]
         assert sum(seen) <= 3 * linked + copies, (sum(seen), linked)
+
+
+def test_rows_without_a_partner_leave_no_posts(llm):
+    """Sets that share a token but are too far apart in size never meet in a tree."""
+    words = [f"w{k}" for k in range(400)]
+    texts = [words[:10], words[:200], words[300:340], words[300:338], words[:7] + words[200:300]]
+    docs = llm.createDataFrame([(" ".join(t),) for t in texts], "text string")
+    often = llm.sparkContext.broadcast(b"")
+    posts = J._posts(docs, often, 4, 85)[1]
+    assert {r.n for r in posts.collect()} == {37, 35}
+
+
+def test_split_by_keys(llm):
+    from tickbars.llm.common import split_by_keys
+
+    docs = llm.range(1000).selectExpr("nullif(id, 5) doc_id", "cast(id as string) text")
+    may, others = split_by_keys(docs, docs["doc_id"], llm.range(0, 1000, 10).selectExpr("id k"))
+    may, others = {r.text for r in may.collect()}, {r.text for r in others.collect()}
+    assert not may & others and len(may | others) == 1000 and "5" in others
+    assert {str(k) for k in range(0, 1000, 10)} <= may and len(may) < 110
+
+
+def test_keep_first_shuffles_only_rows_that_may_go(llm, tmp_path):
+    """A row that is no copy reaches no join of two large sides, and tables that nothing reads are gone."""
+    import os
+
+    from tickbars import session as S
+
+    rnd = random.Random(5)
+    texts = [" ".join(f"w{rnd.randrange(900)}" for _ in range(60)) for _ in range(200)]
+    docs = llm.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(500, texts[3]), (501, texts[4] + " end"),
+                               (7, texts[7]), (None, texts[8]), (None, texts[8])], "doc_id long, text string")
+    root = S.shared_root(llm).split(":", 1)[-1].replace("//", "", 1) if ":" in S.shared_root(llm) else S.shared_root(llm)
+    before = set(os.listdir(f"{root}/tickbars"))
+    was = llm.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    llm.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = J.keep_first(docs)
+        rows = kept.collect()
+    finally:
+        llm.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in rows) == [(False, k) for k in range(200)] + [(True, 0)] * 2
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lstrip().startswith("Union") and plan.count("LeftAnti") == 1
+    new = {x.rsplit("-", 1)[0] for x in set(os.listdir(f"{root}/tickbars")) - before
+           if os.path.isdir(f"{root}/tickbars/{x}")}
+    assert not new & {"sketches", "prefixes", "posts", "open-posts", "near-sets", "tree-sets"}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickbars import session as S
@@ -18,6 +18,8 @@ from tickbars import session as S
 BATCH_ROWS = 1000
 #: Words a worker remembers the hash of; past this the memory is emptied.
 WORD_MEMORY = 150_000
+#: Buckets of the bitmap that tells which rows may have one of some keys (bound of a broadcast).
+KEY_BUCKETS = 1 << 24
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -37,6 +39,19 @@ def text_bytes(col: str = "text"):
     return F.coalesce(F.col(col).cast("binary"), F.lit(b"").cast("binary"))
 
 
+def split_by_keys(docs: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of ``docs`` that may have one of the ``keys``, rows that have none),
+    told by a bitmap of hashed keys, so the others need no shuffle.  A null key
+    is none of them.  ``keys`` is a stored table of one column."""
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(KEY_BUCKETS))
+    words = keys.select(bucket(F.col(keys.columns[0])).alias("b")).groupBy(
+        F.shiftright("b", 6).alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, int(b & 63))")).alias("__bits"))
+    marked = docs.withColumn("__bucket", bucket(key)).join(
+        F.broadcast(words), F.shiftright("__bucket", 6) == F.col("__word"), "left")
+    may = F.coalesce(F.expr("getbit(__bits, int(__bucket & 63)) = 1"), F.lit(False)) & key.isNotNull()
+    return marked.filter(may).select(*docs.columns), marked.filter(~may).select(*docs.columns)
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, remembered per worker."""
 

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickbars import session as S
-from tickbars.llm.common import WORD_MEMORY, _MULT, mix, text_bytes
+from tickbars.llm.common import WORD_MEMORY, _MULT, mix, split_by_keys, text_bytes
 
 import xxhash
 
@@ -333,7 +333,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text matches no item, with all columns."""
+    """The rows of ``docs`` whose text matches no item, with all columns.  Only
+    texts that may be contaminated are shuffled."""
     digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
-    bad = contaminated(docs, benchmark, digest, text_col).select(F.col("key").alias("__digest")).distinct()
-    return docs.join(bad, digest == F.col("__digest"), "left_anti")
+    bad = S.materialize(contaminated(docs, benchmark, digest, text_col).select(F.col("key").alias("__digest")).distinct(),
+                        "contaminated")
+    may, clean = split_by_keys(docs, digest, bad)
+    return clean.unionByName(may.join(bad, digest == F.col("__digest"), "left_anti"))

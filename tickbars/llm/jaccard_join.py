@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tickbars import session as S
 from tickbars.llm import signature_tree as T
-from tickbars.llm.common import WORD_HASHES, signed, text_bytes, window_hashes
+from tickbars.llm.common import WORD_HASHES, signed, split_by_keys, text_bytes, window_hashes
 from tickbars.llm.components import components
 
 SHINGLE = 4
@@ -258,12 +258,16 @@ def _bucket():
     return F.pmod(F.xxhash64("doc_id"), F.lit(WANTED_BUCKETS)).cast("int")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, shingle: int, pct: int, name: str) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, shingle: int, pct: int, name: str,
+              done: tuple[DataFrame, ...] = ()) -> DataFrame:
     """The pairs (a, b) of set ids whose sets link, by exact comparison.  Of each
     set that takes part one document is read again, told by the bucket of its id;
-    the texts are scanned, not shuffled."""
+    the texts are scanned, not shuffled.  ``done``: tables that nothing reads
+    once the pairs are written."""
     spark = pairs.sparkSession
     pairs = S.materialize(pairs, f"{name}-pairs")
+    for table in done:
+        S.discard(table)
     sids = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
     flags = np.zeros(WANTED_BUCKETS, bool)
     one = members.join(sids, "sid", "left_semi").groupBy("sid").agg(F.min(_bucket()).alias("k"))
@@ -286,7 +290,10 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, shingle: in
 
     joined = pairs.join(sets.select(F.col("sid").alias("a"), F.col("tokens").alias("x")), "a") \
         .join(sets.select(F.col("sid").alias("b"), F.col("tokens").alias("y")), "b")
-    return S.materialize(joined.filter(linked("x", "y")).select("a", "b"), f"{name}-links")
+    found = S.materialize(joined.filter(linked("x", "y")).select("a", "b"), f"{name}-links")
+    S.discard(sets)
+    S.discard(pairs)
+    return found
 
 
 def _with_bits(posts: DataFrame, sets: DataFrame) -> DataFrame:
@@ -297,7 +304,7 @@ def _with_bits(posts: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _posts(docs: DataFrame, often, shingle: int, pct: int) -> tuple[DataFrame, DataFrame]:
     """The distinct sets with prefix and bitmaps, and a row per set and prefix
-    token that at least two sets carry: (sid, n, rest, token, tier, in_tree)."""
+    token by which another set may link: (sid, n, rest, token, tier, in_tree)."""
     schema = "sid long, n long, prefix array<long>, bits binary, bits_dense binary, bits_wide binary"
     sets = docs.select(text_bytes("text").alias("t")).mapInArrow(_prefixes(often, shingle, pct), schema)
     sets = S.materialize(sets.groupBy("sid").agg(*[F.first(c).alias(c) for c in schema.replace(",", "").split()[2::2]]),
@@ -307,11 +314,15 @@ def _posts(docs: DataFrame, often, shingle: int, pct: int) -> tuple[DataFrame, D
     posts = sets.select("sid", "n", tiers.alias("tiers"), F.posexplode("prefix").alias("at", "token")) \
         .select("sid", "n", (F.col("n") - F.col("at")).alias("rest"), "token", F.explode("tiers").alias("tier"))
     whole = Window.partitionBy("tier", "token")
-    # At the first token that two linked sets share, the smaller one still has 2 pct / (100 + pct)
-    # of itself to come.  So a row matters if it is that early, or not smaller than one that is.
-    early = (100 + pct) * F.col("rest") >= 2 * pct * F.col("n")
-    posts = posts.withColumn("least", F.min(F.when(early, F.col("n"))).over(whole)) \
-        .filter(early | (F.col("least") <= F.col("n"))).drop("least")
+    # At the first token that two linked sets share, what is to come of each holds all they share:
+    # neither is larger than ``most`` of the other.  So a row matters if the next larger set is not,
+    # or if a smaller set may be, and its size is not over ``most`` of one before it.
+    by_size = whole.orderBy("n", "sid")
+    posts = posts.withColumn("most", F.expr(f"{100 + pct} * rest div {pct} - n")).withColumns({
+        "least": F.first("n").over(by_size.rowsBetween(Window.unboundedPreceding, 0)),
+        "before": F.max("most").over(by_size.rowsBetween(Window.unboundedPreceding, -1)),
+        "next": F.lead("n").over(by_size)}) \
+        .filter("next <= most or (least <= most and n <= before)").drop("most", "least", "before", "next")
     posts = posts.withColumns({"low": F.min("sid").over(whole), "high": F.max("sid").over(whole),
                                "in_tree": F.count(F.lit(1)).over(whole)}).filter("low < high").drop("low", "high")
     return sets, S.materialize(posts, "posts")
@@ -324,15 +335,19 @@ def _near_pairs(sets: DataFrame, posts: DataFrame, pct: int) -> DataFrame:
         _neighbours(pct), "a long, b long").distinct()
 
 
-def _tree_pairs(sets: DataFrame, posts: DataFrame, comps: DataFrame, pct: int) -> DataFrame:
-    """Candidate pairs of different components, from the signature trees."""
+def _open_posts(posts: DataFrame, comps: DataFrame) -> DataFrame:
+    """The rows of trees that hold more than one component, cut into blocks."""
     whole = Window.partitionBy("tier", "token")
     posts = posts.join(comps.select(F.col("node").alias("sid"), "comp"), "sid", "left").withColumn(
         "comp", F.coalesce("comp", "sid"))
     posts = posts.withColumns({"low": F.min("comp").over(whole), "high": F.max("comp").over(whole)}).filter("low < high") \
         .withColumn("block", F.floor((F.row_number().over(whole.orderBy("n", "sid")) - 1) / BLOCK).cast("int")) \
         .withColumn("blocks", F.max("block").over(whole) + 1).drop("low", "high")
-    posts = S.materialize(posts, "open-posts")
+    return S.materialize(posts, "open-posts")
+
+
+def _tree_pairs(sets: DataFrame, posts: DataFrame, pct: int) -> DataFrame:
+    """Candidate pairs of different components, from the signature trees."""
     one = posts.filter("blocks = 1").select(
         "tier", "token", F.lit(0).alias("bi"), F.lit(0).alias("bj"), F.lit(0).alias("side"), "sid", "n", "comp", "rest", "in_tree")
     many = posts.filter("blocks > 1")
@@ -373,12 +388,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets, posts = _posts(docs, often, shingle, pct)
     near = _verified(_near_pairs(sets, posts, pct), docs, members, shingle, pct, "near")
     comps = S.materialize(components(near), "near-components")
-    rest = _verified(_tree_pairs(sets, posts, comps, pct), docs, members, shingle, pct, "tree")
+    still = _open_posts(posts, comps)
+    S.discard(posts)
+    rest = _verified(_tree_pairs(sets, still, pct), docs, members, shingle, pct, "tree", (sets, still))
     stars = comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))
     comps = components(rest.select("a", "b").union(stars))
 
     named = S.materialize(members.join(comps.select(F.col("node").alias("sid"), "comp"), "sid", "left").withColumn(
         "comp", F.coalesce("comp", "sid")), "members")
+    S.discard(sketches)
     least = named.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("least"))
     return named.join(least, "comp", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
@@ -389,12 +407,11 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One document of each group, that of the smallest id, with its columns
     unchanged.  Rows of one id and one text are one document; rows with a null
     id belong to no group and stay."""
-    found = S.materialize(jaccard_components(docs, id_col, text_col, shingle, pct), "components")
-    named = found.filter(F.col("doc_id").isNotNull())
-    drop = named.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
-    again = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m")).filter("m > 1") \
-        .select(F.col("doc_id").alias("__id"))
-    kept = docs.join(drop, docs[id_col] == F.col("__id"), "left_anti")
-    once = kept.join(again, kept[id_col] == F.col("__id"), "left_anti")
-    repeated = kept.join(again, kept[id_col] == F.col("__id"), "left_semi").dropDuplicates([id_col, text_col])
-    return once.unionByName(repeated)
+    found = jaccard_components(docs, id_col, text_col, shingle, pct).filter(F.col("doc_id").isNotNull())
+    marked = S.materialize(found.groupBy(F.col("doc_id").alias("__id")).agg(
+        F.bool_or(F.col("doc_id") != F.col("component_id")).alias("gone"), F.count(F.lit(1)).alias("m"))
+        .filter("gone or m > 1"), "marked")
+    # only rows that may go or repeat are shuffled; of the others each id comes once
+    may, others = split_by_keys(docs, docs[id_col], marked.select("__id"))
+    kept = may.join(marked.filter("gone"), may[id_col] == F.col("__id"), "left_anti")
+    return others.unionByName(kept.dropDuplicates([id_col, text_col]))
