@@ -138,6 +138,19 @@ def test_candidates_follow_the_links_of_near_copies(llm, monkeypatch):
         assert sum(seen) <= 3 * linked + copies, (sum(seen), linked)
 
 
+def test_traversal_memory_is_bounded():
+    """Pairs that passed wait unexpanded: a tree whose pairs all pass takes little memory."""
+    import tracemalloc
+
+    n = 2048
+    tree = T.grow(T.leaves(np.full(n, 40), np.arange(n), np.full(n, 40), np.full((n, 2), (1 << 20) - 1, np.uint64)))
+    tracemalloc.start()
+    pairs = sum(len(i) for i, _ in T.traverse(tree, tree, 85))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pairs == n * (n - 1) // 2 and peak < 8_000_000
+
+
 def test_rows_without_a_partner_leave_no_posts(llm):
     """Sets that share a token but are too far apart in size never meet in a tree."""
     words = [f"w{k}" for k in range(400)]

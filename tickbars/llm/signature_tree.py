@@ -23,8 +23,8 @@ from __future__ import annotations
 import numpy as np
 
 FAN = 16
-#: Node pairs looked at in one step; bounds the memory of a traversal.
-STEP = 32_768
+#: Node pairs looked at in one step; each depth of a traversal holds no more.
+STEP = 16_384
 
 
 class Level:
@@ -75,29 +75,30 @@ def possible(a: Level, b: Level, i: np.ndarray, j: np.ndarray, pct: int) -> np.n
 
 def traverse(left: list[Level], right: list[Level], pct: int):
     """Dual traversal from the two roots: yields arrays of leaf pairs (i, j)
-    that may link; ``right is left`` gives each pair once, i < j."""
+    that may link; ``right is left`` gives each pair once, i < j.  Pairs that
+    passed wait on the stack, and their children are made a step at a time."""
     same = right is left
-    stack = [(len(left) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
-    while stack:
-        depth, i, j = stack.pop()
-        if len(i) > STEP:
-            stack.extend((depth, i[k:k + STEP], j[k:k + STEP]) for k in range(0, len(i), STEP))
-            continue
-        a, b = left[depth], right[depth]
-        ok = possible(a, b, i, j, pct)
+    di, dj = np.divmod(np.arange(FAN * FAN), FAN)
+    parents = STEP // (FAN * FAN)
+
+    def passed(depth, i, j):
+        ok = possible(left[depth], right[depth], i, j, pct)
         if same and depth == 0:
             ok &= i < j
-        i, j = i[ok], j[ok]
+        return depth, i[ok], j[ok]
+
+    stack = [passed(len(left) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    while stack:
+        depth, i, j = stack.pop()
         if not len(i):
             continue
         if depth == 0:
             yield i, j
             continue
-        di, dj = np.divmod(np.arange(FAN * FAN), FAN)
-        for k in range(0, len(i), STEP // 64):
-            ci = (i[k:k + STEP // 64, None] * FAN + di).ravel()
-            cj = (j[k:k + STEP // 64, None] * FAN + dj).ravel()
-            there = (ci < len(left[depth - 1])) & (cj < len(right[depth - 1]))
-            if same:
-                there &= ci <= cj
-            stack.append((depth - 1, ci[there], cj[there]))
+        stack.append((depth, i[parents:], j[parents:]))
+        ci = (i[:parents, None] * FAN + di).ravel()
+        cj = (j[:parents, None] * FAN + dj).ravel()
+        there = (ci < len(left[depth - 1])) & (cj < len(right[depth - 1]))
+        if same:
+            there &= ci <= cj
+        stack.append(passed(depth - 1, ci[there], cj[there]))
