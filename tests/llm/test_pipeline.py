@@ -1,7 +1,9 @@
 import random
 import sys
 from pathlib import Path
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
@@ -80,3 +82,21 @@ def test_edge_tables(llm, folder, k):
     if k < 4:
         assert out.columns == docs.columns, name
     assert stage(llm, docs.filter("false"), folder).count() == 0
+
+
+def test_stages_keep_one_word_memory_a_worker():
+    """A worker outlives a stage: the tokenizer of one run must not stay beside the word memories of the next."""
+    from tickbars.llm import common as C
+    from tickbars.llm import decontaminate as D
+    from tickbars.llm import word_bpe as W
+    from tickbars.llm.packing import _pieces
+    from tickbars.llm.quality_rules import _passing
+    from tickbars.llm.queries import tokenizer_path
+
+    rows = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([b"one two"])], ["doc_id", "text"])
+    none = (bytes(D.BUCKETS // 8),) * 2
+    runs = {"word bpe": _pieces(tokenizer_path(), 2048), None: _passing("text"),
+            "canonical words": D._scan((D.WINDOW,), SimpleNamespace(value=none))}
+    for name, run in [*runs.items(), *runs.items()]:
+        list(run(iter([rows])))
+        assert {k for k, m in C._REMEMBERED.items() if m} == {name} - {None}

@@ -7,7 +7,10 @@ never decoded unless code points are needed.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +55,46 @@ def split_by_keys(docs: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFr
     return marked.filter(may).select(*docs.columns), marked.filter(~may).select(*docs.columns)
 
 
+#: What operators remember in this worker from batch to batch, by name.
+_REMEMBERED: dict[str, dict] = {}
+
+
+def remembered(name: str, memory: dict) -> dict:
+    _REMEMBERED[name] = memory
+    return memory
+
+
+def only(name: str | None = None) -> None:
+    """Empties what operators other than ``name`` remember in this worker."""
+    others = [m for k, m in _REMEMBERED.items() if k != name and m]
+    for m in others:
+        m.clear()
+    if others:
+        give_back()
+
+
+def give_back() -> None:
+    """Hands memory that is free inside the process back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def in_turn(run, name: str | None = None):
+    """``run``, a function for mapInArrow, that shares its worker with no other
+    operator's memory.  Workers outlive a stage: what the tasks of one operator
+    remember would else stay beside the memory of all later ones.  The memories
+    are told by name, since a task's closure holds copies of objects."""
+    def turn(batches):
+        only(name)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return turn
+
+
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, remembered per worker."""
 
@@ -65,7 +108,7 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-WORD_HASHES = WordHashes()
+WORD_HASHES = remembered("word hashes", WordHashes())
 
 # Odd multipliers of the window hash (fixed values; any odd 64-bit numbers do).
 _MULT = [np.uint64(x) for x in (

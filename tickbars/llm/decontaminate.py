@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickbars import session as S
-from tickbars.llm.common import WORD_MEMORY, _MULT, mix, split_by_keys, text_bytes
+from tickbars.llm.common import WORD_MEMORY, _MULT, in_turn, mix, remembered, split_by_keys, text_bytes
 
 import xxhash
 
@@ -74,11 +74,16 @@ class Canon(dict):
 
     def __init__(self):
         super().__init__()
+        self.core = {}
+        self.clear()
+
+    def clear(self):
+        super().clear()
+        self.core.clear()
         self.code = np.zeros(WORD_MEMORY, np.uint64)
         self.kind = np.zeros(WORD_MEMORY, np.int8)
         self.ends = np.zeros(WORD_MEMORY, bool)
         self.soft = np.zeros(WORD_MEMORY, bool)
-        self.core = {}
 
     def __missing__(self, word: bytes) -> int:
         row = len(self)
@@ -132,7 +137,7 @@ def canonical(word: bytes) -> tuple[int, str, bool]:
     return LITERAL, core, ends
 
 
-_CANON = Canon()
+_CANON = remembered("canonical words", Canon())
 
 
 def canonical_words(texts: list[bytes]):
@@ -265,7 +270,7 @@ def _scan(widths: tuple[int, ...], flags):
                 pa.array(slots, pa.list_(pa.string())), pa.array(held, pa.int64()), pa.array(soft, pa.int64()),
                 pa.array(safe, pa.bool_()), pa.array(n_safe[d], pa.int64())],
                 ["key", "words", "pos", "hash", "slots", "held", "soft", "safe", "n_safe"])
-    return run
+    return in_turn(run, "canonical words")
 
 
 def _windows(df: DataFrame, key: Column, key_type: str, text_col: str, widths, flags) -> DataFrame:

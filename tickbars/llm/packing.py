@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickbars import session as S
-from tickbars.llm.common import text_bytes
+from tickbars.llm.common import in_turn, only, text_bytes
 from tickbars.llm.word_bpe import word_bpe
 
 CAPACITY = 2048
@@ -100,7 +100,7 @@ def _pieces(path: str, capacity: int):
                 [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
                  *[pa.array(x, pa.int64()) for x in (start, length, crc)]],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
-    return run
+    return in_turn(run, "word bpe")
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity: int) -> DataFrame:
@@ -136,6 +136,7 @@ def _placer(spark, plan):
 
     @F.arrow_udf("struct<sequence_id: bigint, offset: bigint>")
     def place(length: pa.Array, rank: pa.Array) -> pa.Array:
+        only()
         t = shared.value
         x, r = np.asarray(length), np.asarray(rank)
         at = np.searchsorted(t[:, 0] << 40 | t[:, 1], x << 40 | r, side="right") - 1

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickbars import session as S
-from tickbars.llm.common import text_bytes
+from tickbars.llm.common import in_turn, only, text_bytes
 
 MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
@@ -71,6 +71,7 @@ def counts_struct(text: Column) -> Column:
 
     @F.arrow_udf(f"struct<{schema}>")
     def count(texts: pa.Array) -> pa.Array:
+        only()
         rows = [text_counts(t) for t in texts.to_pylist()]
         cols = list(zip(*rows)) if rows else [[]] * len(COUNTS)
         return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in cols], COUNTS)
@@ -137,7 +138,7 @@ def _passing(text_col: str):
                 n, _, _, _, repeats = text_counts(t or b"")
                 keep.append(n >= MIN_WORDS and 100 * repeats <= MAX_REPEAT_PCT * n)
             yield batch.filter(pa.array(keep, pa.bool_()))
-    return run
+    return in_turn(run)
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",

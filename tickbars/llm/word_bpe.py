@@ -14,6 +14,8 @@ from array import array
 
 import numpy as np
 
+from tickbars.llm.common import remembered
+
 #: Words a worker remembers; past this the memory is emptied.
 MEMORY = 600_000
 #: Id that ends every document.
@@ -90,7 +92,7 @@ class WordBpe(dict):
         return flat[at].astype("<u4"), upto[ends]
 
 
-_LOADED: dict[str, WordBpe] = {}
+_LOADED: dict[str, WordBpe] = remembered("word bpe", {})
 
 
 def word_bpe(path: str) -> WordBpe:
