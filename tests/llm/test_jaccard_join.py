@@ -2,6 +2,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tickbars.llm import signature_tree as T
 from tickbars.llm.components import components
@@ -196,3 +197,23 @@ def test_keep_first_shuffles_only_rows_that_may_go(llm, tmp_path):
     new = {x.rsplit("-", 1)[0] for x in set(os.listdir(f"{root}/tickbars")) - before
            if os.path.isdir(f"{root}/tickbars/{x}")}
     assert not new & {"sketches", "prefixes", "posts", "open-posts", "near-sets", "tree-sets"}
+
+
+def test_tasks_leave_a_worker_no_memory_of_other_operators():
+    """Tasks get pickled copies of what their closures hold; a worker's memories are its modules' own."""
+    from pyspark import cloudpickle
+
+    from tickbars.llm import common as C
+    from tickbars.llm import decontaminate as D
+
+    def task(run, *batches):
+        return list(cloudpickle.loads(cloudpickle.dumps(run))(iter(batches)))
+
+    rows = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array([b"one two three four five"])], ["doc_id", "t"])
+    D.canonical_words([b"six seven"])
+    assert len(D._CANON) and len(D._CANON.core)
+    assert [x.num_rows for x in task(J._sketches(4), rows)] == [1]
+    assert not D._CANON and not D._CANON.core
+    assert len(C.WORD_HASHES) == 5
+    task(J._neighbours(85))
+    assert not C.WORD_HASHES

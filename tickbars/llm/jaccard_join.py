@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tickbars import session as S
 from tickbars.llm import signature_tree as T
-from tickbars.llm.common import WORD_HASHES, signed, split_by_keys, text_bytes, window_hashes
+from tickbars.llm.common import WORD_HASHES, in_turn, only, signed, split_by_keys, text_bytes, window_hashes
 from tickbars.llm.components import components
 
 SHINGLE = 4
@@ -100,8 +100,7 @@ def _sketches(shingle: int):
                 pa.array(first[:len(sets)], pa.list_(pa.int64())),
                 pa.array(first_n[:len(sets)], pa.list_(pa.int64()))],
                 ["doc_id", "n", "sid", "often", "often_n"])
-        WORD_HASHES.clear()
-    return run
+    return in_turn(run, "word hashes")
 
 
 def _sets(wanted, shingle: int):
@@ -120,8 +119,7 @@ def _sets(wanted, shingle: int):
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())],
                                              ["sid", "tokens"])
-        WORD_HASHES.clear()
-    return run
+    return in_turn(run, "word hashes")
 
 
 def _prefixes(often, shingle: int, pct: int):
@@ -149,8 +147,7 @@ def _prefixes(often, shingle: int, pct: int):
                 pa.array(cols[2], pa.list_(pa.int64())), pa.array(cols[3], pa.binary()),
                 pa.array(cols[4], pa.binary()), pa.array(cols[5], pa.binary())],
                 ["sid", "n", "prefix", "bits", "bits_dense", "bits_wide"])
-        WORD_HASHES.clear()
-    return run
+    return in_turn(run, "word hashes")
 
 
 def _pairs(a, b):
@@ -198,7 +195,7 @@ def _neighbours(pct: int):
                 start = _runs(cols, ["tier", "token"])
                 group = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(bits))))
                 yield from _near_leaves(cols, bits, group, np.arange(len(bits)), NEAR, pct)
-    return run
+    return in_turn(run)
 
 
 def _candidates(pct: int):
@@ -250,7 +247,7 @@ def _candidates(pct: int):
             held, held_bits = {k: v[cut:] for k, v in cols.items()}, bits[cut:]
         if held is not None:
             yield from cells(held, held_bits)
-    return run
+    return in_turn(run)
 
 
 def _bucket():
@@ -285,6 +282,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, shingle: in
 
     @F.arrow_udf("boolean")
     def linked(x: pa.Array, y: pa.Array) -> pa.Array:
+        only()
         return pa.array([links(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), pct)
                          for a, b in zip(x.to_pylist(), y.to_pylist())], pa.bool_())
 
