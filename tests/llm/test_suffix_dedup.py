@@ -139,3 +139,46 @@ def test_shard_is_sorted_and_refines_by_steps():
             groups.setdefault(runs[r][:k], []).append((r, b))
         assert all(len({b for _, b in g}) == 1 for g in groups.values())
         assert len({g[0][1] for g in groups.values()}) == len(groups) == len(shard.intervals(blocks)[0])
+
+
+def test_bytes_hashes_tell_bytes_seeds_and_lanes_apart():
+    rnd = random.Random(5)
+    buf = bytes(rnd.randrange(256) for _ in range(400)) * 40
+    for length in (L - D.GROUP + 1, L, L + D.GROUP - 1):
+        at = np.arange(len(buf) - length + 1)
+        h = D._bytes_hashes(buf, at, length, 0)
+        assert len(set(h.tolist())) == 400 and (h[:-400] == h[400:]).all()
+        assert len(set(h.tolist()) & set(D._bytes_hashes(buf, at, length, 0, 1).tolist())) == 0
+        seeded = D._bytes_hashes(buf, at, length, at // 400)
+        assert len(set(seeded.tolist())) == len(at) and (seeded[:400] == h[:400]).all()
+    one = bytearray(buf[:L])
+    seen = {int(D._bytes_hashes(bytes(one), np.zeros(1, np.int64), L, 0)[0])}
+    for i in range(L):  # every byte counts, the last ones too
+        one[i] ^= 1
+        seen.add(int(D._bytes_hashes(bytes(one), np.zeros(1, np.int64), L, 0)[0]))
+        one[i] ^= 1
+    assert len(seen) == L + 1
+
+
+def test_groups_of_windows_are_hashed_together(monkeypatch):
+    """Only what a text's end cuts off is hashed on its own."""
+    calls, real = [], D.xxhash
+
+    class Counted:
+        def __getattr__(self, name):
+            calls.append(name)
+            return getattr(real, name)
+
+    rnd = random.Random(6)
+    shared = " ".join("".join(rnd.choice("abcdefgh") for _ in range(5)) for _ in range(2000))
+    texts = ["x" * k + shared + str(k) for k in range(3)]
+    batch = D.pa.RecordBatch.from_arrays([D.pa.array(range(3), D.pa.int64()), D.pa.array([t.encode() for t in texts])], ["id", "text"])
+    row = next(D._rows([next(D._shards(0, iter([batch])))]))
+    shard = D._loaded(row)
+    level = np.minimum(shard.need, D.MOST_STEPS)
+    at, anchor, _ = D.anchored_windows(shard, level)
+    assert len(at) > 30_000
+    monkeypatch.setattr(D, "xxhash", Counted())
+    core, whole, group = D._routes(row["text"], at, anchor, shard, True)
+    assert len(core) > 2000 and len(core) == len(whole)
+    assert len(calls) <= 20 * len(texts)

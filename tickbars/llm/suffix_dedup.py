@@ -75,6 +75,9 @@ GROUP = 16
 STEPS = (1, 3, 6, 15)
 MOST_STEPS = STEPS[-1]
 _CHUNK = 1 << 16
+#: Positions whose bytes are hashed together (bounds memory only), and a multiplier per lane (any odd numbers do).
+_AT_ONCE = 1 << 12
+_LANES = np.array([0x9FB21C651E98DF25, 0xD6E8FEB86659FD93], np.uint64)
 #: A phrase is at most GAP + WEAK_GAP + GRAM bytes long: one random number per (place in phrase, byte).
 _LONGEST = GAP + WEAK_GAP + GRAM + 8
 _PLACES = np.random.default_rng(20240613).integers(0, 1 << 64, (_LONGEST, 256), np.uint64).ravel()
@@ -165,7 +168,7 @@ class Shard:
         self.ends = np.cumsum(lengths)
         self.begins = self.ends - lengths
         self.symbols, self.sa = symbols, sa
-        sizes = sizes.astype(np.int64)
+        self.sizes = sizes = sizes.astype(np.int64)
         self.starts = np.cumsum(sizes) - sizes
         n = len(sa)
         last = np.repeat(np.cumsum(phrases), phrases)
@@ -277,10 +280,29 @@ def anchored_windows(shard: Shard, level: np.ndarray) -> tuple[np.ndarray, np.nd
     anchor = np.repeat(points, size)
     order = np.argsort(at, kind="stable")
     at, anchor = at[order], anchor[order]
-    own = np.searchsorted(shard.starts, at, "right") - 1
+    own = np.repeat(np.arange(len(shard.sa), dtype=np.int32), shard.sizes)[at]  # the phrase of a byte
     return at, anchor, np.maximum.accumulate(reach)[own] >= at + LENGTH
 
 
+def _bytes_hashes(buf: bytes, at: np.ndarray, length: int, seed: np.ndarray | int, lane: int = 0) -> np.ndarray:
+    """64-bit hash of the ``length`` bytes from each position and of the seed (one, or one a position), eight bytes at
+    a time over many positions; lanes are independent of each other."""
+    out = np.empty(len(at), np.uint64)
+    if not len(at):
+        return out
+    rows = np.lib.stride_tricks.sliding_window_view(np.frombuffer(buf, np.uint8), length)
+    out[:] = (np.atleast_1d(seed).astype(np.uint64) + np.uint64(length)) * _STEP
+    for a in range(0, len(at), _AT_ONCE):
+        h = out[a:a + _AT_ONCE]
+        held = np.zeros((len(h), -(-length // 8) * 8), np.uint8)
+        held[:, :length] = rows[at[a:a + _AT_ONCE]]
+        for word in held.view(np.uint64).T:
+            h ^= word
+            h *= _LANES[lane]
+            h ^= h >> np.uint64(32)
+    return mix(out)
+
+
 def _routes(buf: bytes, at: np.ndarray, anchor: np.ndarray, shard: Shard,
             whole: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
     """Neighbouring windows of one anchor in groups of GROUP: (hash of the bytes that all windows of a group share and
@@ -295,18 +317,20 @@ def _routes(buf: bytes, at: np.ndarray, anchor: np.ndarray, shard: Shard,
     text = np.searchsorted(shard.ends, first, "right")
     low = np.maximum(first - GROUP + 1, shard.begins[text])
     high = np.minimum(first + LENGTH, shard.ends[text])
-    shared = LENGTH - GROUP + 1
-    core = [xxhash.xxh3_64_intdigest(buf[i:i + shared], seed=k) for i, k in zip(first.tolist(), (pair % LENGTH).tolist())]
+    core = _bytes_hashes(buf, first, LENGTH - GROUP + 1, pair % LENGTH)
     if not whole:
-        return np.array(core, np.uint64), None, group
-    around = [xxhash.xxh3_64_intdigest(buf[i:j], seed=j - k) for i, j, k in zip(low.tolist(), high.tolist(), first.tolist())]
-    return np.array(core, np.uint64), np.array(around, np.uint64), group
+        return core, None, group
+    around, full = np.empty(len(first), np.uint64), high - low == LENGTH + GROUP - 1
+    around[full] = _bytes_hashes(buf, low[full], LENGTH + GROUP - 1, 0)
+    # what a text's end cuts off has other lengths
+    around[~full] = [xxhash.xxh3_64_intdigest(buf[i:j], seed=j - k)
+                     for i, j, k in zip(low[~full].tolist(), high[~full].tolist(), first[~full].tolist())]
+    return core, around, group
 
 
 def _window_groups(buf: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """128-bit hashes of the distinct windows (n x 2), the window's place among them, and windows per hash."""
-    joined = bytearray().join(xxhash.xxh3_128_digest(buf[i:i + LENGTH]) for i in at.tolist())
-    h = np.frombuffer(joined, np.int64).reshape(-1, 2) if joined else np.empty((0, 2), np.int64)
+    h = np.stack([_bytes_hashes(buf, at, LENGTH, lane, lane) for lane in (0, 1)], axis=1).view(np.int64)
     order = np.lexsort((h[:, 1], h[:, 0]))
     h = h[order]
     head = np.r_[True, (h[1:] != h[:-1]).any(axis=1)][:len(h)]
@@ -484,9 +508,16 @@ def _doc_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       ["doc_id", "n_bytes", "spans", "kept"])
 
 
+def _exploded(rows: DataFrame, arrays: list[str]) -> DataFrame:
+    """A row per place of a shard's arrays, all of one length; the others are read by place, so no struct is built."""
+    first, *others = arrays
+    return rows.select("shard", *others, F.posexplode(first).alias("at", first)).select(
+        "shard", first, *[F.col(c)[F.col("at")].alias(c) for c in others])
+
+
 def _shared(rows: DataFrame, keys: list[str], answer: str) -> DataFrame:
     """Per shard, ``answer`` of the keys that it holds once and another shard holds too.  A shard sends a key once."""
-    one = rows.select("shard", F.explode(F.arrays_zip(*dict.fromkeys([*keys, answer]), "n")).alias("m")).select("shard", "m.*")
+    one = _exploded(rows, list(dict.fromkeys([*keys, answer, "n"])))
     total = F.sum("n").over(Window.partitionBy(*keys))
     return one.withColumn("total", total).filter("n = 1 and total > 1").groupBy("shard").agg(
         F.collect_list(answer).alias("shared"))
@@ -495,7 +526,7 @@ def _shared(rows: DataFrame, keys: list[str], answer: str) -> DataFrame:
 def _asked(rows: DataFrame) -> DataFrame:
     """Per shard, its groups of windows that stand twice or more over all shards and that any shard asks for: those
     with the same bytes everywhere (``whole``), and the others."""
-    one = rows.select("shard", F.explode(F.arrays_zip("keys", "whole", "asked", "n")).alias("m")).select("shard", "m.*")
+    one = _exploded(rows, ["keys", "whole", "asked", "n"])
     w = Window.partitionBy("keys")
     one = one.withColumns({"wanted": F.max("asked").over(w), "total": F.sum("n").over(w),
                            "same": F.min("whole").over(w) == F.max("whole").over(w)})
