@@ -139,6 +139,18 @@ def test_candidates_follow_the_links_of_near_copies(llm, monkeypatch):
         assert sum(seen) <= 3 * linked + copies, (sum(seen), linked)
 
 
+def test_neighbours_are_searched_in_every_larger_forest(llm):
+    """Whatever its token: a group of near copies may have no token in a share of the forests."""
+    bits = np.full(J.NARROW // 64, (1 << 64) - 1, np.uint64).tobytes()
+    sids = range(T.FAN + 4)
+    sets = llm.createDataFrame([(i, bits, bits, None) for i in sids], "sid long, bits binary, bits_dense binary, bits_wide binary")
+    for token in range(8):
+        posts = llm.createDataFrame([(i, 2000, 2000, token, 0, len(sids)) for i in sids],
+                                    "sid long, n long, rest long, token long, tier int, in_tree long")
+        near = {(r.a, r.b) for r in J._near_pairs(sets, posts, 85).collect()}
+        assert near == {(a, b) for a in sids for b in sids if a < b <= a + J.NEAR}
+
+
 def test_traversal_memory_is_bounded():
     """Pairs that passed wait unexpanded: a tree whose pairs all pass takes little memory."""
     import tracemalloc

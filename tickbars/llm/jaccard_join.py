@@ -7,10 +7,11 @@ a set id, so copies collapse before anything is compared.  Then
    the first n - ceil(pct n) + 1 tokens of any common order (tokens seen often
    come last).  A token of two or more sets is the root of a forest of signature
    trees over them.
-2. neighbours: in a share of the forests each leaf is compared with the next few
-   by size; verified links are merged to components.  This only lets the trees
-   skip pairs already decided: a token whose sets all lie in one component is
-   finished and dropped.
+2. neighbours: in every forest of more than one node, and in a share of the
+   smaller ones, each leaf is compared with the next few by size; verified links
+   are merged to components.  This only lets the trees skip pairs already decided
+   (in a group of near copies, nearly all of them): a token whose sets all lie in
+   one component is finished and dropped.
 3. signature trees: every other forest is cut into blocks of ``BLOCK`` leaves,
    block pairs are pruned by size range and component, and each surviving pair of
    blocks is one traversal (see ``signature_tree``).
@@ -49,7 +50,7 @@ WANTED_BUCKETS = 1 << 22
 #: Bits of a leaf bitmap: of sets up to NARROW_SIZE in trees of one node and in larger trees, and of larger sets.
 #: A larger tree compares many near copies: the slack of a narrow bitmap would let most of its pairs through.
 NARROW, DENSE, WIDE, NARROW_SIZE = 1024, 4096, 8192, 1200
-#: One forest in ``NEAR_SHARE`` is searched for neighbours, ``NEAR`` of them a leaf.
+#: Of the forests of one node, one in ``NEAR_SHARE`` is searched for neighbours, ``NEAR`` of them a leaf.
 NEAR_SHARE, NEAR = 4, 16
 
 
@@ -327,8 +328,9 @@ def _posts(docs: DataFrame, often, shingle: int, pct: int) -> tuple[DataFrame, D
 
 
 def _near_pairs(sets: DataFrame, posts: DataFrame, pct: int) -> DataFrame:
-    """Candidate pairs of neighbouring leaves in a share of the forests."""
-    some = _with_bits(posts.filter(F.pmod(F.xxhash64("token"), F.lit(NEAR_SHARE)) == 0), sets)
+    """Candidate pairs of neighbouring leaves, in all forests whose pairs may outnumber their rows by far (a group
+    of near copies has but few tokens that count, and a share may miss them all) and in a share of the others."""
+    some = _with_bits(posts.filter((F.col("in_tree") > T.FAN) | (F.pmod(F.xxhash64("token"), F.lit(NEAR_SHARE)) == 0)), sets)
     return some.repartition("tier", "token").sortWithinPartitions("tier", "token", "n", "sid").mapInArrow(
         _neighbours(pct), "a long, b long").distinct()
 
