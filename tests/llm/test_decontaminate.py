@@ -46,6 +46,23 @@ def test_canonical_words():
     assert D.canonical(b"|")[0] == D.BREAK and D.canonical("été!".encode()) == (D.LITERAL, "été", True)
 
 
+def test_plain_words_are_told_without_patterns(monkeypatch):
+    """Words of letters, maybe with a stop, are what a text is made of: no search for numbers or outer punctuation."""
+    class Never:
+        def fullmatch(self, core):
+            raise AssertionError(core)
+
+    monkeypatch.setattr(D, "_NUMBER", Never())
+    monkeypatch.setattr(D, "_QUANTITY", Never())
+    for word, kind, core, ends in (
+            ("word", D.LITERAL, "word", False), ("word,", D.LITERAL, "word", False), ("word;", D.LITERAL, "word", True),
+            ("été.", D.LITERAL, "été", True), ("A", D.LITERAL, "A", False), ("Paris?!", D.NAME, "Paris", True),
+            ("McDonald", D.NAME, "McDonald", False), ("Élan,", D.NAME, "Élan", False), ("KM", D.UNIT, "KM", False),
+            ("Hours.", D.UNIT, "Hours", True), ("Twelve", D.NUMBER, "Twelve", False), ("second", D.UNIT, "second", False),
+            ("一二", D.LITERAL, "一二", False), ("ǅ", D.LITERAL, "ǅ", False)):
+        assert D.canonical(word.encode()) == (kind, core, ends), word
+
+
 def found(spark, texts, items):
     return {(r.doc_id, r.item_id): r.same_values for r in D.decontaminate(docs(spark, texts), bench(spark, items)).collect()}
 

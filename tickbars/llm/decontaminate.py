@@ -93,11 +93,14 @@ class Canon(dict):
             for name in ("code", "kind", "ends", "soft"):
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
-        self.core[row] = core.lower()
-        self.code[row] = xxhash.xxh3_64_intdigest(self.core[row])
-        self.kind[row], self.ends[row] = kind, ends
-        self.soft[row] = (kind == NUMBER and not core[-1:].isdigit() and _number_word(core)) \
-            or (kind == NAME and not _plain_name(core))
+        self.core[row] = low = core.lower()
+        self.code[row] = xxhash.xxh3_64_intdigest(low)
+        if ends:  # a new row holds zeros
+            self.ends[row] = True
+        if kind:
+            self.kind[row] = kind
+            self.soft[row] = (kind == NUMBER and not core[-1:].isdigit() and _number_word(core)) \
+                or (kind == NAME and not _plain_name(core))
         return row
 
 
@@ -114,6 +117,13 @@ def canonical(word: bytes) -> tuple[int, str, bool]:
     if word == _MARK:
         return BREAK, "", True
     w = word.decode("utf-8", "replace")
+    core = w.rstrip(".,;:!?")
+    if core.isalpha():  # most words: letters, maybe a stop; no number, no other punctuation
+        low = core.lower()
+        kind = UNIT if low in UNITS else NUMBER if low in NUMBER_WORDS else LITERAL
+        if not kind and len(core) > 1 and not core.islower() and any(x.isupper() for x in core):
+            kind = NAME
+        return kind, core, w[-1] in ".!?:;"
     ends = w.rstrip("\"')]}»”’")[-1:] in tuple(".!?:;")
     a, b = 0, len(w)
     while a < b and not w[a].isalnum() and not (w[a] in "+-" and w[a + 1:a + 2].isdigit()):
