@@ -182,3 +182,42 @@ def test_groups_of_windows_are_hashed_together(monkeypatch):
     core, whole, group = D._routes(row["text"], at, anchor, shard, True)
     assert len(core) > 2000 and len(core) == len(whole)
     assert len(calls) <= 20 * len(texts)
+
+
+def test_hashes_meet_packed_by_range(llm):
+    """A shard sends a row per range of hashes, not one per hash, and is told those that shards share."""
+    rnd = np.random.default_rng(4)
+    pool = rnd.integers(0, 1 << 64, 3000, np.uint64)
+    pool[:40] = np.arange(40)  # many in one range
+    sent, rows = {}, []
+    for shard in range(5):
+        keys = np.sort(rnd.choice(pool, 900, replace=False))
+        whole = keys % np.uint64(3) + np.where(keys % np.uint64(5) == 0, np.uint64(shard), np.uint64(0))
+        flags = (rnd.random(900) < 0.1) * D._MORE | (rnd.random(900) < 0.4) * D._ASKED
+        sent[shard] = list(zip(keys.tolist(), whole.tolist(), flags.tolist()))
+        packed = D._sent(keys, flags, whole), D._sent(keys, flags & D._MORE)
+        rows.append((shard, *[x.to_pylist()[0] for x in packed]))
+    assert all(len(x) <= 1 << D.RANGE_BITS for _, *both in rows for x in both) and len(rows[0][1]) < 900
+    df = llm.createDataFrame(rows, f"shard long, pairs {D._SENT[5:]}, single {D._SENT[5:]}").repartition(3)
+
+    def got(sent_as, groups, column, dtype):
+        found = {r.shard: b"".join(r[column]) for r in D._shared(df.select("shard", df[sent_as].alias("sent")), groups).collect()}
+        return {s: sorted(np.frombuffer(found.get(s, b""), dtype).tolist()) for s in sent}
+
+    def brute(test, answer=lambda at, key: key):
+        return {s: sorted(answer(at, k) for at, (k, w, f) in enumerate(x) if test(k, w, f)) for s, x in sent.items()}
+
+    by_key, by_both = {}, {}
+    for x in sent.values():
+        for k, w, f in x:
+            by_key.setdefault(k, []).append((w, f))
+            by_both.setdefault((k, w), []).append(f)
+    more, asked = int(D._MORE), int(D._ASKED)
+    assert got("single", False, "shared", np.uint64) == brute(lambda k, w, f: not f & more and len(by_key[k]) > 1)
+    assert got("pairs", False, "shared", np.int64) == brute(
+        lambda k, w, f: not f & more and len(by_both[k, w]) > 1, lambda at, key: at)
+    twice = {k for k, x in by_key.items() if len(x) > 1 or x[0][1] & more}
+    wanted = {k for k in twice if any(f & asked for _, f in by_key[k])}
+    same = {k for k in wanted if len({w for w, _ in by_key[k]}) == 1}
+    assert got("pairs", True, "shared", np.uint64) == brute(lambda k, w, f: k in same and f & asked)
+    assert got("pairs", True, "parts", np.uint64) == brute(lambda k, w, f: k in wanted - same)

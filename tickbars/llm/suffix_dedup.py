@@ -20,8 +20,9 @@ suffix's longest common prefix is known and it takes no further part; a block
 of two or more goes on.  So the work shrinks to what is repeated, and a suffix
 stops once its prefix covers every window that starts in its first phrase.
 Blocks are counted after the steps in ``STEPS``, one exchange each; a shard
-sends one row per block and step, however many of its suffixes are in it, so a
-passage in a third of all texts costs one row per shard.
+sends one hash per block and step, however many of its suffixes are in it, so a
+passage in a third of all texts costs one hash per shard.  Hashes travel packed,
+a row per shard and range of hashes, and a range's are sorted where they meet.
 
 Repeated intervals.  A repeated prefix of ``LENGTH`` bytes or more is removed
 as it is.  A repeated window may also stick out of a repeated run of phrases
@@ -51,7 +52,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickbars import session as S
@@ -75,6 +76,11 @@ GROUP = 16
 STEPS = (1, 3, 6, 15)
 MOST_STEPS = STEPS[-1]
 _CHUNK = 1 << 16
+#: Key ranges by which shards' hashes meet: a shard sends one row of packed hashes per range, so a range is all that a
+#: task holds at a time.
+RANGE_BITS = 10
+#: Bits of a sent hash's flags: the shard has it more than once; asks for it.
+_MORE, _ASKED = np.uint8(1), np.uint8(2)
 #: Positions whose bytes are hashed together (bounds memory only), and a multiplier per lane (any odd numbers do).
 _AT_ONCE = 1 << 12
 _LANES = np.array([0x9FB21C651E98DF25, 0xD6E8FEB86659FD93], np.uint64)
@@ -132,22 +138,26 @@ def phrase_hashes(buf: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
 
 
 def suffix_array(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Order by the first MOST_STEPS symbols at least, by prefix doubling; ``left``: symbols up to the text's end."""
+    """Order by the first MOST_STEPS symbols at least, by prefix doubling; ``left``: symbols up to the text's end.  A
+    suffix that is alone with its prefix has its place and is sorted no more."""
     n = len(symbols)
     if not n:
         return np.empty(0, np.int32)
-    _, rank = np.unique(symbols, return_inverse=True)
+    order = np.argsort(symbols)
+    head = np.r_[True, symbols[order[1:]] != symbols[order[:-1]]]
+    rank = np.empty(n, np.int64)  # the first place of its equals
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
     k, most = 1, min(int(left.max()), MOST_STEPS)
-    order = np.argsort(rank)
-    while k < most:
-        nxt = np.where(left > k, np.append(rank, np.zeros(k, rank.dtype))[np.minimum(np.arange(n) + k, n)] + 1, 0)
-        key = rank.astype(np.int64) * (n + 1) + nxt
-        order = np.argsort(key)
-        head = np.r_[True, np.diff(key[order]) != 0]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(head) - 1
-        if head.all():
-            break
+    at = np.flatnonzero(~(head & np.append(head[1:], True)))
+    while k < most and len(at):
+        own = order[at]
+        key = rank[own] * (n + 1) + np.where(left[own] > k, rank[np.minimum(own + k, n - 1)] + 1, 0)
+        by = np.argsort(key)
+        own, key = own[by], key[by]
+        head = np.r_[True, key[1:] != key[:-1]]
+        order[at] = own
+        rank[own] = np.maximum.accumulate(np.where(head, at, 0))
+        at = at[~(head & np.append(head[1:], True))]
         k *= 2
     return order.astype(np.int32)
 
@@ -330,7 +340,7 @@ def _routes(buf: bytes, at: np.ndarray, anchor: np.ndarray, shard: Shard,
 
 def _window_groups(buf: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """128-bit hashes of the distinct windows (n x 2), the window's place among them, and windows per hash."""
-    h = np.stack([_bytes_hashes(buf, at, LENGTH, lane, lane) for lane in (0, 1)], axis=1).view(np.int64)
+    h = np.stack([_bytes_hashes(buf, at, LENGTH, lane, lane) for lane in (0, 1)], axis=1)
     order = np.lexsort((h[:, 1], h[:, 0]))
     h = h[order]
     head = np.r_[True, (h[1:] != h[:-1]).any(axis=1)][:len(h)]
@@ -391,8 +401,26 @@ def _level(r: dict, shard: Shard) -> np.ndarray:
 
 
 def _keys(values: list | None) -> np.ndarray:
-    """Hashes held as longs, ascending."""
-    return np.sort(np.array(values or [], np.int64).view(np.uint64))
+    """Hashes in packed pieces, ascending."""
+    return np.sort(np.frombuffer(b"".join(values or []), np.uint64))
+
+
+_SENT = "sent array<struct<range:int,first:int,keys:binary,others:binary,flags:binary>>"
+
+
+def _sent(keys: np.ndarray, flags: np.ndarray, others: np.ndarray | None = None) -> pa.Array:
+    """Ascending hashes, each with a second one if given, packed by range; ``first``: place of a range's first."""
+    part = keys >> np.uint64(64 - RANGE_BITS)
+    head = np.flatnonzero(np.r_[True, part[1:] != part[:-1]][:len(part)])
+    cuts = list(zip(head.tolist(), [*head[1:].tolist(), len(keys)]))
+
+    def packed(x):
+        return pa.array([None if x is None else x[a:b].tobytes() for a, b in cuts], pa.binary())
+
+    rows = pa.StructArray.from_arrays(
+        [pa.array(part[head].astype(np.int32)), pa.array(head.astype(np.int32)), packed(keys), packed(others), packed(flags)],
+        ["range", "first", "keys", "others", "flags"])
+    return pa.ListArray.from_arrays(pa.array([0, len(cuts)], pa.int32()), rows)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -408,10 +436,11 @@ def _step(low: int, high: int, upto: int):
             level = _level(r, shard)
             blocks = shard.settle(level, np.frombuffer(r["blocks"] or b"", np.uint64), _keys(r["shared"]), low, high)
             keys, n = shard.messages(level, blocks, high, upto)
+            order = np.argsort(keys)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r["shard"]]), pa.array([level.astype(np.uint16).tobytes()], pa.binary()),
-                 pa.array([blocks.tobytes()], pa.binary()), pa.array([keys.view(np.int64)], pa.list_(pa.int64())),
-                 pa.array([n], pa.list_(pa.int64()))], ["shard", "level", "blocks", "keys", "n"])
+                 pa.array([blocks.tobytes()], pa.binary()), _sent(keys[order], (n[order] > 1) * _MORE)],
+                ["shard", "level", "blocks", "sent"])
     return run
 
 
@@ -431,12 +460,11 @@ def _ask(low: int, high: int):
             core, whole, edge = core[order], whole[order], edge[order]
             head = np.r_[True, (core[1:] != core[:-1]) | (whole[1:] != whole[:-1])][:len(core)]
             same = np.cumsum(head) - 1
-            asked = np.zeros(int(head.sum()), np.int64)
-            asked[same[edge]] = 1
+            flags = (np.bincount(same) > 1) * _MORE
+            flags[same[edge]] |= _ASKED
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r["shard"]]), pa.array([level.astype(np.uint16).tobytes()], pa.binary()),
-                 *[pa.array([x.view(np.int64)], pa.list_(pa.int64())) for x in (core[head], whole[head], asked, np.bincount(same))]],
-                ["shard", "level", "keys", "whole", "asked", "n"])
+                 _sent(core[head], flags, whole[head])], ["shard", "level", "sent"])
     return run
 
 
@@ -447,15 +475,15 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = _loaded(r)
         at, anchor, _ = anchored_windows(shard, _level(r, shard))
         core, _, group = _routes(r["text"], at, anchor, shard, False)
-        whole = at[_among(core, _keys(r["whole"]))[group]]
+        whole = at[_among(core, _keys(r["shared"]))[group]]
         s, e = _merged(whole, whole + LENGTH, touching=False)
         at = at[_among(core, _keys(r["parts"]))[group]]
         keys, group, n = _window_groups(r["text"], at)
         yield pa.RecordBatch.from_arrays(
             [pa.array([r["shard"]]), pa.array([r["level"]], pa.binary()),
              *[pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (s, e, at, group, n)],
-             *[pa.array([x], pa.list_(pa.int64())) for x in (keys[:, 0], keys[:, 1], n, np.arange(len(n)))]],
-            ["shard", "level", "found", "found_end", "windows", "groups", "counts", "keys", "keys2", "n", "place"])
+             _sent(keys[:, 0], (n > 1) * _MORE, keys[:, 1])],
+            ["shard", "level", "found", "found_end", "windows", "groups", "counts", "sent"])
 
 
 def _merged(start: np.ndarray, end: np.ndarray, touching: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -476,7 +504,7 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = reach - shard.starts >= LENGTH
         at, group, n = (np.frombuffer(r[c], np.int32).astype(np.int64) for c in ("windows", "groups", "counts"))
         found = n > 1
-        found[r["shared"] or []] = True
+        found[np.frombuffer(b"".join(r["shared"] or []), np.int64)] = True
         at = at[found[group]]
         # per text, so that spans of neighbouring texts never merge
         whole, whole_end = (np.frombuffer(r[c], np.int32).astype(np.int64) for c in ("found", "found_end"))
@@ -508,31 +536,83 @@ def _doc_batch(rows: list[tuple]) -> pa.RecordBatch:
                                       ["doc_id", "n_bytes", "spans", "kept"])
 
 
-def _exploded(rows: DataFrame, arrays: list[str]) -> DataFrame:
-    """A row per place of a shard's arrays, all of one length; the others are read by place, so no struct is built."""
-    first, *others = arrays
-    return rows.select("shard", *others, F.posexplode(first).alias("at", first)).select(
-        "shard", first, *[F.col(c)[F.col("at")].alias(c) for c in others])
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by range, whole ranges at a time."""
+    held = None
+    for batch in batches:
+        if batch.num_rows:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            cut = int(np.searchsorted(rows["range"].to_numpy(), rows["range"][-1].as_py()))
+            if cut:
+                yield rows.slice(0, cut)
+            held = rows.slice(cut)
+    if held is not None:
+        yield held
+
+
+def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype)
 
 
-def _shared(rows: DataFrame, keys: list[str], answer: str) -> DataFrame:
-    """Per shard, ``answer`` of the keys that it holds once and another shard holds too.  A shard sends a key once."""
-    one = _exploded(rows, list(dict.fromkeys([*keys, answer, "n"])))
-    total = F.sum("n").over(Window.partitionBy(*keys))
-    return one.withColumn("total", total).filter("n = 1 and total > 1").groupBy("shard").agg(
-        F.collect_list(answer).alias("shared"))
+def _heads(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """Where other keys begin in an order."""
+    head = np.ones(len(order), bool)
+    head[1:] = np.logical_or.reduce([k[order[1:]] != k[order[:-1]] for k in keys])
+    return head
+
+
+def _answers(rows: pa.Table, answer: np.ndarray, owner: np.ndarray, found: np.ndarray) -> pa.Array:
+    """Per row, its hashes' answers that are found."""
+    found = np.sort(found)
+    cuts = np.searchsorted(owner[found], np.arange(len(rows) + 1)).tolist()
+    answer = answer[found]
+    return pa.array([answer[a:b].tobytes() if b > a else None for a, b in zip(cuts, cuts[1:])], pa.binary())
+
+
+def _met(groups: bool):
+    """Per shard and range, the hashes that stand twice or more over all shards.  ``groups``: of groups of windows that
+    any shard asks for, those with the same bytes everywhere (``shared``), and the others (``parts``).  Else those that
+    the shard has once: the hash itself or, of a hash with a second one, its place."""
+    def run(batches):
+        for rows in _ranges(batches):
+            keys, flags = _joined(rows["keys"], np.uint64), _joined(rows["flags"], np.uint8)
+            size = np.fromiter(map(len, rows["flags"].to_pylist()), np.int64, len(rows))
+            owner = np.repeat(np.arange(len(rows)), size)
+            two = rows["others"].null_count == 0
+            others = _joined(rows["others"], np.uint64) if two else None
+            parts = np.empty(0, np.int64)
+            if groups:
+                order = np.argsort(keys)
+                head = _heads(order, keys)
+                start, group = np.flatnonzero(head), np.cumsum(head) - 1
+                twice = (np.bincount(group) > 1) | ((np.bitwise_or.reduceat(flags[order], start) & _MORE) > 0)
+                wanted = (np.bitwise_or.reduceat(flags[order], start) & _ASKED) > 0
+                same = np.minimum.reduceat(others[order], start) == np.maximum.reduceat(others[order], start)
+                take = (wanted & twice)[group]
+                found = order[take & same[group] & ((flags[order] & _ASKED) > 0)]
+                parts = order[take & ~same[group]]
+                answer = keys
+            else:
+                by = (keys, others) if two else (keys,)
+                order = np.lexsort(by[::-1]) if two else np.argsort(keys)
+                head = _heads(order, *by)
+                alone = head & np.append(head[1:], True)
+                found = order[~alone & ((flags[order] & _MORE) == 0)]
+                begin = np.cumsum(size) - size
+                answer = keys if not two else np.arange(len(keys)) + np.repeat(rows["first"].to_numpy() - begin, size)
+            yield pa.RecordBatch.from_arrays(
+                [rows["shard"].combine_chunks(), _answers(rows, answer, owner, found), _answers(rows, answer, owner, parts)],
+                ["shard", "shared", "parts"])
+    return run
 
 
-def _asked(rows: DataFrame) -> DataFrame:
-    """Per shard, its groups of windows that stand twice or more over all shards and that any shard asks for: those
-    with the same bytes everywhere (``whole``), and the others."""
-    one = _exploded(rows, ["keys", "whole", "asked", "n"])
-    w = Window.partitionBy("keys")
-    one = one.withColumns({"wanted": F.max("asked").over(w), "total": F.sum("n").over(w),
-                           "same": F.min("whole").over(w) == F.max("whole").over(w)})
-    return one.filter("wanted = 1 and total > 1 and (asked = 1 or not same)").groupBy("shard").agg(
-        F.collect_list(F.when(F.col("same"), F.col("keys"))).alias("whole"),
-        F.collect_list(F.when(~F.col("same"), F.col("keys"))).alias("parts"))
+def _shared(rows: DataFrame, groups: bool = False) -> DataFrame:
+    """Per shard, its part of the hashes sent that shards share (see ``_met``).  A shard sends a hash once."""
+    sent = rows.select("shard", F.inline("sent"))
+    return sent.repartition("range").sortWithinPartitions("range").mapInArrow(
+        _met(groups), "shard long, shared binary, parts binary").filter("shared is not null or parts is not null") \
+        .groupBy("shard").agg(F.collect_list("shared").alias("shared"), F.collect_list("parts").alias("parts"))
 
 
 def _discard(tables: list[DataFrame | None]) -> None:
@@ -569,27 +649,25 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             x = shards.select(*body)
             if state is None:
                 x = x.withColumns({"level": F.lit(None).cast("binary"), "blocks": F.lit(None).cast("binary"),
-                                   "shared": F.lit(None).cast("array<long>")})
+                                   "shared": F.lit(None).cast("array<binary>")})
             else:
                 x = x.join(small(state, "level", "blocks"), "shard").join(small(shared, "shared"), "shard", "left")
             used = [state, shared]
             state = S.materialize(x.mapInArrow(
-                _step(low, high, upto), "shard long, level binary, blocks binary, keys array<long>, n array<long>"), "interleave")
-            shared = S.materialize(_shared(state, ["keys"], "keys"), "shared")
+                _step(low, high, upto), f"shard long, level binary, blocks binary, {_SENT}"), "interleave")
+            shared = S.materialize(_shared(state), "shared")
             _discard(used)
             low, high = high, upto
         x = shards.select(*body, "text").join(small(state, "level", "blocks"), "shard").join(small(shared, "shared"), "shard", "left")
         used = [state, shared]
-        state = S.materialize(x.mapInArrow(_ask(low, high), "shard long, level binary, keys array<long>, whole array<long>, asked array<long>, n array<long>"),
-                              "asked")
-        asked = S.materialize(_asked(state), "asked")
+        state = S.materialize(x.mapInArrow(_ask(low, high), f"shard long, level binary, {_SENT}"), "asked")
+        asked = S.materialize(_shared(state, groups=True), "asked")
         _discard(used)
-        x = shards.select(*body, "text").join(small(state, "level"), "shard").join(small(asked, "whole", "parts"), "shard", "left")
+        x = shards.select(*body, "text").join(small(state, "level"), "shard").join(small(asked, "shared", "parts"), "shard", "left")
         edges = S.materialize(x.mapInArrow(
-            _answer, "shard long, level binary, found binary, found_end binary, windows binary, groups binary, counts binary, keys array<long>, keys2 array<long>, "
-                     "n array<long>, place array<long>"), "edges")
+            _answer, f"shard long, level binary, found binary, found_end binary, windows binary, groups binary, counts binary, {_SENT}"), "edges")
         _discard([state, asked])
-        shared = S.materialize(_shared(edges, ["keys", "keys2"], "place"), "shared")
+        shared = S.materialize(_shared(edges), "shared")
         x = shards.select("doc_ids", *body, "text") \
             .join(small(edges, "level", "found", "found_end", "windows", "groups", "counts"), "shard") \
             .join(small(shared, "shared"), "shard", "left")
